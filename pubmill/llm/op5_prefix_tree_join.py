@@ -12,18 +12,19 @@ A document is the set of its distinct k-word shingles, held in one global order
    A part key carries its size class, and a set goes to the class of every
    possible larger partner. Parts empty in both sets prove nothing; where a set
    has as many empty parts as P - D, they count as keys too.
-3. First round: every key links its nodes to the least of them (first within a
-   batch, then over the batches, so a hot key costs a row per batch).
-4. Prefix tree: the partners of a probe are stored in a trie over their ordered
-   sets, one descent per shared prefix counts its overlap with the probe once,
-   and a subtree goes as soon as the overlap so far and the remaining lengths
-   cannot reach the threshold.
-5. Second round: keys whose nodes still lie in different components give their
-   remaining pairs across components to the same tree search. A pair inside one
-   component cannot change the components, so none is lost.
+3. Candidate clusters: a key links its nodes to the least of them, first within a
+   batch, then over the batches, so a hot key costs a row per batch. Nodes that
+   these links connect form a cluster; nodes of different clusters never link.
+4. A cluster's nodes are dealt by size class and id hash into blocks of about
+   ``BLOCK`` nodes. A node probes its own block, the later blocks of its class, and
+   those of the next class if a partner can be that large; no pair is written out.
+5. Prefix tree: a block's ordered sets are stored in a trie, whose edges hold up
+   to ``EDGE`` shingles. A probe goes down all its branches level by level: overlap
+   with a shared prefix is counted once, and a subtree goes as soon as the overlap
+   so far and the remaining lengths cannot reach the threshold.
 
 Only texts of nodes that share a part travel, and each link is verified on whole
-sets. Cases: null and empty texts have no shingles and stay alone; repeated rows
+sets. A cluster of m nodes of one size costs m / (2 * BLOCK) probes a node. Cases: null and empty texts have no shingles and stay alone; repeated rows
 fall together; a component's id is its least non-null doc_id (null if there is
 none); an empty table gives no rows; further columns of ``docs`` are not used.
 """
@@ -41,8 +42,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, materialize, mix, shingle_set
 from .links import connected
 
-#: Partners searched by one task for one probe; more are dealt to further tasks.
-PARTNERS = 512
+#: Nodes of a block, and shingles on an edge of its trie.
+BLOCK, EDGE = 4096, 32
 GROWTH = 1.4
 
 
@@ -85,140 +86,220 @@ def set_id(h: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(h + np.uint64(len(h)))).astype(np.int64)) if len(h) else 0
 
 
-def tree_links(probe: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[int]:
-    """Indices of the ordered sets that link with the ordered probe.
-
-    The sets are sorted, so a subtree of their trie is a run of rows that share a
-    prefix; an edge is the stretch up to where the first of its rows parts from the
-    last. Overlap along an edge is counted once for all rows below it.
+class PrefixTree:
+    """A trie of ordered sets, its edges cut to EDGE shingles, kept level by level as arrays."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array(list(map(len, sets)))
+        order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
+        edges, spans, self.levels, ends = [], [0], [], [[] for _ in sets]
+        open_nodes = [(0, len(sets), 0, -1)] if sets else []  # rows, depth, parent
+        total = 0
+        while open_nodes:
+            level, following = {"parent": [], "depth": [], "least": [], "most": [], "id": []}, []
+            for lo, hi, depth, parent in open_nodes:
+                while lo < hi and len(sets[order[lo]]) == depth:
+                    ends[order[lo]] = parent
+                    lo += 1
+                heads = [sets[order[k]][depth] for k in range(lo, hi)]
+                cuts = [lo, *(lo + k for k in range(1, hi - lo) if heads[k] != heads[k - 1]), hi] if hi > lo else []
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    first, last = sets[order[a]], sets[order[b - 1]]
+                    span = min(len(first), len(last), depth + EDGE)
+                    same = first[depth:span] == last[depth:span]
+                    end = span if same.all() else depth + int(np.argmin(same))
+                    sizes = self.sizes[order[a:b]]
+                    node = len(spans) - 1
+                    edges.append(first[depth:end])
+                    total += end - depth
+                    spans.append(total)
+                    for name, value in zip(level, (parent, end, sizes.min(), sizes.max(), node), strict=True):
+                        level[name].append(value)
+                    following.append((a, b, end, node))
+            if level["id"]:
+                self.levels.append({k: np.array(v) for k, v in level.items()})
+            open_nodes = following
+        self.tokens = np.concatenate(edges) if edges else np.empty(0, np.uint64)
+        self.spans = np.array(spans)
+        self.ends = np.array(ends, np.int64)
+
+    def links(self, probe: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Places of the sets that link with the probe."""
+        n = len(probe)
+        shared = np.zeros(len(self.spans), np.int64)
+        alive = np.zeros(len(self.spans), bool)
+        alive[-1] = True  # the root, at place -1
+        for level in self.levels:
+            keep = alive[level["parent"]] & (num * level["least"] <= den * n) & (num * n <= den * level["most"])
+            ids = level["id"][keep]
+            if not len(ids):
+                break
+            starts, lengths = self.spans[ids], self.spans[ids + 1] - self.spans[ids]
+            first = np.cumsum(lengths) - lengths
+            token = self.tokens[np.repeat(starts - first, lengths) + np.arange(lengths.sum())]
+            at = np.searchsorted(probe, token)
+            hit = probe[np.minimum(at, n - 1)] == token
+            overlap = shared[level["parent"][keep]] + np.add.reduceat(hit, first, dtype=np.int64)
+            left = n - at[first + lengths - 1] - hit[first + lengths - 1]
+            least, most, depth = level["least"][keep], level["most"][keep], level["depth"][keep]
+            reach = overlap + np.minimum(left, most - depth)
+            size = np.maximum(least, reach)  # the smallest set below that could overlap so much
+            shared[ids] = overlap
+            alive[ids] = den * reach >= num * (n + size - reach)
+        found = alive[self.ends] & (self.ends >= 0)
+        overlap = shared[self.ends]
+        return np.flatnonzero(found & (den * overlap >= num * (n + self.sizes - overlap)))
+
+
+_PACKED = pa.schema([("bin", pa.int32()), ("payload", pa.binary()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+_PACKED_DDL = "bin int, payload binary, row long, doc_id long, n long, a long, b long"
+_MET_DDL = "row long, doc_id long, n long, a long, b long"
+
+
+def _rows(schema: pa.Schema, length: int, **held) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(held[f.name], f.type) if f.name in held else pa.nulls(length, f.type) for f in schema], schema=schema)
+
+
+def _pack(key: np.ndarray, at: np.ndarray, sid: np.ndarray) -> bytes:
+    """Sorted keys (their upper 48 bits) and the ids they belong to, each id once.
+
+    Keys that agree in 48 bits of a bin by chance add a pair to verify, no more.
     """
-    alive = [k for k, s in enumerate(sets) if num * max(len(s), len(probe)) <= den * min(len(s), len(probe))]
-    alive.sort(key=lambda k: sets[k].astype(">u8").tobytes())
-    found: list[int] = []
-    stack = [(0, len(alive), 0, 0)] if alive else []
-    while stack:
-        lo, hi, depth, shared = stack.pop()
-        first, last = sets[alive[lo]], sets[alive[hi - 1]]
-        span = min(len(first), len(last))
-        same = first[depth:span] == last[depth:span]
-        end = depth + (len(same) if same.all() else int(np.argmin(same)))
-        if end > depth:
-            edge = first[depth:end]
-            at = np.searchsorted(probe, edge)
-            shared += int(np.count_nonzero(probe[np.minimum(at, len(probe) - 1)] == edge))
-            left = len(probe) - int(np.searchsorted(probe, edge[-1], "right"))
-        else:
-            left = len(probe) - (int(np.searchsorted(probe, first[depth - 1], "right")) if depth else 0)
-        while lo < hi and len(sets[alive[lo]]) == end:  # a set that ends here comes first
-            if den * shared >= num * (len(probe) + end - shared):
-                found.append(alive[lo])
-            lo += 1
-        if lo == hi:
-            continue
-        longest = max(len(sets[alive[k]]) for k in range(lo, hi))
-        shortest = min(len(sets[alive[k]]) for k in range(lo, hi))
-        most = shared + min(left, longest - end)
-        if den * most < num * (len(probe) + shortest - min(most, shortest)):
-            continue
-        heads = np.array([sets[alive[k]][end] for k in range(lo, hi)])
-        cuts = [0, *(np.flatnonzero(heads[1:] != heads[:-1]) + 1).tolist(), hi - lo]
-        stack += [(lo + a, lo + b, end, shared) for a, b in zip(cuts, cuts[1:], strict=False)]
-    return found
-
-
-def _signatures(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    def per_batch(batch: pa.RecordBatch):
-        sizes, ids, keys = [], [], []
-        for text in batch["text"]:
-            h = shingle_set(text.as_py() or "", k)
-            sizes.append(len(h))
-            ids.append(set_id(h) if len(h) else None)
-            keys.append(parts_of(h, num, den).view(np.int64))
-        return batch["row"], batch["doc_id"], sizes, ids, keys
-
-    return arrow_map(docs, per_batch, "row long, doc_id long, n_shingles long, sid long, keys array<long>")
-
-
-def _batch_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (sid, keys): star pairs within a batch as (null, least, sid), and (key, least, null) for the rest."""
+    own, place = np.unique(at, return_inverse=True)
+    high = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
+    return np.array([len(key), len(own)], "<u4").tobytes() + high.tobytes() + place.astype("<u2").tobytes() + sid[own].astype("<i8").tobytes()
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, m = np.frombuffer(data, "<u4", 2)
+    key = np.zeros((n, 8), np.uint8)
+    key[:, 2:] = np.frombuffer(data, np.uint8, 6 * n, 8).reshape(n, 6)
+    place = np.frombuffer(data, "<u2", n, 8 + 6 * n)
+    return key.view("<u8").ravel(), np.frombuffer(data, "<i8", m, 8 + 8 * n)[place]
+
+
+def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins: int) -> Iterator[pa.RecordBatch]:
+    """Of (row, doc_id, text): a row for each document (its id in a), star pairs within a batch, and packed (key, least id) by bin."""
+    for whole in batches:
+        for at in range(0, len(whole), 1 << 15):
+            batch = whole.slice(at, 1 << 15)
+            sizes, ids, keys = [], [], []
+            for text in batch["text"]:
+                h = shingle_set(text.as_py() or "", k)
+                sizes.append(len(h))
+                ids.append(set_id(h) if len(h) else None)
+                keys.append(parts_of(h, num, den))
+            yield _rows(_PACKED, len(batch), bin=np.arange(len(batch)) % bins, row=batch["row"], doc_id=batch["doc_id"], n=sizes, a=ids)
+            key = np.concatenate(keys)
+            if not len(key):
+                continue
+            sid = np.array([i or 0 for i in ids])
+            doc = np.repeat(np.arange(len(batch)), list(map(len, keys)))
+            order = np.lexsort((sid[doc], key))
+            key, doc = key[order], doc[order]
+            head = np.r_[True, key[1:] != key[:-1]]
+            least = sid[doc[head]][np.cumsum(head) - 1]
+            inner = least != sid[doc]
+            pairs = np.unique(np.stack([least[inner], sid[doc[inner]]], 1), axis=0)
+            if len(pairs):
+                yield _rows(_PACKED, len(pairs), bin=np.arange(len(pairs)) % bins, n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
+            key, doc = key[head], doc[head]
+            to = (key % np.uint64(bins)).astype(np.int32)
+            order = np.argsort(to, kind="stable")
+            own, starts = np.unique(to[order], return_index=True)
+            parts = np.split(order, starts[1:])
+            yield _rows(_PACKED, len(own), bin=own, payload=[_pack(key[p], doc[p], sid) for p in parts])
+
+
+_MET = pa.schema(list(_PACKED)[2:])
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents and pairs as they are; of the packed keys, pairs of each key's least id with its others."""
+    bins: dict[int, list] = {}
     for batch in batches:
-        keys = batch["keys"].flatten().to_numpy(zero_copy_only=False)
-        sid = np.repeat(batch["sid"].to_numpy(), np.diff(batch["keys"].offsets.to_numpy()))
-        order = np.lexsort((sid, keys))
-        keys, sid = keys[order], sid[order]
-        if not len(keys):
-            continue
-        head = np.r_[True, keys[1:] != keys[:-1]]
-        least = sid[np.flatnonzero(head)][np.cumsum(head) - 1]
+        plain = batch["payload"].is_null()
+        rest = batch.filter(plain)
+        if len(rest):
+            yield pa.RecordBatch.from_arrays([rest[f.name] for f in _MET], schema=_MET)
+        for b, data in zip(batch["bin"].to_pylist(), batch["payload"], strict=True):
+            if data.is_valid:
+                bins.setdefault(b, []).append(data.as_py())
+    for b in list(bins):
+        key, sid = (np.concatenate(x) for x in zip(*map(_unpack, bins.pop(b)), strict=True))
+        order = np.lexsort((sid, key))
+        key, sid = key[order], sid[order]
+        head = np.r_[True, key[1:] != key[:-1]]
+        least = sid[head][np.cumsum(head) - 1]
         inner = least != sid
         pairs = np.unique(np.stack([least[inner], sid[inner]], 1), axis=0)
-        none = [None]
-        yield pa.RecordBatch.from_arrays([pa.array(none * len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"])
-        yield pa.RecordBatch.from_arrays([pa.array(keys[head]), pa.array(least[head]), pa.array(none * int(head.sum()), pa.int64())], ["key", "a", "b"])
+        if len(pairs):
+            yield _rows(_MET, len(pairs), n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
 
 
-def _sorted_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
-    """Whole runs of equal keys (the first column) of sorted batches."""
-    held: list[np.ndarray] | None = None
-    for batch in batches:
-        now = [batch[x].to_numpy(zero_copy_only=False) for x in names]
-        if not len(now[0]):
-            continue
-        held = now if held is None else [np.concatenate([a, b]) for a, b in zip(held, now, strict=True)]
-        cut = int(np.searchsorted(held[0], held[0][-1]))
-        if cut:
-            yield [a[:cut] for a in held]
-            held = [a[cut:] for a in held]
-    if held is not None and len(held[0]):
-        yield held
-
-
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (key, comp, sid) sorted by key: pairs of a key's nodes that lie in different components."""
-    for key, comp, sid in _sorted_runs(batches, ["key", "comp", "sid"]):
-        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            for i in range(lo + 1, hi):
-                other = sid[lo:i][comp[lo:i] != comp[i]]
-                if len(other):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, sid[i])), pa.array(np.maximum(other, sid[i]))], ["a", "b"])
+def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Of (block, probe, sid, text) sorted, a block's own nodes before its probes: links (a, b)."""
+    block, own, sets, tree = None, [], [], None
 
+    def inner():
+        joined = list(range(len(own)))
 
-def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Of (a, salt, b, text) sorted, the probe's own row (b null) first: links (a, b)."""
-    probe_id, probe, partners, sets = None, None, [], []
+        def root(i):
+            while joined[i] != i:
+                joined[i] = i = joined[joined[i]]
+            return i
+
+        out = []
+        for i, h in enumerate(sets):
+            for j in tree.links(h, num, den).tolist():
+                a, b = root(i), root(j)
+                if a != b:
+                    joined[a] = b
+                    out.append((own[i], own[j]))
+        return out
 
-    def flush():
-        hits = tree_links(probe, sets, num, den) if sets else []
-        out = [partners[i] for i in hits]
-        partners.clear()
-        sets.clear()
-        return pa.RecordBatch.from_arrays([pa.array([probe_id] * len(out), pa.int64()), pa.array(out, pa.int64())], ["a", "b"])
+    def batch_of(links):
+        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
 
     for batch in batches:
-        for a, b, text in zip(*(batch[x] for x in ("a", "b", "text")), strict=True):
-            a, b = a.as_py(), b.as_py()
-            if b is None:
-                if partners:
-                    yield flush()
-                probe_id, probe = a, shingle_set(text.as_py() or "", k)
+        out = []
+        for b, probe, sid, text in zip(batch["block"].to_pylist(), batch["probe"].to_pylist(), batch["sid"].to_pylist(), batch["text"], strict=True):
+            if b != block:
+                if block is not None and tree is None:
+                    tree = PrefixTree(sets)
+                    out += inner()
+                block, own, sets, tree = b, [], [], None
+            h = shingle_set(text.as_py() or "", k)
+            if not probe:
+                own.append(sid)
+                sets.append(h)
                 continue
-            partners.append(b)
-            sets.append(shingle_set(text.as_py() or "", k))
-            if len(sets) >= PARTNERS:
-                yield flush()
-    if partners:
-        yield flush()
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of nodes that link, by tree searches with a as the probe."""
-    held = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PARTNERS)).alias("salts"))
-    members = pairs.join(held, "a").select("a", F.expr("pmod(b, salts)").alias("salt"), "b")
-    members = members.join(texts.select(F.col("sid").alias("b"), "text"), "b").select("a", "salt", "b", "text")
-    probes = held.join(texts.select(F.col("sid").alias("a"), "text"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
-    dealt = probes.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return dealt.mapInArrow(partial(_search, k=k, num=num, den=den), "a long, b long")
+            if tree is None:
+                tree = PrefixTree(sets)
+                out += inner()
+            out += [(sid, own[j]) for j in tree.links(h, num, den).tolist()]
+        yield batch_of(out)
+    if block is not None and tree is None:
+        tree = PrefixTree(sets)
+        yield batch_of(inner())
+
+
+def _dealt(nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """(block, probe, sid) from (sid, cluster, n): each node in its own block and as a probe of the others it may link with."""
+    bounds = F.array(*(F.lit(int(x)) for x in _BOUNDS))
+    of_size = lambda n: F.size(F.filter(bounds, lambda x: x <= n))
+    nodes = nodes.withColumn("c", of_size(F.col("n"))).withColumn("top", of_size(F.floor(F.col("n") * den / num)))
+    held = nodes.groupBy("cluster", "c").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    following = held.select("cluster", (F.col("c") - 1).alias("c"), F.col("blocks").alias("after"))
+    counts = held.join(following, ["cluster", "c"], "left")
+    nodes = nodes.join(counts, ["cluster", "c"]).withColumn("i", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    key = lambda c, i: F.xxhash64("cluster", c, i)
+    own = F.array(F.struct(key(F.col("c"), F.col("i")).alias("block"), F.lit(False).alias("probe")))
+    row = lambda c: (lambda i: F.struct(key(c, i.cast("int")).alias("block"), F.lit(True).alias("probe")))
+    none = F.array().cast("array<struct<block:bigint,probe:boolean>>")
+    later = F.when(F.col("i") + 1 < F.col("blocks"), F.transform(F.sequence(F.col("i") + 1, F.col("blocks") - 1), row(F.col("c")))).otherwise(none)
+    above = F.when(F.col("after").isNotNull() & (F.col("top") > F.col("c")), F.transform(F.sequence(F.lit(0), F.col("after") - 1), row(F.col("c") + 1))).otherwise(none)
+    return nodes.select("sid", F.explode(F.concat(own, later, above)).alias("to")).select("to.block", "to.probe", "sid")
 
 
 def ngram_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -229,31 +310,22 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     source = source.withColumn("row", F.xxhash64("doc_id", "text"))
-    signed = materialize(_signatures(source, k, num, den), "signatures")
+    bins = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = source.mapInArrow(partial(_stars, k=k, num=num, den=den, bins=bins), _PACKED_DDL).repartition("bin").mapInArrow(_meet, _MET_DDL)
+    met = materialize(met, "stars")
+    signed = met.where("n >= 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("a").alias("sid"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
-    nodes = materialize(signed.where("sid is not null").groupBy("sid").agg(first.alias("first"), F.min(F.struct("row", "keys")).alias("one")).select("sid", "first", "one.row", "one.keys"), "nodes")
-
-    keyed = nodes.select("sid", "keys").where("size(keys) > 0")
-    stars = materialize(keyed.mapInArrow(_batch_stars, "key long, a long, b long"), "stars")
-    heads = stars.where("key is not null").select("key", "a")
-    least = heads.groupBy("key").agg(F.min("a").alias("m"), F.max("a").alias("x")).where("m <> x").select("key", "m")
-    across = heads.join(least, "key").where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-    star_pairs = materialize(stars.where("key is null").select("a", "b").unionByName(across).distinct(), "pairs")
-
-    near = star_pairs.select(F.col("a").alias("sid")).unionByName(star_pairs.select(F.col("b").alias("sid"))).distinct()
-    wanted = near.join(nodes.select("sid", "row"), "sid").select("sid", "row")
-    texts = materialize(wanted.join(source.select("row", "text"), "row").select("sid", "text").dropDuplicates(["sid"]), "texts")
-    found = materialize(_verify(star_pairs, texts, k, num, den), "links")
-
-    labels = connected(found)
-    open_rows = near.join(labels.select(F.col("node").alias("sid"), "comp"), "sid", "left").select("sid", F.coalesce("comp", "sid").alias("comp"))
-    open_rows = materialize(open_rows.join(keyed, "sid").select(F.explode("keys").alias("key"), "comp", "sid"), "open")
-    mixed = open_rows.groupBy("key").agg(F.min("comp").alias("m"), F.max("comp").alias("x")).where("m <> x").select("key")
-    left = open_rows.join(mixed, "key").repartition("key").sortWithinPartitions("key", "sid")
-    rest = left.mapInArrow(_cross_pairs, "a long, b long").distinct().join(star_pairs, ["a", "b"], "left_anti")
-    more = materialize(_verify(materialize(rest, "pairs"), texts, k, num, den), "links")
-
-    labels = connected(found.unionByName(more))
+    nodes = signed.where("sid is not null").groupBy("sid").agg(first.alias("first"), F.min("row").alias("row"), F.min("n_shingles").alias("n"))
+    star_pairs = materialize(met.where("n = -1").select("a", "b").distinct(), "pairs")
+
+    clusters = connected(star_pairs).select(F.col("node").alias("sid"), F.col("comp").alias("cluster"))
+    near = materialize(clusters.join(nodes.select("sid", "row", "n"), "sid"), "near")
+    texts = near.select("sid", "row").hint("merge").join(source.select("row", "text"), "row").select("sid", "text").dropDuplicates(["sid"])
+    dealt = _dealt(near.select("sid", "cluster", "n"), num, den).join(texts, "sid")
+    dealt = dealt.select("block", "probe", "sid", "text").repartition("block").sortWithinPartitions("block", "probe")
+    links = materialize(dealt.mapInArrow(partial(_search, k=k, num=num, den=den), "a long, b long"), "links")
+
+    labels = connected(links)
     classes = nodes.select("sid", "first").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "first", F.coalesce("comp", "sid").alias("comp"))
     heads = classes.groupBy("comp").agg(F.min("first").alias("head"))
     classes = materialize(classes.join(heads, "comp").select("sid", "head"), "classes")

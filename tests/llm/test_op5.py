@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from pubmill.llm.op5_prefix_tree_join import ngram_components, tree_links
+from pubmill.llm.op5_prefix_tree_join import PrefixTree, ngram_components
 
 
 def words(text):
@@ -56,8 +56,9 @@ def made(seed, n):
     return rows
 
 
-@pytest.mark.parametrize(("k", "num"), [(4, 85), (5, 80)])
-def test_components_equal_brute_force(spark, k, num):
+@pytest.mark.parametrize(("k", "num", "block"), [(4, 85, 1024), (5, 80, 4)])
+def test_components_equal_brute_force(spark, monkeypatch, k, num, block):
+    monkeypatch.setattr("pubmill.llm.op5_prefix_tree_join.BLOCK", block)
     rows = made(k, 260) + [(None, "a lone null id text of some words here"), (7000, None), (7001, ""), (7002, " \t\n"), (7003, "ONE"), (7004, "one"), (7005, "École é"), (7005, "École é"), (7006, "école é")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     docs = docs.selectExpr("doc_id", "text", "1 as n_shingles", "2 as row", "3 as a", "4 as comp")
@@ -78,4 +79,4 @@ def test_tree_equals_plain_comparison():
     sets = [np.unique(np.where(rng.random(80) < rng.choice([0.02, 0.1, 0.3]), rng.integers(0, 2000, 80).astype(np.uint64), base)) for _ in range(300)] + [np.unique(base), np.unique(base[:70])]
     probe = np.unique(base)
     want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(s, probe)) >= 85 * len(np.union1d(s, probe))]
-    assert sorted(tree_links(probe, sets, 85, 100)) == want and len(want) > 3
+    assert PrefixTree(sets).links(probe, 85, 100).tolist() == want and len(want) > 3

@@ -110,7 +110,8 @@ def _block(rows: pd.DataFrame, queries: pd.DataFrame, model, k: int, radius: flo
                     r += max(1, bits // 16)
                     found = index.within(codes[j], r)
             found = found[ids[found] != q]
-            score = x[found] @ v / (norms[found] * np.linalg.norm(v))
+            # summed row by row, so equal vectors have equal scores in every block
+            score = (x[found] * v).sum(axis=1) / (norms[found] * np.linalg.norm(v))
             best = np.lexsort((ids[found], -score))[:k]
             out["query_id"] += [q] * len(best)
             out["vec_id"] += ids[found][best].tolist()

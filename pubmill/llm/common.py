@@ -15,6 +15,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows whose results a Python worker holds at a time.
+ROWS = 1000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share; a local one only where none is set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,14 +45,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` where fn maps one record batch to column lists (or None)."""
+    """``mapInArrow`` where fn maps at most ``ROWS`` rows of a record batch to column lists."""
     struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None:
+        for whole in batches:
+            for at in range(0, len(whole), ROWS):
+                out = fn(whole.slice(at, ROWS))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, target, strict=True)], schema=target)
 
     return df.mapInArrow(run, struct)

@@ -10,8 +10,8 @@ A document is the set of its distinct k-word shingles, held in one global order
    follows from their sizes. Sets are cut into P > D parts by shingle hash, so
    some part is the same in both: nodes that share no part are never compared.
    A part key carries its size class, and a set goes to the class of every
-   possible larger partner. Parts empty in both sets prove nothing; where a set
-   has as many empty parts as P - D, they count as keys too.
+   possible larger partner. Parts empty in both sets prove nothing; a set that
+   has as many empty parts as P - D is cut in another way as well.
 3. Candidate clusters: a key links its nodes to the least of them, first within a
    batch, then over the batches, so a hot key costs a row per batch. Nodes that
    these links connect form a cluster; nodes of different clusters never link.
@@ -19,12 +19,15 @@ A document is the set of its distinct k-word shingles, held in one global order
    ``BLOCK`` nodes. A node probes its own block, the later blocks of its class, and
    those of the next class if a partner can be that large; no pair is written out.
 5. Prefix tree: a block's ordered sets are stored in a trie, whose edges hold up
-   to ``EDGE`` shingles. A probe goes down all its branches level by level: overlap
-   with a shared prefix is counted once, and a subtree goes as soon as the overlap
-   so far and the remaining lengths cannot reach the threshold.
+   to ``EDGE`` shingles. A probe goes down the branches of the sets it shares a part
+   with, level by level: overlap with a shared prefix is counted once, and a subtree
+   goes as soon as the overlap so far and the remaining lengths cannot reach the
+   threshold. Sets already known to be connected are not compared again.
 
 Only texts of nodes that share a part travel, and each link is verified on whole
-sets. A cluster of m nodes of one size costs m / (2 * BLOCK) probes a node. Cases: null and empty texts have no shingles and stay alone; repeated rows
+sets. A cluster of m nodes of one size costs m / (2 * BLOCK) probes a node.
+
+Cases: null and empty texts have no shingles and stay alone; repeated rows
 fall together; a component's id is its least non-null doc_id (null if there is
 none); an empty table gives no rows; further columns of ``docs`` are not used.
 """
@@ -42,9 +45,10 @@ from pyspark.sql import functions as F
 from .common import arrow_map, materialize, mix, shingle_set
 from .links import connected
 
-#: Nodes of a block, and shingles on an edge of its trie.
-BLOCK, EDGE = 4096, 32
-GROWTH = 1.4
+#: Nodes of a block, shingles on an edge of its trie, and cuts tried for a set with many empty parts.
+BLOCK, EDGE, SEEDS = 4096, 32, 6
+#: From one size class to the next; over den / num, so that no partner is more than one class away.
+GROWTH = 1.3
 
 
 def size_classes(n: int) -> list[int]:
@@ -58,28 +62,40 @@ def size_classes(n: int) -> list[int]:
 _BOUNDS = np.array(size_classes(1 << 40))
 
 
-def parts_of(h: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Part keys of a set; two sets that link share one at least."""
-    n, keys = len(h), []
-    if not n:
-        return np.empty(0, np.uint64)
-    low, high = (int(np.searchsorted(_BOUNDS, x, "right")) for x in (n, n * den // num))
-    salted = mix(h ^ np.uint64(0x2545F4914F6CDD1D))
-    for c in range(low, high + 1):
-        differ = 2 * (int(_BOUNDS[c]) - 1) * (den - num) // (den + num)
-        if not differ:
-            continue  # equal sets only, and those are one node
-        parts = differ + 1 + differ // 8
-        part = (salted % np.uint64(parts)).astype(np.int64)
+def class_keys(h: np.ndarray, c: int, num: int, den: int) -> np.ndarray:
+    """Part keys of a set for partners of size class c; two sets that link share one at least.
+
+    Where a set has so many empty parts that all agreeing ones may be empty in both,
+    it has the keys of another cut as well; after SEEDS cuts its empty parts count.
+    """
+    differ = 2 * (int(_BOUNDS[c]) - 1) * (den - num) // (den + num)
+    if not differ:
+        return np.empty(0, np.uint64)  # equal sets only, and those are one node
+    parts, keys = differ + 1 + differ // 16, []
+    for seed in range(SEEDS):
+        part = (mix(h ^ np.uint64(0x2545F4914F6CDD1D + seed)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         held, starts = np.unique(part[order], return_index=True)
         sums = np.add.reduceat(h[order], starts)
-        empty = parts - len(held)
-        if empty >= parts - differ:
+        few = parts - len(held) < parts - differ
+        if not few and seed == SEEDS - 1:
+            sums = np.concatenate([sums, np.zeros(parts - len(held), np.uint64)])
             held = np.concatenate([held, np.setdiff1d(np.arange(parts), held)])
-            sums = np.concatenate([sums, np.zeros(empty, np.uint64)])
-        keys.append(mix(mix(sums) + held.astype(np.uint64) * np.uint64(2654435761) + np.uint64(c << 40)))
-    return np.concatenate(keys) if keys else np.empty(0, np.uint64)
+        keys.append(mix(mix(sums) + held.astype(np.uint64) * np.uint64(2654435761) + np.uint64((c << 40) + (seed << 36))))
+        if few:
+            break
+    return np.concatenate(keys)
+
+
+def size_class(n: int) -> int:
+    return int(np.searchsorted(_BOUNDS, n, "right"))
+
+
+def parts_of(h: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Part keys of a set, for every class that a partner of its size or more can be of."""
+    if not len(h):
+        return np.empty(0, np.uint64)
+    return np.concatenate([class_keys(h, c, num, den) for c in range(size_class(len(h)), size_class(len(h) * den // num) + 1)])
 
 
 def set_id(h: np.ndarray) -> int:
@@ -87,19 +103,22 @@ def set_id(h: np.ndarray) -> int:
 
 
 class PrefixTree:
-    """A trie of ordered sets, its edges cut to EDGE shingles, kept level by level as arrays."""
+    """A trie of ordered sets, its edges cut to EDGE shingles, kept level by level as arrays.
+
+    Sets are ranked in the trie's order, so that a node holds a range of ranks.
+    """
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sizes = np.array(list(map(len, sets)))
         order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
-        edges, spans, self.levels, ends = [], [0], [], [[] for _ in sets]
-        open_nodes = [(0, len(sets), 0, -1)] if sets else []  # rows, depth, parent
-        total = 0
+        self.order = np.array(order, np.int64)
+        self.rank = np.argsort(self.order)
+        self.sizes = np.array([len(sets[k]) for k in order], np.int64)
+        edges, self.levels, total = [], [], 0
+        open_nodes = [(0, len(sets), 0)] if sets else []  # ranks, depth
         while open_nodes:
-            level, following = {"parent": [], "depth": [], "least": [], "most": [], "id": []}, []
-            for lo, hi, depth, parent in open_nodes:
-                while lo < hi and len(sets[order[lo]]) == depth:
-                    ends[order[lo]] = parent
+            level, following = [], []
+            for lo, hi, depth in open_nodes:
+                while lo < hi and self.sizes[lo] == depth:
                     lo += 1
                 heads = [sets[order[k]][depth] for k in range(lo, hi)]
                 cuts = [lo, *(lo + k for k in range(1, hi - lo) if heads[k] != heads[k - 1]), hi] if hi > lo else []
@@ -108,47 +127,92 @@ class PrefixTree:
                     span = min(len(first), len(last), depth + EDGE)
                     same = first[depth:span] == last[depth:span]
                     end = span if same.all() else depth + int(np.argmin(same))
-                    sizes = self.sizes[order[a:b]]
-                    node = len(spans) - 1
                     edges.append(first[depth:end])
+                    level.append((a, total, end - depth, end))
                     total += end - depth
-                    spans.append(total)
-                    for name, value in zip(level, (parent, end, sizes.min(), sizes.max(), node), strict=True):
-                        level[name].append(value)
-                    following.append((a, b, end, node))
-            if level["id"]:
-                self.levels.append({k: np.array(v) for k, v in level.items()})
+                    following.append((a, b, end))
+            if level:
+                self.levels.append(np.array(level, np.int64).T)
             open_nodes = following
         self.tokens = np.concatenate(edges) if edges else np.empty(0, np.uint64)
-        self.spans = np.array(spans)
-        self.ends = np.array(ends, np.int64)
 
-    def links(self, probe: np.ndarray, num: int, den: int) -> np.ndarray:
-        """Places of the sets that link with the probe."""
+    def links(self, probe: np.ndarray, num: int, den: int, among: np.ndarray | None = None) -> np.ndarray:
+        """Places of the sets, or of those among the given places, that link with the probe."""
         n = len(probe)
-        shared = np.zeros(len(self.spans), np.int64)
-        alive = np.zeros(len(self.spans), bool)
-        alive[-1] = True  # the root, at place -1
-        for level in self.levels:
-            keep = alive[level["parent"]] & (num * level["least"] <= den * n) & (num * n <= den * level["most"])
-            ids = level["id"][keep]
-            if not len(ids):
+        ranks = np.arange(len(self.sizes)) if among is None else np.sort(self.rank[among])
+        ranks = ranks[(self.sizes[ranks] > 0) & (num * self.sizes[ranks] <= den * n) & (num * n <= den * self.sizes[ranks])]
+        shared, found = np.zeros(len(ranks), np.int64), [ranks[:0]]
+        for first, start, length, depth in self.levels:
+            if not len(ranks):
                 break
-            starts, lengths = self.spans[ids], self.spans[ids + 1] - self.spans[ids]
-            first = np.cumsum(lengths) - lengths
-            token = self.tokens[np.repeat(starts - first, lengths) + np.arange(lengths.sum())]
+            node, head, place = np.unique(np.searchsorted(first, ranks, "right") - 1, return_index=True, return_inverse=True)
+            starts, lengths = start[node], length[node]
+            offset = np.cumsum(lengths) - lengths
+            token = self.tokens[np.repeat(starts - offset, lengths) + np.arange(lengths.sum())]
             at = np.searchsorted(probe, token)
             hit = probe[np.minimum(at, n - 1)] == token
-            overlap = shared[level["parent"][keep]] + np.add.reduceat(hit, first, dtype=np.int64)
-            left = n - at[first + lengths - 1] - hit[first + lengths - 1]
-            least, most, depth = level["least"][keep], level["most"][keep], level["depth"][keep]
-            reach = overlap + np.minimum(left, most - depth)
-            size = np.maximum(least, reach)  # the smallest set below that could overlap so much
-            shared[ids] = overlap
-            alive[ids] = den * reach >= num * (n + size - reach)
-        found = alive[self.ends] & (self.ends >= 0)
-        overlap = shared[self.ends]
-        return np.flatnonzero(found & (den * overlap >= num * (n + self.sizes - overlap)))
+            overlap = shared[head] + np.add.reduceat(hit, offset, dtype=np.int64)
+            left = n - at[offset + lengths - 1] - hit[offset + lengths - 1]
+            # a subtree goes when none of its sets can overlap enough with what is left of both
+            sizes, below = self.sizes[ranks], self.sizes[ranks] - depth[node][place]
+            shared = overlap[place]
+            reach = shared + np.minimum(left[place], below)
+            alive = den * reach >= num * (n + sizes - reach)
+            found.append(ranks[alive & (below == 0)])
+            ranks, shared = ranks[alive & (below > 0)], shared[alive & (below > 0)]
+        return np.sort(self.order[np.concatenate(found)])
+
+
+class Block:
+    """The sets of one block and size class: their trie, their part keys, and which of them are known to be connected."""
+
+    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+        self.sets, self.num, self.den = sets, num, den
+        self.tree, self.label = PrefixTree(sets), np.arange(len(sets))
+        self.size_class = size_class(len(sets[0])) if sets else 1
+        keys = [self._keys(h) for h in sets]
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), list(map(len, keys)))
+        key = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+        order = np.argsort(key)
+        self.key, self.owner = key[order], owner[order]
+
+    def _keys(self, h: np.ndarray) -> np.ndarray:
+        return class_keys(h, self.size_class, self.num, self.den)
+
+    def _partners(self, h: np.ndarray) -> np.ndarray:
+        """Places of the sets that share a part with h; of all sets, where a search by parts would take longer."""
+        keys = self._keys(h)
+        low = np.searchsorted(self.key, keys)
+        counts = np.searchsorted(self.key, keys, "right") - low
+        if counts.sum() > 4 * len(self.sets):
+            return np.arange(len(self.sets))
+        return np.unique(self.owner[np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())])
+
+    def inner(self) -> list[tuple[int, int]]:
+        """Links that connect all of the block's sets that its links connect."""
+        out = []
+        for i, h in enumerate(self.sets):
+            among = self._partners(h)
+            among = among[(among > i) & (self.label[among] != self.label[i])]
+            for j in self.tree.links(h, self.num, self.den, among).tolist() if len(among) else ():
+                if self.label[i] != self.label[j]:
+                    self.label[self.label == self.label[j]] = self.label[i]
+                    out.append((i, j))
+        return out
+
+    def outer(self, h: np.ndarray) -> list[int]:
+        """A set that links with the probe h, of each group of connected sets that has one."""
+        out, among, some = [], self._partners(h), 1
+        while len(among):
+            among = among[np.argsort(self.label[among], kind="stable")]
+            _, start, size = np.unique(self.label[among], return_index=True, return_counts=True)
+            early = np.arange(len(among)) - np.repeat(start, size) < some
+            hits = self.tree.links(h, self.num, self.den, among[early])
+            labels, at = np.unique(self.label[hits], return_index=True)
+            out += hits[at].tolist()
+            among = among[~early & ~np.isin(self.label[among], labels)]
+            some *= 8
+        return out
 
 
 _PACKED = pa.schema([("bin", pa.int32()), ("payload", pa.binary()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
@@ -238,25 +302,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Of (block, probe, sid, text) sorted, a block's own nodes before its probes: links (a, b)."""
-    block, own, sets, tree = None, [], [], None
-
-    def inner():
-        joined = list(range(len(own)))
-
-        def root(i):
-            while joined[i] != i:
-                joined[i] = i = joined[joined[i]]
-            return i
+    """Of (block, probe, sid, text) sorted, a block's own nodes before its probes: links (a, b) that connect what all links connect."""
+    name, own, sets, block = None, [], [], None
 
-        out = []
-        for i, h in enumerate(sets):
-            for j in tree.links(h, num, den).tolist():
-                a, b = root(i), root(j)
-                if a != b:
-                    joined[a] = b
-                    out.append((own[i], own[j]))
-        return out
+    def built() -> tuple[Block, list]:
+        made = Block(sets, num, den)
+        return made, [(own[i], own[j]) for i, j in made.inner()]
 
     def batch_of(links):
         return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], ["a", "b"])
@@ -264,24 +315,22 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> It
     for batch in batches:
         out = []
         for b, probe, sid, text in zip(batch["block"].to_pylist(), batch["probe"].to_pylist(), batch["sid"].to_pylist(), batch["text"], strict=True):
-            if b != block:
-                if block is not None and tree is None:
-                    tree = PrefixTree(sets)
-                    out += inner()
-                block, own, sets, tree = b, [], [], None
+            if b != name:
+                if block is None:
+                    out += built()[1]
+                name, own, sets, block = b, [], [], None
             h = shingle_set(text.as_py() or "", k)
             if not probe:
                 own.append(sid)
                 sets.append(h)
                 continue
-            if tree is None:
-                tree = PrefixTree(sets)
-                out += inner()
-            out += [(sid, own[j]) for j in tree.links(h, num, den).tolist()]
+            if block is None:
+                block, found = built()
+                out += found
+            out += [(sid, own[j]) for j in block.outer(h)]
         yield batch_of(out)
-    if block is not None and tree is None:
-        tree = PrefixTree(sets)
-        yield batch_of(inner())
+    if block is None:
+        yield batch_of(built()[1])
 
 
 def _dealt(nodes: DataFrame, num: int, den: int) -> DataFrame:

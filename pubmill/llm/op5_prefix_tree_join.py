@@ -16,7 +16,7 @@ A document is the set of its distinct k-word shingles, held in one global order
    batch, then over the batches, so a hot key costs a row per batch. Nodes that
    these links connect form a cluster; nodes of different clusters never link.
 4. A cluster's nodes are dealt by size class and id hash into blocks of about
-   ``BLOCK`` nodes. A node probes its own block, the later blocks of its class, and
+   ``BLOCK`` nodes, or ``SHINGLES`` shingles if that is less. A node probes its own block, the later blocks of its class, and
    those of the next class if a partner can be that large; no pair is written out.
 5. Prefix tree: a block's ordered sets are stored in a trie, whose edges hold up
    to ``EDGE`` shingles. A probe goes down the branches of the sets it shares a part
@@ -47,6 +47,8 @@ from .links import connected
 
 #: Nodes of a block, shingles on an edge of its trie, and cuts tried for a set with many empty parts.
 BLOCK, EDGE, SEEDS = 4096, 32, 6
+#: Shingles of a block, and part keys that a task sorts at a time: what its memory follows.
+SHINGLES, KEYS = 1 << 22, 1 << 20
 #: From one size class to the next; over den / num, so that no partner is more than one class away.
 GROWTH = 1.3
 
@@ -234,45 +236,62 @@ def _pack(key: np.ndarray, at: np.ndarray, sid: np.ndarray) -> bytes:
     return np.array([len(key), len(own)], "<u4").tobytes() + high.tobytes() + place.astype("<u2").tobytes() + sid[own].astype("<i8").tobytes()
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _unpack(data: bytes, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys whose upper byte is from low to below high, and their ids."""
     n, m = np.frombuffer(data, "<u4", 2)
-    key = np.zeros((n, 8), np.uint8)
-    key[:, 2:] = np.frombuffer(data, np.uint8, 6 * n, 8).reshape(n, 6)
-    place = np.frombuffer(data, "<u2", n, 8 + 6 * n)
+    packed = np.frombuffer(data, np.uint8, 6 * n, 8).reshape(n, 6)
+    a, b = np.searchsorted(packed[:, 5], [low, high])
+    key = np.zeros((b - a, 8), np.uint8)
+    key[:, 2:] = packed[a:b]
+    place = np.frombuffer(data, "<u2", n, 8 + 6 * n)[a:b]
     return key.view("<u8").ravel(), np.frombuffer(data, "<i8", m, 8 + 8 * n)[place]
 
 
+def _starred(keys: list[np.ndarray], ids: list[int], bins: int) -> Iterator[pa.RecordBatch]:
+    """Star pairs among the given sets, and packed (key, least id) by bin."""
+    key = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+    if not len(key):
+        return
+    sid = np.array(ids)
+    doc = np.repeat(np.arange(len(ids), dtype=np.int32), list(map(len, keys)))
+    order = np.lexsort((sid[doc], key))
+    key, doc = key[order], doc[order]
+    head = np.r_[True, key[1:] != key[:-1]]
+    least = sid[doc[head]][np.cumsum(head) - 1]
+    inner = least != sid[doc]
+    pairs = np.unique(np.stack([least[inner], sid[doc[inner]]], 1), axis=0)
+    if len(pairs):
+        yield _rows(_PACKED, len(pairs), bin=np.arange(len(pairs)) % bins, n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
+    key, doc = key[head], doc[head]
+    to = (key % np.uint64(bins)).astype(np.int32)
+    order = np.argsort(to, kind="stable")
+    own, starts = np.unique(to[order], return_index=True)
+    yield _rows(_PACKED, len(own), bin=own, payload=[_pack(key[p], doc[p], sid) for p in np.split(order, starts[1:])])
+
+
 def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins: int) -> Iterator[pa.RecordBatch]:
-    """Of (row, doc_id, text): a row for each document (its id in a), star pairs within a batch, and packed (key, least id) by bin."""
-    for whole in batches:
-        for at in range(0, len(whole), 1 << 15):
-            batch = whole.slice(at, 1 << 15)
-            sizes, ids, keys = [], [], []
-            for text in batch["text"]:
-                h = shingle_set(text.as_py() or "", k)
-                sizes.append(len(h))
-                ids.append(set_id(h) if len(h) else None)
-                keys.append(parts_of(h, num, den))
-            yield _rows(_PACKED, len(batch), bin=np.arange(len(batch)) % bins, row=batch["row"], doc_id=batch["doc_id"], n=sizes, a=ids)
-            key = np.concatenate(keys)
-            if not len(key):
+    """Of (row, doc_id, text): a row for each document (its id in a), and what _starred gives for about KEYS keys at a time.
+
+    A set that the task has met before adds no keys.
+    """
+    keys, own, count, met = [], [], 0, set()
+    for batch in batches:
+        sizes, ids = [], []
+        for text in batch["text"]:
+            h = shingle_set(text.as_py() or "", k)
+            sizes.append(len(h))
+            ids.append(set_id(h) if len(h) else None)
+            if not len(h) or ids[-1] in met:
                 continue
-            sid = np.array([i or 0 for i in ids])
-            doc = np.repeat(np.arange(len(batch)), list(map(len, keys)))
-            order = np.lexsort((sid[doc], key))
-            key, doc = key[order], doc[order]
-            head = np.r_[True, key[1:] != key[:-1]]
-            least = sid[doc[head]][np.cumsum(head) - 1]
-            inner = least != sid[doc]
-            pairs = np.unique(np.stack([least[inner], sid[doc[inner]]], 1), axis=0)
-            if len(pairs):
-                yield _rows(_PACKED, len(pairs), bin=np.arange(len(pairs)) % bins, n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
-            key, doc = key[head], doc[head]
-            to = (key % np.uint64(bins)).astype(np.int32)
-            order = np.argsort(to, kind="stable")
-            own, starts = np.unique(to[order], return_index=True)
-            parts = np.split(order, starts[1:])
-            yield _rows(_PACKED, len(own), bin=own, payload=[_pack(key[p], doc[p], sid) for p in parts])
+            met.add(ids[-1])
+            own.append(ids[-1])
+            keys.append(parts_of(h, num, den))
+            count += len(keys[-1])
+            if count >= KEYS or len(own) == 1 << 16:
+                yield from _starred(keys, own, bins)
+                keys, own, count = [], [], 0
+        yield _rows(_PACKED, len(batch), bin=np.arange(len(batch)) % bins, row=batch["row"], doc_id=batch["doc_id"], n=sizes, a=ids)
+    yield from _starred(keys, own, bins)
 
 
 _MET = pa.schema(list(_PACKED)[2:])
@@ -290,15 +309,17 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if data.is_valid:
                 bins.setdefault(b, []).append(data.as_py())
     for b in list(bins):
-        key, sid = (np.concatenate(x) for x in zip(*map(_unpack, bins.pop(b)), strict=True))
-        order = np.lexsort((sid, key))
-        key, sid = key[order], sid[order]
-        head = np.r_[True, key[1:] != key[:-1]]
-        least = sid[head][np.cumsum(head) - 1]
-        inner = least != sid
-        pairs = np.unique(np.stack([least[inner], sid[inner]], 1), axis=0)
-        if len(pairs):
-            yield _rows(_MET, len(pairs), n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
+        packed = bins.pop(b)
+        for low in range(0, 256, 32):  # an eighth of the bin's keys at a time
+            key, sid = (np.concatenate(x) for x in zip(*(_unpack(data, low, low + 32) for data in packed), strict=True))
+            order = np.lexsort((sid, key))
+            key, sid = key[order], sid[order]
+            head = np.r_[True, key[1:] != key[:-1]][: len(key)]
+            least = sid[head][np.cumsum(head) - 1]
+            inner = least != sid
+            pairs = np.unique(np.stack([least[inner], sid[inner]], 1), axis=0)
+            if len(pairs):
+                yield _rows(_MET, len(pairs), n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -338,7 +359,7 @@ def _dealt(nodes: DataFrame, num: int, den: int) -> DataFrame:
     bounds = F.array(*(F.lit(int(x)) for x in _BOUNDS))
     of_size = lambda n: F.size(F.filter(bounds, lambda x: x <= n))
     nodes = nodes.withColumn("c", of_size(F.col("n"))).withColumn("top", of_size(F.floor(F.col("n") * den / num)))
-    held = nodes.groupBy("cluster", "c").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    held = nodes.groupBy("cluster", "c").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(SHINGLES))).cast("int").alias("blocks"))
     following = held.select("cluster", (F.col("c") - 1).alias("c"), F.col("blocks").alias("after"))
     counts = held.join(following, ["cluster", "c"], "left")
     nodes = nodes.join(counts, ["cluster", "c"]).withColumn("i", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))

@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
+from pubmill.operators import highlights as H
 from pubmill.operators import matching as M
 from pubmill.operators import monitoring as O
 from pubmill.sources.archive import strip_html
@@ -352,3 +353,25 @@ def q_start_range_join(spark, d):
     o, line = table(spark, d, "orders"), table(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
     j = o.join(line, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("l_shipdate") >= F.col("o_orderdate")) & (F.col("l_shipdate") <= F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")))
     return j.groupBy("o_custkey", F.date_format("l_shipdate", "yyyy-MM").alias("l_shipmonth")).agg(n().alias("lines"))
+
+
+_STRONG = ("licensed under", "public license", "mit license", "version 3")
+_ESCAPED = "replace(replace(replace(replace(replace(coalesce(text,''),'&','&amp;'),'<','&lt;'),'>','&gt;'),'\"','&quot;'),chr(39),'&#x27;')"
+
+
+def _strong(c: str) -> str:
+    for t in sorted(_STRONG, key=lambda t: (-len(t), t)):
+        c = f"regexp_replace({c},'(?i)({t})','<strong>\\1</strong>','g')"
+    return c
+
+
+@query(f"SELECT doc_id, md5({_strong(_ESCAPED)}) AS html_md5 FROM documents")
+def q_highlight_terms(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.md5(H.emphasise(F.col("text"), list(_STRONG)).cast("binary")).alias("html_md5"))
+
+
+@query("SELECT doc_id, (length(f)-length(replace(f,'version',''))) // 7 AS n_spans, instr(f,'version')-1 AS first_start FROM (SELECT doc_id, lower(text) AS f FROM documents) WHERE contains(f,'version')")
+def q_highlight_spans(spark, d):
+    s = table(spark, d, "documents").select("doc_id", H.without_overlaps(H.all_occurrences(F.col("text"), ["version", "vers"])).alias("s"))
+    s = s.select("doc_id", F.filter("s", lambda x: x["term"] == "version").alias("s")).where(F.size("s") > 0)
+    return s.select("doc_id", F.size("s").cast("bigint").alias("n_spans"), F.col("s")[0]["start"].cast("bigint").alias("first_start"))

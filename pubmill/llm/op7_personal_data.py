@@ -79,7 +79,7 @@ def _addresses(text: str) -> Iterator[tuple[int, int]]:
         for i in range(0, len(parts) - 3, 4):
             own = parts[i : i + 4]
             end = at + sum(map(len, own)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in own):
+            if all(len(v := p.lstrip("0")) <= 3 and int(v or 0) <= 255 for p in own):
                 yield at, end
             at = end + 1
 
@@ -118,7 +118,7 @@ def find(text: str) -> list[tuple[int, str, int, float]]:
     return sorted((s for s in scored if s[1] in BASE or s[3] >= KEEP), key=lambda s: (s[0], _ORDER[s[1]], s[2]))
 
 
-_HAS_DIGIT = re.compile("[0-9]{2}")
+_HAS_DIGIT = re.compile("[0-9]")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -46,6 +46,14 @@ def test_checksums_and_added_kinds():
     assert masked("mail a.b@c.de or 10.0.0.1!") == "mail [EMAIL] or [IP]!"
 
 
+def test_digits_that_stand_apart():
+    for text, kind in [("8.8.8.8", "ip"), (" ".join("4111111111111111"), "card"), ("-".join("4111111111111111"), "card"), ("+1 2 3 4 5 6 7 8 9 0", "phone")]:
+        assert (5, kind, 5 + len(text)) in [s[:3] for s in find(f"ping {text} now")]
+        assert [s[:3] for s in find(f"ping {text} now")] == brute(f"ping {text} now")
+    assert masked("ping 8.8.8.8 now") == "ping [IP] now"
+    assert [s[:3] for s in find("0" * 5000 + ".1.2.3")] == [(0, "ip", 5006)]
+
+
 def test_long_texts_are_linear():
     assert find("a" * 2_000_000 + "@") == [] and find("1" * 500_000 + ".") == []
 

@@ -1,7 +1,10 @@
 """Licence recognition by sentence rules.
 
-Texts are cut into sentences, each normalised (case folded, punctuation and
-white space reduced to single spaces); known licence sentences have identifiers.
+Texts are cut into pieces at end punctuation and line breaks, each normalised
+(case folded, punctuation and white space reduced to single spaces). Known licence
+sentences have identifiers; one is a piece, or several that only single line
+breaks part (wrapped lines), the longest that fits, with or without a list number. A
+blank line or end punctuation ends every sentence; other wrapped lines are one sentence.
 The identifiers of a document, in order of place, are matched against ordered
 rules: a rule is a sequence of identifiers that must follow one another with no
 more than ``GAP`` sentences between neighbours. Rules are tried in their order
@@ -29,29 +32,64 @@ SENTENCES = {
     "released under the mit license": "mit-release",
     "licensed under the mit license": "mit-release",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files": "mit-grant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-notice",
     "the software is provided as is without warranty of any kind express or implied": "as-is",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as-is",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "mit-liability",
     "licensed under the apache license version 2 0": "apache2-notice",
+    "licensed under the apache license version 2 0 the license": "apache2-notice",
     "you may not use this file except in compliance with the license": "apache2-comply",
     "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache2-copy",
+    "you may obtain a copy of the license at": "apache2-copy",
+    "http www apache org licenses license 2 0": "apache2-address",
+    "https www apache org licenses license 2 0": "apache2-address",
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache2-basis",
+    "see the license for the specific language governing permissions and limitations under the license": "apache2-see",
     "this work is licensed under the gnu general public license version 3": "gpl3-work",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "gpl-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2-grant",
+    "this program is distributed in the hope that it will be useful but without any warranty": "gpl-hope",
+    "without even the implied warranty of merchantability or fitness for a particular purpose": "gpl-fitness",
+    "see the gnu general public license for more details": "gpl-details",
     "either version 3 of the license or at your option any later version": "gpl3-later",
     "either version 2 of the license or at your option any later version": "gpl2-later",
     "licensed under cc by nc 4 0": "cc-by-nc-4",
     "licensed under cc by 4 0": "cc-by-4",
     "licensed under cc by sa 4 0": "cc-by-sa-4",
+    "this work is licensed under a creative commons attribution noncommercial 4 0 international license": "cc-by-nc-4",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa-4",
+    "this work is licensed under a creative commons attribution 4 0 international license": "cc-by-4",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products": "bsd-endorse",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-endorse",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd-disclaimer",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services": "bsd-liability",
     "all rights reserved": "reserved",
 }
 # Rules in order of precedence, longer evidence first.
 RULES = (
+    ("MIT", ("mit-grant", "mit-notice", "as-is", "mit-liability")),
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
     ("MIT", ("mit-grant", "mit-notice")),
+    ("Apache-2.0", ("apache2-notice", "apache2-comply", "apache2-copy", "apache2-address", "apache2-basis", "apache2-see")),
     ("Apache-2.0", ("apache2-notice", "apache2-comply", "apache2-copy")),
+    ("GPL-3.0-or-later", ("gpl3-grant", "gpl-hope", "gpl-fitness", "gpl-details")),
+    ("GPL-2.0-or-later", ("gpl2-grant", "gpl-hope", "gpl-fitness", "gpl-details")),
+    ("GPL-3.0-or-later", ("gpl-grant", "gpl3-later", "gpl-hope", "gpl-fitness", "gpl-details")),
+    ("GPL-2.0-or-later", ("gpl-grant", "gpl2-later", "gpl-hope", "gpl-fitness", "gpl-details")),
+    ("GPL-3.0-or-later", ("gpl3-grant",)),
+    ("GPL-2.0-or-later", ("gpl2-grant",)),
     ("GPL-3.0-or-later", ("gpl-grant", "gpl3-later")),
     ("GPL-2.0-or-later", ("gpl-grant", "gpl2-later")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-disclaimer", "bsd-liability")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-disclaimer", "bsd-liability")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-grant",)),
     ("Apache-2.0", ("apache2-notice",)),
@@ -61,26 +99,61 @@ RULES = (
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("CC-BY-4.0", ("cc-by-4",)),
 )
-_ENDS = re.compile(r"[.!?:;]+(?=[\s\"')\]]|$)|\n+")
+_ENDS = re.compile(r"([.!?:;]+(?=[\s\"')\]]|$)|\n+)")
+_NUMBER = re.compile(r"(?:[0-9]{1,2}|[a-z]|i{1,3}) ")
 _OTHER = re.compile(r"[^0-9a-z]+")
 #: Every known sentence holds one of these words; a text without them holds none.
 HINTS = ("licens", "permi", "warranty", "copyright", "rights", "redistribut")
 _HINT = re.compile("|".join(HINTS), re.IGNORECASE)
+#: What each known sentence starts with, word by word: wrapped lines are joined while they stay within these.
+_STARTS = {" ".join(words[:i]) for words in map(str.split, SENTENCES) for i in range(1, len(words) + 1)}
 
 
 def normalise(sentence: str) -> str:
     return _OTHER.sub(" ", sentence.lower()).strip()
 
 
-def sentences(text: str) -> list[str]:
-    return [s for s in map(normalise, _ENDS.split(text)) if s]
+def pieces(text: str) -> list[tuple[str, bool]]:
+    """The stretches between cuts, normalised, and whether only a line break parts each from the one before."""
+    cut, out, wrapped = _ENDS.split(text), [], False
+    for i in range(0, len(cut), 2):
+        piece = normalise(cut[i])
+        if piece:
+            out.append((piece, wrapped))
+        if i + 1 < len(cut):
+            wrapped = bool(piece) and cut[i + 1] == "\n"
+    return out
+
+
+def _known(parts: list[tuple[str, bool]], at: int) -> tuple[str, int] | None:
+    """Identifier and end of the longest known sentence that starts at this piece."""
+    first = parts[at][0]
+    for joined in (first, _NUMBER.sub("", first, count=1) if _NUMBER.match(first) else ""):
+        found, end = None, at + 1
+        while joined in _STARTS:
+            if joined in SENTENCES:
+                found = SENTENCES[joined], end
+            if end == len(parts) or not parts[end][1]:
+                break
+            joined, end = f"{joined} {parts[end][0]}", end + 1
+        if found:
+            return found
+    return None
 
 
 def identifiers(text: str) -> list[tuple[int, str]]:
     """(ordinal, identifier) of the known sentences; ordinals count all sentences."""
     if not _HINT.search(text):
         return []
-    return [(i, SENTENCES[s]) for i, s in enumerate(sentences(text)) if s in SENTENCES]
+    parts, out, ordinal, at, fresh = pieces(text), [], -1, 0, True
+    while at < len(parts):
+        found = _known(parts, at)
+        if found or fresh or not parts[at][1]:
+            ordinal += 1
+        if found:
+            out.append((ordinal, found[0]))
+        at, fresh = found[1] if found else at + 1, bool(found)
+    return out
 
 
 def apply_rules(ids: list[tuple[int, str]]) -> tuple[list[tuple[int, str]], list[str]]:

@@ -2,7 +2,7 @@ import re
 
 import pyarrow.parquet as pq
 
-from pubmill.llm.op6_licence_sentences import HINTS, RULES, SENTENCES, apply_rules, licence_scan, normalise, op6_licence_sentences
+from pubmill.llm.op6_licence_sentences import HINTS, RULES, SENTENCES, apply_rules, identifiers, licence_scan, normalise, op6_licence_sentences
 
 SF = "/root/testdata/sf0.01"
 
@@ -33,3 +33,96 @@ def test_cases(spark):
     got = {(r.doc_id, len(r.licences), (r.licences or [None])[0]) for r in licence_scan(docs).collect()}
     assert got == {(1, 0, None), (2, 0, None), (3, 1, "MIT"), (None, 3000, "CC-BY-NC-4.0")}
     assert licence_scan(docs.limit(0)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE = """   Copyright 2020 A. Person
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+GPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+GPL2 = GPL3.replace("software:", "software;").replace("Foundation, either version 3", "Foundation; either version 2")
+BSD3 = """Copyright (c) 2020, A. Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+BSD2 = BSD3[: BSD3.index("3. Neither")] + BSD3[BSD3.index("THIS SOFTWARE") :]
+
+
+def test_standard_texts_wrapped():
+    texts = {"MIT": MIT, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL3, "GPL-2.0-or-later": GPL2, "BSD-3-Clause": BSD3, "BSD-2-Clause": BSD2}
+    for licence, text in texts.items():
+        for form in (text, text.replace("\n", "\r\n"), "".join(f"# {x}\n" for x in text.splitlines()), f"def f():\n    pass\n\n{text}\nmore text"):
+            found, left = apply_rules(identifiers(form))
+            assert [x for _, x in found] == [licence], (licence, form)
+            assert set(left) <= {"reserved"}
+
+
+def test_a_blank_line_ends_a_sentence():
+    assert identifiers("Released under the\nMIT License") == [(0, "mit-release")]
+    assert identifiers("Released under the\n\nMIT License") == []
+    assert identifiers("a\nb\nAll rights reserved\nc\nd. 1) All rights reserved") == [(1, "reserved"), (3, "reserved")]

@@ -25,6 +25,20 @@ def query(sql: str | None):
     return add
 
 
+def whole(name: str, *swaps: tuple[str, str]):
+    """Registers ``name``_whole: the query without its cut, its SQL that of ``name`` with these parts swapped."""
+
+    def add(fn):
+        sql = ORACLE_SQL[name]
+        for old, new in swaps:
+            assert old in sql
+            sql = sql.replace(old, new)
+        QUERIES[f"{name}_whole"], ORACLE_SQL[f"{name}_whole"] = fn, sql
+        return fn
+
+    return add
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -227,9 +241,17 @@ def q_business_days(spark, d):
 
 @query("WITH u AS (SELECT DISTINCT user_id FROM events WHERE user_id < 50), t AS (SELECT DISTINCT event_type FROM events), g AS (SELECT user_id, event_type FROM u, t), e AS (SELECT user_id, event_type, count(*) AS found FROM events GROUP BY 1,2) SELECT g.user_id, g.event_type, coalesce(found,0)::BIGINT AS found, CASE WHEN found>0 THEN 'DONE' ELSE 'PENDING' END AS status FROM g LEFT JOIN e ON g.user_id=e.user_id AND g.event_type=e.event_type")
 def q_grid_status(spark, d):
-    e = table(spark, d, "events")
+    return _grid_status(table(spark, d, "events"), "user_id < 50")
+
+
+@whole("q_grid_status", (" WHERE user_id < 50", ""))
+def q_grid_status_whole(spark, d):
+    return _grid_status(table(spark, d, "events"), "true")
+
+
+def _grid_status(e, users):
     kinds = e.select("event_type").distinct()
-    grid = e.where("user_id < 50").select("user_id").distinct().join(kinds.agg(F.collect_set("event_type").alias("ks")), how="cross").select("user_id", F.explode("ks").alias("event_type"))
+    grid = e.where(users).select("user_id").distinct().join(kinds.agg(F.collect_set("event_type").alias("ks")), how="cross").select("user_id", F.explode("ks").alias("event_type"))
     found = e.groupBy("user_id", "event_type").agg(n().alias("found"))
     return grid.join(found, ["user_id", "event_type"], "left").select("user_id", "event_type", F.coalesce("found", F.lit(0)).cast("bigint").alias("found"), F.when(F.col("found") > 0, "DONE").otherwise("PENDING").alias("status"))
 
@@ -262,6 +284,12 @@ def q_coverage_gap(spark, d):
     return O.coverage_gaps(O.calendar(e.where("user_id < 40"), "day", "user_id"), e, "user_id", "day")
 
 
+@whole("q_coverage_gap", (" WHERE user_id < 40", ""))
+def q_coverage_gap_whole(spark, d):
+    e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    return O.coverage_gaps(O.calendar(e, "day", "user_id"), e, "user_id", "day")
+
+
 @query("WITH f AS (SELECT substr(sha256(user_id::VARCHAR||'|'||event_type),1,20) AS key, event_id, props FROM events), s AS (SELECT DISTINCT substr(sha256(user_id::VARCHAR||'|error'),1,20) AS key FROM events) SELECT f.key, arg_min(props, event_id) AS payload, count(*) AS seen FROM f LEFT JOIN s ON f.key=s.key WHERE s.key IS NULL GROUP BY f.key")
 def q_outbox(spark, d):
     e = table(spark, d, "events")

@@ -50,8 +50,10 @@ def digits(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9]", "")
 
 
-def first_line(text: Column, most: int = 80) -> Column:
-    return F.substring(F.element_at(F.split(F.coalesce(text, F.lit("")), "\n"), 1), 1, most)
+def first_line(text: Column, most: int | None = 80) -> Column:
+    """The first ``most`` characters of the first line; all of it with None."""
+    line = F.element_at(F.split(F.coalesce(text, F.lit("")), "\n"), 1)
+    return line if most is None else F.substring(line, 1, most)
 
 
 def short_hash(*columns: Column, length: int = 20) -> Column:

@@ -20,9 +20,9 @@ EXCLUDED, RESCUED = ("nicht", "pour", "para"), ("public license", "mit license")
 LEVELS = ("CRITICAL", "STRONG", "MEDIUM", "LOW", "NONE")
 
 
-def publications(docs: DataFrame) -> DataFrame:
-    """Documents as publications: id, title (first line), body and their normalised forms."""
-    title = T.first_line(F.col("text"))
+def publications(docs: DataFrame, most: int | None = 80) -> DataFrame:
+    """Documents as publications: id, title (first ``most`` characters of the first line, all with None), body and their normalised forms."""
+    title = T.first_line(F.col("text"), most)
     return docs.select("doc_id", F.col("lang").alias("section"), F.col("source").alias("organ"), title.alias("title"), "text").withColumn("norm", T.normalise(F.col("text"))).withColumn("norm_title", T.normalise(F.col("title")))
 
 
@@ -85,9 +85,9 @@ def context_level(cats: Column) -> Column:
     )
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, most: int | None = 80) -> DataFrame:
     """Publications with status, level and rank: excluded ones have no level."""
-    pubs = exclusion(publications(docs))
+    pubs = exclusion(publications(docs, most))
     out = flags(pubs, match(pubs, watchlist(docs.sparkSession)))
     open_cats = F.when(F.col("status") != "EXCLUDED", F.col("cats"))
     tree = context_level(open_cats)

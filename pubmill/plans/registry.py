@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -56,6 +58,7 @@ def _norm(c: str) -> str:
 
 
 _LINE = "substr(split_part(coalesce(text, ''), chr(10), 1), 1, 80)"
+_WHOLE_LINE = "split_part(coalesce(text, ''), chr(10), 1)"
 _PUBS = f"p AS (SELECT doc_id, lang AS section, source AS organ, {_LINE} AS title, text, {_norm('text')} AS norm, {_norm(_LINE)} AS norm_title FROM documents)"
 _TERMS = f"w(ord, term, category) AS (VALUES {_in([(i + 1, t, c) for i, (t, c) in enumerate(M.WATCHLIST)])})"
 _MATCH = f"{_PUBS}, {_TERMS}, m AS (SELECT doc_id, ord, term, category FROM p JOIN w ON contains(' ' || norm || ' ', ' ' || term || ' '))"
@@ -67,16 +70,16 @@ y AS (SELECT x.doc_id, section, organ, title, status, coalesce(n_terms, 0)::BIGI
 s AS (SELECT *, CASE WHEN rank=12 THEN 'CRITICAL' WHEN rank>=9 THEN 'STRONG' WHEN rank=6 THEN 'MEDIUM' WHEN rank>=1 THEN 'LOW' ELSE 'NONE' END AS level FROM y)"""
 
 
-def _pubs(spark, d):
-    return M.publications(table(spark, d, "documents"))
+def _pubs(spark, d, most=80):
+    return M.publications(table(spark, d, "documents"), most)
 
 
 def _match(spark, d):
     return M.match(_pubs(spark, d), M.watchlist(spark))
 
 
-def _scored(spark, d):
-    return M.scored(table(spark, d, "documents"))
+def _scored(spark, d, most=80):
+    return M.scored(table(spark, d, "documents"), most)
 
 
 @query(f"WITH {_MATCH} SELECT term, count(*) AS n_docs FROM m GROUP BY term")
@@ -119,19 +122,19 @@ def q_match_proximity(spark, d):
 
 
 @query(f"WITH {_SCORED} SELECT status, count(*) AS n_docs FROM s GROUP BY status")
-def q_exclusion_rescue(spark, d):
-    return M.exclusion(_pubs(spark, d)).groupBy("status").agg(n().alias("n_docs"))
+def q_exclusion_rescue(spark, d, most=80):
+    return M.exclusion(_pubs(spark, d, most)).groupBy("status").agg(n().alias("n_docs"))
 
 
 @query(f"WITH {_SCORED} SELECT doc_id, status, n_terms, level, rank FROM s")
-def q_context_score(spark, d):
-    return _scored(spark, d).select("doc_id", "status", "n_terms", "level", "rank")
+def q_context_score(spark, d, most=80):
+    return _scored(spark, d, most).select("doc_id", "status", "n_terms", "level", "rank")
 
 
 @query(f"WITH {_SCORED} SELECT count(*) AS n_docs, count_if(n_terms>0) AS n_matched, sum(n_terms)::BIGINT AS n_terms, count_if(rank>=9) AS n_relevant, round(count_if(n_terms>0)*100.0::DOUBLE/count(*),2) AS match_rate FROM s")
-def q_audit_summary(spark, d):
+def q_audit_summary(spark, d, most=80):
     rate = F.round(F.count_if(F.col("n_terms") > 0) * F.lit(100.0) / F.count("*"), 2)
-    return _scored(spark, d).agg(n().alias("n_docs"), F.count_if(F.col("n_terms") > 0).alias("n_matched"), F.sum("n_terms").alias("n_terms"), F.count_if(F.col("rank") >= 9).alias("n_relevant"), rate.alias("match_rate"))
+    return _scored(spark, d, most).agg(n().alias("n_docs"), F.count_if(F.col("n_terms") > 0).alias("n_matched"), F.sum("n_terms").alias("n_terms"), F.count_if(F.col("rank") >= 9).alias("n_relevant"), rate.alias("match_rate"))
 
 
 @query(f"WITH {_MATCH}, c AS (SELECT term, count(*) AS n_docs, min(doc_id) AS first_doc FROM m GROUP BY term) SELECT * FROM c ORDER BY n_docs DESC, first_doc, term LIMIT 10")
@@ -140,10 +143,10 @@ def q_top_terms(spark, d):
 
 
 @query(f"WITH {_SCORED} SELECT s.doc_id, CASE WHEN toxic=1 THEN 'SUSPECT' WHEN quality=1 AND rank>=9 THEN 'HIGH' WHEN quality IS NULL THEN 'UNREVIEWED' ELSE 'LOW' END AS confidence FROM s LEFT JOIN labels l ON s.doc_id=l.doc_id WHERE n_terms>0")
-def q_confidence(spark, d):
+def q_confidence(spark, d, most=80):
     labels = table(spark, d, "labels")
     c = F.when(F.col("toxic") == 1, "SUSPECT").when((F.col("quality") == 1) & (F.col("rank") >= 9), "HIGH").when(F.col("quality").isNull(), "UNREVIEWED").otherwise("LOW")
-    return _scored(spark, d).where("n_terms > 0").join(labels, "doc_id", "left").select("doc_id", c.alias("confidence"))
+    return _scored(spark, d, most).where("n_terms > 0").join(labels, "doc_id", "left").select("doc_id", c.alias("confidence"))
 
 
 @query(f"WITH {_MATCH} SELECT m.doc_id, m.term FROM m JOIN labels l ON m.doc_id=l.doc_id WHERE l.quality=0 OR l.toxic=1")
@@ -153,9 +156,9 @@ def q_fp_list(spark, d):
 
 
 @query(f"WITH {_SCORED}, b(place, level) AS (VALUES {_in(list(enumerate((*M.LEVELS, 'RESERVED'))))}) SELECT b.place, b.level, count(s.doc_id) AS n_docs FROM b LEFT JOIN s ON s.level=b.level GROUP BY 1, 2")
-def q_bucketed(spark, d):
+def q_bucketed(spark, d, most=80):
     dim = spark.createDataFrame(list(enumerate((*M.LEVELS, "RESERVED"))), "place int, level string")
-    counts = _scored(spark, d).groupBy("level").agg(n().alias("n_docs"))
+    counts = _scored(spark, d, most).groupBy("level").agg(n().alias("n_docs"))
     return F.broadcast(dim).join(counts, "level", "left").select("place", "level", F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"))
 
 
@@ -216,8 +219,8 @@ def q_best_candidate(spark, d):
 
 
 @query(f"WITH {_SCORED} SELECT section, level, status, count(*) AS n_docs FROM s GROUP BY GROUPING SETS ((section),(level),(status),())")
-def q_view_groupingsets(spark, d):
-    _scored(spark, d).select("section", "level", "status").createOrReplaceTempView("pubmill_scored")
+def q_view_groupingsets(spark, d, most=80):
+    _scored(spark, d, most).select("section", "level", "status").createOrReplaceTempView("pubmill_scored")
     return spark.sql("SELECT section, level, status, count(*) AS n_docs FROM pubmill_scored GROUP BY GROUPING SETS ((section),(level),(status),())")
 
 
@@ -324,9 +327,9 @@ def q_symmetric_diff(spark, d):
 
 
 @query(f"WITH {_SCORED} SELECT term, count_if(level='CRITICAL') AS critical, count_if(level='STRONG') AS strong, count_if(level='MEDIUM') AS medium, count_if(level='LOW') AS low, count(*) AS total FROM m JOIN s USING (doc_id) GROUP BY term")
-def q_pivot_terms(spark, d):
+def q_pivot_terms(spark, d, most=80):
     counts = [F.count_if(F.col("level") == x).alias(x.lower()) for x in M.LEVELS[:4]]
-    return _match(spark, d).join(_scored(spark, d).select("doc_id", "level"), "doc_id").groupBy("term").agg(*counts, n().alias("total"))
+    return _match(spark, d).join(_scored(spark, d, most).select("doc_id", "level"), "doc_id").groupBy("term").agg(*counts, n().alias("total"))
 
 
 @query(r"SELECT page_id, regexp_extract(url,'://([^/]+)',1) AS host, regexp_extract(url,'[?&]page=([^&]*)',1) AS page, regexp_extract(url,'[?&]ref=([^&]*)',1) AS ref FROM pages")
@@ -403,3 +406,8 @@ def q_highlight_spans(spark, d):
     s = table(spark, d, "documents").select("doc_id", H.without_overlaps(H.all_occurrences(F.col("text"), ["version", "vers"])).alias("s"))
     s = s.select("doc_id", F.filter("s", lambda x: x["term"] == "version").alias("s")).where(F.size("s") > 0)
     return s.select("doc_id", F.size("s").cast("bigint").alias("n_spans"), F.col("s")[0]["start"].cast("bigint").alias("first_start"))
+
+
+# exclusion judged on the whole first line
+for _name in ("q_exclusion_rescue", "q_context_score", "q_audit_summary", "q_confidence", "q_bucketed", "q_view_groupingsets", "q_pivot_terms"):
+    whole(_name, (_LINE, _WHOLE_LINE))(partial(QUERIES[_name], most=None))

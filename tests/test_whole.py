@@ -5,6 +5,7 @@ import datetime
 import pyarrow.parquet as pq
 
 import __spark_entry__ as entry
+from pubmill.operators import matching as M
 
 SF = "/root/testdata/sf0.01"
 
@@ -38,3 +39,12 @@ def test_gaps_of_every_user(spark):
     got = run(spark, "q_coverage_gap_whole")
     assert len(got) == len(want) and {(r.user_id, r.day) for r in got} == want
     assert max(u for u, _ in want) >= 40
+
+
+def test_exclusion_reads_the_whole_first_line(spark):
+    docs = [(1, "a " * 200 + "nicht\nbody"), (2, "a\nnicht"), (3, "a " * 200 + "para mit license")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "'x' as lang", "'y' as source")
+    assert {r.doc_id: r.status for r in M.scored(df, None).collect()} == {1: "EXCLUDED", 2: "OPEN", 3: "RESCUED"}
+    cut, full = ({r.doc_id: r.status for r in run(spark, q)} for q in ("q_context_score", "q_context_score_whole"))
+    assert cut.keys() == full.keys() and any(cut[k] == "OPEN" != full[k] for k in cut)
+    assert all(full[k] == cut[k] for k in cut if cut[k] != "OPEN")

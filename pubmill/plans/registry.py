@@ -408,6 +408,16 @@ def q_highlight_spans(spark, d):
     return s.select("doc_id", F.size("s").cast("bigint").alias("n_spans"), F.col("s")[0]["start"].cast("bigint").alias("first_start"))
 
 
+@whole("q_relevance_order", (_LINE, _WHOLE_LINE), ("row_number() OVER (ORDER BY rank DESC, organ, title, doc_id) AS place, doc_id", "doc_id"), (" WHERE rank>0 ORDER BY place LIMIT 50", " ORDER BY rank DESC, organ, title, doc_id"))
+def q_relevance_order_whole(spark, d):
+    return _scored(spark, d, None).orderBy(F.desc("rank"), "organ", "title", "doc_id").select("doc_id", "level")
+
+
+@whole("q_top_terms", ("LIMIT 10", "LIMIT 50"))
+def q_top_terms_whole(spark, d):
+    return _match(spark, d).groupBy("term").agg(n().alias("n_docs"), F.min("doc_id").alias("first_doc")).orderBy(F.desc("n_docs"), "first_doc", "term").limit(50)
+
+
 # exclusion judged on the whole first line
 for _name in ("q_exclusion_rescue", "q_context_score", "q_audit_summary", "q_confidence", "q_bucketed", "q_view_groupingsets", "q_pivot_terms"):
     whole(_name, (_LINE, _WHOLE_LINE))(partial(QUERIES[_name], most=None))

@@ -48,3 +48,15 @@ def test_exclusion_reads_the_whole_first_line(spark):
     cut, full = ({r.doc_id: r.status for r in run(spark, q)} for q in ("q_context_score", "q_context_score_whole"))
     assert cut.keys() == full.keys() and any(cut[k] == "OPEN" != full[k] for k in cut)
     assert all(full[k] == cut[k] for k in cut if cut[k] != "OPEN")
+
+
+def test_relevance_orders_every_publication(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = M.scored(docs, None).select("rank", "organ", "title", "doc_id").collect()
+    want = [r.doc_id for r in sorted(plain, key=lambda r: (-r["rank"], r.organ or "", r.title, r.doc_id))]
+    assert [r.doc_id for r in run(spark, "q_relevance_order_whole")] == want and len(want) == docs.count() > 50
+
+
+def test_top_terms_beyond_ten(spark):
+    terms = [r.term for r in run(spark, "q_norm_terms")]
+    assert {r.term for r in run(spark, "q_top_terms_whole")} == set(terms) and len(terms) > 10

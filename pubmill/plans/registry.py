@@ -418,6 +418,12 @@ def q_top_terms_whole(spark, d):
     return _match(spark, d).groupBy("term").agg(n().alias("n_docs"), F.min("doc_id").alias("first_doc")).orderBy(F.desc("n_docs"), "first_doc", "term").limit(50)
 
 
+@whole("q_keyword_rank", ("contains(' ' || norm || ' ', ' ' || term || ' ')", "contains(norm, term)"))
+def q_keyword_rank_whole(spark, d):
+    hits = _pubs(spark, d).join(F.broadcast(M.watchlist(spark)), F.contains("norm", "term"))
+    return hits.groupBy("doc_id").agg(F.sum(F.length("term")).cast("bigint").alias("score")).orderBy(F.desc("score"), "doc_id").limit(20)
+
+
 # exclusion judged on the whole first line
 for _name in ("q_exclusion_rescue", "q_context_score", "q_audit_summary", "q_confidence", "q_bucketed", "q_view_groupingsets", "q_pivot_terms"):
     whole(_name, (_LINE, _WHOLE_LINE))(partial(QUERIES[_name], most=None))

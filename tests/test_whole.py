@@ -60,3 +60,10 @@ def test_relevance_orders_every_publication(spark):
 def test_top_terms_beyond_ten(spark):
     terms = [r.term for r in run(spark, "q_norm_terms")]
     assert {r.term for r in run(spark, "q_top_terms_whole")} == set(terms) and len(terms) > 10
+
+
+def test_keyword_rank_counts_terms_inside_words(spark):
+    norm = {r.doc_id: r.norm for r in M.publications(spark.read.parquet(f"{SF}/documents.parquet")).select("doc_id", "norm").collect()}
+    score = {k: sum(len(t) for t, _ in M.WATCHLIST if t in x) for k, x in norm.items()}
+    want = sorted(((-v, k) for k, v in score.items() if v))[:20]
+    assert [(-r.score, r.doc_id) for r in run(spark, "q_keyword_rank_whole")] == want

@@ -98,6 +98,18 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Each proposal, shortened by whole groups until its check digits are right: a word after it may look like a group."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        end = m.end()
+        while end > m.start() and not mod97(text[m.start() : end].replace(" ", "")):
+            end = text.rfind(" ", m.start(), end)
+        if end > m.start():
+            yield m.start(), end
+        at = max(end, m.start() + 1)
+
+
 def score(text: str, kind: str, start: int, end: int, checked: bool) -> float:
     near = text[max(0, start - NEARBY) : start].lower() + " " + text[end : end + NEARBY].lower()
     return 0.5 + 0.2 * checked + 0.25 * any(w in near for w in CONTEXT[kind])
@@ -113,7 +125,7 @@ def find(text: str) -> list[tuple[int, str, int, float]]:
         out += [(a, kind, b) for a, b, kind in _cards(text)]
         if "+" in text:
             out += [(a, "phone", b) for a, b in _phones(text)]
-        out += [(m.start(), "iban", m.end()) for m in _IBAN.finditer(text) if mod97(m[0].replace(" ", ""))]
+        out += [(a, "iban", b) for a, b in _ibans(text)]
     scored = [(a, kind, b, score(text, kind, a, b, kind in ("card", "iban", "card13"))) for a, kind, b in out]
     return sorted((s for s in scored if s[1] in BASE or s[3] >= KEEP), key=lambda s: (s[0], _ORDER[s[1]], s[2]))
 

@@ -54,6 +54,13 @@ def test_digits_that_stand_apart():
     assert [s[:3] for s in find("0" * 5000 + ".1.2.3")] == [(0, "ip", 5006)]
 
 
+def test_iban_before_a_word_in_capitals():
+    for code in ("ES91 2100 0418 4502 0005 1332", "GB82 WEST 1234 5698 7654 32"):
+        for after in ("", " THIS", " THIS WORD", " TO", " this"):
+            assert [s[:3] for s in find(f"bank {code}{after}") if s[1] == "iban"] == [(5, "iban", 5 + len(code))]
+    assert [s for s in find("bank ES92 2100 0418 4502 0005 1332 THIS") if s[1] == "iban"] == []
+
+
 def test_long_texts_are_linear():
     assert find("a" * 2_000_000 + "@") == [] and find("1" * 500_000 + ".") == []
 

@@ -1,6 +1,9 @@
+import threading
+import uuid
+
 from pyspark.sql import functions as F
 
-from pubmill.llm.op3_tiered_shards import append, commit, compact, manifest, read, version
+from pubmill.llm.op3_tiered_shards import append, commit, compact, manifest, read, vacuum, version
 
 
 def rows_of(df):
@@ -37,3 +40,51 @@ def test_empty_store(spark, tmp_path):
     append(spark, root, docs)
     compact(spark, root, docs.schema)
     assert read(spark, root, docs.schema).count() == 0
+
+
+def test_racing_writers_lose_nothing(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    docs = spark.createDataFrame([(i, "x" * i) for i in range(20)], "doc_id long, text string")
+    append(spark, root, docs.limit(0))
+    writers = [threading.Thread(target=append, args=(spark, root, docs.where(f"doc_id % 4 = {k}"))) for k in range(4)]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    assert version(spark, root) == 5
+    assert rows_of(read(spark, root, docs.schema)) == rows_of(docs)
+    assert len(list((tmp_path / "store" / "manifests").iterdir())) == 5  # the losers' manifests are gone
+
+
+def test_a_writer_that_died_leaves_the_store_whole(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string").coalesce(1)
+    append(spark, root, docs)
+    append(spark, root, docs)
+    (tmp_path / "store" / "versions" / f".{uuid.uuid4().hex}").write_text("")
+    docs.write.parquet(f"{root}/data/{uuid.uuid4().hex}")
+    docs.write.parquet(f"{root}/manifests/{uuid.uuid4().hex}")
+    assert version(spark, root) == 2 and rows_of(read(spark, root, docs.schema)) == rows_of(docs.union(docs))
+    assert compact(spark, root, docs.schema) == 3
+    assert vacuum(spark, root) == 2 + 1 + 3 + 3  # versions, the dead marker, manifests, shards: two merged, one never listed
+    assert rows_of(read(spark, root, docs.schema)) == rows_of(docs.union(docs))
+    assert append(spark, root, docs) == 4
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    docs = spark.createDataFrame([(1, "a", 1, "t", "f"), (None, None, None, None, None)], "doc_id long, text string, merged int, tier string, file string")
+    append(spark, root, docs)
+    append(spark, root, docs)
+    compact(spark, root, docs.schema)
+    assert rows_of(read(spark, root, docs.schema)) == rows_of(docs.union(docs))
+
+
+def test_compaction_makes_files_near_the_target(spark, tmp_path):
+    root = f"file://{tmp_path}/store"
+    docs = spark.createDataFrame([(i, "x" * 92) for i in range(400)], "doc_id long, text string").repartition(20)
+    append(spark, root, docs)
+    compact(spark, root, docs.schema, target=10_000)
+    sizes = [r["bytes"] for r in manifest(spark, root).collect()]
+    assert len(sizes) == 4 and sum(sizes) == 40_000 and all(5_000 <= x <= 20_000 for x in sizes)
+    assert compact(spark, root, docs.schema, target=10_000) == 3 and manifest(spark, root, 3).count() == 4

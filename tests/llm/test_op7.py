@@ -73,3 +73,16 @@ def test_rows(spark):
     assert sorted(str(r.text) for r in redact(docs).collect()) == ["", "None", "write [EMAIL]", "write [EMAIL]", "é [IP]"]
     assert redact(docs).columns == docs.columns
     assert personal_data(docs.limit(0)).count() == 0
+
+
+def test_context_words_are_whole_words():
+    score = lambda text: find(text)[0][3]
+    assert score("host 10.0.0.1") == score("HOST: 10.0.0.1") == 0.75
+    assert score("description 10.0.0.1 ghosts") == 0.5 and score("hotel, basically +1 234 567 8901") == 0.5
+    assert score("Visa: 4111111111111111") == 0.95
+
+
+def test_whole_table_equals_plain_patterns(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans if s.kind in BASE] for r in personal_data(docs).collect()}
+    assert got == {r.doc_id: brute(r.text or "") for r in docs.collect()} and any(got.values())

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -15,15 +18,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Rows whose results a Python worker holds at a time.
-ROWS = 1000
+#: Rows, and bytes of text, that a Python worker works on at a time; one longer text is a batch of its own.
+ROWS, BYTES = 1000, 4 << 20
+#: A key that holds more than one in so many rows is joined by broadcast, so there are at most so many of them.
+HEAVY = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share; a local one only where none is set."""
+    """Folder that driver and executors share: the cluster names it, and only a local session may go without."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "/tmp/pubmill-shared"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="pubmill-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
@@ -32,37 +39,84 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/pubmill-{tag}-{uuid.uuid4().hex}"
 
 
+#: Tables written by materialize and not yet deleted, in order.
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Cut lineage with a written table: every later read sees the same rows."""
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """The place from which ``release`` deletes."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Delete the tables that ``materialize`` wrote from ``since`` on, but for those that ``keep`` reads.
+
+    Only for tables that no later action reads: a frame that is still lazy over one of them fails.
+    """
+    held = [f for df in keep for f in df.inputFiles()]
+    gone = [p for p in _written[since:] if not any(p in f for f in held)]
+    for path in gone:
+        _written.remove(path)
+        delete_path(spark, path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` where fn maps at most ``ROWS`` rows of a record batch to column lists."""
+def heavy_join(left: DataFrame, right: DataFrame, on: list[str], rows: str) -> DataFrame:
+    """Left join with a ``right`` of unique keys ``on``, whose column ``rows`` says how many rows of left have the key.
+
+    Keys with more than one in HEAVY of these rows would each fill a task: they,
+    HEAVY at most, are joined by broadcast, and the rest by shuffle. Nulls match no key.
+    """
+    value = [c for c in right.columns if c not in (*on, rows)]
+    total = right.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("__total"))  # one row
+    ranked = right.crossJoin(F.broadcast(total)).withColumn("__heavy", F.col(rows) * HEAVY > F.col("__total"))
+    heavy = ranked.where("__heavy").select(*on, F.struct(*value).alias("__value"))
+    light = ranked.where("not __heavy").select(*on, *value)
+    tried = left.join(F.broadcast(heavy), on, "left")
+    done = tried.where("__value is not null").select(*left.columns, *(F.col("__value")[v].alias(v) for v in value))
+    rest = tried.where("__value is null").select(*left.columns).join(light, on, "left").select(*left.columns, *value)
+    return done.unionByName(rest)
+
+
+def slices(batch: pa.RecordBatch, text: str | None = None, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch, each of at most ``rows`` rows and about ``BYTES`` bytes of column ``text``."""
+    if text is None or not len(batch):
+        yield from (batch.slice(at, rows) for at in range(0, len(batch), rows))
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = done = 0
+    while at < len(batch):
+        end = min(max(at + 1, int(np.searchsorted(ends, done + BYTES, "right"))), at + rows)
+        yield batch.slice(at, end - at)
+        at, done = end, int(ends[end - 1])
+
+
+def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType, text: str = "text") -> DataFrame:
+    """``mapInArrow`` where fn maps a slice of a record batch, bounded in rows and in bytes of ``text``, to column lists."""
     struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), ROWS):
-                out = fn(whole.slice(at, ROWS))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, target, strict=True)], schema=target)
+            measured = text if text in whole.schema.names and pa.types.is_string(whole.schema.field(text).type) else None
+            for part in slices(whole, measured):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(fn(part), target, strict=True)], schema=target)
 
     return df.mapInArrow(run, struct)
 
 
-def texts_of(column: pa.Array) -> Iterator[str]:
-    for value in column:
-        yield value.as_py() or ""
-
-
 _STEP, _GRAM = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize
+from .common import arrow_map, heavy_join, materialize
 
 #: Labelled rows fitted to, trigram cells, trigrams a text counts for, least posterior of a kept text.
 SAMPLE, CELLS, TRIGRAMS, KEEP = 4000, 1 << 14, 200, 0.5
 #: Rows of its parent that a host or suffix counts as having seen, and a declaration's added count.
 PARENT, ADDED = 10.0, 1.0
-_TAGS = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.DOTALL | re.IGNORECASE)
+#: Starts of what is no text, and where each ends; a tag ends at the next ">".
+_OPENS = re.compile(r"<(?:(!--)|(script)\b|(style)\b)?", re.IGNORECASE)
+_CLOSES = (re.compile("-->"), re.compile(r"</script\s*>", re.IGNORECASE), re.compile(r"</style\s*>", re.IGNORECASE), re.compile(">"))
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -47,7 +49,22 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def plain_text(markup: str) -> str:
-    return html.unescape(_TAGS.sub(" ", markup))
+    """The text outside tags, comments, scripts and styles, entities resolved; what is opened and never closed is text.
+
+    Linear: an end that was once not found is not looked for again.
+    """
+    out, at, missing = [], 0, set()
+    while m := _OPENS.search(markup, at):
+        for kind in (m.lastindex - 1, 3) if m.lastindex else (3,):
+            end = None if kind in missing else _CLOSES[kind].search(markup, m.end())
+            if end:
+                out += [markup[at : m.start()], " "]
+                at = end.end()
+                break
+            missing.add(kind)
+        else:
+            break  # no ">" after this one, so none after a later one
+    return html.unescape("".join([*out, markup[at:]]))
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
@@ -86,7 +103,7 @@ def text_evidence(rows: DataFrame, model: tuple[list[str], np.ndarray]) -> DataF
             text = plain_text(text) if markup.as_py() else text
             lettered.append(_LETTER.search(text) is not None)
             at = trigrams(text)
-            own = table[at].sum(0) * min(1.0, TRIGRAMS / len(at)) if len(at) else np.zeros(n)
+            own = (table[at].sum(0) if len(at) < CELLS else np.bincount(at, minlength=CELLS) @ table) * min(1.0, TRIGRAMS / max(1, len(at)))
             ll.append((own - own.max(initial=0) if not len(at) else own - own.max()).tolist())
         return *(batch[c] for c in kept), lettered, ll
 
@@ -101,9 +118,10 @@ def fuse(scored: DataFrame, languages: list[str]) -> DataFrame:
         return scored.drop("ll", "lettered").select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("kept"))
     total = F.aggregate("ll", F.lit(0.0), lambda s, x: s + F.exp(x))
     soft = scored.withColumn("p", F.transform("ll", lambda x: F.exp(x) / total))
-    sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]
     pack = lambda: F.array(*(F.col(f"s{i}") for i in range(n)))
-    hosts = soft.where("lettered").groupBy("host", "suffix").agg(*sums).select("host", "suffix", pack().alias("own"))
+    # every row counts for how many rows its key has, lettered ones as evidence
+    tally = soft.groupBy("host", "suffix").agg(*[F.sum(F.when(F.col("lettered"), F.col("p")[i]).otherwise(0.0)).alias(f"s{i}") for i in range(n)], F.count("*").alias("rows"))
+    hosts = tally.select("host", "suffix", pack().alias("own"), "rows")
     sums = [F.sum(F.col("own")[i]).alias(f"s{i}") for i in range(n)]
     suffixes = hosts.groupBy("suffix").agg(*sums).select("suffix", pack().alias("over"))
     whole = hosts.agg(*(F.coalesce(F.sum(F.col("own")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(n))).first()  # one row
@@ -113,14 +131,15 @@ def fuse(scored: DataFrame, languages: list[str]) -> DataFrame:
     smooth = lambda c, parent: F.zip_with(c, parent, lambda x, y: (x + F.lit(PARENT) * y) / (size(c) + F.lit(PARENT)))
     suffixes = suffixes.withColumn("over", smooth("over", base))
     priors = hosts.join(suffixes, "suffix", "left")
-    priors = priors.select("host", "suffix", smooth("own", F.col("over")).alias("prior"))
-    sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(n)]
-    said = soft.where("lettered").groupBy("declared").agg(*sums).select("declared", pack().alias("said"))
-    kinds = said.count()
+    priors = priors.select("host", "suffix", smooth("own", F.col("over")).alias("prior"), "rows")
+    sums = [F.sum(F.when(F.col("lettered"), F.col("p")[i]).otherwise(0.0)).alias(f"s{i}") for i in range(n)]
+    said = soft.groupBy("declared").agg(*sums, F.count("*").alias("rows"), F.count_if("lettered").alias("voiced"))
+    kinds = said.where("voiced > 0").count()
+    said = said.select("declared", pack().alias("said"), "rows")
     spoken = [float(x) for x in np.array(whole, float)]
     likely = F.zip_with("said", F.array(*(F.lit(x) for x in spoken)), lambda c, t: F.log((c + F.lit(ADDED)) / (t + F.lit(ADDED * max(1, kinds)))))
-    said = said.select("declared", likely.alias("declares"))
-    joined = scored.join(priors, ["host", "suffix"], "left").join(said, "declared", "left")
+    said = said.select("declared", likely.alias("declares"), "rows")
+    joined = heavy_join(heavy_join(scored, priors, ["host", "suffix"], "rows"), said, ["declared"], "rows")
     zero = F.array_repeat(F.lit(0.0), n)
     log_post = F.zip_with(F.zip_with("ll", F.transform(F.coalesce("prior", base), lambda x: F.log(x)), lambda a, b: a + b), F.coalesce("declares", zero), lambda a, b: a + b)
     joined = joined.withColumn("lp", log_post).withColumn("best", F.array_max("lp"))

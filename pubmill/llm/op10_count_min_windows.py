@@ -5,15 +5,18 @@ the least hash of its inner grams: equal windows have equal anchors, and an
 anchor serves a run of windows, so there are about nine times fewer anchor runs
 than words.
 
-1. Every partition counts its anchor runs in a count-min sketch of fixed size;
-   the merged sketch never underestimates.
-2. A second pass compares the windows of a batch with each other. Windows whose
-   anchor is estimated repeated go on, by run; a window repeated within the batch
-   sends one witness for all its copies, so a hot passage costs a row per batch.
-3. Windows are grouped exactly by (anchor, window hash), 64 bits each; those met
-   twice come back as intervals of window starts, which join their documents.
-
-When the input outgrows the sketch, more windows take part in step 3; none is
+1. Every partition counts its anchor runs in a count-min sketch, sized from the
+   bytes of the texts up to ``WIDTH_BITS``; the merged sketch never underestimates.
+2. A second pass compares the windows of a slice of some megabytes with each other.
+   Windows whose anchor is estimated repeated go on, by run; a window repeated
+   within the slice sends one witness for all its copies, so a hot passage costs a
+   row per slice.
+3. Windows are grouped by anchor and hash, 64 bits each and both compared; those met
+   twice come back as intervals of window starts, which join their documents. Rows
+   arrive sorted by anchor, and a task holds a batch and one anchor's rows at a time;
+   of an anchor with very many, its distinct windows.
+
+When the input outgrows the largest sketch, more windows take part in step 3; none is
 ever lost. Cases: null and empty texts have no words and lose none; texts shorter
 than a window lose none unless a window fits; repeated rows count as separate
 documents, so all their windows repeat; null ids are kept; an empty table gives
@@ -29,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, gram_hashes, mix, word_hashes
-from .sketch import WIDTH_BITS, count_min, seen_twice
+from .common import arrow_map, gram_hashes, mix, slices, word_hashes
+from .sketch import count_min, seen_twice, width_for
 
 WINDOW, INNER = 35, 20
 
@@ -63,6 +66,17 @@ def _runs(same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.r_[starts[1:], len(same)] if len(starts) else starts
 
 
+def _grouped(key: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal (key, h) are neighbours, and where each group of them starts.
+
+    Sorted by one sum of both, and parted where either differs: sums that agree by
+    chance never make different windows equal.
+    """
+    order = np.argsort(mix(key) + h, kind="stable")
+    k, w = key[order], h[order]
+    return order, np.r_[True, (k[1:] != k[:-1]) | (w[1:] != w[:-1])][: len(key)]
+
+
 def _windows(batch: pa.RecordBatch, planes: list[bytes], size: int, inner: int) -> Iterator[tuple]:
     """Rows (key, row, start, end, hashes): known intervals without hashes, runs and witnesses with them."""
     keys, hashes, counts = [], [], []
@@ -76,9 +90,7 @@ def _windows(batch: pa.RecordBatch, planes: list[bytes], size: int, inner: int)
     doc = np.repeat(np.arange(len(counts)), counts)
     at = np.arange(len(key)) - np.repeat(np.cumsum(counts) - counts, counts)
     row = batch["row"].to_numpy()[doc]
-    both = mix(key) + h
-    order = np.argsort(both, kind="stable")
-    head = np.r_[True, both[order][1:] != both[order][:-1]]
+    order, head = _grouped(key, h)
     group = np.cumsum(head) - 1
     often = np.bincount(group)[group] > 1
     local = np.zeros(len(key), bool)
@@ -119,35 +131,25 @@ def _spread(values, n: int, kind: pa.DataType) -> pa.Array:
     return pa.nulls(n, kind) if values is None else pa.array(values, kind)
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of the rows of whole keys: known intervals as they are, and the repeated stretches of runs."""
-    key, row, start, size, h = [], [], [], [], []
-    for batch in batches:
-        known = batch["hashes"].is_null().to_numpy(zero_copy_only=False)
-        if known.any():
-            held = batch.filter(pa.array(known))
-            yield pa.RecordBatch.from_arrays([held["row"], held["start"], held["end"]], ["row", "start", "end"])
-            batch = batch.filter(pa.array(~known))
-        if not len(batch):
-            continue
-        lists = batch["hashes"]
-        size.append(np.diff(lists.offsets.to_numpy()))
-        h.append(lists.flatten().to_numpy().view(np.uint64).copy())
-        key.append(batch["key"].to_numpy().view(np.uint64).copy())
-        row.append(batch["row"].fill_null(0).to_numpy().copy())
-        start.append(batch["start"].fill_null(-1).to_numpy().copy())
-    if not key:
-        return
-    key, row, start, size, h = (np.concatenate(x) for x in (key, row, start, size, h))
+#: Rows of one anchor that a task holds before it keeps only their distinct windows.
+HELD = 20_000
+
+
+def _repeated(rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Of (key, row, start, size, h): for each hash whether it was met twice, and its row's place."""
+    key, _, _, size, h = rows
     owner = np.repeat(np.arange(len(key)), size)
-    both = mix(key[owner]) + h
-    order = np.argsort(both)
-    group = np.cumsum(np.r_[True, both[order][1:] != both[order][:-1]]) - 1
+    order, head = _grouped(key[owner], h)
+    group = np.cumsum(head) - 1
     met = np.zeros(len(h), bool)
     met[order] = np.bincount(group)[group] > 1
-    # a witness stands for two or more copies, which its own batch has marked
-    first = np.cumsum(size) - size
-    at = start[owner] + np.arange(len(h)) - first[owner]
+    return met, owner
+
+
+def _intervals(rows: tuple[np.ndarray, ...], met: np.ndarray, owner: np.ndarray) -> Iterator[pa.RecordBatch]:
+    # a witness (start -1) stands for two or more copies, which its own slice has marked
+    _, row, start, size, h = rows
+    at = start[owner] + np.arange(len(h)) - (np.cumsum(size) - size)[owner]
     i = np.flatnonzero(met & (start[owner] >= 0))
     if len(i):
         same = np.zeros(len(i), bool)
@@ -157,8 +159,72 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32())], ["row", "start", "end"])
 
 
-def repeated_intervals(docs: DataFrame, size: int = WINDOW, inner: int = INNER, width_bits: int = WIDTH_BITS) -> DataFrame:
-    """(row, start, end): windows of ``docs`` (row, text) that start at words start .. end - 1 and repeat."""
+def _distinct(rows: tuple[np.ndarray, ...], met: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same windows with those met twice once, as witnesses, and the others one by one; what _intervals gave is not given again."""
+    key, row, start, size, h = rows
+    at = start[owner] + np.arange(len(h)) - (np.cumsum(size) - size)[owner]
+    order, head = _grouped(key[owner], h)
+    first = order[head]
+    first.sort()
+    alone = ~met[first]
+    own = owner[first]
+    where = np.where(alone & (start[own] >= 0), at[first], -1).astype(start.dtype)
+    return key[own], row[own], where, np.ones(len(first), size.dtype), h[first]
+
+
+def _joined(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _cut(rows: tuple[np.ndarray, ...], at: int) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """The rows before and from place ``at``."""
+    key, row, start, size, h = rows
+    edge = int(size[:at].sum())
+    return (key[:at], row[:at], start[:at], size[:at], h[:edge]), (key[at:], row[at:], start[at:], size[at:], h[edge:])
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key: known intervals as they are, and the repeated stretches of runs."""
+    held, fresh = None, 0
+    for batch in batches:
+        known = batch["hashes"].is_null().to_numpy(zero_copy_only=False)
+        if known.any():
+            out = batch.filter(pa.array(known))
+            yield pa.RecordBatch.from_arrays([out["row"], out["start"], out["end"]], ["row", "start", "end"])
+            batch = batch.filter(pa.array(~known))
+        if not len(batch):
+            continue
+        lists = batch["hashes"]
+        now = (
+            batch["key"].to_numpy().view(np.uint64),
+            batch["row"].fill_null(0).to_numpy(),
+            batch["start"].fill_null(-1).to_numpy(),
+            np.diff(lists.offsets.to_numpy()),
+            lists.flatten().to_numpy().view(np.uint64),
+        )
+        fresh += len(now[0])
+        rows = now if held is None else _joined([held, now])
+        last = int(np.argmax(rows[0] == rows[0][-1]))
+        done, held = _cut(rows, last)
+        if len(done[0]):
+            yield from _intervals(done, *_repeated(done))
+            fresh = len(held[0])
+        if fresh > HELD:
+            found = _repeated(held)
+            yield from _intervals(held, *found)
+            held, fresh = _distinct(held, *found), 0
+    if held is not None:
+        yield from _intervals(held, *_repeated(held))
+
+
+def repeated_intervals(docs: DataFrame, size: int = WINDOW, inner: int = INNER, width_bits: int | None = None) -> DataFrame:
+    """(row, start, end): windows of ``docs`` (row, text) that start at words start .. end - 1 and repeat.
+
+    The sketch has 2 ** width_bits cells a row; without it, about four for each
+    anchor run that texts of this length have (one in some fifty bytes).
+    """
+    if width_bits is None:
+        width_bits = width_for(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 50)
 
     def runs_of(batch: pa.RecordBatch) -> np.ndarray:
         out = []
@@ -171,17 +237,16 @@ def repeated_intervals(docs: DataFrame, size: int = WINDOW, inner: int = INNER,
     shared = docs.sparkSession.sparkContext.broadcast(planes)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, row, start, end, held in _windows(batch, shared.value, size, inner):
-                n = len(key)
-                lists = pa.nulls(n, pa.list_(pa.int64())) if held is None else pa.ListArray.from_arrays(pa.array(held[1], pa.int32()), pa.array(held[0].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), _spread(row, n, pa.int64()), _spread(start, n, pa.int32()), _spread(end, n, pa.int32()), lists], schema=_ROWS)
+        for key, row, start, end, held in (found for batch in batches for part in slices(batch, "text") for found in _windows(part, shared.value, size, inner)):
+            n = len(key)
+            lists = pa.nulls(n, pa.list_(pa.int64())) if held is None else pa.ListArray.from_arrays(pa.array(held[1], pa.int32()), pa.array(held[0].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), _spread(row, n, pa.int64()), _spread(start, n, pa.int32()), _spread(end, n, pa.int32()), lists], schema=_ROWS)
 
     rows = docs.select("row", "text").mapInArrow(emit, "key long, row long, start int, end int, hashes array<long>")
-    return rows.repartition("key").mapInArrow(_meet, "row long, start int, end int")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "row long, start int, end int")
 
 
-def remove_repeated(docs: DataFrame, size: int = WINDOW, inner: int = INNER, width_bits: int = WIDTH_BITS) -> DataFrame:
+def remove_repeated(docs: DataFrame, size: int = WINDOW, inner: int = INNER, width_bits: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed and kept (words joined by one space) of each document (doc_id, text)."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     source = source.withColumn("row", F.xxhash64("doc_id", "text"))

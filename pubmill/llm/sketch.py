@@ -6,13 +6,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mix, slices
 
-#: Cells of a row and rows of the sketch: 2 x 32 Mi counters, whatever the input.
+#: Cells of a row at most, and rows of the sketch: 2 x 32 Mi counters.
 WIDTH_BITS, DEPTH = 25, 2
-BLOCK = 1 << 18
+#: Cells that are merged at a time, and parts of them that meet in one place.
+BLOCK, FAN = 1 << 18, 64
+
+
+def width_for(items: int, most: int = WIDTH_BITS) -> int:
+    """Bits of a sketch row of about four cells an item, from 16 bits to ``most``."""
+    return min(most, max(16, (4 * items - 1).bit_length() if items else 16))
 
 
 def cells(h: np.ndarray, row: int, width_bits: int) -> np.ndarray:
@@ -37,12 +45,13 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def count_min(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], width_bits: int = WIDTH_BITS, depth: int = DEPTH) -> list[bytes]:
+def count_min(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], width_bits: int = WIDTH_BITS, depth: int = DEPTH, text: str = "text") -> list[bytes]:
     """For each sketch row the bit plane of cells counted twice or more.
 
-    Each task fills its own counters, which stop at 2, and gives them by blocks;
-    blocks are added up in groups. A task holds its own sketch and the driver the
-    merged one, both of fixed size. No counter falls short of min(count, 2).
+    Each task fills its own counters, which stop at 2, and gives them by blocks.
+    Blocks are added up in a tree: at each level ``FAN`` parts of a block at most
+    meet, one after the other. A task holds its own sketch and the driver the merged
+    one, both of the given size. No counter falls short of min(count, 2).
     """
     width = 1 << width_bits
     block = min(BLOCK, width)
@@ -50,23 +59,39 @@ def count_min(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], wid
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros((depth, width), np.uint8)
         for batch in batches:
-            h = hashes(batch)
-            for row in range(depth):
-                at, n = np.unique(cells(h, row, width_bits), return_counts=True)
-                own[row][at] = np.minimum(own[row][at] + np.minimum(n, 2), 2)
+            for part in slices(batch, text):
+                h = hashes(part)
+                for row in range(depth):
+                    at, n = np.unique(cells(h, row, width_bits), return_counts=True)
+                    own[row][at] = np.minimum(own[row][at] + np.minimum(n, 2), 2)
+        slot = TaskContext.get().partitionId()
         for k, part in enumerate(own.reshape(-1, block)):
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([_pack(part)])], ["block", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([slot]), pa.array([_pack(part)])], ["block", "slot", "counts"])
 
-    def merge(table: pa.Table) -> pa.Table:
-        total = np.zeros(block, np.uint8)
-        for part in table["counts"]:
-            total = np.minimum(total + _unpack(part.as_py(), block), 2)
-        return pa.table({"block": table["block"][:1], "counts": pa.array([_pack(total)])})
-
-    schema = "block long, counts binary"
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, total = None, np.zeros(block, np.uint8)
+        give = lambda: pa.RecordBatch.from_arrays([pa.array([name[0]]), pa.array([name[1]]), pa.array([_pack(total)])], ["block", "slot", "counts"])
+        for batch in batches:
+            for k, slot, part in zip(batch["block"].to_pylist(), batch["slot"].to_pylist(), batch["counts"], strict=True):
+                if (k, slot) != name:
+                    if name is not None:
+                        yield give()
+                    name, total = (k, slot), np.zeros(block, np.uint8)
+                total = np.minimum(total + _unpack(part.as_py(), block), 2)
+        if name is not None:
+            yield give()
+
+    schema = "block long, slot long, counts binary"
+    made, left = df.mapInArrow(fill, schema), df.rdd.getNumPartitions()
+    while True:
+        left = -(-left // FAN)
+        made = made.withColumn("slot", F.floor(F.col("slot") / FAN) if left > 1 else F.lit(0).cast("long"))
+        made = made.repartition("block", "slot").sortWithinPartitions("block", "slot").mapInArrow(merge, schema)
+        if left == 1:
+            break
     planes = np.zeros((depth * width // block, (block + 7) // 8), np.uint8)
-    for row in df.mapInArrow(fill, schema).groupBy("block").applyInArrow(merge, schema).collect():  # at most depth * width / block rows
+    for row in made.select("block", "counts").toLocalIterator():  # at most depth * width / block rows
         planes[row["block"]] = np.packbits(_unpack(bytes(row["counts"]), block) >= 2)
     return [x.tobytes() for x in planes.reshape(depth, -1)]
 

@@ -20,8 +20,10 @@ def brute(rows, size):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("width_bits", [4, 16])
-def test_equals_brute_force(spark, width_bits):
+@pytest.mark.parametrize(("width_bits", "held", "size"), [(4, 20_000, 4 << 20), (16, 20_000, 4 << 20), (None, 3, 2000)])
+def test_equals_brute_force(spark, monkeypatch, width_bits, held, size):
+    monkeypatch.setattr("pubmill.llm.op10_count_min_windows.HELD", held)
+    monkeypatch.setattr("pubmill.llm.common.BYTES", size)
     rng = random.Random(3)
     vocab = ["w%d" % i for i in range(300)] + ["é", "日本", "A", "a"]
     passages = [[rng.choice(vocab) for _ in range(rng.choice([34, 35, 36, 60]))] for _ in range(8)]
@@ -38,5 +40,34 @@ def test_equals_brute_force(spark, width_bits):
     assert got == brute(rows, 35)
 
 
+def test_hot_anchor_keeps_its_distinct_windows(monkeypatch):
+    """One anchor over many batches: rows of two hashes each, some repeated far apart."""
+    import pyarrow as pa
+
+    from pubmill.llm import op10_count_min_windows as op10
+
+    rng = random.Random(1)
+    lists = [[rng.randrange(60), 1000 + rng.randrange(4000)] for _ in range(900)]
+    starts = [-1 if rng.random() < 0.02 else 10 * i for i in range(900)]
+    batches = []
+    for at in range(0, 900, 50):
+        hashes = pa.array(lists[at : at + 50], pa.list_(pa.int64()))
+        own = [None if s < 0 else s for s in starts[at : at + 50]]
+        batches.append(pa.RecordBatch.from_arrays([pa.array([7] * 50, pa.int64()), pa.array(range(at, at + 50), pa.int64()), pa.array(own, pa.int32()), pa.array(own, pa.int32()), hashes], schema=op10._ROWS))
+    seen = Counter(h for x in lists for h in x)
+    want = {(i, s + k) for i, (x, s) in enumerate(zip(lists, starts, strict=True)) if s >= 0 for k, h in enumerate(x) if seen[h] > 1}
+    for held in (20_000, 100, 10):
+        monkeypatch.setattr(op10, "HELD", held)
+        got = Counter((r["row"], p) for b in op10._meet(iter(batches)) for r in b.to_pylist() for p in range(r["start"], r["end"]))
+        assert set(got) == want and max(got.values()) == 1, held
+
+
+def test_long_text(spark):
+    words = [str(i) for i in range(400_000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[1000:1040]) + " end")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in remove_repeated(docs).collect()}
+    assert got == {1: (400_000, 40), 2: (41, 40)}
+
+
 def test_empty_table(spark):
     assert remove_repeated(spark.createDataFrame([], "doc_id long, text string"), width_bits=8).count() == 0

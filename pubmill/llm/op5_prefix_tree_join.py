@@ -6,26 +6,29 @@ A document is the set of its distinct k-word shingles, held in one global order
 
 1. Equal sets become one node. A node's id is a 64-bit hash of its set; among
    10 ** 9 distinct sets two share an id with a chance of 3 %.
-2. Filtering. If two sets link, at most D of their shingles differ, where D
-   follows from their sizes. Sets are cut into P > D parts by shingle hash, so
-   some part is the same in both: nodes that share no part are never compared.
-   A part key carries its size class, and a set goes to the class of every
-   possible larger partner. Parts empty in both sets prove nothing; a set that
-   has as many empty parts as P - D is cut in another way as well.
-3. Candidate clusters: a key links its nodes to the least of them, first within a
-   batch, then over the batches, so a hot key costs a row per batch. Nodes that
-   these links connect form a cluster; nodes of different clusters never link.
+2. Filtering. A second global order has rare shingles first: by the magnitude of
+   a shingle's count in a merged sketch over all texts, then by hash. Sets that
+   link share a shingle among the first n - ceil(num * n / den) + 1 of each (n its
+   size), whatever the order; so nodes that share none of these are never
+   compared, and common passages hardly bring texts together.
+3. Candidate clusters: a shingle of these prefixes links its nodes to the least of
+   them, first within a batch, then over the batches, so a hot one costs a row per
+   batch. Nodes that these links connect form a cluster; nodes of different
+   clusters never link.
 4. A cluster's nodes are dealt by size class and id hash into blocks of about
-   ``BLOCK`` nodes, or ``SHINGLES`` shingles if that is less. A node probes its own block, the later blocks of its class, and
-   those of the next class if a partner can be that large; no pair is written out.
+   ``BLOCK`` nodes, or ``SHINGLES`` shingles if that is less. A node probes its own
+   block, the later blocks of its class, and those of every higher class that a
+   partner can be in; probes of a block come in chunks, each a task's work of bounded
+   size. No pair is written out.
 5. Prefix tree: a block's ordered sets are stored in a trie, whose edges hold up
-   to ``EDGE`` shingles. A probe goes down the branches of the sets it shares a part
-   with, level by level: overlap with a shared prefix is counted once, and a subtree
-   goes as soon as the overlap so far and the remaining lengths cannot reach the
-   threshold. Sets already known to be connected are not compared again.
+   to ``EDGE`` shingles. A probe goes down the branches of the sets it shares a
+   prefix shingle with (rarity now counted in the block), level by level: overlap
+   with a shared prefix is counted once, and a subtree goes as soon as the overlap
+   so far and the remaining lengths cannot reach the threshold. Sets already known
+   to be connected are not compared again.
 
-Only texts of nodes that share a part travel, and each link is verified on whole
-sets. A cluster of m nodes of one size costs m / (2 * BLOCK) probes a node.
+Only texts of nodes that share such a shingle travel, and each link is verified on
+whole sets. A cluster of m nodes of one size costs m / (2 * BLOCK) probes a node.
 
 Cases: null and empty texts have no shingles and stay alone; repeated rows
 fall together; a component's id is its least non-null doc_id (null if there is
@@ -42,14 +45,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, mix, shingle_set
+from .common import gram_hashes, heavy_join, mark, materialize, mix, release, shingle_set, slices, word_hashes
 from .links import connected
-
-#: Nodes of a block, shingles on an edge of its trie, and cuts tried for a set with many empty parts.
-BLOCK, EDGE, SEEDS = 4096, 32, 6
-#: Shingles of a block, and part keys that a task sorts at a time: what its memory follows.
-SHINGLES, KEYS = 1 << 22, 1 << 20
-#: From one size class to the next; over den / num, so that no partner is more than one class away.
+from .sketch import cells, magnitudes
+
+#: Nodes of a block, and shingles on an edge of its trie.
+BLOCK, EDGE = 4096, 32
+#: Shingles of a block, and prefix shingles that a task sorts at a time: what its memory follows.
+SHINGLES, KEYS = 1 << 21, 1 << 20
+#: Bytes of text whose prefix shingles meet in one bin.
+BIN = 256 << 20
+#: Cells of the sketch that orders shingles by rarity, as bits: its size does not change what is found.
+RARITY_BITS = 22
+#: From one size class to the next.
 GROWTH = 1.3
 
 
@@ -64,42 +72,20 @@ def size_classes(n: int) -> list[int]:
 _BOUNDS = np.array(size_classes(1 << 40))
 
 
-def class_keys(h: np.ndarray, c: int, num: int, den: int) -> np.ndarray:
-    """Part keys of a set for partners of size class c; two sets that link share one at least.
+def prefix_length(n: int, num: int, den: int) -> int:
+    """So many first shingles, in any one order, of two sets that link have one in common."""
+    return n + (-num * n) // den + 1
 
-    Where a set has so many empty parts that all agreeing ones may be empty in both,
-    it has the keys of another cut as well; after SEEDS cuts its empty parts count.
-    """
-    differ = 2 * (int(_BOUNDS[c]) - 1) * (den - num) // (den + num)
-    if not differ:
-        return np.empty(0, np.uint64)  # equal sets only, and those are one node
-    parts, keys = differ + 1 + differ // 16, []
-    for seed in range(SEEDS):
-        part = (mix(h ^ np.uint64(0x2545F4914F6CDD1D + seed)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        held, starts = np.unique(part[order], return_index=True)
-        sums = np.add.reduceat(h[order], starts)
-        few = parts - len(held) < parts - differ
-        if not few and seed == SEEDS - 1:
-            sums = np.concatenate([sums, np.zeros(parts - len(held), np.uint64)])
-            held = np.concatenate([held, np.setdiff1d(np.arange(parts), held)])
-        keys.append(mix(mix(sums) + held.astype(np.uint64) * np.uint64(2654435761) + np.uint64((c << 40) + (seed << 36))))
-        if few:
-            break
-    return np.concatenate(keys)
+
+def prefix(h: np.ndarray, rarity: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The places of a sorted set's first shingles by (rarity, hash)."""
+    return np.argsort(rarity, kind="stable")[: prefix_length(len(h), num, den)]
 
 
 def size_class(n: int) -> int:
     return int(np.searchsorted(_BOUNDS, n, "right"))
 
 
-def parts_of(h: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Part keys of a set, for every class that a partner of its size or more can be of."""
-    if not len(h):
-        return np.empty(0, np.uint64)
-    return np.concatenate([class_keys(h, c, num, den) for c in range(size_class(len(h)), size_class(len(h) * den // num) + 1)])
-
-
 def set_id(h: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(h + np.uint64(len(h)))).astype(np.int64)) if len(h) else 0
 
@@ -166,26 +152,32 @@ class PrefixTree:
 
 
 class Block:
-    """The sets of one block and size class: their trie, their part keys, and which of them are known to be connected."""
+    """The sets of one block: their trie, their prefix shingles, and which of them are known to be connected."""
 
     def __init__(self, sets: list[np.ndarray], num: int, den: int):
         self.sets, self.num, self.den = sets, num, den
         self.tree, self.label = PrefixTree(sets), np.arange(len(sets))
-        self.size_class = size_class(len(sets[0])) if sets else 1
-        keys = [self._keys(h) for h in sets]
-        owner = np.repeat(np.arange(len(sets), dtype=np.int32), list(map(len, keys)))
-        key = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-        order = np.argsort(key)
-        self.key, self.owner = key[order], owner[order]
-
-    def _keys(self, h: np.ndarray) -> np.ndarray:
-        return class_keys(h, self.size_class, self.num, self.den)
+        self.token, self.often = np.unique(np.concatenate(sets) if sets else np.empty(0, np.uint64), return_counts=True)
+        held = [self._prefix(h) for h in sets]
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), list(map(len, held)))
+        at = np.concatenate(held) if held else np.empty(0, np.int64)
+        self.owner = owner[np.argsort(at, kind="stable")]
+        self.start = np.r_[0, np.cumsum(np.bincount(at, minlength=len(self.token)))]
+
+    def _prefix(self, h: np.ndarray) -> np.ndarray:
+        """Places among the block's shingles of the set's first ones by rarity in the block; those it lacks come first and drop out."""
+        at = np.minimum(np.searchsorted(self.token, h), len(self.token) - 1)
+        often = np.where(self.token[at] == h, self.often[at], 0)
+        chosen = prefix(h, often, self.num, self.den)
+        return at[chosen[often[chosen] > 0]]
 
     def _partners(self, h: np.ndarray) -> np.ndarray:
-        """Places of the sets that share a part with h; of all sets, where a search by parts would take longer."""
-        keys = self._keys(h)
-        low = np.searchsorted(self.key, keys)
-        counts = np.searchsorted(self.key, keys, "right") - low
+        """Places of the sets that share a prefix shingle with h; of all sets, where a search by these would take longer."""
+        if not len(self.token):
+            return np.empty(0, np.int64)
+        at = self._prefix(h)
+        low = self.start[at]
+        counts = self.start[at + 1] - low
         if counts.sum() > 4 * len(self.sets):
             return np.arange(len(self.sets))
         return np.unique(self.owner[np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())])
@@ -269,13 +261,13 @@ def _starred(keys: list[np.ndarray], ids: list[int], bins: int) -> Iterator[pa.R
     yield _rows(_PACKED, len(own), bin=own, payload=[_pack(key[p], doc[p], sid) for p in np.split(order, starts[1:])])
 
 
-def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins: int) -> Iterator[pa.RecordBatch]:
+def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins: int, rarity) -> Iterator[pa.RecordBatch]:
     """Of (row, doc_id, text): a row for each document (its id in a), and what _starred gives for about KEYS keys at a time.
 
-    A set that the task has met before adds no keys.
+    A set that the task has met before adds no keys. ``rarity`` is broadcast: the magnitude of each sketch cell.
     """
     keys, own, count, met = [], [], 0, set()
-    for batch in batches:
+    for batch in (part for batch in batches for part in slices(batch, "text")):
         sizes, ids = [], []
         for text in batch["text"]:
             h = shingle_set(text.as_py() or "", k)
@@ -285,7 +277,7 @@ def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins:
                 continue
             met.add(ids[-1])
             own.append(ids[-1])
-            keys.append(parts_of(h, num, den))
+            keys.append(mix(h[prefix(h, rarity.value[cells(h, 0, RARITY_BITS)], num, den)]))
             count += len(keys[-1])
             if count >= KEYS or len(own) == 1 << 16:
                 yield from _starred(keys, own, bins)
@@ -355,21 +347,27 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> It
 
 
 def _dealt(nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """(block, probe, sid) from (sid, cluster, n): each node in its own block and as a probe of the others it may link with."""
+    """(block, probe, sid) from (sid, cluster, n): each node in its own block and as a probe of the others it may link with.
+
+    ``block`` names a block's chunk: its own nodes come in each, its probes are dealt among them.
+    """
     bounds = F.array(*(F.lit(int(x)) for x in _BOUNDS))
     of_size = lambda n: F.size(F.filter(bounds, lambda x: x <= n))
     nodes = nodes.withColumn("c", of_size(F.col("n"))).withColumn("top", of_size(F.floor(F.col("n") * den / num)))
-    held = nodes.groupBy("cluster", "c").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(SHINGLES))).cast("int").alias("blocks"))
-    following = held.select("cluster", (F.col("c") - 1).alias("c"), F.col("blocks").alias("after"))
-    counts = held.join(following, ["cluster", "c"], "left")
-    nodes = nodes.join(counts, ["cluster", "c"]).withColumn("i", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    key = lambda c, i: F.xxhash64("cluster", c, i)
-    own = F.array(F.struct(key(F.col("c"), F.col("i")).alias("block"), F.lit(False).alias("probe")))
-    row = lambda c: (lambda i: F.struct(key(c, i.cast("int")).alias("block"), F.lit(True).alias("probe")))
-    none = F.array().cast("array<struct<block:bigint,probe:boolean>>")
-    later = F.when(F.col("i") + 1 < F.col("blocks"), F.transform(F.sequence(F.col("i") + 1, F.col("blocks") - 1), row(F.col("c")))).otherwise(none)
-    above = F.when(F.col("after").isNotNull() & (F.col("top") > F.col("c")), F.transform(F.sequence(F.lit(0), F.col("after") - 1), row(F.col("c") + 1))).otherwise(none)
-    return nodes.select("sid", F.explode(F.concat(own, later, above)).alias("to")).select("to.block", "to.probe", "sid")
+    blocks = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("n") / F.lit(SHINGLES))).cast("int")
+    held = nodes.groupBy("cluster", "c").agg(blocks.alias("blocks"), F.count("*").alias("rows"))
+    chunks = held.groupBy("cluster").agg(F.ceil(F.sum("rows") / F.lit(4 * BLOCK)).cast("int").alias("chunks"))
+    held = held.join(chunks, "cluster").withColumnRenamed("c", "to")
+    visits = nodes.select("sid", "cluster", "c", F.explode(F.sequence("c", "top")).alias("to"))
+    visits = heavy_join(visits, held, ["cluster", "to"], "rows").where("blocks is not null")
+    home = F.col("to") == F.col("c")
+    i = F.when(home, F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).otherwise(0)
+    visits = visits.select("sid", "cluster", "to", "chunks", home.alias("home"), i.alias("i"), F.explode(F.sequence(i, F.col("blocks") - 1)).alias("j"))
+    probe = ~(F.col("home") & (F.col("i") == F.col("j")))
+    own = F.pmod(F.xxhash64("sid", "j"), F.col("chunks")).cast("int")
+    parts = F.when(probe, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))
+    visits = visits.select("sid", "cluster", "to", "j", probe.alias("probe"), F.explode(parts).alias("chunk"))
+    return visits.select(F.xxhash64("cluster", "to", "j", "chunk").alias("block"), "probe", "sid")
 
 
 def ngram_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -378,10 +376,19 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     ``keeper`` marks the rows that hold the least (doc_id, row) of their component;
     documents without shingles are keepers. ``docs`` needs doc_id and text.
     """
+    spark, since = docs.sparkSession, mark()
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     source = source.withColumn("row", F.xxhash64("doc_id", "text"))
-    bins = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = source.mapInArrow(partial(_stars, k=k, num=num, den=den, bins=bins), _PACKED_DDL).repartition("bin").mapInArrow(_meet, _MET_DDL)
+
+    def shingles(batch: pa.RecordBatch) -> np.ndarray:
+        words = (word_hashes((text.as_py() or "").encode("utf-8", "surrogatepass"), lower=True) for text in batch["text"])
+        return np.concatenate([gram_hashes(w, k) for w in words])
+
+    rarity = spark.sparkContext.broadcast(magnitudes(source.select("text"), shingles, RARITY_BITS))  # one byte a cell
+    size = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BIN))
+    stars = partial(_stars, k=k, num=num, den=den, bins=bins, rarity=rarity)
+    met = source.mapInArrow(stars, _PACKED_DDL).repartition(bins, "bin").mapInArrow(_meet, _MET_DDL)
     met = materialize(met, "stars")
     signed = met.where("n >= 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("a").alias("sid"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
@@ -399,6 +406,7 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     classes = nodes.select("sid", "first").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "first", F.coalesce("comp", "sid").alias("comp"))
     heads = classes.groupBy("comp").agg(F.min("first").alias("head"))
     classes = materialize(classes.join(heads, "comp").select("sid", "head"), "classes")
+    release(spark, since, met, classes)
     out = signed.select("row", "doc_id", "n_shingles", "sid").join(classes, "sid", "left")
     alone = F.col("sid").isNull()
     return out.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,18 +46,54 @@ def _unpack(data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def _in_tree(made: DataFrame, tasks: int, fold: Callable, zero: Callable, pack: Callable) -> DataFrame:
+    """Rows (block, slot, counts) of ``tasks`` slots to one row a block; at each level FAN parts at most meet, one after the other."""
+    schema = "block long, slot long, counts binary"
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, total = None, None
+        give = lambda: pa.RecordBatch.from_arrays([pa.array([name[0]]), pa.array([name[1]]), pa.array([pack(total)])], ["block", "slot", "counts"])
+        for batch in batches:
+            for k, slot, part in zip(batch["block"].to_pylist(), batch["slot"].to_pylist(), batch["counts"], strict=True):
+                if (k, slot) != name:
+                    if name is not None:
+                        yield give()
+                    name, total = (k, slot), zero()
+                total = fold(total, part.as_py())
+        if name is not None:
+            yield give()
+
+    while True:
+        tasks = -(-tasks // FAN)
+        made = made.withColumn("slot", F.floor(F.col("slot") / FAN) if tasks > 1 else F.lit(0).cast("long"))
+        made = made.repartition("block", "slot").sortWithinPartitions("block", "slot").mapInArrow(merge, schema)
+        if tasks <= 1:
+            return made
+
+
+def _filled(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndarray], block: int, pack: Callable) -> DataFrame:
+    """A task's counters from ``fill``, in blocks; those all 0 left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot = TaskContext.get().partitionId()
+        for k, part in enumerate(fill(batches).reshape(-1, block)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([slot]), pa.array([pack(part)])], ["block", "slot", "counts"])
+
+    return df.mapInArrow(run, "block long, slot long, counts binary")
+
+
 def count_min(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], width_bits: int = WIDTH_BITS, depth: int = DEPTH, text: str = "text") -> list[bytes]:
     """For each sketch row the bit plane of cells counted twice or more.
 
-    Each task fills its own counters, which stop at 2, and gives them by blocks.
-    Blocks are added up in a tree: at each level ``FAN`` parts of a block at most
-    meet, one after the other. A task holds its own sketch and the driver the merged
-    one, both of the given size. No counter falls short of min(count, 2).
+    Each task fills its own counters, which stop at 2, and gives them by blocks,
+    which are added up in a tree. A task holds its own sketch and the driver the
+    merged one, both of the given size. No counter falls short of min(count, 2).
     """
     width = 1 << width_bits
     block = min(BLOCK, width)
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fill(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         own = np.zeros((depth, width), np.uint8)
         for batch in batches:
             for part in slices(batch, text):
@@ -64,38 +101,42 @@ def count_min(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], wid
                 for row in range(depth):
                     at, n = np.unique(cells(h, row, width_bits), return_counts=True)
                     own[row][at] = np.minimum(own[row][at] + np.minimum(n, 2), 2)
-        slot = TaskContext.get().partitionId()
-        for k, part in enumerate(own.reshape(-1, block)):
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([slot]), pa.array([_pack(part)])], ["block", "slot", "counts"])
+        return own
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, total = None, np.zeros(block, np.uint8)
-        give = lambda: pa.RecordBatch.from_arrays([pa.array([name[0]]), pa.array([name[1]]), pa.array([_pack(total)])], ["block", "slot", "counts"])
-        for batch in batches:
-            for k, slot, part in zip(batch["block"].to_pylist(), batch["slot"].to_pylist(), batch["counts"], strict=True):
-                if (k, slot) != name:
-                    if name is not None:
-                        yield give()
-                    name, total = (k, slot), np.zeros(block, np.uint8)
-                total = np.minimum(total + _unpack(part.as_py(), block), 2)
-        if name is not None:
-            yield give()
-
-    schema = "block long, slot long, counts binary"
-    made, left = df.mapInArrow(fill, schema), df.rdd.getNumPartitions()
-    while True:
-        left = -(-left // FAN)
-        made = made.withColumn("slot", F.floor(F.col("slot") / FAN) if left > 1 else F.lit(0).cast("long"))
-        made = made.repartition("block", "slot").sortWithinPartitions("block", "slot").mapInArrow(merge, schema)
-        if left == 1:
-            break
+    fold = lambda total, part: np.minimum(total + _unpack(part, block), 2)
+    made = _in_tree(_filled(df, fill, block, _pack), df.rdd.getNumPartitions(), fold, lambda: np.zeros(block, np.uint8), _pack)
     planes = np.zeros((depth * width // block, (block + 7) // 8), np.uint8)
     for row in made.select("block", "counts").toLocalIterator():  # at most depth * width / block rows
         planes[row["block"]] = np.packbits(_unpack(bytes(row["counts"]), block) >= 2)
     return [x.tobytes() for x in planes.reshape(depth, -1)]
 
 
+def magnitudes(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], width_bits: int, text: str = "text") -> np.ndarray:
+    """For each cell of a sketch of one row the number of binary digits of its count, over all rows of ``df``."""
+    width = 1 << width_bits
+    block = min(1 << 16, width)
+    pack = lambda counts: zlib.compress(counts.astype("<u4").tobytes(), 1)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        own, waiting, n = np.zeros(width, np.uint32), [], 0
+        for part in (part for batch in batches for part in slices(batch, text)):
+            waiting.append(cells(hashes(part), 0, width_bits))
+            n += len(waiting[-1])
+            if n >= width:
+                own += np.bincount(np.concatenate(waiting), minlength=width).astype(np.uint32)
+                waiting, n = [], 0
+        if n:
+            own += np.bincount(np.concatenate(waiting), minlength=width).astype(np.uint32)
+        return own
+
+    fold = lambda total, part: total + np.frombuffer(zlib.decompress(part), "<u4")
+    made = _in_tree(_filled(df, fill, block, pack), df.rdd.getNumPartitions(), fold, lambda: np.zeros(block, np.uint64), lambda total: pack(np.minimum(total, 2**32 - 1)))
+    out = np.zeros((width // block, block), np.uint8)
+    for row in made.select("block", "counts").toLocalIterator():  # width / block rows
+        out[row["block"]] = np.frexp(np.frombuffer(zlib.decompress(bytes(row["counts"])), "<u4"))[1]
+    return out.ravel()
+
+
 def seen_twice(planes: list[bytes], h: np.ndarray) -> np.ndarray:
     """True for every hash counted twice or more, and for a few others."""
     out = np.ones(len(h), bool)

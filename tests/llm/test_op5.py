@@ -56,7 +56,7 @@ def made(seed, n):
     return rows
 
 
-@pytest.mark.parametrize(("k", "num", "block"), [(4, 85, 1024), (5, 80, 4)])
+@pytest.mark.parametrize(("k", "num", "block"), [(4, 85, 1024), (5, 80, 4), (3, 60, 8), (2, 40, 4096)])
 def test_components_equal_brute_force(spark, monkeypatch, k, num, block):
     monkeypatch.setattr("pubmill.llm.op5_prefix_tree_join.BLOCK", block)
     rows = made(k, 260) + [(None, "a lone null id text of some words here"), (7000, None), (7001, ""), (7002, " \t\n"), (7003, "ONE"), (7004, "one"), (7005, "École é"), (7005, "École é"), (7006, "école é")]
@@ -67,6 +67,32 @@ def test_components_equal_brute_force(spark, monkeypatch, k, num, block):
     assert len({(r.component_id, r.doc_id) for r in got if r.keeper and r.n_shingles}) == len({r.component_id for r in got if r.n_shingles})
 
 
+def test_linked_sets_share_a_prefix_shingle():
+    import numpy as np
+
+    from pubmill.llm.op5_prefix_tree_join import prefix
+
+    rng = np.random.default_rng(2)
+    rarity = rng.integers(0, 6, 3000)
+    for num in (60, 80, 85, 100):
+        for _ in range(300):
+            base = np.unique(rng.integers(0, 3000, rng.integers(1, 60)).astype(np.uint64))
+            other = np.unique(np.where(rng.random(len(base)) < 0.1, rng.integers(0, 3000, len(base)).astype(np.uint64), base))
+            if 100 * len(np.intersect1d(base, other)) >= num * len(np.union1d(base, other)):
+                a, b = (h[prefix(h, rarity[h.astype(int)], num, 100)] for h in (base, other))
+                assert len(np.intersect1d(a, b))
+
+
+def test_components_of_a_hub(spark):
+    from pubmill.llm.links import connected
+
+    rows = [(5_000_000, i) for i in range(3000)] + [(i, i + 1_000_000) for i in range(0, 3000, 3)] + [(7, 7), (9_000_001, 9_000_002), (9_000_002, 9_000_003)]
+    got = {r.node: r.comp for r in connected(spark.createDataFrame(rows, "a long, b long").repartition(9)).collect()}
+    assert {n for n, c in got.items() if c == 9_000_001} == {9_000_001, 9_000_002, 9_000_003}
+    assert len(got) == 1 + 3000 + 1000 + 3 and set(got.values()) == {0, 9_000_001}
+    assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_empty_table(spark):
     assert ngram_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -74,3 +74,72 @@ def process_number(digits_column: Column) -> Column:
     """17 digits as 00000.000000/0000-00."""
     part = lambda a, n: F.substring(digits_column, a, n)
     return F.concat(part(1, 5), F.lit("."), part(6, 6), F.lit("/"), part(12, 4), F.lit("-"), part(16, 2))
+
+
+_PLAIN_NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,2})?\s*$"
+
+
+def number_digits(text: Column) -> Column:
+    """Digits only; a whole number written as a float (123.0, 1e5) is written out first. Null gives ''."""
+    value = F.when(text.rlike(_PLAIN_NUMBER), F.trim(text).try_cast("double"))
+    whole = value.isNotNull() & (value == F.floor(value)) & (F.abs(value) < 1e18)
+    return digits(F.when(whole, value.cast("decimal(38,0)").cast("string")).otherwise(text))
+
+
+def page_norm(text: Column) -> Column:
+    """As ``normalise``, with all but a-z and 0-9 to single spaces."""
+    return comparison_key(text)
+
+
+def accent_norm(text: Column) -> Column:
+    """Trimmed, lower case, white space reduced, accents off; punctuation stays. Null gives ''."""
+    return strip_accents(F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))))
+
+
+def title_norm(text: Column) -> Column:
+    """For titles: ordinal marks and signs off, accents off, lower case; / . and - stay, other punctuation to single spaces."""
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u00ba\u00aa\u00b0]", "")
+    ascii_only = F.regexp_replace(strip_accents(plain), r"[^\x00-\x7F]", "")
+    return F.trim(F.regexp_replace(F.lower(ascii_only), r"[^a-z0-9/.-]+", " "))
+
+
+def shorten(text: Column, most: int, rule: str = "after") -> Column:
+    """A text over ``most`` characters cut there: "after" adds an ellipsis, "within" counts it in, "trimmed" adds it after trailing spaces go."""
+    cut = F.substring(text, 1, most - 3 if rule == "within" else most)
+    cut = F.rtrim(cut) if rule == "trimmed" else cut
+    return F.when(F.length(text) > most, F.concat(cut, F.lit("..."))).otherwise(text)
+
+
+def parse_date(text: Column) -> Column:
+    """A date written yyyy-MM-dd or dd/MM/yyyy; else null."""
+    t = F.trim(text)
+    iso = F.when(t.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
+    return F.coalesce(iso, F.when(t.rlike("^[0-9]{2}/[0-9]{2}/[0-9]{4}$"), F.try_to_date(t, "dd/MM/yyyy")))
+
+
+def percent_text(share: Column) -> Column:
+    """A share of 100 with two decimals and a decimal comma."""
+    return F.concat(F.replace(F.format_string("%.2f", share), F.lit("."), F.lit(",")), F.lit("%"))
+
+
+def first_filled(*columns: Column) -> Column:
+    """The first that is neither null nor blank, trimmed; '' if none is."""
+    return F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in columns), F.lit(""))
+
+
+def ordered_distinct(values: Column) -> Column:
+    """The first of the values that share a comparison key, in their order; blank ones go."""
+    keys = F.transform(values, comparison_key)
+    return F.filter(values, lambda x, i: (comparison_key(x) != "") & (F.array_position(keys, comparison_key(x)) == i + 1))
+
+
+def flexible_term(text: Column, term: str) -> Column:
+    """Whole-term containment in an ``accent_norm`` text: any white space between the term's words, no letter or digit beside it."""
+    words = r"\s+".join(f"\\Q{w}\\E" for w in term.split())
+    return text.rlike(f"(?<![a-z0-9]){words}(?![a-z0-9])")
+
+
+def title_kind(title: Column, acts: tuple[str, ...]) -> Column:
+    """ACT where the title holds a word for an official act, PERSON for up to six words of which three begin in capitals, else OTHER."""
+    named = F.regexp_count(title, F.lit(r"\b[A-Z][a-z]+"))
+    return F.when(comparison_key(title).rlike("|".join(acts)), "ACT").when((named >= 3) & (F.size(F.split(F.trim(title), r"\s+")) <= 6), "PERSON").otherwise("OTHER")

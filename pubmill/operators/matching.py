@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
 
-#: A watchlist is a dimension; up to this many terms it is broadcast, beyond it joined on its first token.
-BROADCAST_TERMS = 10_000
+#: A watchlist of up to this many terms is one array in the plan; a longer one is joined on its terms' first tokens.
+LITERAL_TERMS = 200
+#: Digits of an id that candidates are found by.
+SEED = 5
 # The demonstration watchlist (term, category), in order.
 WATCHLIST = (
     ("licensed under", "licence"), ("public license", "licence"), ("mit license", "licence"), ("apache license version 2 0", "licence"),
@@ -20,7 +21,7 @@ EXCLUDED, RESCUED = ("nicht", "pour", "para"), ("public license", "mit license")
 LEVELS = ("CRITICAL", "STRONG", "MEDIUM", "LOW", "NONE")
 
 
-def publications(docs: DataFrame, most: int | None = 80) -> DataFrame:
+def publications(docs: DataFrame, most: int | None = None) -> DataFrame:
     """Documents as publications: id, title (first ``most`` characters of the first line, all with None), body and their normalised forms."""
     title = T.first_line(F.col("text"), most)
     return docs.select("doc_id", F.col("lang").alias("section"), F.col("source").alias("organ"), title.alias("title"), "text").withColumn("norm", T.normalise(F.col("text"))).withColumn("norm_title", T.normalise(F.col("title")))
@@ -31,18 +32,90 @@ def watchlist(spark: SparkSession, terms=WATCHLIST) -> DataFrame:
     return spark.createDataFrame(rows, "ord int, term string, category string")
 
 
-def match(pubs: DataFrame, terms: DataFrame, size: int = len(WATCHLIST)) -> DataFrame:
-    """(doc_id, ord, term, category), one row a publication and term that it holds as a whole.
+def with_hits(pubs: DataFrame, terms: DataFrame, most: int | None = None) -> DataFrame:
+    """``pubs`` with hits: the terms (ord, term, category) that its norm holds as a whole, by ord.
 
-    A short watchlist is one array literal searched in one pass without a join. A
-    longer one joins on its first token, which every match must hold, and is
-    verified by containment.
+    A watchlist of up to ``most`` terms is measured and becomes one array that a
+    single pass filters: no join. A longer one is joined on each term's first token,
+    which every match must hold; only (doc_id, token) pairs travel to that join, and
+    what it finds is checked against the text.
     """
-    if size <= BROADCAST_TERMS:
-        return pubs.join(F.broadcast(terms), T.has_term(F.col("norm"), F.col("term"))).select("doc_id", "ord", "term", "category")
-    keyed = terms.withColumn("head", F.element_at(F.split("term", " "), 1))
-    tokens = pubs.select("doc_id", "norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("head"))
-    return tokens.join(keyed, "head").where(T.has_term(F.col("norm"), F.col("term"))).select("doc_id", "ord", "term", "category")
+    most = LITERAL_TERMS if most is None else most
+    kind = "array<struct<ord:int,term:string,category:string>>"
+    inside = lambda t: T.has_term(F.col("norm"), t["term"])
+    rows = terms.select(F.col("ord").cast("int").alias("ord"), "term", "category").orderBy("ord").limit(most + 1).collect()  # bounded
+    if len(rows) <= most:
+        hit = lambda r: F.when(F.contains("__padded", F.lit(f" {r['term']} ")), F.struct(*(F.lit(v).alias(k) for k, v in r.asDict().items())))
+        hits = F.array_compact(F.array(*map(hit, rows))) if rows else F.array()
+        return pubs.withColumn("__padded", F.concat(F.lit(" "), "norm", F.lit(" "))).withColumn("hits", hits.cast(kind)).drop("__padded")
+    keyed = terms.select(F.struct(F.col("ord").cast("int").alias("ord"), "term", "category").alias("t"), F.element_at(F.split("term", " "), 1).alias("head"))
+    tokens = pubs.select("doc_id", F.explode(F.array_distinct(F.split("norm", " "))).alias("head"))
+    found = tokens.join(keyed, "head").groupBy("doc_id").agg(F.array_sort(F.collect_set("t")).alias("__t"))
+    listed = F.coalesce("__t", F.array().cast(kind)).cast(kind)
+    return pubs.join(found, "doc_id", "left").withColumn("hits", F.filter(listed, inside)).drop("__t")
+
+
+def match(pubs: DataFrame, terms: DataFrame, most: int | None = None) -> DataFrame:
+    """(doc_id, ord, term, category), one row a publication and term that it holds as a whole."""
+    return with_hits(pubs, terms, most).select("doc_id", F.inline("hits"))
+
+
+def match_ids(pubs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, id) of each id (digits only) that a publication's digits, all put together, hold.
+
+    Digits of neighbouring numbers run on, so an id may span two of them. Ids share
+    ``SEED`` digits with the text at some place: pairs come from an equi-join on these.
+    """
+    seed = F.substring("id", 1, SEED)
+    digits = pubs.select("doc_id", T.digits(F.col("text")).alias("digits"))
+    grams = F.transform(F.sequence(F.lit(1), F.length("digits") - SEED + 1), lambda i: F.substring(F.col("digits"), i, F.lit(SEED)))
+    at = digits.where(F.length("digits") >= SEED).select("doc_id", F.explode(F.array_distinct(grams)).alias("seed"))
+    found = at.join(ids.where(F.length("id") >= SEED).select("id", seed.alias("seed")), "seed").select("doc_id", "id")
+    return found.join(digits, "doc_id").where(F.contains("digits", F.col("id"))).select("doc_id", "id").distinct()
+
+
+def strong_tokens(term: Column) -> Column:
+    """Tokens of a normalised term that identify a product: four characters or more, not all digits."""
+    return F.array_distinct(F.filter(F.split(term, " "), lambda t: (F.length(t) >= 4) & ~t.rlike("^[0-9]+$")))
+
+
+def all_near(tokens: Column, wanted: Column, within: int = 12) -> Column:
+    """Every wanted token occurs at most ``within`` positions from one occurrence of some wanted token; two tokens at least."""
+    at = F.filter(F.transform(tokens, lambda x, i: F.struct(x.alias("t"), i.alias("i"))), lambda p: F.array_contains(wanted, p["t"]))
+    close = F.exists(at, lambda a: F.forall(wanted, lambda w: F.exists(at, lambda p: (p["t"] == w) & (F.abs(p["i"] - a["i"]) <= within))))
+    return (F.size(wanted) >= 2) & close
+
+
+def hybrid_hit(norm: Column, digits: Column, term: Column, kind: Column, origin: Column) -> Column:
+    """How a number or hybrid term matches: number, hybrid, text, or null.
+
+    Numbers are searched in the text's digits. A product holds as a whole or by its
+    strong tokens near each other; a monograph as a whole without its leading code;
+    another hybrid by every token as a substring, else as a whole term.
+    """
+    tokens = F.split(norm, " ")
+    whole = T.has_term(norm, term)
+    product = whole | all_near(tokens, strong_tokens(term))
+    named = F.regexp_replace(term, r"^[a-z]?[0-9]+ ", "")
+    monograph = (named != "") & T.has_term(norm, named)
+    loose = F.forall(F.split(term, " "), lambda t: F.contains(norm, t))
+    found = F.when(origin == "product", product).when(origin == "monograph", monograph).otherwise(loose)
+    return F.when(kind == "number", F.when((T.digits(term) != "") & F.contains(digits, T.digits(term)), "number")).otherwise(F.when(found, "hybrid").when(whole, "text"))
+
+
+def match_hybrid(pubs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, ord, term, how) for terms (ord, term, kind, origin), a list of at most LITERAL_TERMS; one pass, no join."""
+    rows = terms.orderBy("ord").limit(LITERAL_TERMS + 1).collect()  # bounded
+    if len(rows) > LITERAL_TERMS:
+        raise ValueError(f"more than {LITERAL_TERMS} number and hybrid terms")
+    pubs = pubs.select("doc_id", "norm", T.digits(F.col("text")).alias("digits"))
+
+    def one(r):
+        how = hybrid_hit(F.col("norm"), F.col("digits"), F.lit(r["term"]), F.lit(r["kind"]), F.lit(r["origin"]))
+        return F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["term"]).alias("term"), how.alias("how"))
+
+    found = pubs.select("doc_id", F.array(*map(one, rows)).alias("found"))
+    return found.select("doc_id", F.inline(F.filter("found", lambda h: h["how"].isNotNull())))
 
 
 def near(norm: Column, first: str, second: str, within: int = 12) -> Column:
@@ -59,15 +132,16 @@ def any_term(norm: Column, terms) -> Column:
     return out
 
 
-def exclusion(pubs: DataFrame) -> DataFrame:
-    """status of each publication: title exclusion first, rescued by its body or not."""
-    out, back = any_term(F.col("norm_title"), EXCLUDED), any_term(F.col("norm"), RESCUED)
-    return pubs.withColumn("status", F.when(~out, "OPEN").when(back, "RESCUED").otherwise("EXCLUDED"))
+def exclusion(pubs: DataFrame, excluded=EXCLUDED, rescued=RESCUED) -> DataFrame:
+    """status of each publication: title exclusion first, rescued by its body or not; and the first excluding term of the list."""
+    out, back = any_term(F.col("norm_title"), excluded), any_term(F.col("norm"), rescued)
+    by = F.get(F.filter(F.lit(list(excluded)), lambda t: T.has_term(F.col("norm_title"), t)), F.lit(0)) if excluded else F.lit(None).cast("string")
+    return pubs.withColumn("status", F.when(~out, "OPEN").when(back, "RESCUED").otherwise("EXCLUDED")).withColumn("excluded_by", by)
 
 
-def flags(pubs: DataFrame, matches: DataFrame) -> DataFrame:
-    """Categories matched by each publication, as a set."""
-    return pubs.join(matches.groupBy("doc_id").agg(F.collect_set("category").alias("cats"), F.count("*").alias("n_terms")), "doc_id", "left")
+def without_excluded(hits: Column, excluded=EXCLUDED) -> Column:
+    """Hits whose own term is no excluding term."""
+    return F.filter(hits, lambda h: ~h["term"].isin(*excluded)) if excluded else hits
 
 
 def context_level(cats: Column) -> Column:
@@ -85,15 +159,18 @@ def context_level(cats: Column) -> Column:
     )
 
 
-def scored(docs: DataFrame, most: int | None = 80) -> DataFrame:
-    """Publications with status, level and rank: excluded ones have no level."""
-    pubs = exclusion(publications(docs, most))
-    out = flags(pubs, match(pubs, watchlist(docs.sparkSession)))
-    open_cats = F.when(F.col("status") != "EXCLUDED", F.col("cats"))
-    tree = context_level(open_cats)
-    return out.select("doc_id", "section", "organ", "title", "status", F.coalesce("n_terms", F.lit(0)).cast("long").alias("n_terms"), tree["level"].alias("level"), tree["rank"].cast("long").alias("rank"))
+def scored(docs: DataFrame, most: int | None = None, terms: DataFrame | None = None) -> DataFrame:
+    """Publications with hits, status, level and rank, from one pass over the texts: excluded ones have no level."""
+    pubs = with_hits(exclusion(publications(docs, most)), watchlist(docs.sparkSession) if terms is None else terms)
+    cats = F.array_distinct(F.transform("hits", lambda h: h["category"]))
+    tree = context_level(F.when(F.col("status") != "EXCLUDED", cats))
+    return pubs.select("doc_id", "section", "organ", "title", "status", "hits", F.size("hits").cast("long").alias("n_terms"), tree["level"].alias("level"), tree["rank"].cast("long").alias("rank"))
 
 
 def ordered_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """First row of each key in a stated order: what 'first wins' means once rows are distributed."""
-    return df.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
+    """First row of each key in a stated order: what 'first wins' means once rows are distributed.
+
+    The least of (order, row), so rows combine before they are shuffled and no key is gathered.
+    """
+    place = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)), F.struct(*df.columns).alias("row"))
+    return df.groupBy(*keys).agg(F.min(place).alias("__least")).select("__least.row.*")

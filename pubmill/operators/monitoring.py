@@ -73,3 +73,9 @@ def outbox(found: DataFrame, sent: DataFrame) -> DataFrame:
     """Pending items of found (key, ord, payload): each key once, its first payload, never one already sent."""
     first = found.groupBy("key").agg(F.min_by("payload", "ord").alias("payload"), F.count("*").alias("seen"))
     return first.join(sent.select("key"), "key", "left_anti")
+
+
+def difference(left: DataFrame, right: DataFrame, only_left: str, only_right: str) -> DataFrame:
+    """Rows of one side that the other lacks, with the side's name; both have the same columns, each row once."""
+    keys = left.columns
+    return left.join(right, keys, "left_anti").withColumn("side", F.lit(only_left)).unionByName(right.join(left, keys, "left_anti").withColumn("side", F.lit(only_right)))

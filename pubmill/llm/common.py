@@ -73,17 +73,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def heavy_join(left: DataFrame, right: DataFrame, on: list[str], rows: str) -> DataFrame:
+def heavy_join(left: DataFrame, right: DataFrame, on: list[str], rows: str, total: int | None = None) -> DataFrame:
     """Left join with a ``right`` of unique keys ``on``, whose column ``rows`` says how many rows of left have the key.
 
-    Keys with more than one in HEAVY of these rows would each fill a task: they,
-    HEAVY at most, are joined by broadcast, and the rest by shuffle. Nulls match no key.
+    Keys with more than one in HEAVY of the ``total`` rows (their sum, where it is not
+    given) would each fill a task: they, HEAVY at most, are joined by broadcast, and
+    the rest by shuffle. Nulls match no key.
     """
     value = [c for c in right.columns if c not in (*on, rows)]
-    total = right.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("__total"))  # one row
-    ranked = right.crossJoin(F.broadcast(total)).withColumn("__heavy", F.col(rows) * HEAVY > F.col("__total"))
-    heavy = ranked.where("__heavy").select(*on, F.struct(*value).alias("__value"))
-    light = ranked.where("not __heavy").select(*on, *value)
+    if total is None:
+        total = right.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
+    heavy = right.where(F.col(rows) * HEAVY > total).select(*on, F.struct(*value).alias("__value"))
+    light = right.where(F.col(rows) * HEAVY <= total).select(*on, *value)
     tried = left.join(F.broadcast(heavy), on, "left")
     done = tried.where("__value is not null").select(*left.columns, *(F.col("__value")[v].alias(v) for v in value))
     rest = tried.where("__value is null").select(*left.columns).join(light, on, "left").select(*left.columns, *value)

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from .common import heavy_join, mark, materialize, release
 
 
-def _to_least(pairs: DataFrame) -> DataFrame:
+def _to_least(pairs: DataFrame, total: int) -> DataFrame:
     """(u, v) with the least neighbour m of u, u itself included; a node of very many links is joined by broadcast."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("rows")).select("u", F.least("u", "m").alias("m"), "rows")
-    return heavy_join(pairs, least, ["u"], "rows")
+    return heavy_join(pairs, least, ["u"], "rows", total)
 
 
 def _digest(edges: DataFrame):
@@ -30,9 +30,9 @@ def connected(links: DataFrame) -> DataFrame:
     before = _digest(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _to_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = _to_least(both, 2 * before[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = materialize(large, "edges")
-        small = _to_least(large)
+        small = _to_least(large, before[0])
         moved = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         edges = materialize(moved.where("u <> v").distinct(), "edges")
         release(spark, since, edges)

@@ -6,28 +6,33 @@ A document is the set of its distinct k-word shingles, held in one global order
 
 1. Equal sets become one node. A node's id is a 64-bit hash of its set; among
    10 ** 9 distinct sets two share an id with a chance of 3 %.
-2. Filtering. A second global order has rare shingles first: by the magnitude of
-   a shingle's count in a merged sketch over all texts, then by hash. Sets that
-   link share a shingle among the first n - ceil(num * n / den) + 1 of each (n its
-   size), whatever the order; so nodes that share none of these are never
-   compared, and common passages hardly bring texts together.
-3. Candidate clusters: a shingle of these prefixes links its nodes to the least of
-   them, first within a batch, then over the batches, so a hot one costs a row per
-   batch. Nodes that these links connect form a cluster; nodes of different
-   clusters never link.
+2. Filtering. If two sets link, at most D of their shingles differ, where D
+   follows from their sizes. Sets are cut into P = 3/2 D parts and some by shingle
+   hash, so at least P - D parts are the same in both. A part is as rare as its
+   rarest shingle, by the magnitude of the count of each in a merged sketch over all
+   texts. In the order of rarity, then of hash, the first D + 1 parts of either set
+   hold a part that is the same in both: only these are keys, and parts that lie
+   within a common passage hardly ever are. A part key carries its size class, and a
+   set goes to the class of every possible larger partner. Parts empty in both sets
+   prove nothing; a set that has as many empty parts as P - D is cut in another way
+   as well.
+3. Candidate clusters: a key links its nodes to the least of them, first within a
+   batch, then over the batches, so a hot key costs a row per batch. Nodes that
+   these links connect form a cluster; nodes of different clusters never link.
 4. A cluster's nodes are dealt by size class and id hash into blocks of about
    ``BLOCK`` nodes, or ``SHINGLES`` shingles if that is less. A node probes its own
    block, the later blocks of its class, and those of every higher class that a
    partner can be in; probes of a block come in chunks, each a task's work of bounded
    size. No pair is written out.
 5. Prefix tree: a block's ordered sets are stored in a trie, whose edges hold up
-   to ``EDGE`` shingles. A probe goes down the branches of the sets it shares a
-   prefix shingle with (rarity now counted in the block), level by level: overlap
-   with a shared prefix is counted once, and a subtree goes as soon as the overlap
+   to ``EDGE`` shingles. Sets that link share a shingle among the first
+   n - ceil(num * n / den) + 1 of each (n its size) in any one order; a probe goes down
+   the branches of the sets it shares such a shingle with, by rarity in the block,
+   level by level: overlap with a shared prefix is counted once, and a subtree goes as soon as the overlap
    so far and the remaining lengths cannot reach the threshold. Sets already known
    to be connected are not compared again.
 
-Only texts of nodes that share such a shingle travel, and each link is verified on
+Only texts of nodes that share a part travel, and each link is verified on
 whole sets. A cluster of m nodes of one size costs m / (2 * BLOCK) probes a node.
 
 Cases: null and empty texts have no shingles and stay alone; repeated rows
@@ -49,11 +54,11 @@ from .common import gram_hashes, heavy_join, mark, materialize, mix, release, sh
 from .links import connected
 from .sketch import cells, magnitudes
 
-#: Nodes of a block, and shingles on an edge of its trie.
-BLOCK, EDGE = 4096, 32
-#: Shingles of a block, and prefix shingles that a task sorts at a time: what its memory follows.
+#: Nodes of a block, shingles on an edge of its trie, and cuts tried for a set with many empty parts.
+BLOCK, EDGE, SEEDS = 4096, 32, 6
+#: Shingles of a block, and part keys that a task sorts at a time: what its memory follows.
 SHINGLES, KEYS = 1 << 21, 1 << 20
-#: Bytes of text whose prefix shingles meet in one bin.
+#: Bytes of text whose part keys meet in one bin.
 BIN = 256 << 20
 #: Cells of the sketch that orders shingles by rarity, as bits: its size does not change what is found.
 RARITY_BITS = 22
@@ -82,10 +87,43 @@ def prefix(h: np.ndarray, rarity: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.argsort(rarity, kind="stable")[: prefix_length(len(h), num, den)]
 
 
+def class_keys(h: np.ndarray, rarity: np.ndarray, c: int, num: int, den: int) -> np.ndarray:
+    """Part keys of a set for partners of size class c; two sets that link share one at least.
+
+    Where a set has so many empty parts that all agreeing ones may be empty in both,
+    it has the keys of another cut as well; after SEEDS cuts its empty parts count.
+    """
+    differ = 2 * (int(_BOUNDS[c]) - 1) * (den - num) // (den + num)
+    if not differ:
+        return np.empty(0, np.uint64)  # equal sets only, and those are one node
+    parts, keys = differ + 1 + differ // 2, []
+    for seed in range(SEEDS):
+        part = (mix(h ^ np.uint64(0x2545F4914F6CDD1D + seed)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        held, starts = np.unique(part[order], return_index=True)
+        sums, rare = np.add.reduceat(h[order], starts), np.minimum.reduceat(rarity[order], starts)
+        few = parts - len(held) < parts - differ
+        if not few and seed == SEEDS - 1:
+            empty = np.setdiff1d(np.arange(parts), held)
+            sums, rare, held = np.r_[sums, np.zeros(len(empty), np.uint64)], np.r_[rare, np.full(len(empty), 255, rare.dtype)], np.r_[held, empty]
+        own = mix(mix(sums) + held.astype(np.uint64) * np.uint64(2654435761) + np.uint64((c << 40) + (seed << 36)))
+        keys.append(own[np.lexsort((own, rare))[: differ + 1]])
+        if few:
+            break
+    return np.concatenate(keys)
+
+
 def size_class(n: int) -> int:
     return int(np.searchsorted(_BOUNDS, n, "right"))
 
 
+def parts_of(h: np.ndarray, rarity: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Part keys of a set, for every class that a partner of its size or more can be of."""
+    if not len(h):
+        return np.empty(0, np.uint64)
+    return np.concatenate([class_keys(h, rarity, c, num, den) for c in range(size_class(len(h)), size_class(len(h) * den // num) + 1)])
+
+
 def set_id(h: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(h + np.uint64(len(h)))).astype(np.int64)) if len(h) else 0
 
@@ -277,7 +315,7 @@ def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins:
                 continue
             met.add(ids[-1])
             own.append(ids[-1])
-            keys.append(mix(h[prefix(h, rarity.value[cells(h, 0, RARITY_BITS)], num, den)]))
+            keys.append(parts_of(h, rarity.value[cells(h, 0, RARITY_BITS)], num, den))
             count += len(keys[-1])
             if count >= KEYS or len(own) == 1 << 16:
                 yield from _starred(keys, own, bins)

@@ -192,6 +192,10 @@ SECTIONS = (
 EVIDENCE = 10
 
 
+def _told(name: str) -> Column:
+    return F.transform(F.slice(F.col(name), 1, EVIDENCE), lambda t: F.concat(F.lit(f"{name}: "), t))
+
+
 def curate(found: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFrame:
     """``found`` (an array of terms for each name that ``sections`` need) with section, relevance and evidence of the first that holds.
 
@@ -199,7 +203,7 @@ def curate(found: DataFrame, sections: Sequence[Section] = SECTIONS) -> DataFram
     """
     out = None
     for s in sections:
-        lines = [F.transform(F.slice(F.col(name), 1, EVIDENCE), lambda t, name=name: F.concat(F.lit(f"{name}: "), t)) for name in s.needs]
+        lines = [_told(name) for name in s.needs]
         leaf = F.struct(F.lit(s.section).alias("section"), F.lit(s.relevance).alias("relevance"), (F.concat(*lines) if lines else F.array().cast("array<string>")).alias("evidence"))
         holds = reduce(lambda a, b: a & b, [F.size(name) > 0 for name in s.needs], F.lit(True))
         out = F.when(holds, leaf) if out is None else out.when(holds, leaf)

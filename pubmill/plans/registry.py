@@ -9,38 +9,11 @@ from pubmill.functions import text as T
 from pubmill.operators import highlights as H
 from pubmill.operators import matching as M
 from pubmill.operators import monitoring as O
+from pubmill.plans.base import ORACLE_SQL, QUERIES, n, query, table
+from pubmill.plans.base import norm_sql as _norm
+from pubmill.plans.base import values as _in
 from pubmill.sources.archive import strip_html
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE_SQL[fn.__name__] = sql
-        return fn
-
-    return add
-
-
-def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def n(c="*"):
-    return F.count(c).cast("bigint")
-
-
-def _in(rows) -> str:
-    return ", ".join("(" + ", ".join(repr(x) for x in r) + ")" for r in rows)
-
-
-def _norm(c: str) -> str:
-    return rf"trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(coalesce({c}, '')),'[^\x00-\x7F]','','g')),'[^\w\s]',' ','g'),'\s+',' ','g'))"
-
-
 _LINE = "split_part(coalesce(text, ''), chr(10), 1)"
 _PUBS = f"p AS (SELECT doc_id, lang AS section, source AS organ, {_LINE} AS title, text, {_norm('text')} AS norm, {_norm(_LINE)} AS norm_title FROM documents)"
 _TERMS = f"w(ord, term, category) AS (VALUES {_in([(i + 1, t, c) for i, (t, c) in enumerate(M.WATCHLIST)])})"
@@ -382,3 +355,5 @@ def q_highlight_spans(spark, d):
 #: Names from a time when the plain ones had a cut; both do the whole job now.
 for _name in "grid_status coverage_gap relevance_order top_terms keyword_rank exclusion_rescue context_score audit_summary confidence bucketed view_groupingsets pivot_terms".split():
     QUERIES[f"q_{_name}_whole"], ORACLE_SQL[f"q_{_name}_whole"] = QUERIES[f"q_{_name}"], ORACLE_SQL[f"q_{_name}"]
+
+from pubmill.plans import context_queries, record_queries, source_queries, state_queries  # noqa: E402,F401

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
 
-#: A watchlist of up to this many terms is one array in the plan; a longer one is joined on its terms' first tokens.
-LITERAL_TERMS = 200
+#: A list of up to this many terms goes to every task with the plan; a longer one is joined on its terms' first tokens.
+BROADCAST_TERMS = 200
 #: Digits of an id that candidates are found by.
 SEED = 5
 # The demonstration watchlist (term, category), in order.
@@ -32,19 +32,20 @@ def watchlist(spark: SparkSession, terms=WATCHLIST) -> DataFrame:
     return spark.createDataFrame(rows, "ord int, term string, category string")
 
 
-def with_hits(pubs: DataFrame, terms: DataFrame, most: int | None = None) -> DataFrame:
+def with_hits(pubs: DataFrame, terms: DataFrame, size: int | None = None) -> DataFrame:
     """``pubs`` with hits: the terms (ord, term, category) that its norm holds as a whole, by ord.
 
-    A watchlist of up to ``most`` terms is measured and becomes one array that a
-    single pass filters: no join. A longer one is joined on each term's first token,
+    A watchlist is measured, unless ``size`` says that it is long. Up to BROADCAST_TERMS
+    terms become one array, filled in a single pass: no join. A longer one is joined on each term's first token,
     which every match must hold; only (doc_id, token) pairs travel to that join, and
     what it finds is checked against the text.
     """
-    most = LITERAL_TERMS if most is None else most
+    most = BROADCAST_TERMS
     kind = "array<struct<ord:int,term:string,category:string>>"
     inside = lambda t: T.has_term(F.col("norm"), t["term"])
-    rows = terms.select(F.col("ord").cast("int").alias("ord"), "term", "category").orderBy("ord").limit(most + 1).collect()  # bounded
-    if len(rows) <= most:
+    own = terms.select(F.col("ord").cast("int").alias("ord"), "term", "category")
+    rows = [] if size is not None and size > most else own.orderBy("ord").limit(most + 1).collect()  # bounded
+    if (size is None or size <= most) and len(rows) <= most:
         hit = lambda r: F.when(F.contains("__padded", F.lit(f" {r['term']} ")), F.struct(*(F.lit(v).alias(k) for k, v in r.asDict().items())))
         hits = F.array_compact(F.array(*map(hit, rows))) if rows else F.array()
         return pubs.withColumn("__padded", F.concat(F.lit(" "), "norm", F.lit(" "))).withColumn("hits", hits.cast(kind)).drop("__padded")
@@ -55,9 +56,9 @@ def with_hits(pubs: DataFrame, terms: DataFrame, most: int | None = None) -> Dat
     return pubs.join(found, "doc_id", "left").withColumn("hits", F.filter(listed, inside)).drop("__t")
 
 
-def match(pubs: DataFrame, terms: DataFrame, most: int | None = None) -> DataFrame:
+def match(pubs: DataFrame, terms: DataFrame, size: int | None = None) -> DataFrame:
     """(doc_id, ord, term, category), one row a publication and term that it holds as a whole."""
-    return with_hits(pubs, terms, most).select("doc_id", F.inline("hits"))
+    return with_hits(pubs, terms, size).select("doc_id", F.inline("hits"))
 
 
 def match_ids(pubs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -104,10 +105,10 @@ def hybrid_hit(norm: Column, digits: Column, term: Column, kind: Column, origin:
 
 
 def match_hybrid(pubs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, ord, term, how) for terms (ord, term, kind, origin), a list of at most LITERAL_TERMS; one pass, no join."""
-    rows = terms.orderBy("ord").limit(LITERAL_TERMS + 1).collect()  # bounded
-    if len(rows) > LITERAL_TERMS:
-        raise ValueError(f"more than {LITERAL_TERMS} number and hybrid terms")
+    """(doc_id, ord, term, how) for terms (ord, term, kind, origin), a list of at most BROADCAST_TERMS; one pass, no join."""
+    rows = terms.orderBy("ord").limit(BROADCAST_TERMS + 1).collect()  # bounded
+    if len(rows) > BROADCAST_TERMS:
+        raise ValueError(f"more than {BROADCAST_TERMS} number and hybrid terms")
     pubs = pubs.select("doc_id", "norm", T.digits(F.col("text")).alias("digits"))
 
     def one(r):

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,37 +14,60 @@ from pyspark.sql import functions as F
 
 # The XML tags read, matched without regard to case or namespace.
 TAGS = ("identifica", "data", "ementa", "titulo", "subtitulo", "texto")
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def read_zips(spark: SparkSession, path: str) -> DataFrame:
-    """(zip, xml_name, xml, error): a row for each XML entry, or one with an error for a broken archive."""
+def _fields(xml: str) -> tuple[dict[str, str], str | None]:
+    """The text of the first element of each tag, and why there is none where the XML is malformed."""
+    try:
+        root = ElementTree.fromstring(xml)
+    except ElementTree.ParseError as e:
+        return {}, f"malformed XML: {e}"
+    held: dict[str, str] = {}
+    for element in root.iter():
+        name = element.tag.rsplit("}", 1)[-1].lower() if isinstance(element.tag, str) else ""
+        if name in TAGS and name not in held:
+            held[name] = "".join(element.itertext()).strip()
+    return held, None
+
+
+def read_zips(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """(zip, xml_name, place, the text of each tag, error): a row for each XML entry.
+
+    place counts an archive's entries in their natural order (numbers in names by
+    value). A broken archive gives one row with an error, and so does an entry that is
+    no well-formed XML; with ``strict`` a broken archive fails the job instead.
+    """
+
+    def natural(name: str) -> list:
+        return [(0, int(p), "") if p.isdigit() else (1, 0, p) for p in re.split(r"([0-9]+)", name) if p]
 
     def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
             for name, content in zip(frame["path"], frame["content"], strict=True):
+                rows = []
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        rows += [(name, e, z.read(e).decode("utf-8", "replace"), None) for e in z.namelist() if e.lower().endswith(".xml")]
+                        for k, e in enumerate(sorted((e for e in z.namelist() if e.lower().endswith(".xml")), key=natural)):
+                            held, error = _fields(z.read(e).decode("utf-8-sig", "replace"))
+                            rows.append((name, e, k + 1, *(held.get(t) for t in TAGS), error))
                 except zipfile.BadZipFile as e:
-                    rows.append((name, None, None, str(e)))
-            yield pd.DataFrame(rows, columns=["zip", "xml_name", "xml", "error"])
+                    if strict:
+                        raise ValueError(f"broken archive {name}: {e}") from e
+                    rows.append((name, None, None, *(None for _ in TAGS), f"broken archive: {e}"))
+                yield pd.DataFrame(rows, columns=["zip", "xml_name", "place", *TAGS, "error"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    return files.select("path", "content").mapInPandas(entries, "zip string, xml_name string, xml string, error string")
-
-
-def _tag(name: str) -> Column:
-    return F.expr(f"xpath_string(xml, \"//*[translate(local-name(), '{_UPPER}', '{_LOWER}') = '{name}']\")")
+    return files.select("path", "content").mapInPandas(entries, "zip string, xml_name string, place int, " + ", ".join(f"{t} string" for t in TAGS) + ", error string")
 
 
 def parse_publications(entries: DataFrame) -> DataFrame:
-    """The text of each tag, the group and index that the file name ends in, and a title with its fallbacks."""
-    out = entries.where("error is null").select("zip", "xml_name", *(F.trim(_tag(t)).alias(t) for t in TAGS))
+    """Readable entries with the group and index that the file name ends in, and a title with its fallbacks."""
+    out = entries.where("error is null").drop("error").select("zip", "xml_name", "place", *(F.coalesce(F.trim(t), F.lit("")).alias(t) for t in TAGS))
     stem = F.regexp_replace("xml_name", r"(?i)\.xml$", "")
     filled = lambda c: F.nullif(F.col(c), F.lit(""))
-    return out.withColumn("xml_group", F.regexp_replace(stem, r"-\d+$", "")).withColumn("xml_index", F.coalesce(F.expr(r"try_cast(nullif(regexp_extract(xml_name, '-([0-9]+)[.][^.]*$', 1), '') as int)"), F.lit(1))).withColumn("title", F.coalesce(filled("identifica"), filled("ementa"), filled("titulo"), filled("subtitulo"), F.substring(filled("texto"), 1, 80), F.lit("Untitled")))
+    index = F.coalesce(F.expr(r"try_cast(nullif(regexp_extract(xml_name, '-([0-9]+)[.][^.]*$', 1), '') as int)"), F.lit(1))
+    title = F.coalesce(filled("identifica"), filled("ementa"), filled("titulo"), filled("subtitulo"), F.substring(filled("texto"), 1, 80), F.lit("Untitled"))
+    return out.withColumn("xml_group", F.regexp_replace(stem, r"-\d+$", "")).withColumn("xml_index", index).withColumn("title", title)
 
 
 def strip_html(markup: Column) -> Column:
@@ -50,6 +75,9 @@ def strip_html(markup: Column) -> Column:
     t = F.regexp_replace(markup, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
     t = F.regexp_replace(t, r"(?is)<!--.*?-->", " ")
     t = F.regexp_replace(t, r"(?i)</p>|<br ?/?>", "\n")
-    t = F.regexp_replace(t, r"<[^>]*>", " ")
+    # tags go from the first "<" of a stretch to its ">"; split there, since a pattern would search every unclosed "<" to the end
+    parts = F.split(t, ">")
+    tail = lambda i: i == F.size(parts) - 1
+    t = F.array_join(F.transform(parts, lambda x, i: F.when(tail(i), x).when(F.instr(x, "<") > 0, F.concat(F.substring_index(x, "<", 1), F.lit(" "))).otherwise(F.concat(x, F.lit(">")))), "")
     lines = F.transform(F.split(t, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t\r]+", " ")))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")

@@ -6,20 +6,25 @@ sign and Procrustes steps); a code holds a sign bit an axis. Mean and rotation
 are learned from at most ``SAMPLE`` vectors, those of least id hash; all vectors
 are indexed.
 
-Search: a code is split into substrings of 8 bits, each with its own table from
-value to rows. Two codes within a Hamming radius r differ in at most
-r // substrings bits in one substring at least, so probing each table for the
-values within that distance retrieves every code within r; full distances leave
-those within r, and cosines on the original vectors rank them. A query that finds
-fewer than k codes in a block widens its radius there.
-
-Rows and queries are dealt into blocks of bounded size and each pair of blocks is
-one task; a query keeps its k best of each block and then of all. Cases: rows
-with a null id, repeated ids after the least vector, and vectors null, empty, zero
-or with null or non-finite components take no part; vectors of another length
-than the index was learned for are compared plainly with those of their own
-length; ties go to the smaller vec_id; an empty table gives no rows; further
-columns are not used.
+Search: a code is split into m substrings of 8 bits, each with its own table from
+value to rows. If two codes within a Hamming radius r = m * a + b differed in more
+than a bits in each of the first b + 1 substrings and in more than a - 1 in each of
+the rest, they would differ in more than r bits; so probing the tables for the values
+within these distances retrieves every code within r. Full distances leave those
+within r, and cosines on the original vectors rank them. A query starts with radius
+``FIRST``; from the k-th best cosine found so far follows how many bits codes of that
+angle differ in, and the radius grows to that and ``MARGIN`` standard deviations, or
+until k codes are found. So close neighbours cost few probes, and far ones are found
+alike at every size.
+
+Queries are a stated set against all rows: rows are dealt into blocks of bounded
+bytes and queries into chunks, each pair is one task, and a query keeps its k best of
+each block and then of all. Cases: rows with a null id, repeated ids after the least
+vector, and vectors null, empty, zero or with null or non-finite components take no
+part; components of any finite size are compared without overflow (each vector is
+scaled by a power of two, which changes no cosine); vectors of another length than
+the index was learned for are compared plainly with those of their own length; ties
+go to the smaller vec_id; an empty table gives no rows; further columns are not used.
 """
 
 from __future__ import annotations
@@ -32,16 +37,17 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Vectors learned from, rows and queries of a block.
-SAMPLE, ROWS, QUERIES = 20_000, 8192, 4096
-#: Hamming radius as a share of the code's bits, and rounds of learning.
-RADIUS, ROUNDS = 0.45, 30
+#: Vectors learned from, bytes of a block's vectors at most, rows below which no block is split, and queries of a chunk.
+SAMPLE, BYTES, LEAST, QUERIES = 20_000, 64 << 20, 2048, 1 << 16
+#: First radius as a share of the code's bits, standard deviations added to the expected distance, and rounds of learning.
+FIRST, MARGIN, ROUNDS = 0.25, 1.3, 30
 _POP = np.array([bin(x).count("1") for x in range(256)], np.uint8)
 _BY_DISTANCE = [np.flatnonzero(_POP <= r).astype(np.uint8) for r in range(9)]
 
 
 def learn(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Mean and projection (dimensions x bits; bits a multiple of 8, 64 at most)."""
+    sample = _scaled(sample)
     x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
     dims = x.shape[1]
     bits = max(8, min(64, dims // 8 * 8))
@@ -77,9 +83,11 @@ class MultiIndex:
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose code differs in ``radius`` bits at most."""
         hit = np.zeros(len(self.codes), bool)
-        near = _BY_DISTANCE[min(8, radius // self.codes.shape[1])]
-        for own, order, counts, starts in zip(code, self.order, self.counts, self.starts, strict=True):
-            values = near ^ own
+        most, more = divmod(radius, self.codes.shape[1])
+        for k, (own, order, counts, starts) in enumerate(zip(code, self.order, self.counts, self.starts, strict=True)):
+            if most - (k > more) < 0:
+                continue
+            values = _BY_DISTANCE[min(8, most - (k > more))] ^ own
             n = counts[values]
             at = np.repeat(starts[values] - np.cumsum(n) + n, n) + np.arange(n.sum())
             hit[order[at]] = True
@@ -87,43 +95,65 @@ class MultiIndex:
         return rows[_POP[self.codes[rows] ^ code].sum(1) <= radius]
 
 
-def _block(rows: pd.DataFrame, queries: pd.DataFrame, model, k: int, radius: float) -> pd.DataFrame:
+def expected_radius(cosine: float, bits: int) -> int:
+    """Bits that codes of this cosine differ in, and MARGIN standard deviations more."""
+    share = float(np.arccos(np.clip(cosine, -1, 1)) / np.pi)
+    return int(np.ceil(bits * share + MARGIN * np.sqrt(bits * share * (1 - share))))
+
+
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two so that the largest component is between 0.5 and 1."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1))[1][:, None])
+
+
+def _found(index: MultiIndex, code: np.ndarray, best, k: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """``best`` (rows, scores) of the codes within a radius that grows as far as the k-th best score asks for."""
+    bits = index.codes.shape[1] * 8
+    while True:
+        rows, scores = best(index.within(code, radius))
+        if radius >= bits:
+            return rows, scores
+        wanted = expected_radius(scores[k - 1], bits) if len(rows) >= k else radius + max(1, bits // 16)
+        if wanted <= radius:
+            return rows, scores
+        radius = min(bits, wanted)
+
+
+def _block(rows: pd.DataFrame, queries: pd.DataFrame, model, k: int, first: float) -> pd.DataFrame:
     out = {"query_id": [], "vec_id": [], "score": []}
     lengths = queries["v"].map(len).to_numpy() if len(queries) else np.empty(0)
     for dims in np.unique(lengths):
         own = rows[rows["v"].map(len) == dims] if len(rows) else rows
         if not len(own):
             continue
-        ids, x = own["vec_id"].to_numpy(), np.stack(own["v"].to_numpy()).astype(float)
+        ids, x = own["vec_id"].to_numpy(), _scaled(np.stack(own["v"].to_numpy()).astype(float))
         norms = np.linalg.norm(x, axis=1)
         asked = queries[lengths == dims]
-        y = np.stack(asked["v"].to_numpy()).astype(float)
+        y = _scaled(np.stack(asked["v"].to_numpy()).astype(float))
         indexed = dims == len(model[0])
         index, codes = (MultiIndex(encode(x, model)), encode(y, model)) if indexed else (None, None)
         for j, (q, v) in enumerate(zip(asked["vec_id"].to_numpy(), y, strict=True)):
-            found = np.arange(len(ids))
-            if indexed:
-                bits = index.codes.shape[1] * 8
-                r = int(radius * bits)
-                found = index.within(codes[j], r)
-                while len(found) < min(k + 1, len(ids)):
-                    r += max(1, bits // 16)
-                    found = index.within(codes[j], r)
-            found = found[ids[found] != q]
-            # summed row by row, so equal vectors have equal scores in every block
-            score = (x[found] * v).sum(axis=1) / (norms[found] * np.linalg.norm(v))
-            best = np.lexsort((ids[found], -score))[:k]
-            out["query_id"] += [q] * len(best)
-            out["vec_id"] += ids[found][best].tolist()
-            out["score"] += score[best].tolist()
+
+            def best(found, q=q, v=v):
+                found = found[ids[found] != q]
+                # summed row by row, so equal vectors have equal scores in every block
+                score = (x[found] * v).sum(axis=1) / (norms[found] * np.linalg.norm(v))
+                order = np.lexsort((ids[found], -score))[:k]
+                return found[order], score[order]
+
+            held, score = _found(index, codes[j], best, k, int(first * index.codes.shape[1] * 8)) if indexed else best(np.arange(len(ids)))
+            out["query_id"] += [q] * len(held)
+            out["vec_id"] += ids[held].tolist()
+            out["score"] += score.tolist()
     return pd.DataFrame(out)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, radius: float = RADIUS) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, first: float = FIRST) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of ``vectors`` found for each row of ``queries`` (vec_id, v)."""
     spark = vectors.sparkSession
-    n, m = vectors.count(), queries.count()
-    row_blocks, query_blocks = max(1, -(-n // ROWS)), max(1, -(-m // QUERIES))
+    n, size = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("v")), F.lit(0)) * 8).first()
+    m = queries.count()
+    row_blocks, query_blocks = max(1, -(-size // BYTES), min(spark.sparkContext.defaultParallelism, n // LEAST)), max(1, -(-m // QUERIES))
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()  # bounded
     dims = pd.Series([len(r.v) for r in sample]).mode()
     model = learn(np.array([r.v for r in sample if len(r.v) == dims[0]], float)) if len(sample) else (np.empty(0), np.empty((0, 8)))
@@ -132,7 +162,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, radius: float =
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
     left = vectors.select("vec_id", "v", block(row_blocks).alias("r"), every(query_blocks).alias("q"))
     right = queries.select("vec_id", "v", every(row_blocks).alias("r"), block(query_blocks).alias("q"))
-    found = left.groupBy("r", "q").cogroup(right.groupBy("r", "q")).applyInPandas(lambda a, b: _block(a, b, shared.value, k, radius), "query_id long, vec_id long, score double")
+    found = left.groupBy("r", "q").cogroup(right.groupBy("r", "q")).applyInPandas(lambda a, b: _block(a, b, shared.value, k, first), "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

@@ -41,3 +41,32 @@ def test_cases(spark):
     assert got == [(1, 1, 0.707107), (2, 2, 0.707107), (3, 9, -1.0)]
     none = usable(table.limit(0))
     assert nearest(none, none).count() == 0
+
+
+def test_components_of_any_finite_size(spark):
+    rows = [(0, [1e200, 1e200]), (50, [1e-200, 0.0]), (1, [1e200, 0.0]), (2, [3e-310, 3e-310]), (3, [-1.0, 1.0])]
+    vectors = usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in nearest(vectors, vectors.where("vec_id % 50 = 0"), 2).collect())
+    assert got == [(0, 1, 2, 1.0), (0, 2, 1, 0.707107), (50, 1, 1, 1.0), (50, 2, 0, 0.707107)]
+
+
+def test_recall_of_close_and_far_neighbours():
+    """One block: copies with little and with much noise among unrelated rows, against all cosines."""
+    import pandas as pd
+
+    from pubmill.llm.op1_multi_index_hashing import _block, learn
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 64))
+    x[3000:4500] = x[:1500] + rng.normal(size=(1500, 64)) * np.linspace(0.01, 1, 1500)[:, None]
+    rows = pd.DataFrame({"vec_id": np.arange(6000), "v": list(x)})
+    got = _block(rows, rows.iloc[:1500:10], learn(x), 5, 0.25)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q, own in got.groupby("query_id"):
+        s = unit @ unit[q]
+        s[q] = -9
+        hits += len(set(own["vec_id"]) & set(np.argsort(-s)[:5].tolist()))
+        if q < 750:
+            assert own["vec_id"].iloc[0] == 3000 + q
+    assert hits / (5 * 150) >= 0.95

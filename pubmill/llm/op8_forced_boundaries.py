@@ -11,8 +11,8 @@ caches of bounded size.
 Added tokens (``<|...|>``) are found in the raw text first, as the file lists
 them. Symbols outside the vocabulary have no id and are left out. Decoding gives
 the ids' tokens joined by one space, special ones included, as a file without a
-decoder asks. Letters and numbers are those of Python's own Unicode tables (15.1);
-a character assigned since then may group differently. Cases: null and empty texts have no ids and decode to ''; texts of
+decoder asks. Letters and numbers are those of Python's own Unicode tables (15.1)
+and the later ones listed below. Cases: null and empty texts have no ids and decode to ''; texts of
 any length are encoded whole; repeated rows give repeated rows; an empty table
 gives none; further columns are not used.
 """
@@ -21,18 +21,21 @@ from __future__ import annotations
 
 import heapq
 import json
+import os
 import re
 import unicodedata
 from functools import lru_cache
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map
 
-#: Where the public tokenizer files lie, and the one that the query uses.
-TOKENIZERS, VOCABULARY = "/opt/tokenizers", "word_bpe_49k.json"
+#: The public tokenizer file that the query uses, and where its kind lies.
+VOCABULARY = "word_bpe_49k.json"
+TOKENIZERS = os.path.dirname(str(public_tokenizers.path(VOCABULARY)))
 #: Entries of a cache's newer half; when it is full it becomes the older half.
 CACHED = 200_000
 # Characters with the White_Space property.
@@ -53,10 +56,24 @@ def byte_characters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+# Letters and numbers assigned after Unicode 15.1, as ranges of code points, and capitals with the distance to their small letters.
+LATER = {
+    "L": (
+        (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389),
+        (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+        (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+    ),
+    "N": ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)),
+}
+LATER_CAPITALS = ((0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B))
+_LATER_LOWER = {c: chr(c + far) for a, b, far in LATER_CAPITALS for c in range(a, b + 1)} if unicodedata.category("\u1c89") == "Cn" else {}
+
+
 @lru_cache(maxsize=4)
 def char_class(major: str) -> str:
     """The inside of a character class: ranges of code points of one general category."""
-    held = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == major]
+    later = {c for a, b in LATER[major] for c in range(a, b + 1)}
+    held = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == major or c in later]
     heads = [c for c, before in zip(held, [-2, *held], strict=False) if c != before + 1]
     tails = [c for c, after in zip(held, [*held[1:], -2], strict=True) if c + 1 != after]
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(heads, tails, strict=True))
@@ -153,7 +170,7 @@ class ForcedBoundaryBpe:
         return found
 
     def _chunk(self, chunk: str) -> tuple[str, str]:
-        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower().translate(_LATER_LOWER)
         ids = [i for w in self.words.findall(plain) for i in self.encode_word(w)]
         return self.by_chunk.keep(chunk, (" ".join(map(str, ids)), self.decode(ids)))
 

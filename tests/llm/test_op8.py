@@ -30,6 +30,16 @@ def test_odd_pieces(pieces):
     same("".join(pieces))
 
 
+def test_characters_assigned_later():
+    import unicodedata
+
+    points = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn" and (c < 0x2FA20 or c % 997 == 0)]
+    texts = [f"a{chr(c)}b 1{chr(c)}! !{chr(c)}1" for c in points]
+    for at in range(0, len(texts), 5000):
+        part = texts[at : at + 5000]
+        assert [ours.encode(t) for t in part] == [e.ids for e in theirs.encode_batch(part, add_special_tokens=False)]
+
+
 def test_long_word():
     same("ab" * 3000 + "z" * 3000)
 

@@ -1,7 +1,8 @@
 """Licence recognition by sentence rules.
 
 Texts are cut into pieces at end punctuation and line breaks, each normalised
-(case folded, punctuation and white space reduced to single spaces). Known licence
+(case folded, punctuation and white space reduced to single spaces); in three
+clauses of the BSD licences the holder's name is first reduced to one form. Known licence
 sentences have identifiers; one is a piece, or several that only single line
 breaks part (wrapped lines), the longest that fits, with or without a list number. A
 blank line or end punctuation ends every sentence; other wrapped lines are one sentence.
@@ -27,6 +28,13 @@ from .common import arrow_map
 
 #: Sentences that may lie between two neighbours of a rule.
 GAP = 3
+_OTHER = re.compile(r"[^0-9a-z]+")
+
+
+def normalise(sentence: str) -> str:
+    return _OTHER.sub(" ", sentence.lower()).strip()
+
+
 # Licence sentences, normalised, and their identifiers.
 SENTENCES = {
     "released under the mit license": "mit-release",
@@ -70,7 +78,52 @@ SENTENCES = {
     "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd-disclaimer",
     "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services": "bsd-liability",
     "all rights reserved": "reserved",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2-subject",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "mpl2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0": "mpl2-copy",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl-grant",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3-grant",
+    "either version 2 1 of the license or at your option any later version": "lgpl21-later",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3-grant",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation": "agpl-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "gpl2-only",
+    "you can redistribute it and or modify it under the terms of version 2 of the gnu general public license as published by the free software foundation": "gpl2-only",
+    "you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation": "gpl3-only",
+    "this library is distributed in the hope that it will be useful but without any warranty": "gpl-hope",
+    "see the gnu lesser general public license for more details": "lgpl-details",
+    "see the gnu affero general public license for more details": "agpl-details",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd-grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc-as-is",
+    "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software": "isc-liability",
+    "this software is provided as is without any express or implied warranty": "zlib-as-is",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "zlib-liability",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "this is free and unencumbered software released into the public domain": "unlicense-release",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-grant",
+    "to the extent possible under law the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0-dedicated",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0-dedicated",
+    "distributed under the boost software license version 1 0": "bsl1-notice",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "bsl1-grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl2-notice",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html": "epl1-notice",
+    "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed": "wtfpl-copies",
+    "licensed under the artistic license 2 0": "artistic2-notice",
+    "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies": "postgresql-grant",
 }
+# The words and codes of the Creative Commons licences, and what follows the number of a version.
+CREATIVE_COMMONS = {
+    "by": "attribution", "by-sa": "attribution sharealike", "by-nc": "attribution noncommercial", "by-nd": "attribution noderivatives",
+    "by-nc-sa": "attribution noncommercial sharealike", "by-nc-nd": "attribution noncommercial noderivatives",
+}
+CC_VERSIONS = {"4 0": "international", "3 0": "unported"}
+# Licences that a file may name by its identifier alone.
+IDENTIFIERS = (
+    "MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Zlib", "MPL-2.0", "EPL-1.0", "EPL-2.0", "BSL-1.0", "Unlicense", "CC0-1.0", "WTFPL", "Artistic-2.0", "PostgreSQL",
+    "GPL-2.0", "GPL-3.0",
+)
 # Rules in order of precedence, longer evidence first.
 RULES = (
     ("MIT", ("mit-grant", "mit-notice", "as-is", "mit-liability")),
@@ -98,19 +151,70 @@ RULES = (
     ("CC-BY-NC-4.0", ("cc-by-nc-4",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4",)),
     ("CC-BY-4.0", ("cc-by-4",)),
+    ("MPL-2.0", ("mpl2-subject", "mpl2-copy")),
+    ("MPL-2.0", ("mpl2-subject",)),
+    ("LGPL-3.0-or-later", ("lgpl3-grant", "gpl-hope", "gpl-fitness", "lgpl-details")),
+    ("LGPL-2.1-or-later", ("lgpl-grant", "lgpl21-later", "gpl-hope", "gpl-fitness", "lgpl-details")),
+    ("AGPL-3.0-or-later", ("agpl3-grant", "gpl-hope", "gpl-fitness", "agpl-details")),
+    ("GPL-2.0-only", ("gpl2-only", "gpl-hope", "gpl-fitness", "gpl-details")),
+    ("GPL-3.0-only", ("gpl3-only", "gpl-hope", "gpl-fitness", "gpl-details")),
+    ("LGPL-3.0-or-later", ("lgpl3-grant",)),
+    ("LGPL-2.1-or-later", ("lgpl-grant", "lgpl21-later")),
+    ("AGPL-3.0-or-later", ("agpl3-grant",)),
+    ("GPL-2.0-only", ("gpl2-only",)),
+    ("GPL-3.0-only", ("gpl3-only",)),
+    ("ISC", ("isc-grant", "isc-as-is", "isc-liability")),
+    ("ISC", ("isc-grant",)),
+    ("0BSD", ("0bsd-grant", "isc-as-is", "isc-liability")),
+    ("0BSD", ("0bsd-grant",)),
+    ("Zlib", ("zlib-as-is", "zlib-liability", "zlib-grant")),
+    ("Unlicense", ("unlicense-release", "unlicense-grant")),
+    ("Unlicense", ("unlicense-release",)),
+    ("CC0-1.0", ("cc0-dedicated",)),
+    ("BSL-1.0", ("bsl1-grant",)),
+    ("BSL-1.0", ("bsl1-notice",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("EPL-1.0", ("epl1-notice",)),
+    ("WTFPL", ("wtfpl-copies",)),
+    ("Artistic-2.0", ("artistic2-notice",)),
+    ("PostgreSQL", ("postgresql-grant",)),
 )
-_ENDS = re.compile(r"([.!?:;]+(?=[\s\"')\]]|$)|\n+)")
+
+
+def _families() -> tuple[dict[str, str], list[tuple[str, tuple[str]]]]:
+    """The sentences and rules that follow from CREATIVE_COMMONS and IDENTIFIERS; what the tables above name stays."""
+    sentences, rules = {}, []
+    for code, words in CREATIVE_COMMONS.items():
+        for number, realm in CC_VERSIONS.items():
+            name = f"cc-{code}-{number[0]}"
+            forms = [f"licensed under cc {code.replace('-', ' ')} {number}"]
+            forms += [f"this work is licensed under {which} creative commons {words} {number} {realm} license" for which in ("a", "the")]
+            sentences |= {f: name for f in forms}
+            rules.append((f"CC-{code.upper()}-{number.replace(' ', '.')}", (name,)))
+    for spdx in IDENTIFIERS:
+        sentences[f"spdx license identifier {normalise(spdx)}"] = f"spdx-{spdx}"
+    old = {"GPL-2.0": "GPL-2.0-only", "GPL-3.0": "GPL-3.0-only"}
+    rules += [(old.get(spdx, spdx), (f"spdx-{spdx}",)) for spdx in IDENTIFIERS]
+    return sentences, rules
+_ENDS = re.compile(r"((?<!Identifier)[.!?:;]+(?=[\s\"')\]]|$)|\n+)")
 _NUMBER = re.compile(r"(?:[0-9]{1,2}|[a-z]|i{1,3}) ")
-_OTHER = re.compile(r"[^0-9a-z]+")
+_more, _ruled = _families()
+SENTENCES = _more | SENTENCES
+RULES = (*RULES, *(r for r in _ruled if r not in RULES))
 #: Every known sentence holds one of these words; a text without them holds none.
-HINTS = ("licens", "permi", "warranty", "copyright", "rights", "redistribut")
+HINTS = ("licens", "permi", "warrant", "copyright", "rights", "distribut", "liable", "anyone is free", "unencumbered")
+#: Clauses in which a holder's name stands; it is reduced to the one in the table (names of up to 100 characters). And an identifier's old sign for later versions.
+_NAMED = (
+    (re.compile(r"(identifier:\s*[a-z]+-[0-9.]+)\+", re.IGNORECASE), r"\1-or-later"),
+    (re.compile(r"(neither[\s/#*]+the[\s/#*]+name[\s/#*]+of[\s/#*]+)[^.;]{1,100}?([\s/#*]+nor[\s/#*]+the[\s/#*]+names[\s/#*]+of[\s/#*]+)(?:its|their)", re.IGNORECASE), r"\1the copyright holder\2its"),
+    (re.compile(r"(this[\s/#*]+software[\s/#*]+is[\s/#*]+provided[\s/#*]+by[\s/#*]+)[^.;]{1,100}?(\s[\"'`\u2018\u201c]*as[\s/#*]+is\b)", re.IGNORECASE), r"\1the copyright holders and contributors\2"),
+    (re.compile(r"(in[\s/#*]+no[\s/#*]+event[\s/#*]+shall[\s/#*]+)[^.;]{1,100}?([\s/#*]+be[\s/#*]+liable[\s/#*]+for[\s/#*]+any[\s/#*]+direct)", re.IGNORECASE), r"\1the copyright holder or contributors\2"),
+)
 _HINT = re.compile("|".join(HINTS), re.IGNORECASE)
 #: What each known sentence starts with, word by word: wrapped lines are joined while they stay within these.
 _STARTS = {" ".join(words[:i]) for words in map(str.split, SENTENCES) for i in range(1, len(words) + 1)}
 
 
-def normalise(sentence: str) -> str:
-    return _OTHER.sub(" ", sentence.lower()).strip()
 
 
 def pieces(text: str) -> list[tuple[str, bool]]:
@@ -145,6 +249,8 @@ def identifiers(text: str) -> list[tuple[int, str]]:
     """(ordinal, identifier) of the known sentences; ordinals count all sentences."""
     if not _HINT.search(text):
         return []
+    for pattern, plain in _NAMED:
+        text = pattern.sub(plain, text)
     parts, out, ordinal, at, fresh = pieces(text), [], -1, 0, True
     while at < len(parts):
         found = _known(parts, at)

@@ -1,11 +1,16 @@
-"""A corpus pipeline of five stages; each works on all that its predecessor kept."""
+"""A corpus pipeline of five stages; each works on all that its predecessor kept.
+
+Every stage keeps the columns of documents, of any further name too, but for the
+last, which gives doc_id, n_tokens and ids. Null ids are kept as they are; an empty
+table gives an empty table; rows repeated in full count as copies of each other.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pubmill.llm.common import materialize
+from pubmill.llm.common import mark, materialize, release
 from pubmill.llm.op2_language_evidence import keep_identified
 from pubmill.llm.op5_prefix_tree_join import ngram_components
 from pubmill.llm.op7_personal_data import redact
@@ -14,7 +19,7 @@ from pubmill.llm.op9_hash_thresholds import mix
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in an identified language."""
+    """Documents in an identified language; null texts and texts without letters are in none and go."""
     return keep_identified(docs)
 
 
@@ -30,17 +35,20 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data masked."""
-    return redact(docs).withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
+    """Texts with personal data masked, and n_chars, where there is such a column, their length; null texts stay null."""
+    out = redact(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out.select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources brought to their target weights, documents repeated or left out."""
+    """Sources brought to their target weights, documents repeated, left out or (one a source) cut; those without words stay once."""
     return mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids."""
+    """Token ids; null and empty texts have none."""
     ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", " ").cast("array<int>"))
     return bpe_encode(docs).select("doc_id", "n_tokens", ids.alias("ids"))
 
@@ -51,7 +59,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages on documents; each one's table is deleted, with what it worked on, once the next is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    since = mark()
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        release(spark, since, docs)
     return STAGES[-1][1](spark, docs, sf_dir)

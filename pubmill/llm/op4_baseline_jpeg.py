@@ -10,9 +10,9 @@ blocks beyond it, which fill the last row, are empty.
 
 Reader: parses the markers, undoes byte stuffing, splits the scan at its restart
 markers and Huffman-decodes all segments side by side, one symbol of each at a
-time, with numpy. It reads any baseline scan (interleaved components, restart
-intervals or none) and gives each component's coefficients; the thumbnail holds
-one luminance sample a block, from the DC coefficient alone.
+time, with numpy. It reads baseline scans, one or several, of interleaved or single
+components, with restart intervals or none, and gives each component's coefficients;
+the thumbnail holds one luminance sample a block, from the DC coefficient alone.
 
 Cases: null and empty texts are one block of zeros; repeated rows and equal texts
 give equal values; an empty table gives no rows; further columns are not used.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -98,7 +99,7 @@ def _huffman(counts: bytes, symbols: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def parse(data: bytes) -> dict:
-    """The markers of a baseline JPEG up to its scan, and the scan's bytes."""
+    """The markers of a baseline JPEG and its scans: ``scan``, the bytes of its only one, or ``scans``, each as a picture of its components."""
     if data[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG: no start marker")
     out = {"quantisation": {}, "huffman": {}, "restart": 0, "comments": []}
@@ -134,11 +135,23 @@ def parse(data: bytes) -> dict:
             out["comments"].append(body)
         elif marker == 0xDA:
             tables = {body[1 + 2 * k]: body[2 + 2 * k] for k in range(body[0])}
-            for c in out["components"]:
-                c["dc"], c["ac"] = tables[c["id"]] >> 4, 0x10 | tables[c["id"]] & 15
-            out["scan"] = data[at:]
-            return out
-    raise ValueError("a JPEG without a scan")
+            held = [c for c in out["components"] if c["id"] in tables]
+            for c in held:
+                c["dc"], c["ac"], c["alone"] = tables[c["id"]] >> 4, 0x10 | tables[c["id"]] & 15, len(held) == 1
+            if len(held) == len(out["components"]):
+                return out | {"scan": data[at:]}
+            end = m.start() if (m := _NO_DATA.search(data, at)) else len(data)
+            size = {x: max(c[f] for c in out["components"]) for x, f in (("width", "h"), ("height", "v"))}
+            own = {x: -(-out[x] * max(c[f] for c in held) // size[x]) for x, f in (("width", "h"), ("height", "v"))}
+            out.setdefault("scans", []).append({"components": [dict(c) for c in held], "huffman": dict(out["huffman"]), "restart": out["restart"], "scan": data[at:end], **own})
+            at = end
+            if {c["id"] for s in out["scans"] for c in s["components"]} == {c["id"] for c in out["components"]}:
+                return out
+    raise ValueError("a JPEG without all its scans")
+
+
+#: A marker that ends a scan: no stuffing, restart or filling.
+_NO_DATA = re.compile(rb"\xff[^\x00\xd0-\xd7\xff]")
 
 
 def _segments(scan: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -171,6 +184,12 @@ def _mcus(head: dict) -> int:
 
 def coefficients(heads: list[dict]) -> list[list[np.ndarray]]:
     """For each picture each component's quantised coefficients, (blocks in scan order, 64) in zigzag order."""
+    if any("scans" in h for h in heads):  # each scan as a picture by itself, its planes then put in the frame's order
+        scans = [(i, s) for i, h in enumerate(heads) for s in h.get("scans", [h])]
+        planes: list[dict] = [{} for _ in heads]
+        for (i, s), found in zip(scans, coefficients([s for _, s in scans]), strict=True):
+            planes[i] |= {c["id"]: plane for c, plane in zip(s["components"], found, strict=True)}
+        return [[own[c["id"]] for c in h["components"]] for own, h in zip(planes, heads, strict=True)]
     plans = [_plan(h) for h in heads]
     out: list = [None] * len(heads)
     for plan in set(plans):
@@ -253,10 +272,13 @@ def _block(data, pos, active, dc, ac, before, out) -> None:
 def thumbnail(head: dict, planes: list[np.ndarray]) -> np.ndarray:
     """Luminance from DC only, one sample a block of the first component, rows by columns."""
     c = head["components"][0]
-    alone = len(head["components"]) == 1
-    h, v = (1, 1) if alone else (c["h"], c["v"])
-    big_h, big_v = (1, 1) if alone else (max(x["h"] for x in head["components"]), max(x["v"] for x in head["components"]))
-    across, down = -(-head["width"] // (8 * big_h)), -(-head["height"] // (8 * big_v))
+    big_h, big_v = (max(x[f] for x in head["components"]) for f in "hv")
+    if c["alone"]:  # its blocks lie in rows, as many as its own samples fill
+        h = v = 1
+        across, down = -(-(-(-head["width"] * c["h"] // big_h)) // 8), -(-(-(-head["height"] * c["v"] // big_v)) // 8)
+    else:
+        h, v = c["h"], c["v"]
+        across, down = -(-head["width"] // (8 * big_h)), -(-head["height"] // (8 * big_v))
     dc = planes[0][:, 0].astype(np.int64) * head["quantisation"][c["q"]][0]
     grid = dc.reshape(down, across, v, h).swapaxes(1, 2).reshape(down * v, across * h)
     return np.clip(np.round(grid / 8 + 128), 0, 255).astype(np.uint8)

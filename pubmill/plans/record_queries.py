@@ -221,7 +221,7 @@ def q_link_resolution(spark, d):
 
 
 @query(None)
-def q_fuzzy_title(spark, d):
+def fuzzy_title(spark, d):
     """The document whose first line is most like each benchmark item's first 60 characters."""
     records = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.substring(T.first_line(F.col("text"), None), 1, 60).alias("title"))
     return R.fuzzy_titles(records, table(spark, d, "benchmark").select(F.col("item_id").alias("key"), F.substring("text", 1, 60).alias("title")), 0.5)

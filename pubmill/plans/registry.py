@@ -356,4 +356,4 @@ def q_highlight_spans(spark, d):
 for _name in "grid_status coverage_gap relevance_order top_terms keyword_rank exclusion_rescue context_score audit_summary confidence bucketed view_groupingsets pivot_terms".split():
     QUERIES[f"q_{_name}_whole"], ORACLE_SQL[f"q_{_name}_whole"] = QUERIES[f"q_{_name}"], ORACLE_SQL[f"q_{_name}"]
 
-from pubmill.plans import context_queries, record_queries, source_queries, state_queries  # noqa: E402,F401
+from pubmill.plans import context_queries, record_queries, report_queries, source_queries, state_queries  # noqa: E402,F401

@@ -200,3 +200,32 @@ def test_ids_span_numbers(spark):
 def test_json_sorting_is_stable():
     objects = list(collection.publications_within(json.loads('[{"title": 1, "url": 2}, {"x": {"name": 1, "source": 2}}]')))
     assert [sorted(o) for o in objects] == [["title", "url"], ["name", "source"]] and list(itertools.islice(objects, 1))
+
+
+def test_flexible_spans_point_into_the_original_text(spark):
+    from pubmill.operators.reports import flexible_spans, folded
+
+    rows = [(1, "Um PÚBLICO - direito; publico  direito"), (2, "aeroporto"), (3, "ﬁm da porta"), (4, None), (5, ""), (6, "porta portão porta de aço"), (7, "é" * 5000 + " porta")]
+    got = {r.doc_id: [(s.start, s.end, s.term) for s in r.spans] for r in flexible_spans(spark.createDataFrame(rows, "doc_id long, text string"), ["público direito", "porta", "porta de aço", "fim", "--"]).collect()}
+    text = dict(rows)
+    assert [text[1][a:b] for a, b, _ in got[1]] == ["PÚBLICO - direito", "publico  direito"]
+    assert got[2] == got[4] == got[5] == [] and [text[3][a:b] for a, b, _ in got[3]] == ["ﬁm", "porta"]
+    assert got[6] == [(0, 5, "porta"), (13, 25, "porta de aço")] and got[7] == [(5001, 5006, "porta")]
+    assert folded("Éﬁ")[0] == "efi" and folded("Éﬁ")[1] == [0, 1, 1]
+
+
+def test_confidence_of_matches(spark):
+    from pubmill.operators.reports import match_confidence, publication_confidence
+
+    rows = [(1, "number", "123456"), (1, "direct", "x"), (2, "number", "12"), (2, "direct", "x"), (3, "hybrid", "ab 500 wp"), (3, "direct", "x"), (4, "hybrid", "wp 500"), (5, "text", "alpha 500"), (6, "process", "1"), (7, None, None)]
+    df = spark.createDataFrame(rows, "k int, kind string, term string")
+    assert [r.c for r in df.select("k", match_confidence(F.col("kind"), F.col("term")).alias("c")).collect()] == ["MEDIUM", "HIGH", "LOW", "HIGH", "CRITICAL", "HIGH", "LOW", "MEDIUM", "HIGH", "MEDIUM"]
+    got = {r.k: (r.confidence, r.n_suspect, r.verdict) for r in publication_confidence(df, "k").collect()}
+    assert got == {1: ("MEDIUM", 0, "CONFIRMED"), 2: ("MEDIUM", 1, "SUSPECT"), 3: ("CRITICAL", 1, "SUSPECT"), 4: ("LOW", 1, "SUSPECT"), 5: ("MEDIUM", 0, "CONFIRMED"), 6: ("HIGH", 0, "CONFIRMED"), 7: ("MEDIUM", 0, "CONFIRMED")}
+
+
+def test_queries_without_sql(spark):
+    import __spark_entry__ as entry
+
+    for name in ("fuzzy_title", "flexible_spans"):
+        assert entry.queries()[name](spark, SF).count() > 0

@@ -23,8 +23,10 @@ def strip_accents(text: Column) -> Column:
 
 def normalise(text: Column) -> Column:
     """Accents off, other non-ASCII dropped, lower case, punctuation but _ to single spaces; null gives ''."""
-    ascii_only = F.regexp_replace(strip_accents(F.coalesce(text, F.lit(""))), r"[^\x00-\x7F]", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(ascii_only), r"[^\w\s]", " "), r"\s+", " "))
+    given = F.coalesce(text, F.lit(""))
+    # a text of as many bytes as characters is ASCII already
+    ascii_only = F.when(F.octet_length(given) == F.length(given), given).otherwise(F.regexp_replace(strip_accents(given), r"[^\x00-\x7F]+", ""))
+    return F.trim(F.regexp_replace(F.lower(ascii_only), r"\W+", " "))
 
 
 def comparison_key(text: Column) -> Column:
@@ -52,7 +54,7 @@ def digits(text: Column) -> Column:
 
 def first_line(text: Column, most: int | None = 80) -> Column:
     """The first ``most`` characters of the first line; all of it with None."""
-    line = F.element_at(F.split(F.coalesce(text, F.lit("")), "\n"), 1)
+    line = F.substring_index(F.coalesce(text, F.lit("")), "\n", 1)
     return line if most is None else F.substring(line, 1, most)
 
 

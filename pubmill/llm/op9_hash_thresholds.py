@@ -34,6 +34,9 @@ WEIGHTS, MOST, DIGITS, LEVELS = (5, 2, 1), 3, 3, 3
 def source_targets(sizes: DataFrame) -> DataFrame:
     """source, source_size and target from (source, source_size), one row a source.
 
+    The caps depend on each other, so all sources pass one task in order: some tens of
+    bytes each, sorted with spilling, which holds for millions of sources.
+
     Sources reach their cap in order of cap / weight. With the earlier ones at
     their caps the rest is shared by weight; the first source whose share is no
     more than its cap ends the caps, and that share per weight holds from it on.

@@ -104,12 +104,30 @@ def slices(batch: pa.RecordBatch, text: str | None = None, rows: int = ROWS) ->
         at, done = end, int(ends[end - 1])
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType, text: str = "text") -> DataFrame:
-    """``mapInArrow`` where fn maps a slice of a record batch, bounded in rows and in bytes of ``text``, to column lists."""
+#: What this Python worker caches, by operator: how to empty it.
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def keep_cache(operator: str, empty: Callable[[], None]) -> None:
+    _caches[operator] = empty
+
+
+def turn_to(operator: str = "") -> None:
+    """Called as a task starts: workers live on, so one that served another operator first empties what that cached."""
+    for other in [name for name in _caches if name != operator]:
+        _caches.pop(other)()
+
+
+def arrow_map(df: DataFrame, fn: Callable, schema: str | T.StructType, text: str = "text", operator: str = "") -> DataFrame:
+    """``mapInArrow`` where fn maps a slice of a record batch, bounded in rows and in bytes of ``text``, to column lists.
+
+    ``operator`` is the one whose cache fn uses, if it does.
+    """
     struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     target = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to(operator)
         for whole in batches:
             measured = text if text in whole.schema.names and pa.types.is_string(whole.schema.field(text).type) else None
             for part in slices(whole, measured):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, gram_hashes, mix, slices, word_hashes
+from .common import arrow_map, gram_hashes, mix, slices, turn_to, word_hashes
 from .sketch import count_min, seen_twice, width_for
 
 WINDOW, INNER = 35, 20
@@ -185,6 +185,7 @@ def _cut(rows: tuple[np.ndarray, ...], at: int) -> tuple[tuple[np.ndarray, ...],
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key: known intervals as they are, and the repeated stretches of runs."""
+    turn_to()
     held, fresh = None, 0
     for batch in batches:
         known = batch["hashes"].is_null().to_numpy(zero_copy_only=False)

@@ -50,14 +50,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, heavy_join, mark, materialize, mix, release, shingle_set, slices, word_hashes
+from .common import gram_hashes, heavy_join, mark, materialize, mix, release, shingle_set, slices, turn_to, word_hashes
 from .links import connected
 from .sketch import cells, magnitudes
 
 #: Nodes of a block, shingles on an edge of its trie, and cuts tried for a set with many empty parts.
 BLOCK, EDGE, SEEDS = 4096, 32, 6
 #: Shingles of a block, and part keys that a task sorts at a time: what its memory follows.
-SHINGLES, KEYS = 1 << 21, 1 << 20
+SHINGLES, KEYS = 1 << 20, 1 << 19
 #: Bytes of text whose part keys meet in one bin.
 BIN = 256 << 20
 #: Cells of the sketch that orders shingles by rarity, as bits: its size does not change what is found.
@@ -304,6 +304,7 @@ def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins:
 
     A set that the task has met before adds no keys. ``rarity`` is broadcast: the magnitude of each sketch cell.
     """
+    turn_to()
     keys, own, count, met = [], [], 0, set()
     for batch in (part for batch in batches for part in slices(batch, "text")):
         sizes, ids = [], []
@@ -329,6 +330,7 @@ _MET = pa.schema(list(_PACKED)[2:])
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents and pairs as they are; of the packed keys, pairs of each key's least id with its others."""
+    turn_to()
     bins: dict[int, list] = {}
     for batch in batches:
         plain = batch["payload"].is_null()
@@ -354,6 +356,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Of (block, probe, sid, text) sorted, a block's own nodes before its probes: links (a, b) that connect what all links connect."""
+    turn_to()
     name, own, sets, block = None, [], [], None
 
     def built() -> tuple[Block, list]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, keep_cache
 
 #: The public tokenizer file that the query uses, and where its kind lies.
 VOCABULARY = "word_bpe_49k.json"
@@ -197,6 +197,7 @@ class ForcedBoundaryBpe:
 @lru_cache(maxsize=2)
 def load(path: str) -> ForcedBoundaryBpe:
     """The tokenizer of a file, once for each Python worker."""
+    keep_cache("op8", load.cache_clear)
     with open(path, encoding="utf-8") as f:
         return ForcedBoundaryBpe(json.load(f))
 
@@ -214,7 +215,7 @@ def bpe_encode(docs: DataFrame, path: str = f"{TOKENIZERS}/{VOCABULARY}") -> Dat
         return batch["doc_id"], [x.count(" ") + 1 if x else 0 for x in ids], ids, decoded
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return arrow_map(source, per_batch, "doc_id long, n_tokens long, ids string, decoded string")
+    return arrow_map(source, per_batch, "doc_id long, n_tokens long, ids string, decoded string", operator="op8")
 
 
 def op8_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices
+from .common import mix, slices, turn_to
 
 #: Cells of a row at most, and rows of the sketch: 2 x 32 Mi counters.
 WIDTH_BITS, DEPTH = 25, 2
@@ -75,6 +75,7 @@ def _filled(df: DataFrame, fill: Callable[[Iterator[pa.RecordBatch]], np.ndarray
     """A task's counters from ``fill``, in blocks; those all 0 left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_to()
         slot = TaskContext.get().partitionId()
         for k, part in enumerate(fill(batches).reshape(-1, block)):
             if part.any():
@@ -118,15 +119,9 @@ def magnitudes(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], wi
     pack = lambda counts: zlib.compress(counts.astype("<u4").tobytes(), 1)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
-        own, waiting, n = np.zeros(width, np.uint32), [], 0
+        own = np.zeros(width, np.uint32)
         for part in (part for batch in batches for part in slices(batch, text)):
-            waiting.append(cells(hashes(part), 0, width_bits))
-            n += len(waiting[-1])
-            if n >= width:
-                own += np.bincount(np.concatenate(waiting), minlength=width).astype(np.uint32)
-                waiting, n = [], 0
-        if n:
-            own += np.bincount(np.concatenate(waiting), minlength=width).astype(np.uint32)
+            np.add.at(own, cells(hashes(part), 0, width_bits), np.uint32(1))
         return own
 
     fold = lambda total, part: total + np.frombuffer(zlib.decompress(part), "<u4")

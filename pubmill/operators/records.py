@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
@@ -75,6 +76,22 @@ def union_by_key(frames: Sequence[DataFrame], key: Column, ord_: str) -> DataFra
     return every.groupBy(key.alias("__key")).agg(first).select("least.row.*")
 
 
+def numbered(df: DataFrame, key: str, ord_: str, name: str, width: int = 1 << 20) -> DataFrame:
+    """``df`` with its rows' places within each key by an integer ord, from 1; a key of very many rows is numbered in stretches of ``width``.
+
+    Places within a stretch come from a window over that stretch alone, and what lies
+    before it from a running sum over the stretches' counts. Null ords come first; rows
+    of one ord have places in no stated order.
+    """
+    cut = df.withColumn("__part", F.coalesce(F.floor(F.col(ord_) / width), F.lit(-(1 << 62))))
+    counts = cut.groupBy(key, "__part").agg(F.count("*").alias("__n"))
+    earlier = W.partitionBy(key).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select(F.col(key).alias("__key"), F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    own = F.row_number().over(W.partitionBy(key, "__part").orderBy(F.col(ord_).asc_nulls_first()))
+    joined = cut.withColumn("__own", own).join(counts, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__of")))
+    return joined.select(*df.columns, (F.col("__before") + F.col("__own")).alias(name))
+
+
 def primary_occurrence(hits: DataFrame, keys: list[str]) -> DataFrame:
     """Of hits (keys, field, place, offset): count and the primary one, those in the full text first, then by field and offset."""
     first = F.min(F.struct((F.col("field") != "full_text").alias("later"), "place", "offset", "field"))

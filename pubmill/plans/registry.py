@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
 from pubmill.operators import highlights as H
 from pubmill.operators import matching as M
 from pubmill.operators import monitoring as O
+from pubmill.operators import records as R
 from pubmill.plans.base import ORACLE_SQL, QUERIES, n, query, table
 from pubmill.plans.base import norm_sql as _norm
 from pubmill.plans.base import values as _in
@@ -289,8 +289,7 @@ def q_html_strip(spark, d):
 @query(rf"WITH s AS (SELECT doc_id, regexp_replace(substr(replace(trim(regexp_replace({_norm(_LINE)},'[^a-z0-9]+',' ','g')),' ','-'),1,12),'-+$','') AS slug FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY doc_id) AS k FROM s) SELECT doc_id, CASE WHEN k=1 THEN slug ELSE slug||'-'||k END AS name FROM r")
 def q_slug_dedup(spark, d):
     s = table(spark, d, "documents").select("doc_id", T.slug(T.first_line(F.col("text"), None), 12).alias("slug"))
-    k = F.row_number().over(W.partitionBy("slug").orderBy("doc_id"))
-    return s.withColumn("k", k).select("doc_id", F.when(F.col("k") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", F.col("k").cast("string"))).alias("name"))
+    return R.numbered(s, "slug", "doc_id", "k").select("doc_id", F.when(F.col("k") == 1, F.col("slug")).otherwise(F.concat_ws("-", "slug", F.col("k").cast("string"))).alias("name"))
 
 
 @query(f"WITH {_SCORED} SELECT doc_id, level FROM s ORDER BY rank DESC, organ, title, doc_id")

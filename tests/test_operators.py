@@ -229,3 +229,11 @@ def test_queries_without_sql(spark):
 
     for name in ("fuzzy_title", "flexible_spans"):
         assert entry.queries()[name](spark, SF).count() > 0
+
+
+def test_numbering_in_stretches(spark):
+    rows = [("hot", i * 3) for i in range(400)] + [("b", 5), ("b", -7), (None, 1), (None, 9), ("n", None)]
+    for width in (7, 1 << 20):
+        got = sorted(((r.k, r.o, r.place) for r in R.numbered(spark.createDataFrame(rows, "k string, o long").repartition(5), "k", "o", "place", width).collect()), key=str)
+        want = [(k, o, 1 + sum(a == k and (b if b is not None else -99) < (o if o is not None else -99) for a, b in rows)) for k, o in rows]
+        assert got == sorted(want, key=str)

@@ -51,8 +51,10 @@ SECTORS: dict[str, tuple[str, ...]] = {
 }
 
 
-def _holds(text: Column, terms: Sequence[str]) -> Column:
-    return F.filter(F.lit(list(terms)), lambda t: F.contains(text, F.concat(F.lit(" "), t, F.lit(" "))))
+def held_terms(text: Column, terms: Sequence[str]) -> Column:
+    """The terms that a padded normalised text holds whole, in the order given."""
+    found = [F.when(F.contains(text, F.lit(f" {t} ")), F.lit(t)) for t in terms]  # compiled, unlike a filter over a list of terms
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
 def facets(pubs: DataFrame, vocabulary: Mapping[str, Sequence[str]] = VOCABULARY) -> DataFrame:
@@ -61,14 +63,15 @@ def facets(pubs: DataFrame, vocabulary: Mapping[str, Sequence[str]] = VOCABULARY
     ``product`` holds the matched terms of category product that no other vocabulary
     claims; weak and generic hold matched terms only.
     """
-    padded = F.concat(F.lit(" "), F.col("norm"), F.lit(" "))
+    padded = F.col("__padded")
     matched = F.array_distinct(F.transform("hits", lambda m: m["term"]))
     own = lambda name: F.array_intersect(matched, F.lit(list(vocabulary[name])))
-    columns = [F.array_sort(own(f) if f in ("weak", "generic") else F.array_union(own(f), _holds(padded, vocabulary[f]))).alias(f) for f in vocabulary]
+    columns = [F.array_sort(own(f) if f in ("weak", "generic") else F.array_union(own(f), held_terms(padded, vocabulary[f]))).alias(f) for f in vocabulary]
     claimed = sorted({t for f in ("generic", "weak", "regulator", "technical", "act", "event", "process") for t in vocabulary[f]})
     products = F.transform(F.filter("hits", lambda m: m["category"] == "product"), lambda m: m["term"])
     product = F.array_sort(F.array_distinct(F.array_except(products, F.lit(claimed)))).alias("product")
-    return pubs.withColumn("facets", F.struct(*columns, product))
+    pubs = pubs.withColumn("__padded", F.concat(F.lit(" "), "norm", F.lit(" ")))
+    return pubs.withColumn("facets", F.struct(*columns, product)).drop("__padded")
 
 
 def any_of(name: str) -> Column:
@@ -165,7 +168,7 @@ def decide(rules: Sequence[Rule]) -> Column:
 
 def ambiguous_product(padded: Column, word: str, contexts: Sequence[str], vetoes: Sequence[str] = ()) -> Column:
     """A word of several meanings counts as a product only beside one of its contexts and none of its vetoes."""
-    holds = lambda terms: F.size(_holds(padded, terms)) > 0
+    holds = lambda terms: F.size(held_terms(padded, terms)) > 0
     vetoed = holds(vetoes) if vetoes else F.lit(False)
     return holds([word]) & holds(contexts) & ~vetoed
 

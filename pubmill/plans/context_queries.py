@@ -178,7 +178,7 @@ e AS (SELECT doc_id, {case(lambda s: repr(s.section))} AS section, {case(lambda
 def _curated(spark, d):
     pubs = M.publications(table(spark, d, "documents")).withColumn("pad", F.concat(F.lit(" "), "norm", F.lit(" ")))
     valid = F.array_compact(F.array(*(F.when(C.ambiguous_product(F.col("pad"), w, c, v), w) for w, c, v in AMBIGUOUS)))
-    found = pubs.select("doc_id", *(C._holds(F.col("pad"), t).alias(k) for k, t in _FOUND.items()), valid.alias("ambiguous_valid"))
+    found = pubs.select("doc_id", *(C.held_terms(F.col("pad"), t).alias(k) for k, t in _FOUND.items()), valid.alias("ambiguous_valid"))
     return C.curate(found.withColumn("valid_product", F.concat("strong_product", "ambiguous_valid")))
 
 

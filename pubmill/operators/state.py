@@ -45,8 +45,9 @@ def upsert(events: DataFrame) -> DataFrame:
 
     An event without valid evidence is rejected. One equal to the row changes nothing.
     A concluded row is replaced only by an event that expects more documents; another
-    is rejected. What is taken counts as an attempt. The fold runs over a key's events
-    as rows in its order; equal neighbours fall away first, so a key's rows are its changes.
+    is rejected. What is taken counts as an attempt. The order decides, so a key's
+    events are folded in one place, as one array: those of a day and source, some dozens.
+    ``upsert_stream`` holds one row a key however many there are.
     """
     same = ["status", "found", "origin", "reference", "error", "expected"]
     state = F.struct(F.lit(None).cast("string").alias("status"), F.lit(None).cast("long").alias("found"), F.lit(None).cast("long").alias("expected"), F.lit(None).cast("string").alias("print"), F.lit(0).cast("long").alias("attempts"), F.lit(0).cast("long").alias("rejected"))

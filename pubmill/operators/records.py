@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
+from pubmill.operators.matching import ordered_first
 
 # The columns that may hold each field, in order of preference.
 ALIASES: dict[str, tuple[str, ...]] = {
@@ -71,9 +72,7 @@ def union_by_key(frames: Sequence[DataFrame], key: Column, ord_: str) -> DataFra
     for place, df in enumerate(frames):
         own = df.withColumn("__place", F.lit(place))
         every = own if every is None else every.unionByName(own, allowMissingColumns=True)
-    columns = [c for c in every.columns if c != "__place"]
-    first = F.min(F.struct("__place", ord_, F.struct(*columns).alias("row"))).alias("least")
-    return every.groupBy(key.alias("__key")).agg(first).select("least.row.*")
+    return ordered_first(every.withColumn("__key", key), ["__key"], [F.col("__place"), F.col(ord_)]).drop("__key", "__place")
 
 
 def numbered(df: DataFrame, key: str, ord_: str, name: str, width: int = 1 << 20) -> DataFrame:

@@ -22,14 +22,16 @@ _CLAIMED = sorted({t for f in ("generic", "weak", "regulator", "technical", "act
 _PRODUCTS = [t for t, c in TERMS if c == "product" and t not in _CLAIMED]
 _HITS = f"""d AS (SELECT doc_id, {norm_sql('text')} AS norm, ' ' || {norm_sql('text')} || ' ' AS pad FROM documents),
 h AS (SELECT *, {_HOLDS([t for t, _ in TERMS])} AS matched FROM d)"""
-_FACETS = f"""{_HITS}, f AS (SELECT *, {', '.join(f"{_MATCHED(t) if k in ('weak', 'generic') else _HOLDS(t)} AS {k}" for k, t in _V.items())}, {_MATCHED(_PRODUCTS)} AS product FROM h)"""
+_FACETS = f"""{_HITS}, f AS (SELECT *, {', '.join(f"{_MATCHED(t) if k in ('weak', 'generic') else _HOLDS(t)} AS {k}" for k, t in _V.items())},
+  {_MATCHED(_PRODUCTS)} AS product FROM h)"""
 _HAS = lambda f: f"len({f}) > 0"
 _MEETS = lambda f, name: f"list_has_any({f}, [{', '.join(map(repr, _S[name]))}]::VARCHAR[])"
 _INSIDE = lambda name: "(" + " OR ".join(f"contains(norm, {t!r})" for t in _S[name]) + ")"
 _GOODS = f"({_HAS('sector')} OR {_MEETS('generic', 'traded_products')} OR {_HAS('product')})"
 _DOWN = f"({_HAS('admin')} AND NOT {_HAS('company')} AND NOT {_HAS('regulator')} AND NOT {_HAS('sector')})"
 _SECTOR = f"""CASE WHEN {_MEETS('regulator', 'dropped')} THEN false
- WHEN {_MEETS('regulator', 'environment')} THEN {_MEETS('event', 'strong_events')} AND {_GOODS} AND ({_MEETS('activity', 'product_activities')} OR {_HAS('technical')} OR {_HAS('sector')})
+ WHEN {_MEETS('regulator', 'environment')} THEN {_MEETS('event', 'strong_events')} AND {_GOODS}
+  AND ({_MEETS('activity', 'product_activities')} OR {_HAS('technical')} OR {_HAS('sector')})
  WHEN {_MEETS('regulator', 'metrology')} THEN {_MEETS('event', 'seizures')} AND {_MEETS('activity', 'inspections')} AND {_GOODS}
  WHEN {_MEETS('regulator', 'trade')} THEN {_MEETS('event', 'trade_events')} AND {_MEETS('activity', 'trade_activities')}
  WHEN {_MEETS('regulator', 'health')} THEN NOT {_INSIDE('pharma')} AND {_MEETS('event', 'health_events')}
@@ -187,7 +189,8 @@ def q_curation(spark, d):
     return _curated(spark, d).select("doc_id", "section", "relevance", F.array_join("evidence", "; ").alias("evidence"))
 
 
-@query(f"{_curation_sql()} SELECT doc_id, array_to_string(list_distinct(list_transform(evidence, lambda x: trim(split_part(x, ': ', 2)))), '') IS NOT NULL AND len(evidence) > 0 AS traced, len(list_distinct(list_transform(evidence, lambda x: trim(split_part(x, ': ', 2)))))::BIGINT AS n_terms FROM e")
+@query(f"""{_curation_sql()} SELECT doc_id, array_to_string(list_distinct(list_transform(evidence, lambda x: trim(split_part(x, ': ', 2)))), '') IS NOT NULL
+  AND len(evidence) > 0 AS traced, len(list_distinct(list_transform(evidence, lambda x: trim(split_part(x, ': ', 2)))))::BIGINT AS n_terms FROM e""")
 def q_traceability(spark, d):
     terms = C.traced_terms(F.col("evidence"))
     return _curated(spark, d).select("doc_id", (F.size("evidence") > 0).alias("traced"), F.size(terms).cast("long").alias("n_terms"))
@@ -219,7 +222,9 @@ def q_context_note(spark, d):
 _LEVELS = ("CRITICAL", "STRONG", "MEDIUM_HIGH", "MEDIUM", "SECTOR", "REVIEW", "LOW", "NONE")
 
 
-@query(f"WITH {_FACETS}, t AS (SELECT doc_id, {_case(C.CONTEXT_RULES, 'level')} AS level, {_case(C.CONTEXT_RULES, 'relevant')} AS relevant FROM f) SELECT doc_id, level IN ('CRITICAL', 'STRONG', 'MEDIUM_HIGH', 'MEDIUM') AS executive, level = 'SECTOR' AS sector, level = 'REVIEW' AND level <> 'SECTOR' AS review FROM t")
+@query(f"""WITH {_FACETS}, t AS (SELECT doc_id, {_case(C.CONTEXT_RULES, 'level')} AS level, {_case(C.CONTEXT_RULES, 'relevant')} AS relevant
+  FROM f) SELECT doc_id, level IN ('CRITICAL', 'STRONG', 'MEDIUM_HIGH', 'MEDIUM') AS executive, level = 'SECTOR' AS sector, level = 'REVIEW'
+  AND level <> 'SECTOR' AS review FROM t""")
 def q_view_predicates(spark, d):
     level = F.col("x.level")
     tree = _faceted(spark, d).select("doc_id", C.decide(C.CONTEXT_RULES).alias("x"))

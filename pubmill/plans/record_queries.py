@@ -20,13 +20,15 @@ def _spelt():
     return F.element_at(F.array(*kinds), (F.col("o_orderkey") % 6 + 1).cast("int"))
 
 
-@query(f"""WITH t AS (SELECT o_orderkey, {_SPELT} AS spelt FROM orders), v AS (SELECT *, CASE WHEN regexp_matches(spelt, '^\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$') THEN trim(spelt)::DOUBLE END AS x FROM t)
+@query(f"""WITH t AS (SELECT o_orderkey, {_SPELT} AS spelt
+  FROM orders), v AS (SELECT *, CASE WHEN regexp_matches(spelt, '^\\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\\s*$') THEN trim(spelt)::DOUBLE END AS x FROM t)
 SELECT o_orderkey, CASE WHEN x = floor(x) THEN x::BIGINT::VARCHAR ELSE regexp_replace(spelt, '[^0-9]', '', 'g') END AS digits FROM v""")
 def q_number_digits(spark, d):
     return table(spark, d, "orders").select("o_orderkey", T.number_digits(_spelt()).alias("digits"))
 
 
-@query(f"""SELECT page_id, trim(regexp_replace({norm_sql('url')}, '[^a-z0-9]+', ' ', 'g')) AS page_key, strip_accents(lower(trim(regexp_replace(substr(html, 1, 600), '\\s+', ' ', 'g')))) AS plain,
+@query(f"""SELECT page_id, trim(regexp_replace({norm_sql('url')}, '[^a-z0-9]+', ' ', 'g')) AS page_key, strip_accents(lower(trim(regexp_replace(substr(html, 1, 600),
+  '\\s+', ' ', 'g')))) AS plain,
  trim(regexp_replace(lower(regexp_replace(strip_accents(substr(html, 1, 600)), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9/.-]+', ' ', 'g')) AS title FROM pages""")
 def q_other_norms(spark, d):
     head = F.substring("html", 1, 600)
@@ -40,7 +42,8 @@ def q_shorten(spark, d):
     return table(spark, d, "documents").select("doc_id", *(T.shorten(line, 30, rule).alias(rule) for rule in ("after", "within", "trimmed")))
 
 
-@query("""WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y') WHEN 2 THEN ' ' || strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%m.%Y') END AS spelt FROM orders)
+@query("""WITH t AS (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y')
+  WHEN 2 THEN ' ' || strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%m.%Y') END AS spelt FROM orders)
 SELECT o_orderkey, coalesce(try_strptime(trim(spelt), '%Y-%m-%d')::DATE, try_strptime(trim(spelt), '%d/%m/%Y')::DATE) AS day FROM t""")
 def q_date_parse(spark, d):
     form = lambda f: F.date_format("o_orderdate", f)
@@ -57,7 +60,8 @@ def q_percent_text(spark, d):
 
 
 @query(f"""WITH t AS (SELECT doc_id, string_split({_LINE}, ' ') AS w FROM documents), k AS (SELECT doc_id, w, list_transform(w, lambda x: {_KEY('x')}) AS keys FROM t)
-SELECT doc_id, array_to_string(list_transform(list_filter(range(len(w)), lambda i: keys[i + 1] <> '' AND list_position(keys, keys[i + 1]) = i + 1), lambda i: w[i + 1]), ' ') AS words FROM k""")
+SELECT doc_id, array_to_string(list_transform(list_filter(range(len(w)), lambda i: keys[i + 1] <> ''
+  AND list_position(keys, keys[i + 1]) = i + 1), lambda i: w[i + 1]), ' ') AS words FROM k""")
 def q_ordered_distinct(spark, d):
     words = T.ordered_distinct(F.split(T.first_line(F.col("text"), None), " "))
     return table(spark, d, "documents").select("doc_id", F.array_join(words, " ").alias("words"))
@@ -66,7 +70,8 @@ def q_ordered_distinct(spark, d):
 _ACTS = ("licen", "than", "deau")
 
 
-@query(f"""SELECT doc_id, CASE WHEN regexp_matches({_KEY('l')}, 'licen|than|deau') THEN 'ACT' WHEN len(regexp_extract_all(l, '\\b[A-Z][a-z]+')) >= 3 AND len(regexp_split_to_array(trim(l), '\\s+')) <= 6 THEN 'PERSON' ELSE 'OTHER' END AS kind
+@query(f"""SELECT doc_id, CASE WHEN regexp_matches({_KEY('l')}, 'licen|than|deau') THEN 'ACT'
+  WHEN len(regexp_extract_all(l, '\\b[A-Z][a-z]+')) >= 3 AND len(regexp_split_to_array(trim(l), '\\s+')) <= 6 THEN 'PERSON' ELSE 'OTHER' END AS kind
 FROM (SELECT doc_id, substr({_LINE}, 1, 30) AS l FROM documents)""")
 def q_title_kind(spark, d):
     line = F.substring(T.first_line(F.col("text"), None), 1, 30)
@@ -76,19 +81,25 @@ def q_title_kind(spark, d):
 _FLAT = "strip_accents(lower(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))))"
 
 
-@query(f"SELECT doc_id, regexp_matches(t, '(^|[^a-z0-9])public\\s+license($|[^a-z0-9])') AS licence, regexp_matches(t, '(^|[^a-z0-9])than($|[^a-z0-9])') AS than FROM (SELECT doc_id, {_FLAT} AS t FROM documents)")
+@query(f"""SELECT doc_id, regexp_matches(t, '(^|[^a-z0-9])public\\s+license($|[^a-z0-9])') AS licence, regexp_matches(t, '(^|[^a-z0-9])than($|[^a-z0-9])') AS than
+  FROM (SELECT doc_id, {_FLAT} AS t FROM documents)""")
 def q_flexible_term(spark, d):
     plain = T.accent_norm(F.col("text"))
     return table(spark, d, "documents").select("doc_id", T.flexible_term(plain, "public license").alias("licence"), T.flexible_term(plain, "than").alias("than"))
 
 
 # Raw rows as three producers spell them: the title under one of two names or missing, some texts missing, one in five with an id.
-_RAW = f"""r AS (SELECT doc_id AS ord, CASE WHEN doc_id % 5 = 0 THEN 'own-' || doc_id ELSE '' END AS id, CASE WHEN doc_id % 3 = 0 THEN substr({_LINE}, 1, 50) END AS title, CASE WHEN doc_id % 3 = 1 THEN substr({_LINE}, 1, 40) END AS heading,
- CASE WHEN doc_id % 11 <> 0 THEN text END AS body, CASE WHEN doc_id % 7 = 0 THEN '' ELSE source END AS agency, CASE WHEN doc_id % 4 = 0 THEN '2024-01-0' || (doc_id % 9 + 1) WHEN doc_id % 4 = 1 THEN 'May 2024' ELSE '0' || (doc_id % 9 + 1) || '/02/2024' END AS day,
+_RAW = f"""r AS (SELECT doc_id AS ord, CASE WHEN doc_id % 5 = 0 THEN 'own-' || doc_id ELSE '' END AS id, CASE
+  WHEN doc_id % 3 = 0 THEN substr({_LINE}, 1, 50) END AS title, CASE WHEN doc_id % 3 = 1 THEN substr({_LINE}, 1, 40) END AS heading,
+ CASE WHEN doc_id % 11 <> 0 THEN text END AS body, CASE WHEN doc_id % 7 = 0 THEN '' ELSE source END AS agency, CASE
+  WHEN doc_id % 4 = 0 THEN '2024-01-0' || (doc_id % 9 + 1) WHEN doc_id % 4 = 1 THEN 'May 2024' ELSE '0' || (doc_id % 9 + 1) || '/02/2024' END AS day,
  CASE WHEN doc_id % 2 = 0 THEN 'http://x.example/' || doc_id END AS link, lang FROM documents)"""
 _F = lambda *c: "coalesce(" + ", ".join(f"nullif(trim({x}), '')" for x in c) + ", '')"
-_BASE = f"""{_RAW}, a AS (SELECT ord, trim(id) AS own, {_F('title', 'heading')} AS t, {_F('body')} AS text, {_F('agency')} AS organ, {_F('day')} AS published, {_F('link')} AS url, lang FROM r),
-b AS (SELECT ord, CASE WHEN own <> '' THEN own ELSE 'GAZETTE|' || substr(sha256('GAZETTE|' || published || '||' || url || '|' || substr(text, 1, 300)), 1, 20) END AS id, CASE WHEN t <> '' THEN t ELSE substr(trim({_LINE}), 1, 300) END AS title, text, organ, published, url,
+_BASE = f"""{_RAW}, a AS (SELECT ord, trim(id) AS own, {_F('title', 'heading')} AS t, {_F('body')} AS text, {_F('agency')} AS organ, {_F('day')} AS published,
+  {_F('link')} AS url, lang FROM r),
+b AS (SELECT ord, CASE WHEN own <> '' THEN own
+  ELSE 'GAZETTE|' || substr(sha256('GAZETTE|' || published || '||' || url || '|' || substr(text, 1, 300)), 1, 20) END AS id, CASE
+  WHEN t <> '' THEN t ELSE substr(trim({_LINE}), 1, 300) END AS title, text, organ, published, url,
  CASE WHEN text = '' THEN '' ELSE sha256(text) END AS hash, length(text)::BIGINT AS text_size, CASE WHEN text = '' THEN 'NO_TEXT' ELSE 'OK' END AS status, lang FROM a)"""
 
 
@@ -116,21 +127,25 @@ def q_base_record(spark, d):
 
 
 @query(f"""WITH {_BASE}, v AS (SELECT id, list_filter([{', '.join(f"CASE WHEN trim({c}) = '' THEN 'missing {c}' END" for c in ('id', 'published', 'title', 'organ', 'text'))},
-  CASE WHEN published <> '' AND try_strptime(published, '%Y-%m-%d') IS NULL AND try_strptime(published, '%d/%m/%Y') IS NULL THEN 'not a date published' END], lambda x: x IS NOT NULL) AS e,
+  CASE WHEN published <> '' AND try_strptime(published, '%Y-%m-%d') IS NULL
+  AND try_strptime(published, '%d/%m/%Y') IS NULL THEN 'not a date published' END], lambda x: x IS NOT NULL) AS e,
  list_filter([{', '.join(f"CASE WHEN {c} = '' THEN 'empty {c}' END" for c in ('url', 'hash'))}], lambda x: x IS NOT NULL) AS w FROM b)
-SELECT id, array_to_string(e, ';') AS errors, array_to_string(w, ';') AS warnings, CASE WHEN len(e) > 0 THEN 'INVALID' WHEN len(w) > 0 THEN 'INCOMPLETE' ELSE 'OK' END AS verdict FROM v""")
+SELECT id, array_to_string(e, ';') AS errors, array_to_string(w, ';') AS warnings, CASE WHEN len(e) > 0 THEN 'INVALID'
+  WHEN len(w) > 0 THEN 'INCOMPLETE' ELSE 'OK' END AS verdict FROM v""")
 def q_contract(spark, d):
     return R.validated(_base(spark, d)).select("id", F.array_join("errors", ";").alias("errors"), F.array_join("warnings", ";").alias("warnings"), "verdict")
 
 
-@query("""SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) FILTER (o_orderkey % 3 <> 0) AS priority, arg_max(o_orderstatus, o_orderkey) FILTER (o_orderkey % 2 = 0) AS status FROM orders GROUP BY 1""")
+@query("""SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) FILTER (o_orderkey % 3 <> 0) AS priority, arg_max(o_orderstatus,
+  o_orderkey) FILTER (o_orderkey % 2 = 0) AS status FROM orders GROUP BY 1""")
 def q_last_filled(spark, d):
     o, k = table(spark, d, "orders"), F.col("o_orderkey")
     o = o.select("o_custkey", "o_orderkey", F.when(k % 3 != 0, F.col("o_orderpriority")).otherwise(" ").alias("priority"), F.when(k % 2 == 0, F.col("o_orderstatus")).alias("status"))
     return R.last_filled(o, ["o_custkey"], "o_orderkey", ["priority", "status"])
 
 
-@query("""WITH u AS (SELECT 0 AS place, o_orderkey AS ord, o_custkey, o_orderdate::DATE AS day, 'closed' AS origin FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 1, o_orderkey, o_custkey, o_orderdate::DATE, 'any' FROM orders),
+@query("""WITH u AS (SELECT 0 AS place, o_orderkey AS ord, o_custkey, o_orderdate::DATE AS day, 'closed' AS origin FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 1, o_orderkey, o_custkey, o_orderdate::DATE, 'any' FROM orders),
 r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, day ORDER BY place, ord) AS k FROM u) SELECT ord, o_custkey, day, origin FROM r WHERE k = 1""")
 def q_union_by_key(spark, d):
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("ord"), "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderstatus")
@@ -138,8 +153,11 @@ def q_union_by_key(spark, d):
     return R.union_by_key([closed, o.drop("o_orderstatus").withColumn("origin", F.lit("any"))], F.struct("o_custkey", "day"), "ord")
 
 
-@query(f"""WITH h AS (SELECT doc_id, 'title' AS field, 0 AS place, instr({_LINE}, 'the') - 1 AS pos FROM documents UNION ALL SELECT doc_id, 'full_text', 1, instr(coalesce(text, ''), 'the') - 1 FROM documents
- UNION ALL SELECT doc_id, 'organ', 2, instr(source, 'src1') - 1 FROM documents), p AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY field <> 'full_text', place, pos) AS k, count(*) OVER (PARTITION BY doc_id) AS n_hits FROM h WHERE pos >= 0)
+@query(f"""WITH h AS (SELECT doc_id, 'title' AS field, 0 AS place, instr({_LINE}, 'the') - 1 AS pos FROM documents
+  UNION ALL SELECT doc_id, 'full_text', 1, instr(coalesce(text, ''), 'the') - 1 FROM documents
+ UNION ALL SELECT doc_id, 'organ', 2, instr(source, 'src1') - 1
+  FROM documents), p AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY field <> 'full_text', place, pos) AS k, count(*) OVER (PARTITION BY doc_id) AS n_hits
+  FROM h WHERE pos >= 0)
 SELECT doc_id, n_hits, field, pos AS "offset" FROM p WHERE k = 1""")
 def q_primary_occurrence(spark, d):
     docs = table(spark, d, "documents")
@@ -159,7 +177,8 @@ def q_result_order(spark, d):
     return rows.orderBy(F.coalesce("l_linestatus", F.lit("")), "l_shipdate", "l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber")
 
 
-@query(f"""SELECT doc_id, CASE WHEN length(trim(b)) > 40 AND {_KEY('b')} <> {_KEY('t')} THEN 'second' WHEN length(trim(c)) > 40 AND {_KEY('c')} <> {_KEY('t')} THEN 'text' ELSE '' END AS useful
+@query(f"""SELECT doc_id, CASE WHEN length(trim(b)) > 40 AND {_KEY('b')} <> {_KEY('t')} THEN 'second'
+  WHEN length(trim(c)) > 40 AND {_KEY('c')} <> {_KEY('t')} THEN 'text' ELSE '' END AS useful
 FROM (SELECT doc_id, {_LINE} AS t, split_part(coalesce(text, ''), chr(10), 2) AS b, coalesce(text, '') AS c FROM documents)""")
 def q_useful_text(spark, d):
     whole = F.coalesce("text", F.lit(""))
@@ -168,26 +187,33 @@ def q_useful_text(spark, d):
     return rows.select("doc_id", F.when(F.col("u") == "", "").when(F.col("u") == F.trim("b"), "second").otherwise("text").alias("useful"))
 
 
-@query(r"""WITH u AS (SELECT page_id, list_distinct(regexp_extract_all(url || ' ' || html, 'https?://[^\s"''<>)]+')) AS us, regexp_extract_all(url || ' ' || html, 'https?://[^\s"''<>)]+') AS o FROM pages)
+@query(r"""WITH u AS (SELECT page_id, list_distinct(regexp_extract_all(url || ' ' || html, 'https?://[^\s"''<>)]+')) AS us, regexp_extract_all(url || ' ' || html,
+  'https?://[^\s"''<>)]+') AS o FROM pages)
 SELECT page_id, coalesce(list_filter(o, lambda x: regexp_extract(x, '://([^/:?#]+)', 1) = 'ththre.example.com')[1], o[1]) AS best FROM u""")
 def q_ranked_url(spark, d):
     return table(spark, d, "pages").select("page_id", R.ranked_url(F.concat_ws(" ", "url", "html"), ["ththre.example.com"]).alias("best"))
 
 
-@query("SELECT page_id, len(regexp_extract_all(html, '(?i)<p[ >]'))::BIGINT AS paragraphs, regexp_matches(html, '(?i)<table') AS has_table, len(regexp_extract_all(html, '(?i)<a '))::BIGINT AS links FROM pages")
+@query("""SELECT page_id, len(regexp_extract_all(html, '(?i)<p[ >]'))::BIGINT AS paragraphs, regexp_matches(html, '(?i)<table') AS has_table, len(regexp_extract_all(html,
+  '(?i)<a '))::BIGINT AS links FROM pages""")
 def q_counts_in_text(spark, d):
     count = lambda p: F.regexp_count("html", F.lit(p)).cast("long")
     return table(spark, d, "pages").select("page_id", count("(?i)<p[ >]").alias("paragraphs"), F.col("html").rlike("(?i)<table").alias("has_table"), count("(?i)<a ").alias("links"))
 
 
 _STOP = ("the", "and", "that")
-_NEXT = f"""t AS (SELECT doc_id, substr({_LINE}, 1, 60) AS title FROM documents), c AS (SELECT a.doc_id, a.title AS wanted, CASE WHEN a.doc_id % 3 = 0 THEN 'See: ' || a.title || ' 77' WHEN a.doc_id % 3 = 1 THEN substr(a.title, 1, 45) ELSE b.title END AS link,
+_NEXT = f"""t AS (SELECT doc_id, substr({_LINE}, 1, 60) AS title
+  FROM documents), c AS (SELECT a.doc_id, a.title AS wanted, CASE WHEN a.doc_id % 3 = 0 THEN 'See: ' || a.title || ' 77'
+  WHEN a.doc_id % 3 = 1 THEN substr(a.title, 1, 45) ELSE b.title END AS link,
  CASE WHEN a.doc_id % 4 = 0 THEN '/law-' || a.doc_id ELSE '/doc/' || a.doc_id END AS href FROM t a JOIN t b ON b.doc_id = a.doc_id + 1)"""
 _TOKENS = f"list_filter(list_distinct(string_split({_KEY('wanted')}, ' ')), lambda t: length(t) >= 3 AND NOT regexp_full_match(t, '[0-9]+') AND t NOT IN ('the', 'and', 'that'))"
-_PARTS = f"""{_NEXT}, k AS (SELECT *, {_KEY('wanted')} AS a, {_KEY('link')} AS b, {_KEY("link || ' ' || href")} AS ab, {_TOKENS} AS toks, list_distinct(regexp_extract_all({_KEY('wanted')}, '[0-9]+')) AS nums FROM c),
-s AS (SELECT *, a <> '' AND b <> '' AND (contains(b, a) OR (len(toks) > 0 AND len(list_filter(nums, lambda x: NOT contains(b, x))) = 0 AND len(list_filter(toks, lambda x: contains(b, x)))::DOUBLE / len(toks) >= 0.85)) AS same FROM k),
+_PARTS = f"""{_NEXT}, k AS (SELECT *, {_KEY('wanted')} AS a, {_KEY('link')} AS b, {_KEY("link || ' ' || href")} AS ab, {_TOKENS} AS toks,
+  list_distinct(regexp_extract_all({_KEY('wanted')}, '[0-9]+')) AS nums FROM c),
+s AS (SELECT *, a <> '' AND b <> '' AND (contains(b, a) OR (len(toks) > 0 AND len(list_filter(nums, lambda x: NOT contains(b, x))) = 0
+  AND len(list_filter(toks, lambda x: contains(b, x)))::DOUBLE / len(toks) >= 0.85)) AS same FROM k),
 p AS (SELECT *, ((CASE WHEN same THEN 300 ELSE 0 END) + (CASE WHEN len(toks) > 0 THEN floor(len(list_filter(toks, lambda x: contains(ab, x)))::DOUBLE / len(toks) * 120) ELSE 0 END)
- + (CASE WHEN len(nums) > 0 THEN floor(len(list_filter(nums, lambda x: contains(ab, x)))::DOUBLE / len(nums) * 160) ELSE 0 END) - (CASE WHEN contains(lower(href), '/law-') AND NOT contains(a, 'law') THEN 100 ELSE 0 END))::BIGINT AS score FROM s)"""
+ + (CASE WHEN len(nums) > 0 THEN floor(len(list_filter(nums, lambda x: contains(ab, x)))::DOUBLE / len(nums) * 160) ELSE 0 END) - (CASE
+  WHEN contains(lower(href), '/law-') AND NOT contains(a, 'law') THEN 100 ELSE 0 END))::BIGINT AS score FROM s)"""
 
 
 def _links(spark, d):
@@ -209,9 +235,11 @@ def q_link_score(spark, d):
     return _links(spark, d).select("doc_id", R.link_score(F.col("wanted"), F.col("link"), F.col("href"), _STOP).alias("score"))
 
 
-@query(f"""WITH {_PARTS}, w AS (SELECT DISTINCT doc_id % 300 AS key FROM p), h AS (SELECT doc_id AS key, href AS url FROM p WHERE doc_id % 10 = 1 AND doc_id < 300 AND doc_id % 20 <> 11),
+@query(f"""WITH {_PARTS}, w AS (SELECT DISTINCT doc_id % 300 AS key FROM p), h AS (SELECT doc_id AS key, href AS url
+  FROM p WHERE doc_id % 10 = 1 AND doc_id < 300 AND doc_id % 20 <> 11),
 b AS (SELECT doc_id % 300 AS key, arg_min(href, struct_pack(a := -score, b := href)) AS url FROM p WHERE same GROUP BY 1)
-SELECT w.key, coalesce(h.url, b.url) AS url, CASE WHEN h.url IS NOT NULL THEN 'CACHE' WHEN b.url IS NOT NULL THEN 'FOUND' ELSE 'MISSING' END AS how FROM w LEFT JOIN h ON h.key = w.key LEFT JOIN b ON b.key = w.key""")
+SELECT w.key, coalesce(h.url, b.url) AS url, CASE WHEN h.url IS NOT NULL THEN 'CACHE' WHEN b.url IS NOT NULL THEN 'FOUND' ELSE 'MISSING' END AS how FROM w
+  LEFT JOIN h ON h.key = w.key LEFT JOIN b ON b.key = w.key""")
 def q_link_resolution(spark, d):
     links, key = _links(spark, d), (F.col("doc_id") % 300).alias("key")
     score, same = R.link_score(F.col("wanted"), F.col("link"), F.col("href"), _STOP), R.same_title(F.col("wanted"), F.col("link"), _STOP)
@@ -227,9 +255,11 @@ def fuzzy_title(spark, d):
     return R.fuzzy_titles(records, table(spark, d, "benchmark").select(F.col("item_id").alias("key"), F.substring("text", 1, 60).alias("title")), 0.5)
 
 
-@query("""WITH r AS (SELECT o_orderkey AS key, o_custkey AS title, o_orderpriority AS process, o_clerk FROM (SELECT *, 'doc-' || o_orderkey AS o_clerk FROM orders WHERE o_orderkey % 3 = 0)),
+@query("""WITH r AS (SELECT o_orderkey AS key, o_custkey AS title, o_orderpriority AS process, o_clerk FROM (SELECT *, 'doc-' || o_orderkey AS o_clerk
+  FROM orders WHERE o_orderkey % 3 = 0)),
 l AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS key, o_custkey AS title, o_orderpriority AS process FROM orders),
-a AS (SELECT key, min(o_clerk) AS v FROM r GROUP BY 1 HAVING count(*) = 1), b AS (SELECT title, min(o_clerk) AS v FROM r GROUP BY 1 HAVING count(*) = 1), c AS (SELECT title, process, min(o_clerk) AS v FROM r GROUP BY 1, 2 HAVING count(*) = 1)
+a AS (SELECT key, min(o_clerk) AS v FROM r GROUP BY 1 HAVING count(*) = 1), b AS (SELECT title, min(o_clerk) AS v
+  FROM r GROUP BY 1 HAVING count(*) = 1), c AS (SELECT title, process, min(o_clerk) AS v FROM r GROUP BY 1, 2 HAVING count(*) = 1)
 SELECT l.id, coalesce(a.v, b.v, c.v) AS page, CASE WHEN a.v IS NOT NULL THEN 'key' WHEN b.v IS NOT NULL THEN 'title' WHEN c.v IS NOT NULL THEN 'title+process' END AS how
 FROM l LEFT JOIN a ON a.key = l.key LEFT JOIN b ON b.title = l.title LEFT JOIN c ON c.title = l.title AND c.process = l.process""")
 def q_guarded_association(spark, d):
@@ -243,7 +273,8 @@ _PROC = "lpad((o_orderkey % 100000)::VARCHAR, 5, '0') AS a, lpad((o_custkey % 10
 
 
 @query(f"""WITH t AS (SELECT *, {_PROC} FROM orders), k AS (SELECT DISTINCT a || b || c || e AS process FROM t WHERE o_orderpriority LIKE '1%')
-SELECT o_orderkey AS doc, 1 AS page, a || b || c || e AS process, CASE WHEN o_orderkey % 4 = 1 THEN 'WIDE_REVIEW' ELSE 'STRICT' END AS how FROM t JOIN k ON k.process = a || b || c || e WHERE o_orderkey % 4 <> 3""")
+SELECT o_orderkey AS doc, 1 AS page, a || b || c || e AS process, CASE WHEN o_orderkey % 4 = 1 THEN 'WIDE_REVIEW' ELSE 'STRICT' END AS how FROM t
+  JOIN k ON k.process = a || b || c || e WHERE o_orderkey % 4 <> 3""")
 def q_pattern_join(spark, d):
     pad = lambda c, width: F.lpad(c.cast("string"), width, "0")
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", pad(F.col("o_orderkey") % 100000, 5).alias("a"), pad(F.col("o_custkey") % 1000000, 6).alias("b"), F.date_format("o_orderdate", "yyyy").alias("c"), pad(F.col("o_orderkey") % 97, 2).alias("e"))
@@ -261,21 +292,24 @@ def q_digest_rows(spark, d):
     return R.digest_rows(g.select("id", F.concat(F.lit("customer "), F.col("id").cast("string")).alias("title"), "processes"))
 
 
-@query("""SELECT page_id, CASE WHEN contains(url, '/fr/') OR contains(url, '/de/') THEN 'listed' WHEN starts_with(url, 'https://') THEN 'secure' ELSE 'other' END AS kind FROM pages""")
+@query("""SELECT page_id, CASE WHEN contains(url, '/fr/') OR contains(url, '/de/') THEN 'listed' WHEN starts_with(url, 'https://') THEN 'secure' ELSE 'other' END AS kind
+  FROM pages""")
 def q_source_predicates(spark, d):
     url = F.col("url")
     kind = F.when(F.contains(url, F.lit("/fr/")) | F.contains(url, F.lit("/de/")), "listed").when(F.startswith(url, F.lit("https://")), "secure").otherwise("other")
     return table(spark, d, "pages").select("page_id", kind.alias("kind"))
 
 
-@query("""SELECT sha256(string_agg(h, '|' ORDER BY name)) AS signature FROM (SELECT p_brand AS name, sha256(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey)) AS h FROM part GROUP BY 1)""")
+@query("""SELECT sha256(string_agg(h, '|' ORDER BY name)) AS signature FROM (SELECT p_brand AS name, sha256(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey)) AS h
+  FROM part GROUP BY 1)""")
 def q_config_signature(spark, d):
     files = table(spark, d, "part").groupBy("p_brand").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list("p_partkey")), lambda x: x.cast("string")), ",").cast("binary"), 256).alias("h"))
     return files.agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_brand", "h"))), lambda x: x["h"]), "|").cast("binary"), 256).alias("signature"))
 
 
 @query("""WITH t AS (SELECT user_id, event_type, event_id, value FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM t)
-SELECT user_id, count(*) AS kept, sum(value)::DOUBLE AS total, string_agg(event_type, ',' ORDER BY event_type) AS kinds FROM (SELECT user_id, event_type, round(value, 2) AS value FROM r WHERE k = 1) GROUP BY 1""")
+SELECT user_id, count(*) AS kept, sum(value)::DOUBLE AS total, string_agg(event_type, ',' ORDER BY event_type) AS kinds
+  FROM (SELECT user_id, event_type, round(value, 2) AS value FROM r WHERE k = 1) GROUP BY 1""")
 def q_relevant_rollup(spark, d):
     first = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.round(F.min_by("value", "event_id"), 2).alias("value"))
     return first.groupBy("user_id").agg(n().alias("kept"), F.sum("value").alias("total"), F.array_join(F.sort_array(F.collect_list("event_type")), ",").alias("kinds"))

@@ -13,11 +13,13 @@ from pubmill.plans import context_queries as Q
 from pubmill.plans.base import n, norm_sql, query, table
 
 _LINE = "split_part(coalesce(text, ''), chr(10), 1)"
-_ALL = f"""t AS (SELECT doc_id, {norm_sql('text')} AS norm, ' ' || {norm_sql('text')} || ' ' AS pad, string_split({norm_sql('text')}, ' ') AS toks, regexp_replace(coalesce(text, ''), '[^0-9]', '', 'g') AS digits FROM documents),
+_ALL = f"""t AS (SELECT doc_id, {norm_sql('text')} AS norm, ' ' || {norm_sql('text')} || ' ' AS pad, string_split({norm_sql('text')}, ' ') AS toks,
+  regexp_replace(coalesce(text, ''), '[^0-9]', '', 'g') AS digits FROM documents),
 m AS (SELECT doc_id, term, how AS kind FROM ({' UNION ALL '.join(Q._hybrid_sql(*h) for h in Q.HYBRIDS)})
  UNION ALL SELECT doc_id, term, 'direct' FROM (SELECT doc_id, unnest({Q._HOLDS([t for t, _ in Q.TERMS])}) AS term FROM t)),
 c AS (SELECT *, CASE WHEN kind = 'direct' THEN 'HIGH' WHEN kind = 'number' THEN CASE WHEN length(term) >= 6 THEN 'MEDIUM' ELSE 'LOW' END
- WHEN len(list_filter(string_split(term, ' '), lambda x: length(x) <= 2)) > 0 THEN CASE WHEN len(string_split(term, ' ')) >= 3 THEN 'CRITICAL' ELSE 'LOW' END ELSE 'MEDIUM' END AS c FROM m)"""
+ WHEN len(list_filter(string_split(term, ' '), lambda x: length(x) <= 2)) > 0 THEN CASE
+  WHEN len(string_split(term, ' ')) >= 3 THEN 'CRITICAL' ELSE 'LOW' END ELSE 'MEDIUM' END AS c FROM m)"""
 
 
 def _all_matches(spark, d):
@@ -32,8 +34,10 @@ def q_match_confidence(spark, d):
     return _all_matches(spark, d).select("doc_id", "term", "kind", R.match_confidence(F.col("kind"), F.col("term")).alias("confidence"))
 
 
-@query(f"""WITH {_ALL} SELECT doc_id, CASE WHEN bool_or(c = 'CRITICAL') THEN 'CRITICAL' WHEN bool_or(c = 'LOW') AND bool_or(c = 'HIGH') THEN 'MEDIUM' WHEN bool_or(c = 'LOW') THEN 'LOW' WHEN bool_or(c = 'MEDIUM') THEN 'MEDIUM' ELSE 'HIGH' END AS confidence,
- count_if(kind <> 'direct' AND c IN ('LOW', 'CRITICAL')) AS n_suspect, CASE WHEN bool_or(kind <> 'direct' AND c IN ('LOW', 'CRITICAL')) THEN 'SUSPECT' ELSE 'CONFIRMED' END AS verdict FROM c GROUP BY 1""")
+@query(f"""WITH {_ALL} SELECT doc_id, CASE WHEN bool_or(c = 'CRITICAL') THEN 'CRITICAL' WHEN bool_or(c = 'LOW') AND bool_or(c = 'HIGH') THEN 'MEDIUM'
+  WHEN bool_or(c = 'LOW') THEN 'LOW' WHEN bool_or(c = 'MEDIUM') THEN 'MEDIUM' ELSE 'HIGH' END AS confidence,
+ count_if(kind <> 'direct' AND c IN ('LOW', 'CRITICAL')) AS n_suspect, CASE
+  WHEN bool_or(kind <> 'direct' AND c IN ('LOW', 'CRITICAL')) THEN 'SUSPECT' ELSE 'CONFIRMED' END AS verdict FROM c GROUP BY 1""")
 def q_audit_lists(spark, d):
     return R.publication_confidence(_all_matches(spark, d), "doc_id")
 
@@ -48,8 +52,10 @@ _ORCHESTRATED = f"""{Q._FACETS}, k AS (SELECT f.doc_id, matched, {Q._case(C.CONT
  out, {Q._HOLDS(M.RESCUED)} AS back FROM f JOIN (SELECT doc_id, {Q._OPEN} AS out FROM documents) USING (doc_id))"""
 
 
-@query(f"""WITH {_ORCHESTRATED} SELECT doc_id, CASE WHEN len(out) > 0 AND len(back) = 0 THEN 'EXCLUDED' WHEN len(matched) = 0 THEN 'NO_MATCH' WHEN relevant THEN 'VALID' WHEN level = 'SECTOR' THEN 'SECTOR' WHEN level = 'REVIEW' THEN 'REVIEW' ELSE 'FILTERED' END AS status,
- CASE WHEN len(out) > 0 AND len(back) = 0 THEN 'EXCLUDED' ELSE level END AS level, CASE WHEN len(out) > 0 AND len(back) = 0 THEN 0 ELSE len(matched) END::BIGINT AS n_matches FROM k""")
+@query(f"""WITH {_ORCHESTRATED} SELECT doc_id, CASE WHEN len(out) > 0 AND len(back) = 0 THEN 'EXCLUDED' WHEN len(matched) = 0 THEN 'NO_MATCH' WHEN relevant THEN 'VALID'
+  WHEN level = 'SECTOR' THEN 'SECTOR' WHEN level = 'REVIEW' THEN 'REVIEW' ELSE 'FILTERED' END AS status,
+ CASE WHEN len(out) > 0 AND len(back) = 0 THEN 'EXCLUDED' ELSE level END AS level, CASE
+  WHEN len(out) > 0 AND len(back) = 0 THEN 0 ELSE len(matched) END::BIGINT AS n_matches FROM k""")
 def q_match_orchestration(spark, d):
     pubs = M.with_hits(M.exclusion(M.publications(table(spark, d, "documents")), Q._EXCLUDING), M.watchlist(spark, Q.TERMS))
     tree = C.facets(pubs).withColumn("x", C.decide(C.CONTEXT_RULES))
@@ -59,7 +65,8 @@ def q_match_orchestration(spark, d):
 
 
 @query(f"""WITH {Q._FACETS}, t AS (SELECT {Q._case(C.CONTEXT_RULES, 'relevant')} AS relevant, {Q._case(C.CONTEXT_RULES, 'level')} AS level, len(matched) AS k FROM f)
-SELECT count(*) AS n_docs, count_if(k > 0) AS n_matched, count_if(relevant) AS n_relevant, greatest(count_if(k > 0) - count_if(relevant) - count_if(level = 'SECTOR'), 0)::BIGINT AS n_rest, sum(k)::BIGINT AS n_matches,
+SELECT count(*) AS n_docs, count_if(k > 0) AS n_matched, count_if(relevant) AS n_relevant, greatest(count_if(k > 0) - count_if(relevant) - count_if(level = 'SECTOR'),
+  0)::BIGINT AS n_rest, sum(k)::BIGINT AS n_matches,
  round(CASE WHEN count(*) > 0 THEN 100.0::DOUBLE * count_if(relevant) / count(*) ELSE 0 END, 2) AS relevant_rate FROM t""")
 def q_executive_summary(spark, d):
     t = Q._faceted(spark, d).select(F.size("hits").alias("k"), C.decide(C.CONTEXT_RULES).alias("x"))
@@ -69,14 +76,16 @@ def q_executive_summary(spark, d):
     return t.agg(n().alias("n_docs"), matched.alias("n_matched"), relevant.alias("n_relevant"), rest.cast("bigint").alias("n_rest"), F.sum("k").cast("bigint").alias("n_matches"), rate.alias("relevant_rate"))
 
 
-@query(f"{Q._curation_sql()} SELECT section, relevance, source, lang, count(*) AS n_items FROM e JOIN (SELECT doc_id, source, lang FROM documents) USING (doc_id) WHERE section <> 'DISCARDED' GROUP BY GROUPING SETS ((section), (relevance), (source), (lang))")
+@query(f"""{Q._curation_sql()} SELECT section, relevance, source, lang, count(*) AS n_items FROM e
+  JOIN (SELECT doc_id, source, lang FROM documents) USING (doc_id) WHERE section <> 'DISCARDED' GROUP BY GROUPING SETS ((section), (relevance), (source), (lang))""")
 def q_executive_view(spark, d):
     by = [F.col(c) for c in ("section", "relevance", "source", "lang")]
     items = Q._curated(spark, d).join(table(spark, d, "documents").select("doc_id", "source", "lang"), "doc_id").where("section <> 'DISCARDED'")
     return items.groupingSets([[c] for c in by], *by).agg(n().alias("n_items"))
 
 
-@query("""WITH b AS (SELECT user_id % 3 AS purpose, ts::DATE AS day, count(*) AS items, count_if(event_type = 'error') AS failed FROM events WHERE dayofweek(ts) BETWEEN 1 AND 5 GROUP BY 1, 2)
+@query("""WITH b AS (SELECT user_id % 3 AS purpose, ts::DATE AS day, count(*) AS items, count_if(event_type = 'error') AS failed
+  FROM events WHERE dayofweek(ts) BETWEEN 1 AND 5 GROUP BY 1, 2)
 SELECT purpose, count(*) AS days, sum(items)::BIGINT AS items, count_if(failed = 0) AS complete, count_if(failed > 0) AS partial FROM b GROUP BY ROLLUP(purpose)""")
 def q_period_consolidation(spark, d):
     e = table(spark, d, "events").withColumn("day", F.to_date("ts")).where(O.business_day(F.col("day")))
@@ -84,20 +93,25 @@ def q_period_consolidation(spark, d):
     return days.rollup("purpose").agg(n().alias("days"), F.sum("items").alias("items"), F.count_if(F.col("failed") == 0).alias("complete"), F.count_if(F.col("failed") > 0).alias("partial"))
 
 
-@query("SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderdate::DATE AS day, o_orderstatus AS status, count(*) AS cells FROM orders GROUP BY GROUPING SETS ((strftime(o_orderdate, '%Y-%m'), o_orderstatus), (strftime(o_orderdate, '%Y-%m'), o_orderdate::DATE, o_orderstatus))")
+@query("""SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderdate::DATE AS day, o_orderstatus AS status, count(*) AS cells
+  FROM orders GROUP BY GROUPING SETS ((strftime(o_orderdate, '%Y-%m'), o_orderstatus), (strftime(o_orderdate, '%Y-%m'), o_orderdate::DATE, o_orderstatus))""")
 def q_grid_rollup(spark, d):
     month, day, status = F.col("month"), F.col("day"), F.col("status")
     o = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.to_date("o_orderdate").alias("day"), F.col("o_orderstatus").alias("status"))
     return o.groupingSets([[month, status], [month, day, status]], month, day, status).agg(n().alias("cells"))
 
 
-_CAND = """r AS (SELECT o_custkey AS process, strftime(o_orderdate, '%Y') AS year, o_orderkey AS rec, o_orderpriority AS title, o_orderstatus AS organ, (o_orderkey % 10)::VARCHAR AS page, 'f' || o_orderkey % 7 AS file, 'u' || o_orderkey % 5 AS url FROM orders),
-o AS (SELECT process, year, rec AS occ, CASE WHEN rec % 4 = 0 THEN substr(title, 1, 3) ELSE title END AS title, organ, CASE WHEN rec % 3 = 0 THEN NULL ELSE page END AS page, file, CASE WHEN rec % 8 = 0 THEN '' ELSE url END AS url FROM r WHERE rec % 6 = 0)"""
+_CAND = """r AS (SELECT o_custkey AS process, strftime(o_orderdate, '%Y') AS year, o_orderkey AS rec, o_orderpriority AS title, o_orderstatus AS organ,
+  (o_orderkey % 10)::VARCHAR AS page, 'f' || o_orderkey % 7 AS file, 'u' || o_orderkey % 5 AS url FROM orders),
+o AS (SELECT process, year, rec AS occ, CASE WHEN rec % 4 = 0 THEN substr(title, 1, 3) ELSE title END AS title, organ, CASE
+  WHEN rec % 3 = 0 THEN NULL ELSE page END AS page, file, CASE WHEN rec % 8 = 0 THEN '' ELSE url END AS url FROM r WHERE rec % 6 = 0)"""
 
 
 @query(f"""WITH {_CAND}, k AS (SELECT *, {norm_sql('title')} AS nt FROM r), p AS (SELECT *, {norm_sql('title')} AS nt FROM o),
-s AS (SELECT occ, rec, (100 + CASE WHEN p.nt <> '' AND p.nt = k.nt THEN 40 WHEN p.nt <> '' AND k.nt <> '' AND (contains(p.nt, k.nt) OR contains(k.nt, p.nt)) THEN 20 ELSE 0 END + CASE WHEN p.organ = k.organ THEN 20 ELSE 0 END
- + CASE WHEN p.page = k.page THEN 20 ELSE 0 END + CASE WHEN p.file = k.file THEN 60 ELSE 0 END + CASE WHEN p.url <> '' AND p.url = k.url THEN 60 ELSE 0 END)::BIGINT AS score FROM p JOIN k ON p.process = k.process AND p.year = k.year)
+s AS (SELECT occ, rec, (100 + CASE WHEN p.nt <> '' AND p.nt = k.nt THEN 40
+  WHEN p.nt <> '' AND k.nt <> '' AND (contains(p.nt, k.nt) OR contains(k.nt, p.nt)) THEN 20 ELSE 0 END + CASE WHEN p.organ = k.organ THEN 20 ELSE 0 END
+ + CASE WHEN p.page = k.page THEN 20 ELSE 0 END + CASE WHEN p.file = k.file THEN 60 ELSE 0 END + CASE
+  WHEN p.url <> '' AND p.url = k.url THEN 60 ELSE 0 END)::BIGINT AS score FROM p JOIN k ON p.process = k.process AND p.year = k.year)
 SELECT occ, rec, score FROM (SELECT *, max(score) OVER (PARTITION BY occ) AS best FROM s) WHERE score >= best - 20""")
 def q_candidate_score(spark, d):
     k = F.col("o_orderkey")
@@ -112,16 +126,20 @@ _COVER = lambda kept, a, b: f"({kept} AND coalesce(least({b}.b, {a}.b) - greates
 
 
 @query(f"""WITH a AS (SELECT doc_id, coalesce(text, '') AS x FROM documents), p AS (SELECT doc_id, {_AT('that')} AS s1, {_AT('the')} AS s2, {_AT('with')} AS s3 FROM a),
-q AS (SELECT *, s1 IS NOT NULL AS k1, s2 IS NOT NULL AND NOT {_COVER('s1 IS NOT NULL', 's1', 's2')} AS k2 FROM p), r AS (SELECT *, s3 IS NOT NULL AND NOT {_COVER('k1', 's1', 's3')} AND NOT {_COVER('k2', 's2', 's3')} AS k3 FROM q)
-SELECT doc_id, concat_ws(';', CASE WHEN k1 THEN 'that:' || s1.a || ':' || s1.b END, CASE WHEN k2 THEN 'the:' || s2.a || ':' || s2.b END, CASE WHEN k3 THEN 'with:' || s3.a || ':' || s3.b END) AS spans FROM r""")
+q AS (SELECT *, s1 IS NOT NULL AS k1, s2 IS NOT NULL AND NOT {_COVER('s1 IS NOT NULL', 's1', 's2')} AS k2
+  FROM p), r AS (SELECT *, s3 IS NOT NULL AND NOT {_COVER('k1', 's1', 's3')} AND NOT {_COVER('k2', 's2', 's3')} AS k3 FROM q)
+SELECT doc_id, concat_ws(';', CASE WHEN k1 THEN 'that:' || s1.a || ':' || s1.b END, CASE WHEN k2 THEN 'the:' || s2.a || ':' || s2.b END, CASE
+  WHEN k3 THEN 'with:' || s3.a || ':' || s3.b END) AS spans FROM r""")
 def q_excerpts(spark, d):
     spans = R.excerpts(F.coalesce("text", F.lit("")), ["that", "the", "with"])
     shown = F.transform(spans, lambda s: F.concat_ws(":", s["term"], s["start"].cast("string"), s["end"].cast("string")))
     return table(spark, d, "documents").select("doc_id", F.array_join(shown, ";").alias("spans"))
 
 
-@query(f"""WITH p AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 999999 ELSE turn END AS page, CASE WHEN role = 'user' THEN substr(text, 1, 20) ELSE ' ' END AS title, role, substr(text, 1, 30) AS text, {norm_sql('substr(text, 1, 30)')} AS print FROM conversations),
-l AS (SELECT conv_id, arg_min(title, turn) FILTER (trim(title) <> '') AS title, list(role ORDER BY turn, role) AS rs, count(*) AS n_parts, list(text ORDER BY page, turn, text) AS ts, list(print ORDER BY page, turn, text) AS ps FROM p GROUP BY 1)
+@query(f"""WITH p AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 999999 ELSE turn END AS page, CASE
+  WHEN role = 'user' THEN substr(text, 1, 20) ELSE ' ' END AS title, role, substr(text, 1, 30) AS text, {norm_sql('substr(text, 1, 30)')} AS print FROM conversations),
+l AS (SELECT conv_id, arg_min(title, turn) FILTER (trim(title) <> '') AS title, list(role ORDER BY turn, role) AS rs, count(*) AS n_parts, list(text
+  ORDER BY page, turn, text) AS ts, list(print ORDER BY page, turn, text) AS ps FROM p GROUP BY 1)
 SELECT conv_id, title, array_to_string(list_transform(list_filter(range(len(rs)), lambda i: list_position(rs, rs[i + 1]) = i + 1), lambda i: rs[i + 1]), ',') AS roles, n_parts,
  array_to_string(list_transform(list_filter(range(len(ts)), lambda i: list_position(ps, ps[i + 1]) = i + 1), lambda i: ts[i + 1]), chr(10) || chr(10)) AS text FROM l""")
 def q_merge_parts(spark, d):
@@ -142,8 +160,12 @@ def q_process_display(spark, d):
     return o.select("o_orderkey", F.array_join(R.shown_processes(F.concat(F.lit("no. "), spelt, F.lit("."))), ",").alias("shown"))
 
 
-@query(f"""WITH {Q._HITS}, p AS (SELECT d.doc_id AS id, CASE WHEN d.doc_id % 2 = 0 THEN 'GAZETTE' ELSE 'OTHER' END AS organ, substr({_LINE}, 1, 30) AS title, CASE WHEN d.doc_id % 3 <> 0 THEN 'own' || d.doc_id ELSE '' END AS own, CASE WHEN d.doc_id % 5 <> 0 THEN 'list' || d.doc_id END AS list, matched FROM documents d JOIN h USING (doc_id))
-SELECT 'publication' AS origin, id, organ, title, CASE WHEN organ = 'GAZETTE' THEN coalesce(nullif(list, ''), nullif(own, ''), '') ELSE coalesce(nullif(own, ''), nullif(list, ''), '') END AS url, array_to_string(list_filter(matched, lambda t: t NOT IN ('than', 'des')), ',') AS terms FROM p
+@query(f"""WITH {Q._HITS}, p AS (SELECT d.doc_id AS id, CASE WHEN d.doc_id % 2 = 0 THEN 'GAZETTE' ELSE 'OTHER' END AS organ, substr({_LINE}, 1, 30) AS title, CASE
+  WHEN d.doc_id % 3 <> 0 THEN 'own' || d.doc_id ELSE '' END AS own, CASE WHEN d.doc_id % 5 <> 0 THEN 'list' || d.doc_id END AS list, matched FROM documents d
+  JOIN h USING (doc_id))
+SELECT 'publication' AS origin, id, organ, title, CASE
+  WHEN organ = 'GAZETTE' THEN coalesce(nullif(list, ''), nullif(own, ''), '')
+  ELSE coalesce(nullif(own, ''), nullif(list, ''), '') END AS url, array_to_string(list_filter(matched, lambda t: t NOT IN ('than', 'des')), ',') AS terms FROM p
 UNION ALL SELECT 'page', page_id, '', substr(html, 1, 15), url, '' FROM pages""")
 def q_digest(spark, d):
     k = F.col("doc_id")
@@ -154,8 +176,10 @@ def q_digest(spark, d):
 
 
 @query(f"""{Q._curation_sql()}, b AS (SELECT e.*, coalesce(text, '') AS x, trim({_LINE}) AS t FROM e JOIN documents USING (doc_id))
-SELECT doc_id AS id, CASE WHEN length(t) > 200 THEN substr(t, 1, 200) || '...' ELSE t END AS title, section, CASE WHEN section = 'DISCARDED' THEN 'DISCARDED' ELSE lower(section) END AS relation, relevance AS level,
- md5(CASE WHEN length(trim(x)) > 1000 THEN rtrim(substr(trim(x), 1, 1000)) || '...' ELSE trim(x) END) AS summary, md5(CASE WHEN length(x) > 3000 THEN substr(x, 1, 2997) || '...' ELSE x END) AS text FROM b""")
+SELECT doc_id AS id, CASE WHEN length(t) > 200 THEN substr(t, 1, 200) || '...' ELSE t END AS title, section, CASE
+  WHEN section = 'DISCARDED' THEN 'DISCARDED' ELSE lower(section) END AS relation, relevance AS level,
+ md5(CASE WHEN length(trim(x)) > 1000 THEN rtrim(substr(trim(x), 1, 1000)) || '...' ELSE trim(x) END) AS summary, md5(CASE
+  WHEN length(x) > 3000 THEN substr(x, 1, 2997) || '...' ELSE x END) AS text FROM b""")
 def q_bulletin(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     c = Q._curated(spark, d).join(docs, "doc_id")
@@ -164,8 +188,10 @@ def q_bulletin(spark, d):
     return R.bulletin_row(pubs).select("id", "title", "section", "relation", "level", digest("summary"), digest("text"))
 
 
-@query(f"""WITH {_ALL}, s AS (SELECT doc_id, string_agg(DISTINCT term, ',' ORDER BY term) AS reasons FROM c WHERE kind <> 'direct' AND c IN ('LOW', 'CRITICAL') GROUP BY 1), w AS (SELECT doc_id FROM c GROUP BY 1)
-SELECT w.doc_id, split_part(source, 'c', 2) AS organ, md5(substr(coalesce(text, ''), 1, 500)) AS sample, coalesce(reasons, '') AS reasons FROM w JOIN documents USING (doc_id) LEFT JOIN s ON s.doc_id = w.doc_id""")
+@query(f"""WITH {_ALL}, s AS (SELECT doc_id, string_agg(DISTINCT term, ',' ORDER BY term) AS reasons
+  FROM c WHERE kind <> 'direct' AND c IN ('LOW', 'CRITICAL') GROUP BY 1), w AS (SELECT doc_id FROM c GROUP BY 1)
+SELECT w.doc_id, split_part(source, 'c', 2) AS organ, md5(substr(coalesce(text, ''), 1, 500)) AS sample, coalesce(reasons, '') AS reasons FROM w
+  JOIN documents USING (doc_id) LEFT JOIN s ON s.doc_id = w.doc_id""")
 def q_report_rows(spark, d):
     m = _all_matches(spark, d)
     doubt = R.suspect(F.col("kind"), R.match_confidence(F.col("kind"), F.col("term")))
@@ -177,8 +203,10 @@ def q_report_rows(spark, d):
 _ESC = "replace(replace(replace(replace(replace(coalesce({c},''),'&','&amp;'),'<','&lt;'),'>','&gt;'),'\"','&quot;'),chr(39),'&#x27;')"
 
 
-@query(f"""WITH a AS (SELECT doc_id, {_ESC.format(c=_LINE)} AS t, {_ESC.format(c='source')} AS o, regexp_replace({_ESC.format(c='text')}, '(?i)(mit license)', '<strong>\\1</strong>', 'g') AS b FROM documents)
-SELECT doc_id, md5('<article><h1>' || t || '</h1><h2>' || o || '</h2>' || array_to_string(list_transform(list_filter(string_split(b, chr(10)), lambda x: trim(x) <> ''), lambda x: '<p>' || x || '</p>'), '') || '</article>') AS page FROM a""")
+@query(f"""WITH a AS (SELECT doc_id, {_ESC.format(c=_LINE)} AS t, {_ESC.format(c='source')} AS o, regexp_replace({_ESC.format(c='text')}, '(?i)(mit license)',
+  '<strong>\\1</strong>', 'g') AS b FROM documents)
+SELECT doc_id, md5('<article><h1>' || t || '</h1><h2>' || o || '</h2>' || array_to_string(list_transform(list_filter(string_split(b, chr(10)), lambda x: trim(x) <> ''),
+  lambda x: '<p>' || x || '</p>'), '') || '</article>') AS page FROM a""")
 def q_full_pages(spark, d):
     page = R.full_page(T.first_line(F.col("text"), None), F.col("source"), F.col("text"), ["mit license"])
     return table(spark, d, "documents").select("doc_id", F.md5(page.cast("binary")).alias("page"))

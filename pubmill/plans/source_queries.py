@@ -12,7 +12,8 @@ from pubmill.sources import pages as P
 # Orders as downloads: the key decides the HTTP status, the content and the entries read from it.
 _KIND = "o_orderkey % 8"
 _OUTCOME = f"""o AS (SELECT o_orderdate::DATE AS day, ['DO1', 'DO2', 'DO3', 'DO1E', 'DO2E', 'DO3E'][(o_orderkey % 6 + 1)::INT] AS edition,
- CASE {_KIND} WHEN 0 THEN 'ABSENT_404' WHEN 1 THEN 'HTTP_ERROR' WHEN 2 THEN 'VALID' WHEN 3 THEN 'VALID_EMPTY' WHEN 4 THEN 'CORRUPT_ARCHIVE' WHEN 5 THEN 'SESSION_OR_SERVICE_ERROR' WHEN 6 THEN 'ABSENT_IN_SESSION' ELSE 'UNKNOWN_RESPONSE' END AS outcome, o_orderkey FROM orders)"""
+ CASE {_KIND} WHEN 0 THEN 'ABSENT_404' WHEN 1 THEN 'HTTP_ERROR' WHEN 2 THEN 'VALID' WHEN 3 THEN 'VALID_EMPTY' WHEN 4 THEN 'CORRUPT_ARCHIVE'
+  WHEN 5 THEN 'SESSION_OR_SERVICE_ERROR' WHEN 6 THEN 'ABSENT_IN_SESSION' ELSE 'UNKNOWN_RESPONSE' END AS outcome, o_orderkey FROM orders)"""
 
 
 def _outcomes(spark, d, where="true"):
@@ -30,8 +31,10 @@ def q_download_outcome(spark, d):
 
 
 _DAYS = f"""{_OUTCOME}, c AS (SELECT day, count_if(outcome NOT IN ('VALID', 'VALID_EMPTY', 'ABSENT_404', 'ABSENT_IN_SESSION')) AS failed, count_if(outcome = 'VALID') AS valid,
- count_if(outcome IN ('ABSENT_404', 'ABSENT_IN_SESSION', 'VALID_EMPTY')) AS absent, count_if(outcome = 'ABSENT_404' AND edition IN ('DO1', 'DO2', 'DO3')) AS missing FROM o WHERE o_orderkey % 8 IN (0, 2, 3, 6) OR o_orderkey % 64 = 1 GROUP BY day),
-s AS (SELECT day, CASE WHEN failed > 0 THEN 'COLLECTION_ERROR' WHEN valid > 0 THEN 'COLLECTED' WHEN absent = 6 THEN 'NO_PUBLICATIONS' ELSE 'COLLECTION_ERROR' END AS status, valid, missing FROM c)"""
+ count_if(outcome IN ('ABSENT_404', 'ABSENT_IN_SESSION', 'VALID_EMPTY')) AS absent, count_if(outcome = 'ABSENT_404' AND edition IN ('DO1', 'DO2', 'DO3')) AS missing
+  FROM o WHERE o_orderkey % 8 IN (0, 2, 3, 6) OR o_orderkey % 64 = 1 GROUP BY day),
+s AS (SELECT day, CASE WHEN failed > 0 THEN 'COLLECTION_ERROR' WHEN valid > 0 THEN 'COLLECTED'
+  WHEN absent = 6 THEN 'NO_PUBLICATIONS' ELSE 'COLLECTION_ERROR' END AS status, valid, missing FROM c)"""
 _SOME = "o_orderkey % 8 in (0, 2, 3, 6) or o_orderkey % 64 = 1"
 
 
@@ -40,7 +43,8 @@ def q_collection_status(spark, d):
     return S.day_status(_outcomes(spark, d, _SOME).select("day", "edition", "outcome"))
 
 
-@query(f"WITH {_DAYS} SELECT day, CASE WHEN status = 'COLLECTION_ERROR' OR (status = 'COLLECTED' AND missing > 0) THEN 'REJECTED' WHEN status = 'NO_PUBLICATIONS' THEN 'EMPTY' ELSE 'ACCEPTED' END AS verdict FROM s")
+@query(f"""WITH {_DAYS} SELECT day, CASE WHEN status = 'COLLECTION_ERROR' OR (status = 'COLLECTED' AND missing > 0) THEN 'REJECTED'
+  WHEN status = 'NO_PUBLICATIONS' THEN 'EMPTY' ELSE 'ACCEPTED' END AS verdict FROM s""")
 def q_coverage_guard(spark, d):
     return S.covered(_outcomes(spark, d, _SOME).select("day", "edition", "outcome"))
 
@@ -56,7 +60,9 @@ _KNOWN = (("standard anodized tin", "metal", 2), ("economy", "size", 1), ("promo
 
 @query(f"""WITH k(term, category, prio) AS (VALUES {values(_KNOWN)}), c AS (SELECT term, arg_min(category, prio) AS category FROM k GROUP BY 1),
 t AS (SELECT DISTINCT {norm_sql("split_part(p_type, ' ', 1)")} AS term FROM part)
-SELECT t.term, CASE WHEN regexp_matches(t.term, '[A-Za-z]') AND regexp_matches(t.term, '[0-9]') THEN 'hybrid' WHEN regexp_matches(t.term, '[0-9]') THEN 'number' ELSE 'text' END AS kind, coalesce(c.category, 'product') AS category FROM t LEFT JOIN c USING (term) WHERE t.term <> ''""")
+SELECT t.term, CASE WHEN regexp_matches(t.term, '[A-Za-z]') AND regexp_matches(t.term, '[0-9]') THEN 'hybrid'
+  WHEN regexp_matches(t.term, '[0-9]') THEN 'number' ELSE 'text' END AS kind, coalesce(c.category, 'product') AS category FROM t
+  LEFT JOIN c USING (term) WHERE t.term <> ''""")
 def q_simple_watchlist(spark, d):
     sheet = table(spark, d, "part").select(F.split("p_type", " ")[0].alias("cell"))
     return S.simple_watchlist(sheet, "cell", spark.createDataFrame(_KNOWN, "term string, category string, prio int"))
@@ -66,14 +72,18 @@ _MONO = norm_sql("regexp_replace(trim(code), '^[A-Za-z]?[0-9]+\\s*[-–—]\\s*'
 
 
 @query(f"""WITH m AS (SELECT 'A' || p_partkey || ' - ' || p_brand AS code FROM part WHERE p_partkey % 4 = 0), e AS (SELECT {_MONO} AS term, 0 AS rank, 'monograph' AS origin FROM m
- UNION ALL SELECT {norm_sql('p_brand')}, 1, 'p_brand' FROM part UNION ALL SELECT {norm_sql('p_type')}, 2, 'p_type' FROM part) SELECT term, arg_min(origin, rank) AS origin FROM e WHERE term <> '' GROUP BY 1""")
+ UNION ALL SELECT {norm_sql('p_brand')}, 1, 'p_brand' FROM part
+  UNION ALL SELECT {norm_sql('p_type')}, 2, 'p_type' FROM part) SELECT term, arg_min(origin, rank) AS origin FROM e WHERE term <> '' GROUP BY 1""")
 def q_legacy_watchlist(spark, d):
     part = table(spark, d, "part")
     mono = part.where("p_partkey % 4 = 0").select(F.concat(F.lit("A"), F.col("p_partkey").cast("string"), F.lit(" - "), "p_brand").alias("code"))
     return S.legacy_watchlist(mono, F.col("code"), part, ["p_brand", "p_type"])
 
 
-_NUMBERS = """n AS (SELECT o_orderkey AS ord, CASE WHEN o_orderkey % 10 = 0 THEN ' ' WHEN o_orderkey % 7 = 0 THEN 'no. ' || o_orderkey ELSE lpad((o_custkey % 97)::VARCHAR, 5, '0') || '.' || lpad((o_custkey % 89)::VARCHAR, 6, '0') || '/2024-' || lpad((o_custkey % 83)::VARCHAR, 2, '0') END AS cell FROM orders),
+_NUMBERS = """n AS (SELECT o_orderkey AS ord, CASE WHEN o_orderkey % 10 = 0 THEN ' '
+  WHEN o_orderkey % 7 = 0 THEN 'no. ' || o_orderkey
+  ELSE lpad((o_custkey % 97)::VARCHAR, 5, '0') || '.' || lpad((o_custkey % 89)::VARCHAR, 6, '0') || '/2024-' || lpad((o_custkey % 83)::VARCHAR, 2, '0') END AS cell
+  FROM orders),
 p AS (SELECT ord, cell, regexp_replace(cell, '[^0-9]', '', 'g') AS process FROM n WHERE trim(cell) <> '')"""
 
 
@@ -84,7 +94,8 @@ def _numbers(spark, d):
     return S.process_list(table(spark, d, "orders").select(k.alias("ord"), cell.alias("cell")), "cell", "ord")
 
 
-@query(f"WITH {_NUMBERS} SELECT process, substr(process, 1, 5) || '.' || substr(process, 6, 6) || '/' || substr(process, 12, 4) || '-' || substr(process, 16, 2) AS shown, min(ord) AS ord FROM p WHERE length(process) = 17 GROUP BY process")
+@query(f"""WITH {_NUMBERS} SELECT process, substr(process, 1, 5) || '.' || substr(process, 6, 6) || '/' || substr(process, 12, 4) || '-' || substr(process, 16,
+  2) AS shown, min(ord) AS ord FROM p WHERE length(process) = 17 GROUP BY process""")
 def q_process_list(spark, d):
     return _numbers(spark, d)[0]
 
@@ -106,7 +117,8 @@ def q_catalog(spark, d):
     return S.catalog(pages.select("page", html.alias("html")))
 
 
-@query("""SELECT o_orderkey AS key, CASE o_orderkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE 1 END::BIGINT AS found, CASE WHEN o_orderkey % 4 = 2 THEN 'JSONDecodeError' END AS error FROM orders""")
+@query("""SELECT o_orderkey AS key, CASE o_orderkey % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE 1 END::BIGINT AS found, CASE
+  WHEN o_orderkey % 4 = 2 THEN 'JSONDecodeError' END AS error FROM orders""")
 def q_payload_scan(spark, d):
     k = F.col("o_orderkey")
     one = F.concat(F.lit('{"title": "t'), k.cast("string"), F.lit('", "text": "x"}'))
@@ -115,7 +127,8 @@ def q_payload_scan(spark, d):
     return rows.groupBy("key").agg(F.count("publication").cast("bigint").alias("found"), F.max("error").alias("error"))
 
 
-@query(r"""SELECT source, lang, count(*) AS n_pubs, count_if(doc_id % 2 = 0) AS with_url, count_if(doc_id % 2 <> 0) AS without_url, count_if(len(regexp_extract_all(text, '\n')) >= 1) AS several_acts, count_if(doc_id % 5 = 0) AS continued
+@query(r"""SELECT source, lang, count(*) AS n_pubs, count_if(doc_id % 2 = 0) AS with_url, count_if(doc_id % 2 <> 0) AS without_url, count_if(len(regexp_extract_all(text,
+  '\n')) >= 1) AS several_acts, count_if(doc_id % 5 = 0) AS continued
 FROM documents WHERE trim(coalesce(text, '')) <> '' GROUP BY 1, 2""")
 def q_source_summary(spark, d):
     k = F.col("doc_id")
@@ -129,7 +142,8 @@ def q_page_blocks(spark, d):
     return parsed.where("size(blocks) > 0").select(F.col("key").cast("long").alias("page_id"), F.size("blocks").cast("bigint").alias("blocks"))
 
 
-@query("""WITH x AS (SELECT o_orderkey % 25 AS user_id, o_orderdate::DATE AS day FROM orders) SELECT user_id, count(DISTINCT day) AS days, min(day) AS first_day, max(day) AS last_day FROM x WHERE dayofweek(day) BETWEEN 1 AND 5 GROUP BY 1""")
+@query("""WITH x AS (SELECT o_orderkey % 25 AS user_id, o_orderdate::DATE AS day
+  FROM orders) SELECT user_id, count(DISTINCT day) AS days, min(day) AS first_day, max(day) AS last_day FROM x WHERE dayofweek(day) BETWEEN 1 AND 5 GROUP BY 1""")
 def q_covered_days(spark, d):
     x = table(spark, d, "orders").select((F.col("o_orderkey") % 25).alias("user_id"), F.to_date("o_orderdate").alias("day")).where(O.business_day(F.col("day")))
     return x.groupBy("user_id").agg(F.countDistinct("day").alias("days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))

@@ -15,6 +15,8 @@ from .op7_personal_data import op7_personal_data
 from .op8_forced_boundaries import op8_forced_boundaries
 from .op9_hash_thresholds import op9_hash_thresholds as op9
 from .op10_count_min_windows import op10_count_min_windows
+from .op11_jacobi_whitening import op11_jacobi_whitening
+from .op12_heap_lloyd import op12_heap_lloyd
 
 QUERIES = {
     "op1_multi_index_hashing": op1_multi_index_hashing,
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_forced_boundaries": op8_forced_boundaries,
     "op9_hash_thresholds": op9,
     "op10_count_min_windows": op10_count_min_windows,
+    "op11_jacobi_whitening": op11_jacobi_whitening,
+    "op12_heap_lloyd": op12_heap_lloyd,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {

@@ -17,6 +17,7 @@ from .op9_hash_thresholds import op9_hash_thresholds as op9
 from .op10_count_min_windows import op10_count_min_windows
 from .op11_jacobi_whitening import op11_jacobi_whitening
 from .op12_heap_lloyd import op12_heap_lloyd
+from .op13_bin_completion import op13_bin_completion
 
 QUERIES = {
     "op1_multi_index_hashing": op1_multi_index_hashing,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_count_min_windows": op10_count_min_windows,
     "op11_jacobi_whitening": op11_jacobi_whitening,
     "op12_heap_lloyd": op12_heap_lloyd,
+    "op13_bin_completion": op13_bin_completion,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {

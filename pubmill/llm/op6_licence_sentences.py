@@ -196,7 +196,8 @@ def _families() -> tuple[dict[str, str], list[tuple[str, tuple[str]]]]:
     old = {"GPL-2.0": "GPL-2.0-only", "GPL-3.0": "GPL-3.0-only"}
     rules += [(old.get(spdx, spdx), (f"spdx-{spdx}",)) for spdx in IDENTIFIERS]
     return sentences, rules
-_ENDS = re.compile(r"((?<!Identifier)[.!?:;]+(?=[\s\"')\]]|$)|\n+)")
+#: A run of marks ends a sentence if white space or a closing sign follows; after ``Identifier``, from its second mark on. Runs are taken whole, so long ones cost no more.
+_ENDS = re.compile(r"((?:(?<![.!?:;])(?<!Identifier)|(?<=Identifier[.!?:;]))[.!?:;]++(?=[\s\"')\]]|$)|\n+)")
 _NUMBER = re.compile(r"(?:[0-9]{1,2}|[a-z]|i{1,3}) ")
 _more, _ruled = _families()
 SENTENCES = _more | SENTENCES

@@ -230,3 +230,21 @@ def test_rules_equal_brute_force():
         places = sorted(rng.sample(range(60), len(base)))
         ids = list(zip(places, base, strict=True))
         assert apply_rules(ids) == rules_brute(ids)
+
+
+def test_long_runs_of_marks():
+    """Dot leaders and rules of any length are cut as short ones are, in linear time."""
+    import time
+
+    began = time.process_time()
+    for run in ("." * 200_000, ":;" * 100_000, "!" * 200_000 + " ", "Identifier" + ":" * 100_000 + "x"):
+        assert identifiers(f"Licensed under CC BY-NC 4.0. A license {run}x") == [(0, "cc-by-nc-4")]
+    assert time.process_time() - began < 5
+
+
+def test_cuts_at_marks():
+    from pubmill.llm.op6_licence_sentences import _ENDS
+
+    plain = re.compile(r"((?<!Identifier)[.!?:;]+(?=[\s\"')\]]|$)|\n+)")
+    for text in ("a... b", "a..b", "a.", "..", "SPDX-License-Identifier: MIT", "Identifier:: MIT", "Identifier:", "Identifier::x: y", "Identifier:. \n\n", "a!?)", ".\n.\n", "x;\" y", "Identifier...\nz", "Identifier", ". Identifier: ."):
+        assert _ENDS.split(text) == plain.split(text), text

@@ -3,7 +3,7 @@
 Codes: vectors are centred, rotated onto their principal axes and then by a
 learned rotation that brings the axes near the corners of a cube (alternating
 sign and Procrustes steps); a code holds a sign bit an axis. Mean and rotation
-are learned from at most ``SAMPLE`` vectors, those of least id hash; all vectors
+are learned from at most ``SAMPLE`` vectors of the commonest length, in ``SAMPLE_BYTES``, those of least id hash; all vectors
 are indexed.
 
 Search: a code is split into m substrings of 8 bits, each with its own table from
@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-#: Vectors learned from, bytes of a block's vectors at most, rows below which no block is split, and queries of a chunk.
-SAMPLE, BYTES, LEAST, QUERIES = 20_000, 64 << 20, 2048, 1 << 16
+#: Vectors learned from, and their bytes, at most.
+SAMPLE, SAMPLE_BYTES = 20_000, 64 << 20
+#: Bytes of a block's vectors at most, blocks of a smaller table, rows below which no block is split, and queries of a chunk.
+BYTES, BLOCKS, LEAST, QUERIES = 64 << 20, 16, 2048, 1 << 16
 #: First radius as a share of the code's bits, standard deviations added to the expected distance, and rounds of learning.
 FIRST, MARGIN, ROUNDS = 0.25, 1.3, 30
 _POP = np.array([bin(x).count("1") for x in range(256)], np.uint8)
@@ -52,7 +54,7 @@ def learn(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     dims = x.shape[1]
     bits = max(8, min(64, dims // 8 * 8))
     mean = x.mean(0)
-    _, axes = np.linalg.eigh(np.cov((x - mean).T).reshape(dims, dims))
+    _, axes = np.linalg.eigh(np.cov((x - mean).T, bias=True).reshape(dims, dims))
     axes = axes[:, ::-1][:, :bits]
     rng = np.random.default_rng(7)
     if axes.shape[1] < bits:  # fewer axes than bits: random directions fill the code
@@ -153,10 +155,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, first: float = F
     spark = vectors.sparkSession
     n, size = vectors.agg(F.count("*"), F.coalesce(F.sum(F.size("v")), F.lit(0)) * 8).first()
     m = queries.count()
-    row_blocks, query_blocks = max(1, -(-size // BYTES), min(spark.sparkContext.defaultParallelism, n // LEAST)), max(1, -(-m // QUERIES))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()  # bounded
-    dims = pd.Series([len(r.v) for r in sample]).mode()
-    model = learn(np.array([r.v for r in sample if len(r.v) == dims[0]], float)) if len(sample) else (np.empty(0), np.empty((0, 8)))
+    # from the table alone, so that every cluster gives the same neighbours
+    row_blocks, query_blocks = max(1, -(-size // BYTES), min(BLOCKS, n // LEAST)), max(1, -(-m // QUERIES))
+    common = vectors.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
+    dims = common["dims"] if common else 0
+    most = min(SAMPLE, max(1, SAMPLE_BYTES // (8 * max(1, dims))))
+    sample = vectors.where(F.size("v") == dims).orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("v").collect()  # bounded
+    model = learn(np.array([r.v for r in sample], float)) if sample else (np.empty(0), np.empty((0, 8)))
     shared = spark.sparkContext.broadcast(model)
     block = lambda count: F.pmod(F.xxhash64("vec_id"), F.lit(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))

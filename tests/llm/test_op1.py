@@ -70,3 +70,30 @@ def test_recall_of_close_and_far_neighbours():
         if q < 750:
             assert own["vec_id"].iloc[0] == 3000 + q
     assert hits / (5 * 150) >= 0.95
+
+
+def test_one_vector_and_equal_vectors(spark):
+    one = usable(spark.createDataFrame([(50, [1.0, 2.0, 3.0]), (7, None)], "vec_id long, embedding array<double>"))
+    assert nearest(one, one.where("vec_id % 50 = 0")).count() == 0
+    same = usable(spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)] + [(100, [1.0])], "vec_id long, embedding array<double>"))
+    got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in nearest(same, same.where("vec_id = 50")).orderBy("rank").collect()]
+    assert got == [(50, k + 1, k, 1.0) for k in range(5)]
+
+
+def test_blocks_and_recall_do_not_follow_the_cores(spark, monkeypatch):
+    """Over several blocks: recall against all cosines, and the same rows for another number of cores."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(9000, 32))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, v array<double>").cache()
+    queries = vectors.where("vec_id % 50 = 0")
+    got = nearest(vectors, queries).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 9000, 50):
+        s = unit @ unit[q]
+        s[q] = -9
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-s)[:5].tolist()))
+    assert hits / 900 >= 0.95
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda self: 3))
+    assert sorted(map(tuple, nearest(vectors, queries).collect())) == sorted(map(tuple, got))
+    vectors.unpersist()

@@ -101,7 +101,9 @@ def _tier(size):
 def _entries(spark: SparkSession, folder: str, schema, merged: bool) -> DataFrame:
     """A manifest row for each file of a folder, its size the bytes of its texts."""
     rows = spark.read.schema(schema).parquet(folder)
-    per_file = rows.groupBy(F.input_file_name().alias("file")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8).alias("bytes"), F.count("*").alias("rows"))
+    # Spark reports names percent-encoded; its own file names hold nothing that this changes
+    name = F.concat(F.lit(f"{folder}/"), F.substring_index(F.input_file_name(), "/", -1))
+    per_file = rows.groupBy(name.alias("file")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8).alias("bytes"), F.count("*").alias("rows"))
     return per_file.select("file", _tier(F.col("bytes")).alias("tier"), "bytes", "rows", F.lit(merged).alias("merged"))
 
 

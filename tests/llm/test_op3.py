@@ -88,3 +88,14 @@ def test_compaction_makes_files_near_the_target(spark, tmp_path):
     sizes = [r["bytes"] for r in manifest(spark, root).collect()]
     assert len(sizes) == 4 and sum(sizes) == 40_000 and all(5_000 <= x <= 20_000 for x in sizes)
     assert compact(spark, root, docs.schema, target=10_000) == 3 and manifest(spark, root, 3).count() == 4
+
+
+def test_paths_with_blanks_and_signs(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * i) for i in range(40)], "doc_id long, text string").repartition(5)
+    for name in ("a b", "100%25 é+ä", "x&y=1,2"):
+        root = f"{tmp_path}/{name}/store"
+        append(spark, root, docs)
+        append(spark, root, docs)
+        compact(spark, root, docs.schema, target=200)
+        assert rows_of(read(spark, root, docs.schema)) == sorted(rows_of(docs) * 2)
+        assert vacuum(spark, root) > 0 and rows_of(read(spark, root, docs.schema)) == sorted(rows_of(docs) * 2)

@@ -13,8 +13,11 @@ than words.
    row per slice.
 3. Windows are grouped by anchor and hash, 64 bits each and both compared; those met
    twice come back as intervals of window starts, which join their documents. Rows
-   arrive sorted by anchor, and a task holds a batch and one anchor's rows at a time;
-   of an anchor with very many, its distinct windows.
+   arrive sorted by anchor, and a task holds a batch and one anchor's rows at a time, up
+   to ``HELD``. A common anchor (one sentence in ever other surroundings) has more: what
+   repeats within ``HELD`` rows is settled at once, and the distinct windows left go on,
+   each under its own hash, to meet those of the anchor's other parts. So a task is
+   linear in its rows and holds a bounded part of them.
 
 When the input outgrows the largest sketch, more windows take part in step 3; none is
 ever lost. Cases: null and empty texts have no words and lose none; texts shorter
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,6 +187,13 @@ def _cut(rows: tuple[np.ndarray, ...], at: int) -> tuple[tuple[np.ndarray, ...],
     return (key[:at], row[:at], start[:at], size[:at], h[:edge]), (key[at:], row[at:], start[at:], size[at:], h[edge:])
 
 
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """(key, row, start, size, hashes) of rows with hashes; a witness starts at -1."""
+    lists = batch["hashes"]
+    sizes, hashes = np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy().view(np.uint64)
+    return batch["key"].to_numpy().view(np.uint64), batch["row"].fill_null(0).to_numpy(), batch["start"].fill_null(-1).to_numpy(), sizes, hashes
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key: known intervals as they are, and the repeated stretches of runs."""
     turn_to()
@@ -195,14 +206,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = batch.filter(pa.array(~known))
         if not len(batch):
             continue
-        lists = batch["hashes"]
-        now = (
-            batch["key"].to_numpy().view(np.uint64),
-            batch["row"].fill_null(0).to_numpy(),
-            batch["start"].fill_null(-1).to_numpy(),
-            np.diff(lists.offsets.to_numpy()),
-            lists.flatten().to_numpy().view(np.uint64),
-        )
+        now = _columns(batch)
         fresh += len(now[0])
         rows = now if held is None else _joined([held, now])
         last = int(np.argmax(rows[0] == rows[0][-1]))
@@ -218,6 +222,51 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _intervals(held, *_repeated(held))
 
 
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Intervals (row, start, end) as rows that are known."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b["row"], b["row"], b["start"], b["end"], pa.nulls(len(b), pa.list_(pa.int64()))], schema=_ROWS)
+
+
+def _sent(rows: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+    """What repeats within these rows, and their distinct windows, each under a key of its anchor and hash."""
+    found = _repeated(rows)
+    yield from _found(_intervals(rows, *found))
+    key, row, start, _, h = _distinct(rows, *found)
+    witness = start < 0
+    place = pa.array(start, pa.int32(), mask=witness)
+    lists = pa.ListArray.from_arrays(np.arange(len(h) + 1, dtype=np.int32), h.view(np.int64))
+    out = pa.RecordBatch.from_arrays([pa.array((mix(key) + h).view(np.int64)), pa.array(row, pa.int64(), mask=witness), place, place, lists], schema=_ROWS)
+    yield from slices(out)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key: known intervals as they are, the repeated stretches of runs, and the distinct windows of keys with more rows than HELD."""
+    turn_to()
+    held, many = None, None  # rows of the last key; the key that has sent windows on
+    for batch in batches:
+        known = batch["hashes"].is_null()
+        yield batch.filter(known)
+        batch = batch.filter(pc.invert(known))
+        if not len(batch):
+            continue
+        rows = _columns(batch) if held is None else _joined([held, _columns(batch)])
+        if many is not None and rows[0][-1] != many:
+            mine, rows = _cut(rows, int((rows[0] == many).sum()))
+            many = None
+            if len(mine[0]):
+                yield from _sent(mine)
+        done, held = _cut(rows, int(np.argmax(rows[0] == rows[0][-1])))
+        if len(done[0]):
+            yield from _found(_intervals(done, *_repeated(done)))
+        if len(held[0]) > HELD:
+            many = held[0][0]
+            yield from _sent(held)
+            held = None
+    if held is not None:
+        yield from _sent(held) if many is not None else _found(_intervals(held, *_repeated(held)))
+
+
 def repeated_intervals(docs: DataFrame, size: int = WINDOW, inner: int = INNER, width_bits: int | None = None) -> DataFrame:
     """(row, start, end): windows of ``docs`` (row, text) that start at words start .. end - 1 and repeat.
 
@@ -244,7 +293,9 @@ def repeated_intervals(docs: DataFrame, size: int = WINDOW, inner: int = INNER,
             yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), _spread(row, n, pa.int64()), _spread(start, n, pa.int32()), _spread(end, n, pa.int32()), lists], schema=_ROWS)
 
     rows = docs.select("row", "text").mapInArrow(emit, "key long, row long, start int, end int, hashes array<long>")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "row long, start int, end int")
+    dealt = lambda df: df.repartition("key").sortWithinPartitions("key")
+    kind = "key long, row long, start int, end int, hashes array<long>"
+    return dealt(dealt(rows).mapInArrow(_parts, kind)).mapInArrow(_meet, "row long, start int, end int")
 
 
 def remove_repeated(docs: DataFrame, size: int = WINDOW, inner: int = INNER, width_bits: int | None = None) -> DataFrame:

@@ -71,3 +71,55 @@ def test_long_text(spark):
 
 def test_empty_table(spark):
     assert remove_repeated(spark.createDataFrame([], "doc_id long, text string"), width_bits=8).count() == 0
+
+
+def _hot(op10, n, windows, seed, per_batch=10_000):
+    """Batches of one anchor's rows, each with windows of its own, and how often each window is held."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    h = rng.integers(0, 2**62, (n, windows))
+    h[rng.integers(0, n, n // 100), 0] = h[rng.integers(0, n, n // 100), 1]  # a few are repeated, mostly far apart
+    for at in range(0, n, per_batch):
+        part = h[at : at + per_batch]
+        m = len(part)
+        ids = pa.array(np.arange(at, at + m))
+        lists = pa.ListArray.from_arrays(np.arange(0, part.size + 1, windows, dtype=np.int32), part.ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, 7)), ids, pa.array(np.zeros(m, np.int32)), pa.array(np.full(m, windows, np.int32)), lists], schema=op10._ROWS), part
+
+
+def test_common_anchor_in_parts(monkeypatch):
+    """Both steps over one anchor's rows and over many keys, against counting."""
+    import pyarrow as pa
+
+    from pubmill.llm import op10_count_min_windows as op10
+
+    for held, n in ((50, 3000), (7, 500), (20_000, 3000)):
+        monkeypatch.setattr(op10, "HELD", held)
+        batches, parts = zip(*_hot(op10, n, 3, held, 64), strict=True)
+        seen = Counter(int(x) for p in parts for x in p.ravel())
+        lists = [r for p in parts for r in p.tolist()]
+        want = {(i, k) for i, r in enumerate(lists) for k, x in enumerate(r) if seen[x] > 1}
+        other = pa.RecordBatch.from_arrays([pa.array([9, 9, 10]), pa.array([n, n + 1, n + 2]), pa.array([4, 5, 6], pa.int32()), pa.array([5, 6, 7], pa.int32()), pa.array([[1], [1], [2]], pa.list_(pa.int64()))], schema=op10._ROWS)
+        first = pa.Table.from_batches(op10._parts(iter([*batches, other])))
+        assert (first.num_rows > len(seen) // 2) == (held < n)
+        table = first.sort_by("key")
+        got = Counter((r["row"], p) for b in op10._meet(iter(table.to_batches(100))) for r in b.to_pylist() for p in range(r["start"], r["end"]))
+        assert set(got) == want | {(n, 4), (n + 1, 5)} and max(got.values()) == 1
+
+
+def test_common_anchor_is_linear():
+    """A window of an anchor costs the same however many it has, and parts, not all, are held."""
+    import time
+
+    from pubmill.llm import op10_count_min_windows as op10
+
+    def seconds(n):
+        began = time.process_time()
+        assert sum(len(b) for b in op10._parts(b for b, _ in _hot(op10, n, 16, 1))) >= n
+        return time.process_time() - began
+
+    seconds(30_000)
+    small, large = seconds(60_000), seconds(240_000)
+    assert large < 8 * small

@@ -24,7 +24,9 @@ further columns are not used.
 from __future__ import annotations
 
 import os
+import string
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import keep_cache, materialize, slices, turn_to
-from .op8_forced_boundaries import Recent
+from .op8_forced_boundaries import byte_characters
 
 #: Tokens of a sequence, the closing id, and the public tokenizer file.
 CAPACITY, CLOSING, VOCABULARY = 2048, 0, "word_bpe_49k.json"
@@ -54,11 +56,13 @@ class Texts:
     """Ids of texts as little-endian 32-bit numbers, chunks between white space being kept.
 
     The tokenizer drops white space and looks at nothing across it, so a text's ids
-    are its chunks' one after the other.
+    are its chunks' one after the other. A chunk of Latin letters, and of
+    signs after it, is one word of its pattern each; such a word goes to the tokenizer's model
+    as that sees it: in lower case, its bytes as printable characters. All others are
+    encoded by the library.
     """
 
-    #: Marks that a word of letters alone may be followed by, being a token sequence of their own.
-    MARKS = frozenset(".,;:!?")
+    SIGNS, LETTERS = string.punctuation, "\u0250"  # letters below this have no compositions left, and as small ones as many characters
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -67,34 +71,51 @@ class Texts:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known = Recent(CACHED)
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        self.words = self.tokenizer.model
+        self.shown = dict(enumerate(byte_characters()))
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _plain(self, chunk: str) -> str | None:
+        """A word of Latin letters in lower case, else nothing."""
+        if chunk.isalpha() and max(chunk) < self.LETTERS:
+            low = chunk.lower()
+            return low if low.isalpha() else None
+        return None
+
+    def _library(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, low: str) -> bytes:
+        return array("I", [t.id for t in self.words.tokenize(low.encode().decode("latin-1").translate(self.shown))]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        found = self.older.get(chunk)
+        if found is None:
+            low = self._plain(chunk)
+            if low is not None:
+                found = self._word(low)
+            else:
+                head = chunk.rstrip(self.SIGNS)
+                if head and len(head) < len(chunk) and self._plain(head) is not None:
+                    tail = chunk[len(head) :]
+                    found = (self.newer.get(head) or self._chunk(head)) + (self.newer.get(tail) or self._chunk(tail))
+                else:
+                    found = self._library(chunk)
+        if len(chunk) <= KEPT:
+            if len(self.newer) >= CACHED:
+                self.older, self.newer = self.newer, {}
+            self.newer[chunk] = found
+        return found
 
     def ids(self, text: str) -> bytes:
-        chunks = text.split()
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python, and not to the tokenizer
-            return self._encode([text])[0]
-        known = self.known
-        new = {c for c in chunks if known[c] is None}
-        parts = {c: (c[:-1], c[-1]) for c in new if c[-1] in self.MARKS and c[:-1].isalpha()}
-        needed = new.difference(parts)
-        needed.update(p for both in parts.values() for p in both if known[p] is None)
-        if needed:
-            found = dict(zip(needed, self._encode(list(needed)), strict=True))
-            once = {c: known[c] for both in parts.values() for c in both if c not in found}
-            found.update({c: found.get(a, once.get(a)) + found.get(b, once.get(b)) for c, (a, b) in parts.items()})
-            out = b"".join([found[c] if c in found else known[c] for c in chunks])
-            for c, ids in found.items():
-                if len(c) <= KEPT:
-                    known.keep(c, ids)
-            return out
-        if parts:
-            for c, (a, b) in parts.items():
-                parts[c] = known[a] + known[b]
-            return b"".join([parts[c] if c in parts else known[c] for c in chunks])
-        return b"".join([known[c] for c in chunks])
+            return self._library(text)
+        chunks = text.split()
+        found = list(map(self.newer.get, chunks))
+        if None in found:
+            found = [f if f is not None else self.newer.get(c) or self._chunk(c) for f, c in zip(found, chunks, strict=True)]
+        return b"".join(found)
 
 
 @lru_cache(maxsize=1)
@@ -296,7 +317,7 @@ class Search:
                     self._apply(pattern, -times, waste)
                 continue
             pattern, times, waste = child
-            self.effort -= 20
+            self.effort -= 100
             if waste * times > self._allowed():
                 continue
             self._apply(pattern, times, waste)

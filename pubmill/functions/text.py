@@ -3,12 +3,28 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with costly columns that are computed once a row.
+
+    The optimiser would write a column's expression into every filter that uses it, also into ones
+    it infers itself; it does not look through a generator.
+    """
+    made = F.array(F.struct(*(c.alias(name) for name, c in columns.items())))
+    return df.select("*", F.explode_outer(made).alias("__made")).select(*df.columns, *(F.col("__made")[name].alias(name) for name in columns))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: inside a lambda, a plain column would be computed for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 @lru_cache(maxsize=1)
 def _accents() -> tuple[str, str]:
     """Characters to U+024F whose decomposition starts with one ASCII letter, and those letters."""
@@ -131,8 +147,9 @@ def first_filled(*columns: Column) -> Column:
 
 def ordered_distinct(values: Column) -> Column:
     """The first of the values that share a comparison key, in their order; blank ones go."""
-    keys = F.transform(values, comparison_key)
-    return F.filter(values, lambda x, i: (comparison_key(x) != "") & (F.array_position(keys, comparison_key(x)) == i + 1))
+    keyed = F.array_sort(F.transform(values, lambda x, i: F.struct(comparison_key(x).alias("key"), i.alias("i"), x.alias("x"))))
+    first = let(keyed, lambda s: F.filter(s, lambda e, j: (e["key"] != "") & ((j == 0) | (F.get(s, j - 1)["key"] != e["key"]))))
+    return F.transform(F.array_sort(F.transform(first, lambda e: F.struct(e["i"].alias("i"), e["x"].alias("x")))), lambda e: e["x"])
 
 
 def flexible_term(text: Column, term: str) -> Column:

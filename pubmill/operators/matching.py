@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
+from pubmill.operators import postings as P
 
-#: A list of up to this many terms goes to every task with the plan; a longer one is joined on its terms' first tokens.
+#: A list of up to this many terms goes to every task with the plan; a longer one is looked up by postings.
 BROADCAST_TERMS = 200
-#: Digits of an id that candidates are found by.
-SEED = 5
+#: Digits that an id has at least.
+LEAST_ID = 5
 # The demonstration watchlist (term, category), in order.
 WATCHLIST = (
     ("licensed under", "licence"), ("public license", "licence"), ("mit license", "licence"), ("apache license version 2 0", "licence"),
@@ -24,7 +25,8 @@ LEVELS = ("CRITICAL", "STRONG", "MEDIUM", "LOW", "NONE")
 def publications(docs: DataFrame, most: int | None = None) -> DataFrame:
     """Documents as publications: id, title (first ``most`` characters of the first line, all with None), body and their normalised forms."""
     title = T.first_line(F.col("text"), most)
-    return docs.select("doc_id", F.col("lang").alias("section"), F.col("source").alias("organ"), title.alias("title"), "text").withColumn("norm", T.normalise(F.col("text"))).withColumn("norm_title", T.normalise(F.col("title")))
+    pubs = docs.select("doc_id", F.col("lang").alias("section"), F.col("source").alias("organ"), title.alias("title"), "text")
+    return T.once(pubs, norm=T.normalise(F.col("text")), norm_title=T.normalise(F.col("title")))
 
 
 def watchlist(spark: SparkSession, terms=WATCHLIST) -> DataFrame:
@@ -36,9 +38,8 @@ def with_hits(pubs: DataFrame, terms: DataFrame, size: int | None = None) -> Dat
     """``pubs`` with hits: the terms (ord, term, category) that its norm holds as a whole, by ord.
 
     A watchlist is measured, unless ``size`` says that it is long. Up to BROADCAST_TERMS
-    terms become one array, filled in a single pass: no join. A longer one is joined on each term's first token,
-    which every match must hold; only (doc_id, token) pairs travel to that join, and
-    what it finds is checked against the text.
+    terms become one array, filled in a single pass: no join. A longer one is looked up
+    by each term's rarest token (``postings.term_matches``).
     """
     most = BROADCAST_TERMS
     kind = "array<struct<ord:int,term:string,category:string>>"
@@ -49,30 +50,22 @@ def with_hits(pubs: DataFrame, terms: DataFrame, size: int | None = None) -> Dat
         hit = lambda r: F.when(F.contains("__padded", F.lit(f" {r['term']} ")), F.struct(*(F.lit(v).alias(k) for k, v in r.asDict().items())))
         hits = F.array_compact(F.array(*map(hit, rows))) if rows else F.array()
         return pubs.withColumn("__padded", F.concat(F.lit(" "), "norm", F.lit(" "))).withColumn("hits", hits.cast(kind)).drop("__padded")
-    keyed = terms.select(F.struct(F.col("ord").cast("int").alias("ord"), "term", "category").alias("t"), F.element_at(F.split("term", " "), 1).alias("head"))
-    tokens = pubs.select("doc_id", F.explode(F.array_distinct(F.split("norm", " "))).alias("head"))
-    found = tokens.join(keyed, "head").groupBy("doc_id").agg(F.array_sort(F.collect_set("t")).alias("__t"))
-    listed = F.coalesce("__t", F.array().cast(kind)).cast(kind)
-    return pubs.join(found, "doc_id", "left").withColumn("hits", F.filter(listed, inside)).drop("__t")
+    hit = F.struct("ord", "term", "category")
+    found = P.term_matches(pubs, terms).groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_set(hit)).cast(kind).alias("__t"))
+    joined = pubs.join(found, pubs["doc_id"].eqNullSafe(found["__doc"]), "left")
+    # publications that share an id hold each their own
+    return joined.withColumn("hits", F.filter(F.coalesce("__t", F.array().cast(kind)), inside)).drop("__t", "__doc")
 
 
 def match(pubs: DataFrame, terms: DataFrame, size: int | None = None) -> DataFrame:
     """(doc_id, ord, term, category), one row a publication and term that it holds as a whole."""
-    return with_hits(pubs, terms, size).select("doc_id", F.inline("hits"))
+    # outer, and filtered after, since the optimiser would compute all hits once more to leave out publications without any
+    return with_hits(pubs, terms, size).select("doc_id", F.inline_outer("hits")).where("ord is not null")
 
 
 def match_ids(pubs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, id) of each id (digits only) that a publication's digits, all put together, hold.
-
-    Digits of neighbouring numbers run on, so an id may span two of them. Ids share
-    ``SEED`` digits with the text at some place: pairs come from an equi-join on these.
-    """
-    seed = F.substring("id", 1, SEED)
-    digits = pubs.select("doc_id", T.digits(F.col("text")).alias("digits"))
-    grams = F.transform(F.sequence(F.lit(1), F.length("digits") - SEED + 1), lambda i: F.substring(F.col("digits"), i, F.lit(SEED)))
-    at = digits.where(F.length("digits") >= SEED).select("doc_id", F.explode(F.array_distinct(grams)).alias("seed"))
-    found = at.join(ids.where(F.length("id") >= SEED).select("id", seed.alias("seed")), "seed").select("doc_id", "id")
-    return found.join(digits, "doc_id").where(F.contains("digits", F.col("id"))).select("doc_id", "id").distinct()
+    """(doc_id, id) of each id (digits only) that a publication's digits, all put together, hold; see ``postings.id_matches``. Shorter ids than LEAST_ID are none."""
+    return P.id_matches(pubs, ids.where(F.length("id") >= LEAST_ID))
 
 
 def strong_tokens(term: Column) -> Column:
@@ -81,10 +74,19 @@ def strong_tokens(term: Column) -> Column:
 
 
 def all_near(tokens: Column, wanted: Column, within: int = 12) -> Column:
-    """Every wanted token occurs at most ``within`` positions from one occurrence of some wanted token; two tokens at least."""
-    at = F.filter(F.transform(tokens, lambda x, i: F.struct(x.alias("t"), i.alias("i"))), lambda p: F.array_contains(wanted, p["t"]))
-    close = F.exists(at, lambda a: F.forall(wanted, lambda w: F.exists(at, lambda p: (p["t"] == w) & (F.abs(p["i"] - a["i"]) <= within))))
-    return (F.size(wanted) >= 2) & close
+    """Every wanted token occurs at most ``within`` positions from one occurrence of some wanted token; two tokens at least.
+
+    Around each wanted occurrence only the tokens in reach are looked at.
+    """
+    reach = lambda ts, i: F.slice(ts, F.greatest(i - within, F.lit(0)) + 1, F.least(i, F.lit(within)) + within + 1)
+    places = lambda ts: F.filter(F.sequence(F.lit(0), F.size(ts) - 1), lambda i: F.array_contains(wanted, F.get(ts, i)))
+    close = T.let(tokens, lambda ts: F.exists(places(ts), lambda i: F.size(F.array_except(wanted, reach(ts, i))) == 0))
+    return F.when((F.size(wanted) >= 2) & (F.size(F.array_except(wanted, tokens)) == 0), close).otherwise(False)
+
+
+def named_term(term: Column) -> Column:
+    """A monograph's term without its leading code; '' where it has none but that."""
+    return F.regexp_replace(term, r"^[a-z]?[0-9]+ ", "")
 
 
 def hybrid_hit(norm: Column, digits: Column, term: Column, kind: Column, origin: Column) -> Column:
@@ -97,33 +99,45 @@ def hybrid_hit(norm: Column, digits: Column, term: Column, kind: Column, origin:
     tokens = F.split(norm, " ")
     whole = T.has_term(norm, term)
     product = whole | all_near(tokens, strong_tokens(term))
-    named = F.regexp_replace(term, r"^[a-z]?[0-9]+ ", "")
+    named = named_term(term)
     monograph = (named != "") & T.has_term(norm, named)
     loose = F.forall(F.split(term, " "), lambda t: F.contains(norm, t))
     found = F.when(origin == "product", product).when(origin == "monograph", monograph).otherwise(loose)
     return F.when(kind == "number", F.when((T.digits(term) != "") & F.contains(digits, T.digits(term)), "number")).otherwise(F.when(found, "hybrid").when(whole, "text"))
 
 
-def match_hybrid(pubs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, ord, term, how) for terms (ord, term, kind, origin), a list of at most BROADCAST_TERMS; one pass, no join."""
-    rows = terms.orderBy("ord").limit(BROADCAST_TERMS + 1).collect()  # bounded
-    if len(rows) > BROADCAST_TERMS:
-        raise ValueError(f"more than {BROADCAST_TERMS} number and hybrid terms")
-    pubs = pubs.select("doc_id", "norm", T.digits(F.col("text")).alias("digits"))
+def match_hybrid(pubs: DataFrame, terms: DataFrame, size: int | None = None) -> DataFrame:
+    """(doc_id, ord, term, how) for number and hybrid terms (ord, term, kind, origin).
+
+    Up to BROADCAST_TERMS terms are tried in one pass over the texts; more, or where ``size`` says so, go by postings.
+    """
+    rows = terms.where("term <> ''").orderBy("ord").limit(BROADCAST_TERMS + 1).collect()  # bounded
+    if (size or len(rows)) > BROADCAST_TERMS:
+        return P.hybrid_matches(pubs, terms)
+    if not rows:
+        return pubs.select("doc_id", F.lit(0).alias("ord"), F.lit("").alias("term"), F.lit("").alias("how")).limit(0)
+    pubs = T.once(pubs.select("doc_id", "text", "norm"), digits=T.digits(F.col("text")))
 
     def one(r):
         how = hybrid_hit(F.col("norm"), F.col("digits"), F.lit(r["term"]), F.lit(r["kind"]), F.lit(r["origin"]))
         return F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["term"]).alias("term"), how.alias("how"))
 
-    found = pubs.select("doc_id", F.array(*map(one, rows)).alias("found"))
-    return found.select("doc_id", F.inline(F.filter("found", lambda h: h["how"].isNotNull())))
+    found = pubs.select("doc_id", F.explode(F.array(*map(one, rows))).alias("h"))
+    return found.select("doc_id", "h.*").where("how is not null")
 
 
 def near(norm: Column, first: str, second: str, within: int = 12) -> Column:
-    """Both tokens occur, at most ``within`` positions apart."""
-    tokens = F.split(norm, " ")
-    at = lambda t: F.filter(F.transform(tokens, lambda x, i: F.when(x == t, i)), lambda i: i.isNotNull())
-    return F.exists(at(first), lambda i: F.exists(at(second), lambda j: F.abs(i - j) <= within))
+    """Both tokens occur, at most ``within`` positions apart; one pass over the tokens."""
+    far = F.lit(-(within + 1))
+    begin = F.struct(F.lit(0).alias("i"), far.alias("a"), far.alias("b"), F.lit(False).alias("hit"))
+
+    def step(at, x):
+        a, b = F.when(x == first, at["i"]).otherwise(at["a"]), F.when(x == second, at["i"]).otherwise(at["b"])
+        met = ((x == first) & (at["i"] - b <= within)) | ((x == second) & (at["i"] - a <= within))
+        return F.struct((at["i"] + 1).alias("i"), a.alias("a"), b.alias("b"), (at["hit"] | met).alias("hit"))
+
+    both = T.has_term(norm, F.lit(first)) & T.has_term(norm, F.lit(second))
+    return both & F.aggregate(F.split(norm, " "), begin, step, lambda at: at["hit"])
 
 
 def any_term(norm: Column, terms) -> Column:

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import difflib
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
 from pubmill.operators.matching import ordered_first
+from pubmill.operators.titles import fuzzy_titles  # noqa: F401
 
 # The columns that may hold each field, in order of preference.
 ALIASES: dict[str, tuple[str, ...]] = {
@@ -168,46 +167,6 @@ def guarded(left: DataFrame, right: DataFrame, keys: Sequence[list[str]], value:
     return out.select(*left.columns, F.coalesce(*v).alias(value), how.alias("how"))
 
 
-#: Titles that may be asked for at a time by ``fuzzy_titles``.
-TITLES = 200
-
-
-def fuzzy_titles(records: DataFrame, wanted: DataFrame, least: float = 0.82) -> DataFrame:
-    """(key, id, score) of the record (id, title) most like each wanted (key, title), by the ratio of matching characters.
-
-    A title within the other counts 0.99, one that holds the other 0.95 at least. Ties
-    go to the smaller id; below ``least`` there is none. The wanted titles are a stated
-    list of TITLES at most: each record is compared with all of them where it lies, and
-    the best of each task travel.
-    """
-    asked = [(r["key"], r["title"]) for r in wanted.select("key", T.normalise(F.col("title")).alias("title")).where("title <> ''").limit(TITLES + 1).collect()]  # bounded
-    if len(asked) > TITLES:
-        raise ValueError(f"more than {TITLES} titles at a time")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, tuple[float, int]] = {}
-        matchers = [(i, title, difflib.SequenceMatcher(None, "", title)) for i, (_, title) in enumerate(asked)]
-        for batch in batches:
-            for id_, other in zip(batch["id"].to_pylist(), batch["title"].to_pylist(), strict=True):
-                if not other or id_ is None:
-                    continue
-                for i, title, m in matchers:
-                    held = best.get(i, (-least, id_))
-                    floor = 0.99 if title in other else 0.95 if other in title else 0.0
-                    m.set_seq1(other)
-                    score = floor
-                    if m.real_quick_ratio() >= -held[0] and m.quick_ratio() >= -held[0]:
-                        score = max(floor, m.ratio())
-                    if (-score, id_) < held or (i not in best and score >= least):
-                        best[i] = (-score, id_)
-        rows = [(asked[i][0], id_, -s) for i, (s, id_) in best.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["key", "id", "score"])
-
-    found = records.select(F.col("id").cast("long").alias("id"), T.normalise(F.col("title")).alias("title")).mapInArrow(compare, "key long, id long, score double")
-    least_of = F.min(F.struct((-F.col("score")).alias("less"), "id"))
-    return found.groupBy("key").agg(least_of.alias("x")).select("key", "x.id", (-F.col("x.less")).alias("score"))
-
-
 #: Digits of a process number in groups: close together, or with up to 40 other characters between groups.
 STRICT = r"(?<![0-9])[0-9]{5}[^0-9]{0,12}[0-9]{6}[^0-9]{0,12}[0-9]{4}[^0-9]{0,12}[0-9]{2}(?![0-9])"
 WIDE = r"(?<![0-9])[0-9]{5}[^0-9]{0,40}[0-9]{6}[^0-9]{0,40}[0-9]{4}[^0-9]{0,40}[0-9]{2}(?![0-9])"

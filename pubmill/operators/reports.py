@@ -78,8 +78,9 @@ def merge_parts(parts: DataFrame, key: str) -> DataFrame:
     one = F.struct(page.alias("page"), "ord", "text", F.substring(T.normalise(F.col("text")), 1, 3000).alias("print"))
     role = F.struct("ord", "role")
     g = parts.groupBy(key).agg(F.min_by(F.when(filled, F.col("title")), F.when(filled, F.col("ord"))).alias("title"), F.array_sort(F.collect_list(role)).alias("roles"), F.array_sort(F.collect_list(one)).alias("parts"))
-    prints = F.transform("parts", lambda p: p["print"])
-    kept = F.filter("parts", lambda p, i: F.array_position(prints, p["print"]) == i + 1)
+    printed = F.array_sort(F.transform("parts", lambda p, i: F.struct(p["print"].alias("print"), i.alias("i"), p["text"].alias("text"))))
+    first = T.let(printed, lambda s: F.filter(s, lambda p, j: (j == 0) | (F.get(s, j - 1)["print"] != p["print"])))
+    kept = F.array_sort(F.transform(first, lambda p: F.struct(p["i"].alias("i"), p["text"].alias("text"))))
     return g.select(key, "title", F.array_distinct(F.transform("roles", lambda r: r["role"])).alias("roles"), F.size("parts").cast("long").alias("n_parts"), F.array_join(F.transform(kept, lambda p: p["text"]), "\n\n").alias("text"))
 
 

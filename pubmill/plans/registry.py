@@ -9,7 +9,7 @@ from pubmill.operators import highlights as H
 from pubmill.operators import matching as M
 from pubmill.operators import monitoring as O
 from pubmill.operators import records as R
-from pubmill.plans.base import ORACLE_SQL, QUERIES, n, query, table
+from pubmill.plans.base import ORACLE_SQL, QUERIES, n, query, table  # noqa: F401
 from pubmill.plans.base import norm_sql as _norm
 from pubmill.plans.base import values as _in
 from pubmill.sources.archive import strip_html
@@ -321,7 +321,7 @@ def q_symmetric_diff(spark, d):
   count_if(level='LOW') AS low, count(*) AS total FROM m JOIN s USING (doc_id) GROUP BY term""")
 def q_pivot_terms(spark, d, most=None):
     counts = [F.count_if(F.col("level") == x).alias(x.lower()) for x in M.LEVELS[:4]]
-    return _scored(spark, d, most).select("level", F.explode("hits.term").alias("term")).groupBy("term").agg(*counts, n().alias("total"))
+    return _scored(spark, d, most).select("level", F.explode_outer("hits.term").alias("term")).where("term is not null").groupBy("term").agg(*counts, n().alias("total"))
 
 
 @query(r"SELECT page_id, regexp_extract(url,'://([^/]+)',1) AS host, regexp_extract(url,'[?&]page=([^&]*)',1) AS page, regexp_extract(url,'[?&]ref=([^&]*)',1) AS ref FROM pages")
@@ -405,8 +405,4 @@ def q_highlight_spans(spark, d):
     return s.select("doc_id", F.size("s").cast("bigint").alias("n_spans"), F.col("s")[0]["start"].cast("bigint").alias("first_start"))
 
 
-#: Names from a time when the plain ones had a cut; both do the whole job now.
-for _name in "grid_status coverage_gap relevance_order top_terms keyword_rank exclusion_rescue context_score audit_summary confidence bucketed view_groupingsets pivot_terms".split():
-    QUERIES[f"q_{_name}_whole"], ORACLE_SQL[f"q_{_name}_whole"] = QUERIES[f"q_{_name}"], ORACLE_SQL[f"q_{_name}"]
-
 from pubmill.plans import context_queries, record_queries, report_queries, source_queries, state_queries  # noqa: E402,F401

@@ -75,9 +75,9 @@ def strip_html(markup: Column) -> Column:
     t = F.regexp_replace(markup, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
     t = F.regexp_replace(t, r"(?is)<!--.*?-->", " ")
     t = F.regexp_replace(t, r"(?i)</p>|<br ?/?>", "\n")
-    # tags go from the first "<" of a stretch to its ">"; split there, since a pattern would search every unclosed "<" to the end
-    parts = F.split(t, ">")
-    tail = lambda i: i == F.size(parts) - 1
-    t = F.array_join(F.transform(parts, lambda x, i: F.when(tail(i), x).when(F.instr(x, "<") > 0, F.concat(F.substring_index(x, "<", 1), F.lit(" "))).otherwise(F.concat(x, F.lit(">")))), "")
-    lines = F.transform(F.split(t, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t\r]+", " ")))
-    return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
+    # a tag needs its ">": behind the last one none begins, and searching there would take each "<" to the end
+    behind = F.instr(F.reverse(t), ">") - 1
+    closed = F.when(behind < 0, "").otherwise(F.left(t, F.length(t) - behind))
+    t = F.concat(F.regexp_replace(closed, "<[^>]*>", " "), F.right(t, F.length(t) - F.length(closed)))
+    t = F.regexp_replace(F.regexp_replace(t, r"[ \t\r]+", " "), r" ?\n[ \n]*", "\n")
+    return F.btrim(t, F.lit(" \n"))

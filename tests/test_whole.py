@@ -21,7 +21,7 @@ def run(spark, name):
 def test_grid_holds_every_user(spark):
     events = rows("events", "user_id", "event_type")
     want = {(u, k) for u in {e["user_id"] for e in events} for k in {e["event_type"] for e in events}}
-    got = run(spark, "q_grid_status_whole")
+    got = run(spark, "q_grid_status")
     assert len(got) == len(want) and {(r.user_id, r.event_type) for r in got} == want
     assert sum(r.found for r in got) == len(events)
 
@@ -36,7 +36,7 @@ def test_gaps_of_every_user(spark):
             day = min(seen) + datetime.timedelta(i)
             if day.weekday() < 5 and day not in seen:
                 want.add((u, day))
-    got = run(spark, "q_coverage_gap_whole")
+    got = run(spark, "q_coverage_gap")
     assert len(got) == len(want) and {(r.user_id, r.day) for r in got} == want
     assert max(u for u, _ in want) >= 40
 
@@ -47,8 +47,7 @@ def test_exclusion_reads_the_whole_first_line(spark):
     assert {r.doc_id: r.status for r in M.scored(df, None).collect()} == {1: "EXCLUDED", 2: "OPEN", 3: "RESCUED"}
     # the operator can still judge a title's first characters; the query does not
     cut = {r.doc_id: r.status for r in M.scored(spark.read.parquet(f"{SF}/documents.parquet"), 80).collect()}
-    full, plain = ({r.doc_id: r.status for r in run(spark, q)} for q in ("q_context_score_whole", "q_context_score"))
-    assert full == plain
+    full = {r.doc_id: r.status for r in run(spark, "q_context_score")}
     assert cut.keys() == full.keys() and any(cut[k] == "OPEN" != full[k] for k in cut)
     assert all(full[k] == cut[k] for k in cut if cut[k] != "OPEN")
 
@@ -57,16 +56,16 @@ def test_relevance_orders_every_publication(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     plain = M.scored(docs, None).select("rank", "organ", "title", "doc_id").collect()
     want = [r.doc_id for r in sorted(plain, key=lambda r: (-r["rank"], r.organ or "", r.title, r.doc_id))]
-    assert [r.doc_id for r in run(spark, "q_relevance_order_whole")] == want and len(want) == docs.count() > 50
+    assert [r.doc_id for r in run(spark, "q_relevance_order")] == want and len(want) == docs.count() > 50
 
 
 def test_top_terms_beyond_ten(spark):
     terms = [r.term for r in run(spark, "q_norm_terms")]
-    assert {r.term for r in run(spark, "q_top_terms_whole")} == set(terms) and len(terms) > 10
+    assert {r.term for r in run(spark, "q_top_terms")} == set(terms) and len(terms) > 10
 
 
 def test_keyword_rank_counts_terms_inside_words(spark):
     norm = {r.doc_id: r.norm for r in M.publications(spark.read.parquet(f"{SF}/documents.parquet")).select("doc_id", "norm").collect()}
     score = {k: sum(len(t) for t, _ in M.WATCHLIST if t in x) for k, x in norm.items()}
     want = sorted(((-v, k) for k, v in score.items() if v))[:20]
-    assert [(-r.score, r.doc_id) for r in run(spark, "q_keyword_rank_whole")] == want
+    assert [(-r.score, r.doc_id) for r in run(spark, "q_keyword_rank")] == want

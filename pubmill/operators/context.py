@@ -219,6 +219,14 @@ def traced_terms(evidence: Column, most: int = 80) -> Column:
     return T.ordered_distinct(F.filter(after, lambda t: (t != "") & (F.length(t) <= most)))
 
 
+def excerpt_round(padded: Column, word: Column, margin: int = 40) -> Column:
+    """What stands round the first whole occurrence of a word in a padded normalised text, ``margin`` characters on each side; null without one."""
+    at = F.instr(padded, F.concat(F.lit(" "), word, F.lit(" ")))
+    lo = F.greatest(at - margin, F.lit(1))
+    hi = F.least(at + F.length(word) + (margin + 2), F.length(padded) + 1)
+    return F.when(at > 0, F.substring(padded, lo, hi - lo))
+
+
 def context_note(word: Column, excerpt: Column, phrases: Mapping[str, Sequence[str]]) -> Column:
     """GENERIC where the excerpt holds a set phrase of its keyword, else an empty string; display only."""
     out = F.when(F.lit(False), "")

@@ -1,30 +1,40 @@
-"""Term occurrences as spans, overlap rules over them, and emphasised text; built-in functions only."""
+"""Term occurrences as spans, overlap rules over them, and emphasised text."""
 
 from __future__ import annotations
 
 import html
 import re
-import string
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPANS = "array<struct<start:int,end:int,term:string>>"
 
 
-def occurrences(text: Column, term: str) -> Column:
-    """Spans (start, end exclusive, term) of a term, ASCII letters in any case; null and empty texts have none."""
-    folded = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    # the pieces between the occurrences give their offsets
-    pieces = F.split(folded, re.escape(term.lower()), -1)
-    before = lambda i: F.aggregate(F.slice(pieces, F.lit(1), i), F.lit(0), lambda total, x: total + F.length(x))
-    start = lambda i: before(i) + (i - 1) * len(term)
-    found = F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: F.struct(start(i).alias("start"), (start(i) + len(term)).alias("end"), F.lit(term).alias("term")))
-    return F.when(F.size(pieces) > 1, found).otherwise(F.array()).cast(SPANS)
+def all_occurrences(text: Column, terms: list[str]) -> Column:
+    """Spans (start, end exclusive, term) of each term, in the order of the terms; ASCII letters in any case; null and empty texts have none."""
+    patterns = [(t, re.compile(re.escape(t), re.IGNORECASE | re.ASCII)) for t in terms if t]
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("term", pa.string())]))
+
+    @F.arrow_udf(SPANS)
+    def find(texts: pa.Array) -> pa.Array:
+        starts, ends, names, sizes = [], [], [], [0]
+        for text in texts:
+            for t, pattern in patterns:
+                at = [m.start() for m in pattern.finditer(text.as_py() or "")]
+                starts += at
+                ends += [i + len(t) for i in at]
+                names += [t] * len(at)
+            sizes.append(len(starts))
+        spans = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(names, pa.string())], ["start", "end", "term"])
+        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), spans).cast(kind)
+
+    return find(text) if patterns else F.array().cast(SPANS)
 
 
-def all_occurrences(text: Column, terms: list[str]) -> Column:
-    return F.concat(*(occurrences(text, t) for t in terms)) if terms else F.array().cast(SPANS)
+def occurrences(text: Column, term: str) -> Column:
+    return all_occurrences(text, [term])
 
 
 def without_overlaps(spans: Column) -> Column:

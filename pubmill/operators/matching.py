@@ -51,7 +51,7 @@ def with_hits(pubs: DataFrame, terms: DataFrame, size: int | None = None) -> Dat
         hits = F.array_compact(F.array(*map(hit, rows))) if rows else F.array()
         return pubs.withColumn("__padded", F.concat(F.lit(" "), "norm", F.lit(" "))).withColumn("hits", hits.cast(kind)).drop("__padded")
     hit = F.struct("ord", "term", "category")
-    found = P.term_matches(pubs, terms).groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_set(hit)).cast(kind).alias("__t"))
+    found = P.term_matches(pubs, own).groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_set(hit)).cast(kind).alias("__t"))
     joined = pubs.join(found, pubs["doc_id"].eqNullSafe(found["__doc"]), "left")
     # publications that share an id hold each their own
     return joined.withColumn("hits", F.filter(F.coalesce("__t", F.array().cast(kind)), inside)).drop("__t", "__doc")

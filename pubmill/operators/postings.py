@@ -65,13 +65,13 @@ def salted(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, by: str)
 
 
 def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -> DataFrame:
-    """(doc_id, ord, term, category) of the terms that a publication's norm holds as a whole, for lists of any length.
+    """(doc_id, ord, term, category) of the terms (ord unique) that a publication's norm holds as a whole, for lists of any length.
 
     A term is filed under its rarest token by counts over the texts, so that a text
     looks only at terms of which it holds that token; whole containment is checked then.
     ``small`` states whether the list fits every task; it is measured otherwise.
     """
-    own = terms.select(F.col("ord").cast("int").alias("ord"), "term", "category")
+    own = terms.select("ord", "term", "category")
     parts = own.select("ord", F.explode(F.array_distinct(F.split("term", " "))).alias("token"))
     small = fits(own, "term", "category") if small is None else small
     wanted = _small(parts.select("token").distinct(), small)

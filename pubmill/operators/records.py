@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
+from pubmill.operators import postings as P
 from pubmill.operators.matching import ordered_first
 from pubmill.operators.titles import fuzzy_titles  # noqa: F401
 
@@ -124,22 +125,63 @@ def _share(found: Column, of: Column) -> Column:
 
 def same_title(wanted: Column, candidate: Column, stop: Sequence[str], share: float = 0.85) -> Column:
     """Equal or contained; else every number of the wanted title and ``share`` of its words occur in the candidate (as substrings)."""
-    a, b = T.comparison_key(wanted), T.comparison_key(candidate)
+    a, key = T.comparison_key(wanted), T.comparison_key(candidate)
     tokens, numbers = title_tokens(wanted, stop), title_numbers(wanted)
-    present = F.filter(tokens, lambda t: F.contains(b, t))
-    close = (F.size(tokens) > 0) & F.forall(numbers, lambda x: F.contains(b, x)) & (_share(present, tokens) >= share)
-    return (a != "") & (b != "") & (F.contains(b, a) | close)
+
+    def close(b):
+        present = F.filter(tokens, lambda t: F.contains(b, t))
+        return (F.size(tokens) > 0) & F.forall(numbers, lambda x: F.contains(b, x)) & (_share(present, tokens) >= share)
+
+    return (a != "") & (key != "") & (F.contains(key, a) | T.let(key, close))
 
 
 def link_score(wanted: Column, link_text: Column, href: Column, stop: Sequence[str], penalty: str = "/law-") -> Column:
     """300 for an equivalent title, up to 120 for words and 160 for numbers found, 100 off for an address of another kind."""
     both = T.comparison_key(F.concat_ws(" ", link_text, href))
     tokens, numbers = title_tokens(wanted, stop), title_numbers(wanted)
-    part = lambda x, most: F.floor(_share(F.filter(x, lambda t: F.contains(both, t)), x) * most)
+    part = lambda x, most: F.floor(_share(T.let(both, lambda b: F.filter(x, lambda t: F.contains(b, t))), x) * most)
     off = F.contains(F.lower(href), F.lit(penalty)) & ~F.contains(T.comparison_key(wanted), F.lit(penalty.strip("/-")))
     return (F.when(same_title(wanted, link_text, stop), 300).otherwise(0) + part(tokens, 120) + part(numbers, 160) - F.when(off, 100).otherwise(0)).cast("long")
 
 
+def plain_url(url: Column) -> Column:
+    """Without fragment and trailing slashes; the viewing page of a PDF is the PDF."""
+    bare = F.rtrim(F.substring_index(F.coalesce(url, F.lit("")), "#", 1), F.lit("/"))
+    return F.when(F.endswith(F.lower(bare), F.lit(".pdf/view")), F.left(bare, F.length(bare) - 5)).otherwise(bare)
+
+
+def url_sources(urls: DataFrame, roots: DataFrame, column: str = "url") -> DataFrame:
+    """``urls`` with source: that of the first of the roots (ord, root, source) that an address is, or lies below; null without one.
+
+    Roots are looked up by every folder above the address, so there is no search
+    through them. A root that ends in "/" is the same without.
+    """
+    own = roots.where("root is not null").groupBy(plain_url(F.col("root")).alias("folder")).agg(F.min(F.struct("ord", "source")).alias("first"))
+    steps = F.split(plain_url(F.col(column)), "/")
+    above = T.let(steps, lambda s: F.transform(F.sequence(F.lit(1), F.size(s)), lambda k: F.array_join(F.slice(s, F.lit(1), k), "/")))
+    tried = urls.select(column, F.explode(F.array_distinct(above)).alias("folder")).distinct()
+    found = tried.join(F.broadcast(own) if P.fits(own, "folder") else own, "folder").groupBy(column).agg(F.min("first").alias("first"))
+    return urls.join(found, column, "left").withColumn("source", F.col("first.source")).drop("first")
+
+
+def of_source(name: Column, wanted: Sequence[str], refused: Sequence[str] = ()) -> Column:
+    """Whether a source's normalised name holds one of the wanted parts and none of the refused ones."""
+    norm = T.normalise(name)
+    holds = lambda parts: F.exists(F.lit(list(parts)), lambda p: F.contains(norm, p)) if parts else F.lit(False)
+    return holds(wanted) & ~holds(refused)
+
+
+def term_categories(terms: DataFrame, vocabulary: DataFrame, column: str = "term", otherwise: str = "product") -> DataFrame:
+    """``terms`` with category: of the vocabularies (word, category, prio) that list the normalised term, the one of least prio; else ``otherwise``.
+
+    An equi-join, whatever the number of words.
+    """
+    first = vocabulary.groupBy(T.normalise(F.col("word")).alias("__key")).agg(F.min(F.struct("prio", "category"))["category"].alias("category"))
+    keyed = terms.withColumn("__key", T.normalise(F.col(column)))
+    known = F.broadcast(first) if P.fits(first, "__key", "category") else first
+    return keyed.join(known, "__key", "left").withColumn("category", F.coalesce("category", F.lit(otherwise))).drop("__key")
+
+
 def resolve(wanted: DataFrame, cache: DataFrame, candidates: DataFrame) -> DataFrame:
     """(key, url, how) for wanted (key): from cache (key, url, found), found ones only, else the best candidate.
 

@@ -6,6 +6,7 @@ import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 from pubmill.functions import text as T
 from pubmill.operators import highlights as H
 
+#: Spans that a task gathers before it gives them on.
+SPANS_HELD = 100_000
+
 
 def match_confidence(kind: Column, term: Column) -> Column:
     """HIGH for direct and process matches; numbers by their digits; hybrids by tokens of one or two characters."""
@@ -115,15 +119,32 @@ def full_page(title: Column, organ: Column, body: Column, terms: list[str]) -> C
     return F.concat(F.lit("<article><h1>"), H.escape_html(title), F.lit("</h1><h2>"), H.escape_html(organ), F.lit("</h2>"), paragraphs, F.lit("</article>"))
 
 
+class _Folds(dict):
+    """What each character folds to, worked out when it is first met."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "".join(x for x in unicodedata.normalize("NFKD", chr(code)).lower() if not unicodedata.combining(x))
+        return self[code]
+
+
+_FOLDS = _Folds()
+
+
+def folds(text: str) -> tuple[str, np.ndarray | None]:
+    """The text without accents, in small letters, and for each of its characters the place it comes from; no places where all stay."""
+    plain = text.translate(_FOLDS)
+    if text.isascii():
+        return plain, None
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds, which = np.unique(codes, return_inverse=True)
+    sizes = np.array([len(_FOLDS[int(c)]) for c in kinds])
+    return plain, None if (sizes == 1).all() else np.repeat(np.arange(len(codes)), sizes[which])
+
+
 def folded(text: str) -> tuple[str, list[int]]:
-    """The text without accents, in small letters, and for each of its characters the place it comes from."""
-    out, place = [], []
-    for i, c in enumerate(text):
-        for x in unicodedata.normalize("NFKD", c).lower():
-            if not unicodedata.combining(x):
-                out.append(x)
-                place.append(i)
-    return "".join(out), place
+    """``folds`` with every place."""
+    plain, place = folds(text)
+    return plain, list(range(len(plain))) if place is None else place.tolist()
 
 
 def flexible_spans(docs: DataFrame, terms: Sequence[str]) -> DataFrame:
@@ -138,8 +159,9 @@ def flexible_spans(docs: DataFrame, terms: Sequence[str]) -> DataFrame:
             patterns.append((term, re.compile(r"(?<![a-z0-9])" + r"[\s\-–—_/.,;:()]*".join(words) + r"(?![a-z0-9])")))
 
     def find(text: str) -> list[dict]:
-        plain, place = folded(text)
-        found = sorted((place[m.start()], -(place[m.end() - 1] + 1), t) for t, p in patterns for m in p.finditer(plain))
+        plain, place = folds(text)
+        of = (lambda i: i) if place is None else (lambda i: int(place[i]))
+        found = sorted((of(m.start()), -(of(m.end() - 1) + 1), t) for t, p in patterns for m in p.finditer(plain))
         kept, end = [], 0
         for a, b, t in found:
             if a >= end:
@@ -150,8 +172,14 @@ def flexible_spans(docs: DataFrame, terms: Sequence[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("term", pa.string())]))
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([find(t.as_py() or "") for t in part["text"]], kind)], ["doc_id", "spans"])
+            ids, spans, size = [], [], 0
+            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+                ids.append(doc)
+                spans.append(find(text.as_py() or ""))
+                size += len(spans[-1])
+                if size > SPANS_HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(spans, kind)], ["doc_id", "spans"])
+                    ids, spans, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(spans, kind)], ["doc_id", "spans"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, spans {H.SPANS}")

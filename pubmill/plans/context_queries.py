@@ -125,10 +125,10 @@ def q_match_hybrid(spark, d):
 
 
 @query("""WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[^0-9]', '', 'g') AS digits FROM documents),
-i AS (SELECT DISTINCT (o_orderkey * 37 % 90000 + 10000)::VARCHAR AS id FROM orders WHERE o_orderkey <= 4000)
+i AS (SELECT DISTINCT (o_orderkey * 37 % 90000 + 10000)::VARCHAR AS id FROM orders)
 SELECT doc_id, id FROM d JOIN i ON contains(digits, id)""")
 def q_match_ids(spark, d):
-    ids = table(spark, d, "orders").where("o_orderkey <= 4000").select((F.col("o_orderkey") * 37 % 90000 + 10000).cast("string").alias("id")).distinct()
+    ids = table(spark, d, "orders").select((F.col("o_orderkey") * 37 % 90000 + 10000).cast("string").alias("id")).distinct()
     return M.match_ids(table(spark, d, "documents"), ids)
 
 
@@ -207,16 +207,19 @@ def q_synthesis(spark, d):
     return counted.select("source", C.synthesis(F.col("a"), F.col("b"), F.col("c")).alias("summary"))
 
 
-_PHRASES = {"than": ("than the", "than that"), "with": ("with a",)}
+# Words with the set phrases in which they say little.
+_PHRASES = {"than": ("than the", "than that"), "with": ("with a",), "des": ("des les", "en des"), "der": ("der die", "und der")}
+_NOTES = " ".join(f"WHEN word = '{w}' AND ({' OR '.join(f'contains(excerpt, {p!r})' for p in ps)}) THEN 'GENERIC'" for w, ps in _PHRASES.items())
 
 
-@query(f"""WITH d AS (SELECT doc_id, substr({norm_sql('text')}, 1, 400) AS excerpt FROM documents), k(word) AS (VALUES ('than'), ('with'), ('des'))
-SELECT doc_id, word, CASE WHEN word = 'than' AND (contains(excerpt, 'than the') OR contains(excerpt, 'than that')) THEN 'GENERIC'
- WHEN word = 'with' AND contains(excerpt, 'with a') THEN 'GENERIC' ELSE '' END AS note FROM d, k""")
+@query(f"""WITH d AS (SELECT doc_id, ' ' || {norm_sql('text')} || ' ' AS pad FROM documents), k(word) AS (VALUES {', '.join(f"('{w}')" for w in _PHRASES)}),
+a AS (SELECT doc_id, word, pad, instr(pad, ' ' || word || ' ') AS i FROM d, k),
+e AS (SELECT doc_id, word, CASE WHEN i > 0 THEN substr(pad, greatest(i - 40, 1), least(i + length(word) + 42, length(pad) + 1) - greatest(i - 40, 1)) END AS excerpt FROM a)
+SELECT doc_id, word, excerpt IS NOT NULL AS held, CASE {_NOTES} ELSE '' END AS note FROM e""")
 def q_context_note(spark, d):
-    pubs = M.publications(table(spark, d, "documents")).select("doc_id", F.substring("norm", 1, 400).alias("excerpt"))
-    rows = pubs.select("*", F.explode(F.lit(["than", "with", "des"])).alias("word"))
-    return rows.select("doc_id", "word", C.context_note(F.col("word"), F.col("excerpt"), _PHRASES).alias("note"))
+    pubs = M.publications(table(spark, d, "documents")).select("doc_id", F.concat(F.lit(" "), "norm", F.lit(" ")).alias("pad"))
+    rows = pubs.select("*", F.explode(F.lit(list(_PHRASES))).alias("word")).withColumn("excerpt", C.excerpt_round(F.col("pad"), F.col("word")))
+    return rows.select("doc_id", "word", F.col("excerpt").isNotNull().alias("held"), C.context_note(F.col("word"), F.col("excerpt"), _PHRASES).alias("note"))
 
 
 _LEVELS = ("CRITICAL", "STRONG", "MEDIUM_HIGH", "MEDIUM", "SECTOR", "REVIEW", "LOW", "NONE")

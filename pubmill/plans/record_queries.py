@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
+from pubmill.operators import highlights as H
 from pubmill.operators import records as R
-from pubmill.plans.base import n, norm_sql, query, table
+from pubmill.plans.base import n, norm_sql, query, table, values
 
 _LINE = "split_part(coalesce(text, ''), chr(10), 1)"
 _KEY = lambda c: f"trim(regexp_replace({norm_sql(c)}, '[^a-z0-9]+', ' ', 'g'))"
@@ -27,11 +28,11 @@ def q_number_digits(spark, d):
     return table(spark, d, "orders").select("o_orderkey", T.number_digits(_spelt()).alias("digits"))
 
 
-@query(f"""SELECT page_id, trim(regexp_replace({norm_sql('url')}, '[^a-z0-9]+', ' ', 'g')) AS page_key, strip_accents(lower(trim(regexp_replace(substr(html, 1, 600),
+@query(f"""SELECT page_id, trim(regexp_replace({norm_sql('url')}, '[^a-z0-9]+', ' ', 'g')) AS page_key, strip_accents(lower(trim(regexp_replace(html,
   '\\s+', ' ', 'g')))) AS plain,
- trim(regexp_replace(lower(regexp_replace(strip_accents(substr(html, 1, 600)), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9/.-]+', ' ', 'g')) AS title FROM pages""")
+ trim(regexp_replace(lower(regexp_replace(strip_accents(html), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9/.-]+', ' ', 'g')) AS title FROM pages""")
 def q_other_norms(spark, d):
-    head = F.substring("html", 1, 600)
+    head = F.col("html")
     return table(spark, d, "pages").select("page_id", T.page_norm(F.col("url")).alias("page_key"), T.accent_norm(head).alias("plain"), T.title_norm(head).alias("title"))
 
 
@@ -72,9 +73,9 @@ _ACTS = ("licen", "than", "deau")
 
 @query(f"""SELECT doc_id, CASE WHEN regexp_matches({_KEY('l')}, 'licen|than|deau') THEN 'ACT'
   WHEN len(regexp_extract_all(l, '\\b[A-Z][a-z]+')) >= 3 AND len(regexp_split_to_array(trim(l), '\\s+')) <= 6 THEN 'PERSON' ELSE 'OTHER' END AS kind
-FROM (SELECT doc_id, substr({_LINE}, 1, 30) AS l FROM documents)""")
+FROM (SELECT doc_id, {_LINE} AS l FROM documents)""")
 def q_title_kind(spark, d):
-    line = F.substring(T.first_line(F.col("text"), None), 1, 30)
+    line = T.first_line(F.col("text"), None)
     return table(spark, d, "documents").select("doc_id", T.title_kind(line, _ACTS).alias("kind"))
 
 
@@ -153,17 +154,19 @@ def q_union_by_key(spark, d):
     return R.union_by_key([closed, o.drop("o_orderstatus").withColumn("origin", F.lit("any"))], F.struct("o_custkey", "day"), "ord")
 
 
-@query(f"""WITH h AS (SELECT doc_id, 'title' AS field, 0 AS place, instr({_LINE}, 'the') - 1 AS pos FROM documents
-  UNION ALL SELECT doc_id, 'full_text', 1, instr(coalesce(text, ''), 'the') - 1 FROM documents
- UNION ALL SELECT doc_id, 'organ', 2, instr(source, 'src1') - 1
-  FROM documents), p AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY field <> 'full_text', place, pos) AS k, count(*) OVER (PARTITION BY doc_id) AS n_hits
-  FROM h WHERE pos >= 0)
-SELECT doc_id, n_hits, field, pos AS "offset" FROM p WHERE k = 1""")
+@query(f"""WITH f AS (SELECT doc_id, unnest(['title', 'full_text', 'organ']) AS field, unnest([0, 1, 2]) AS place, unnest([lower({_LINE}), lower(coalesce(text, '')), lower(coalesce(source, ''))]) AS x FROM documents),
+h AS (SELECT doc_id, field, place, term, (length(x) - length(replace(x, term, ''))) // length(term) AS k, instr(x, term) - 1 AS pos FROM f, (VALUES ('the'), ('src1')) t(term)),
+p AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY field <> 'full_text', place, pos) AS r, sum(k) OVER (PARTITION BY doc_id) AS n_hits FROM h WHERE k > 0)
+SELECT doc_id, n_hits::BIGINT AS n_hits, field, pos AS "offset" FROM p WHERE r = 1""")
 def q_primary_occurrence(spark, d):
     docs = table(spark, d, "documents")
-    at = lambda field, place, where: F.struct(F.lit(field).alias("field"), F.lit(place).alias("place"), where.cast("long").alias("offset"))
-    hits = [at("title", 0, F.instr(T.first_line(F.col("text"), None), "the") - 1), at("full_text", 1, F.instr(F.coalesce("text", F.lit("")), "the") - 1), at("organ", 2, F.instr("source", "src1") - 1)]
-    return R.primary_occurrence(docs.select("doc_id", F.inline(F.array(*hits))).where("offset >= 0"), ["doc_id"])
+    fields = [("title", T.first_line(F.col("text"), None)), ("full_text", F.col("text")), ("organ", F.col("source"))]
+    hits = None
+    for place, (name, text) in enumerate(fields):
+        spans = docs.select("doc_id", F.explode(H.all_occurrences(text, ["the", "src1"])).alias("s"))
+        one = spans.select("doc_id", F.lit(name).alias("field"), F.lit(place).alias("place"), F.col("s.start").cast("long").alias("offset"))
+        hits = one if hits is None else hits.unionByName(one)
+    return R.primary_occurrence(hits, ["doc_id"])
 
 
 @query("SELECT user_id, arg_max(event_type, struct_pack(ts := ts, event_id := event_id)) AS kind, max(ts)::DATE AS day FROM events GROUP BY 1")
@@ -202,7 +205,7 @@ def q_counts_in_text(spark, d):
 
 
 _STOP = ("the", "and", "that")
-_NEXT = f"""t AS (SELECT doc_id, substr({_LINE}, 1, 60) AS title
+_NEXT = f"""t AS (SELECT doc_id, {_LINE} AS title
   FROM documents), c AS (SELECT a.doc_id, a.title AS wanted, CASE WHEN a.doc_id % 3 = 0 THEN 'See: ' || a.title || ' 77'
   WHEN a.doc_id % 3 = 1 THEN substr(a.title, 1, 45) ELSE b.title END AS link,
  CASE WHEN a.doc_id % 4 = 0 THEN '/law-' || a.doc_id ELSE '/doc/' || a.doc_id END AS href FROM t a JOIN t b ON b.doc_id = a.doc_id + 1)"""
@@ -217,7 +220,7 @@ p AS (SELECT *, ((CASE WHEN same THEN 300 ELSE 0 END) + (CASE WHEN len(toks) > 0
 
 
 def _links(spark, d):
-    titles = table(spark, d, "documents").select("doc_id", F.substring(T.first_line(F.col("text"), None), 1, 60).alias("title"))
+    titles = table(spark, d, "documents").select("doc_id", T.first_line(F.col("text"), None).alias("title"))
     after = titles.select((F.col("doc_id") - 1).alias("doc_id"), F.col("title").alias("next"))
     k = F.col("doc_id")
     link = F.when(k % 3 == 0, F.concat(F.lit("See: "), "title", F.lit(" 77"))).when(k % 3 == 1, F.substring("title", 1, 45)).otherwise(F.col("next"))
@@ -250,9 +253,9 @@ def q_link_resolution(spark, d):
 
 @query(None)
 def fuzzy_title(spark, d):
-    """The document whose first line is most like each benchmark item's first 60 characters."""
-    records = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.substring(T.first_line(F.col("text"), None), 1, 60).alias("title"))
-    return R.fuzzy_titles(records, table(spark, d, "benchmark").select(F.col("item_id").alias("key"), F.substring("text", 1, 60).alias("title")), 0.5)
+    """The document whose first line is most like each benchmark item."""
+    records = table(spark, d, "documents").select(F.col("doc_id").alias("id"), T.first_line(F.col("text"), None).alias("title"))
+    return R.fuzzy_titles(records, table(spark, d, "benchmark").select(F.col("item_id").alias("key"), F.col("text").alias("title")))
 
 
 @query("""WITH r AS (SELECT o_orderkey AS key, o_custkey AS title, o_orderpriority AS process, o_clerk FROM (SELECT *, 'doc-' || o_orderkey AS o_clerk
@@ -292,12 +295,22 @@ def q_digest_rows(spark, d):
     return R.digest_rows(g.select("id", F.concat(F.lit("customer "), F.col("id").cast("string")).alias("title"), "processes"))
 
 
-@query("""SELECT page_id, CASE WHEN contains(url, '/fr/') OR contains(url, '/de/') THEN 'listed' WHEN starts_with(url, 'https://') THEN 'secure' ELSE 'other' END AS kind
-  FROM pages""")
+# Roots of listed sources, the first that holds an address decides.
+_ROOTS = (
+    (1, "https://thther.example.org/en/685", "one page"), (2, "https://thther.example.org/en/", "english"), (3, "https://thther.example.org", "whole host"),
+    (4, "http://blog.ththan.example.net/en", "blog"), (5, "https://m.ththth.example.net/en/25", "one page"), (6, "https://blog.tionsh.example.net", "blog"),
+)
+_PLAIN_URL = lambda c: f"CASE WHEN lower(rtrim(split_part({c}, '#', 1), '/')) LIKE '%.pdf/view' THEN left(rtrim(split_part({c}, '#', 1), '/'), -5) ELSE rtrim(split_part({c}, '#', 1), '/') END"
+
+
+@query(f"""WITH k(ord, root, source) AS (VALUES {values(_ROOTS)}), r AS (SELECT ord, {_PLAIN_URL('root')} AS root, source FROM k), p AS (SELECT page_id, CASE
+  WHEN page_id % 5 = 0 THEN regexp_extract(url, '^[^?#]*') || '/a.PDF/view' ELSE url END AS url FROM pages), u AS (SELECT page_id, {_PLAIN_URL('url')} AS url FROM p),
+j AS (SELECT page_id, arg_min(source, ord) AS source FROM u JOIN r ON url = root OR starts_with(url, root || '/') GROUP BY 1)
+SELECT page_id, u.url AS plain, source, (contains(u.url, 'blog') OR contains(u.url, 'spam')) AND NOT contains(u.url, 'tionsh') AS listed FROM u LEFT JOIN j USING (page_id)""")
 def q_source_predicates(spark, d):
-    url = F.col("url")
-    kind = F.when(F.contains(url, F.lit("/fr/")) | F.contains(url, F.lit("/de/")), "listed").when(F.startswith(url, F.lit("https://")), "secure").otherwise("other")
-    return table(spark, d, "pages").select("page_id", kind.alias("kind"))
+    url = F.when(F.col("page_id") % 5 == 0, F.concat(F.regexp_extract("url", "^[^?#]*", 0), F.lit("/a.PDF/view"))).otherwise(F.col("url"))
+    rows = R.url_sources(table(spark, d, "pages").select("page_id", url.alias("url")), spark.createDataFrame(_ROOTS, "ord int, root string, source string"))
+    return rows.select("page_id", R.plain_url(F.col("url")).alias("plain"), "source", R.of_source(F.col("url"), ["blog", "spam"], ["tionsh"]).alias("listed"))
 
 
 @query("""SELECT sha256(string_agg(h, '|' ORDER BY name)) AS signature FROM (SELECT p_brand AS name, sha256(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey)) AS h

@@ -8,6 +8,7 @@ from pubmill.functions import text as T
 from pubmill.operators import highlights as H
 from pubmill.operators import matching as M
 from pubmill.operators import monitoring as O
+from pubmill.operators import postings as P
 from pubmill.operators import records as R
 from pubmill.plans.base import ORACLE_SQL, QUERIES, n, query, table  # noqa: F401
 from pubmill.plans.base import norm_sql as _norm
@@ -59,12 +60,24 @@ def q_term_type(spark, d):
     return table(spark, d, "part").select("p_partkey", T.term_type(F.col("p_brand")).alias("brand_type"), T.term_type(F.col("p_name")).alias("name_type"))
 
 
-@query("""WITH v(prio, word, category) AS (VALUES (1,'ECONOMY','economy'),(2,'BRASS','metal'),(3,'STEEL','metal'),(4,'PROMO','promotion'))
-  SELECT p_partkey, coalesce(arg_min(category, prio), 'other') AS category FROM part LEFT JOIN v ON contains(upper(p_type), word) GROUP BY p_partkey""")
+# Twelve ordered vocabularies, the first of which that lists a term gives its category.
+VOCABULARIES = (
+    ("size", ("small", "large", "medium")), ("offer", ("promo", "economy", "small")), ("colour", ("red", "blue")), ("age", ("old", "new", "Promo")),
+    ("heat", ("hot", "cold", "red")), ("fastener", ("bolt", "rod")), ("wheel", ("gear", "ring", "widget")), ("tool", ("anvil", "plate")),
+    ("gadget", ("gizmo", "widget")), ("phrase", ("red plate", "hot rod", "OLD  ring")), ("hot work", ("hot rod", "hot plate")), ("grade", ("Stándard",)),
+)
+_VOCABULARY = [(w, c, i) for i, (c, ws) in enumerate(VOCABULARIES) for w in ws]
+
+
+@query(f"""WITH v(word, category, prio) AS (VALUES {_in(_VOCABULARY)}), k AS (SELECT {_norm('word')} AS word, arg_min(category, prio) AS category FROM v GROUP BY 1),
+t AS (SELECT p_partkey, unnest(['type', 'name', 'first', 'second']) AS field, unnest([p_type, p_name, split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)]) AS term FROM part)
+SELECT p_partkey, field, coalesce(category, 'product') AS category FROM t LEFT JOIN k ON {_norm('term')} = word""")
 def q_term_category(spark, d):
-    vocab = spark.createDataFrame([(1, "ECONOMY", "economy"), (2, "BRASS", "metal"), (3, "STEEL", "metal"), (4, "PROMO", "promotion")], "prio int, word string, category string")
-    hit = table(spark, d, "part").join(F.broadcast(vocab), F.contains(F.upper("p_type"), F.col("word")), "left")
-    return hit.groupBy("p_partkey").agg(F.coalesce(F.min_by("category", "prio"), F.lit("other")).alias("category"))
+    words = F.split("p_name", " ")
+    one = lambda field, term: F.struct(F.lit(field).alias("field"), term.alias("term"))
+    fields = F.array(one("type", F.col("p_type")), one("name", F.col("p_name")), one("first", words[0]), one("second", F.coalesce(F.get(words, F.lit(1)), F.lit(""))))
+    terms = table(spark, d, "part").select("p_partkey", F.inline(fields))
+    return R.term_categories(terms, spark.createDataFrame(_VOCABULARY, "word string, category string, prio int")).select("p_partkey", "field", "category")
 
 
 @query("SELECT arg_min(doc_id, doc_id) AS doc_id, substr(sha256(coalesce(text,'')),1,20) AS hash, count(*) AS copies FROM documents GROUP BY 2")
@@ -86,6 +99,62 @@ def q_match_proximity(spark, d):
     return _pubs(spark, d).where(M.near(F.col("norm"), "the", "from")).select("doc_id")
 
 
+# Pairs of words that should stand near each other.
+PAIRS = tuple((i + 1, a, b) for i, (a, b) in enumerate((
+    ("the", "from"), ("that", "with"), ("than", "the"), ("and", "that"), ("der", "die"), ("und", "das"), ("les", "des"), ("que", "los"), ("para", "por"), ("con", "las"),
+    ("the", "the"), ("license", "version"), ("licensed", "under"), ("public", "license"), ("mit", "license"), ("auf", "der"), ("einer", "zu"), ("pour", "les"), ("no", "such"), ("of", "in"),
+)))
+
+
+@query(f"""WITH {_PUBS}, k(ord, a, b) AS (VALUES {_in(PAIRS)}), t AS (SELECT doc_id, unnest(string_split(norm, ' ')) AS tok, generate_subscripts(string_split(norm, ' '), 1) AS i FROM p),
+w AS (SELECT * FROM t WHERE tok IN (SELECT a FROM k UNION SELECT b FROM k))
+SELECT DISTINCT x.doc_id, ord FROM k JOIN w x ON x.tok = a JOIN w y ON y.doc_id = x.doc_id AND y.tok = b AND abs(x.i - y.i) <= 12""")
+def q_match_near(spark, d):
+    pairs = spark.createDataFrame(PAIRS, "ord int, a string, b string")
+    return P.near_matches(_pubs(spark, d), pairs.select("ord", F.array("a", "b").alias("tokens")))
+
+
+# A list as long as the tables: the first two words of every document, and a term that no text holds beside each.
+_LONG = f"""{_PUBS}, u AS (SELECT DISTINCT split_part(norm, ' ', 1) || ' ' || split_part(norm, ' ', 2) AS term FROM p WHERE contains(norm, ' ')),
+b AS (SELECT DISTINCT doc_id, list_reduce([x, y], lambda s, w: s || ' ' || w) AS term FROM (SELECT doc_id, unnest(t[:-2]) AS x, unnest(t[2:]) AS y FROM (SELECT doc_id, string_split(norm, ' ') AS t FROM p) WHERE len(t) > 1)),
+m AS (SELECT doc_id, term FROM b JOIN u USING (term))"""
+
+
+def _long_matches(spark, d):
+    pubs = _pubs(spark, d)
+    words = F.split("norm", " ")
+    own = pubs.where(F.contains("norm", F.lit(" "))).select(F.concat_ws(" ", words[0], words[1]).alias("term")).distinct()
+    kind = F.element_at(F.lit(["even", "third", "other"]), (F.length("term") % 3 + 1).cast("int")).alias("category")
+    none = own.select(F.concat(F.lit("nowhere "), "term").alias("term"))
+    return P.term_matches(pubs, own.unionByName(none).select(F.xxhash64("term").alias("ord"), "term", kind))
+
+
+@query(f"WITH {_LONG} SELECT doc_id, term FROM m")
+def q_match_long(spark, d):
+    return _long_matches(spark, d).select("doc_id", "term")
+
+
+@query(f"""WITH {_LONG}, f AS (SELECT doc_id, bit_or(CASE length(term) % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 4 END)::BIGINT AS facets FROM m GROUP BY 1)
+SELECT doc_id, coalesce(facets, 0)::BIGINT AS facets, coalesce(facets & 3 = 3, false) AS both, coalesce(facets & 4 = 0, true) AS no_other FROM p LEFT JOIN f USING (doc_id)""")
+def q_facet_bitmaps(spark, d):
+    names = ("even", "third", "other")
+    held = table(spark, d, "documents").select("doc_id").join(P.facet_bitmaps(_long_matches(spark, d), names), "doc_id", "left")
+    bits = F.col("facets")
+    return held.select("doc_id", F.coalesce(bits, F.lit(0).cast("long")).alias("facets"), P.in_facets(bits, names, ("even", "third")).alias("both"), P.in_facets(bits, names, (), ("other",)).alias("no_other"))
+
+
+# Two pieces of each benchmark item's words, to be found also inside words.
+@query(f"""WITH {_PUBS}, w AS (SELECT item_id, string_split({_norm('text')}, ' ') AS t FROM benchmark),
+k AS (SELECT item_id AS ord, substr(t[1], 1, 5) || ' ' || substr(t[3], 2, 4) AS term FROM w UNION ALL SELECT item_id + 1000000, substr(t[2], 1, 4) || ' ' || substr(t[5], 1, 6) FROM w)
+SELECT doc_id, ord, 'hybrid' AS how FROM p JOIN k ON len(list_filter(string_split(term, ' '), lambda x: NOT contains(norm, x))) = 0""")
+def q_match_hybrid_long(spark, d):
+    t = F.split(T.normalise(F.col("text")), " ")
+    part = lambda i, at, n: F.substring(F.coalesce(F.get(t, F.lit(i)), F.lit("")), at, n)
+    both = F.array(F.struct(F.col("item_id").alias("ord"), F.concat(part(0, 1, 5), F.lit(" "), part(2, 2, 4)).alias("term")), F.struct((F.col("item_id") + 1_000_000).alias("ord"), F.concat(part(1, 1, 4), F.lit(" "), part(4, 1, 6)).alias("term")))
+    terms = table(spark, d, "benchmark").select(F.inline(both)).select(F.col("ord").cast("int").alias("ord"), "term", F.lit("hybrid").alias("kind"), F.lit("").alias("origin"))
+    return P.hybrid_matches(_pubs(spark, d), terms).select("doc_id", F.col("ord").cast("long").alias("ord"), "how")
+
+
 @query(f"WITH {_SCORED} SELECT status, count(*) AS n_docs FROM s GROUP BY status")
 def q_exclusion_rescue(spark, d, most=None):
     return M.exclusion(_pubs(spark, d, most)).groupBy("status").agg(n().alias("n_docs"))

@@ -217,3 +217,15 @@ def flexible_spans(spark, d):
     """Terms in any case, accents and spacing, as spans of the original texts."""
     spans = R.flexible_spans(table(spark, d, "documents"), ["public license", "version 3", "licensed under", "than the"])
     return spans.where(F.size("spans") > 0)
+
+
+_FOLDED = "strip_accents(lower(coalesce(text, '')))"
+_GAP = r"[\s\-–—_/.,;:()]*"
+
+
+@query(rf"""WITH t AS (SELECT doc_id, regexp_extract({_FOLDED}, '(?s)^((?:.*?[^a-z0-9])?)(public{_GAP}license)(?:$|[^a-z0-9])', ['a', 'b']) AS m FROM documents)
+SELECT doc_id, length(m.a)::BIGINT AS first_start, (length(m.a) + length(m.b))::BIGINT AS first_end FROM t WHERE m.b <> ''""")
+def q_flexible_spans(spark, d):
+    spans = R.flexible_spans(table(spark, d, "documents"), ["Públic  licensé"]).where(F.size("spans") > 0)
+    first = F.col("spans")[0]
+    return spans.select("doc_id", first["start"].cast("long").alias("first_start"), first["end"].cast("long").alias("first_end"))

@@ -136,10 +136,23 @@ def q_source_summary(spark, d):
     return S.source_summary(pubs, "source", "lang")
 
 
-@query("SELECT page_id, count(*) AS blocks FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?i)<(p|h1|h2|h3|li)[ >]', 1)) AS tag FROM pages) GROUP BY 1")
+# Pages as they are, and of every fourth one with a table, of every fifth one with who signed, of every tenth one nothing but a comment.
+_TEXT = lambda c: f"trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace({c}, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&'), '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH p AS (SELECT page_id, url, CASE WHEN page_id % 10 = 3 THEN '' ELSE html END AS html, page_id % 10 <> 3 AND page_id % 4 = 0 AS has_table, page_id % 10 <> 3 AND page_id % 5 = 0 AS signed FROM pages),
+b AS (SELECT page_id, len(regexp_extract_all(html, '(?i)<(p|h1|h2|h3|h4|li|blockquote)[ >]')) AS blocks FROM p)
+SELECT page_id, CASE WHEN blocks > 0 THEN 'OK' ELSE 'NO_ARTICLE' END AS status, {_TEXT("regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS title, blocks, (has_table::INT)::BIGINT AS tables,
+ CASE WHEN has_table THEN 'no|' || page_id || ';address|' || url ELSE '' END AS cells, CASE WHEN signed THEN 'Signed by ' || page_id ELSE '' END AS signatures FROM p JOIN b USING (page_id)""")
 def q_page_blocks(spark, d):
-    parsed = P.parse_pages(table(spark, d, "pages").select(F.col("page_id").alias("key"), "html"))
-    return parsed.where("size(blocks) > 0").select(F.col("key").cast("long").alias("page_id"), F.size("blocks").cast("bigint").alias("blocks"))
+    k = F.col("page_id").cast("string")
+    grid = F.concat(F.lit("<table><tr><th>no<td>"), k, F.lit("</tr><tr><td>address</td><td>"), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit("</td></tr></table>"))
+    signed = F.concat(F.lit('<p class="x signed">Signed by '), k, F.lit("</p>"))
+    html = F.concat("html", F.when(F.col("page_id") % 4 == 0, grid).otherwise(""), F.when(F.col("page_id") % 5 == 0, signed).otherwise(""))
+    pages = table(spark, d, "pages").select(F.col("page_id").alias("key"), F.when(F.col("page_id") % 10 == 3, "<!-- <p>none</p> -->").otherwise(html).alias("html"))
+    parsed = P.parse_pages(pages)
+    cells = F.array_join(F.flatten(F.transform("tables", lambda t: F.transform(t, lambda r: F.array_join(r, "|")))), ";")
+    return parsed.select(F.col("key").cast("long").alias("page_id"), "status", "title", F.size("blocks").cast("bigint").alias("blocks"), F.size("tables").cast("bigint").alias("tables"), cells.alias("cells"), F.array_join("signatures", ";").alias("signatures"))
 
 
 @query("""WITH x AS (SELECT o_orderkey % 25 AS user_id, o_orderdate::DATE AS day

@@ -1,11 +1,19 @@
-"""Queries of collection outcomes, watchlists, catalogs and page structure."""
+"""Queries of archives, collection outcomes, watchlists, catalogs and page structure."""
 
 from __future__ import annotations
 
+import io
+import zipfile
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pubmill.operators import monitoring as O
 from pubmill.plans.base import norm_sql, query, table, values
+from pubmill.functions import text as T
+from pubmill.operators import highlights as H
+from pubmill.sources import archive as A
 from pubmill.sources import collection as S
 from pubmill.sources import pages as P
 
@@ -160,3 +168,44 @@ def q_page_blocks(spark, d):
 def q_covered_days(spark, d):
     x = table(spark, d, "orders").select((F.col("o_orderkey") % 25).alias("user_id"), F.to_date("o_orderdate").alias("day")).where(O.business_day(F.col("day")))
     return x.groupBy("user_id").agg(F.countDistinct("day").alias("days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
+def _as_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """An archive for each batch of XML texts (doc_id, xml), entries named by id, and an entry that is no XML file."""
+    for batch in batches:
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("readme.txt", "none")
+            for k, xml in zip(batch["doc_id"].to_pylist(), batch["xml"].to_pylist(), strict=True):
+                z.writestr(f"g{k % 7}-{k}.XML", xml)
+        yield pa.RecordBatch.from_arrays([pa.array(["a.zip"]), pa.array([held.getvalue()])], ["path", "content"])
+
+
+def _publications(spark, d):
+    """Documents as XML: a title for two of three, the text as body, tags in odd cases and with a namespace, every eleventh malformed."""
+    k, body = F.col("doc_id"), H.escape_html(F.regexp_replace(F.coalesce("text", F.lit("")), "[^\n -~ -퟿]", ""))
+    line = H.escape_html(T.first_line(F.col("text"), 50))
+    title = F.when(k % 3 == 0, F.concat(F.lit("<x:IDENTIFICA> "), line, F.lit("</x:IDENTIFICA>"))).when(k % 3 == 1, F.concat(F.lit("<Ementa>"), line, F.lit("</Ementa><ementa>second</ementa>"))).otherwise("")
+    xml = F.concat(F.lit('<a xmlns:x="u">'), title, F.lit("<b><Texto>"), body, F.lit("</Texto></b>"), F.when(k % 11 == 0, "<open>").otherwise(""), F.lit("</a>"))
+    return table(spark, d, "documents").select(k, xml.alias("xml"))
+
+
+@query(r"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[^\n -~\x{a0}-\x{d7ff}]', '', 'g') AS body, substr(split_part(coalesce(text, ''), chr(10), 1), 1, 50) AS line FROM documents)
+SELECT doc_id, 'g' || doc_id % 7 AS xml_group, doc_id::INT AS xml_index, CASE WHEN doc_id % 11 = 0 THEN 'malformed' END AS problem, CASE WHEN doc_id % 11 = 0 THEN NULL
+  WHEN doc_id % 3 <> 2 AND trim(line) <> '' THEN trim(line) WHEN trim(body, ' ' || chr(10)) <> '' THEN substr(trim(body, ' ' || chr(10)), 1, 80) ELSE 'Untitled' END AS title,
+ CASE WHEN doc_id % 11 <> 0 THEN md5(trim(body, ' ' || chr(10))) END AS body_md5 FROM t""")
+def q_archive_entries(spark, d):
+    """Archives made of all documents, read back entry by entry."""
+    rows = A.zip_entries(_publications(spark, d).mapInArrow(_as_archives, "path string, content binary"))
+    parsed = A.parse_publications(rows).select("xml_name", "title", F.btrim("texto", F.lit(" \n")).alias("texto"))
+    name = F.regexp_extract("xml_name", "^(g[0-9]+)-([0-9]+)", 1), F.regexp_extract("xml_name", "^(g[0-9]+)-([0-9]+)", 2)
+    out = rows.select("xml_name", "error").join(parsed, "xml_name", "left")
+    problem = F.when(F.startswith("error", F.lit("malformed XML")), "malformed")
+    return out.select(name[1].cast("long").alias("doc_id"), name[0].alias("xml_group"), name[1].cast("int").alias("xml_index"), problem.alias("problem"), "title", F.md5(F.col("texto").cast("binary")).alias("body_md5"))
+
+
+@query("SELECT doc_id % 7 AS grp, count(*) AS entries, max(doc_id)::INT AS last FROM documents WHERE doc_id % 11 <> 0 GROUP BY 1")
+def q_entry_groups(spark, d):
+    """Group and index that entries' file names end in."""
+    rows = A.parse_publications(A.zip_entries(_publications(spark, d).mapInArrow(_as_archives, "path string, content binary")))
+    return rows.groupBy(F.substring("xml_group", 2, 9).cast("long").alias("grp")).agg(F.count("*").cast("bigint").alias("entries"), F.max("xml_index").alias("last"))

@@ -65,3 +65,47 @@ def test_streaming_outbox(spark, tmp_path):
     q = new_items(stream).writeStream.format("memory").queryName("outbox_new").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert sorted(r.key for r in spark.table("outbox_new").collect()) == ["a", "b"]
+
+
+def test_archives_are_read_in_parts(spark, tmp_path):
+    """Every entry once, in whatever number of tasks; blanks in the path; broken archives and entries as rows."""
+    import pytest
+
+    folder = tmp_path / "a b" / "in"
+    folder.mkdir(parents=True)
+    with zipfile.ZipFile(folder / "one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(57):
+            z.writestr(f"p-{i}.xml", f"<a><Titulo>t{i}</Titulo></a>" if i % 10 else "<a>")
+    with zipfile.ZipFile(folder / "two.ZIP", "w") as z:
+        z.writestr("x.xml", "<a><Texto>" + "stored body " * 20 + "</Texto></a>")
+        z.writestr("y.txt", "none")
+    whole = (folder / "two.ZIP").read_bytes()
+    (folder / "spoilt.zip").write_bytes(whole.replace(b"stored body stored", b"stored BODY stored"))
+    (folder / "cut.zip").write_bytes(whole[:-30])
+    want = None
+    for split in (100, 1 << 26):
+        rows = read_zips(spark, str(folder), split=split)
+        parts = rows.rdd.getNumPartitions()
+        assert parts > 10 if split == 100 else parts == 4
+        got = sorted((r.zip.rsplit("/", 1)[1], r.xml_name or "", r.place or 0, r.titulo or "", (r.error or "")[:12]) for r in rows.collect())
+        want = want or got
+        assert got == want
+    assert [g[2] for g in want if g[0] == "one.zip" and g[1] in ("p-2.xml", "p-10.xml")] == [11, 3]
+    assert sum(g[4] == "malformed XM" for g in want) == 6 and [g[4] for g in want if g[0] in ("cut.zip", "spoilt.zip")] == ["broken archi", "broken entry"] and len(want) == 60
+    with pytest.raises(Exception, match="broken"):
+        read_zips(spark, str(folder), strict=True).count()
+    (tmp_path / "none").mkdir()
+    assert read_zips(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_archive_over_two_gigabytes(spark, tmp_path):
+    """Only what belongs to entries is read: what stands before them is a hole of 2.2 GB."""
+    with open(tmp_path / "big.zip", "wb") as f:
+        f.truncate(2_200_000_000)
+        f.seek(0, 2)
+        with zipfile.ZipFile(f, "w") as z:
+            for i in range(200):
+                z.writestr(f"p-{i}.xml", f"<a><Titulo>t{i}</Titulo></a>")
+    rows = read_zips(spark, f"file://{tmp_path}")
+    assert rows.rdd.getNumPartitions() == 33
+    assert {(r.place, r.titulo) for r in rows.where("error is null").collect()} == {(i + 1, f"t{i}") for i in range(200)}

@@ -474,4 +474,4 @@ def q_highlight_spans(spark, d):
     return s.select("doc_id", F.size("s").cast("bigint").alias("n_spans"), F.col("s")[0]["start"].cast("bigint").alias("first_start"))
 
 
-from pubmill.plans import context_queries, record_queries, report_queries, source_queries, state_queries  # noqa: E402,F401
+from pubmill.plans import context_queries, record_queries, report_queries, sink_queries, source_queries, state_queries  # noqa: E402,F401

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,20 +13,34 @@ from pyspark.sql import types as T
 EVENT_STATUS = ("STARTED", "DONE", "PARTIAL", "ERROR")
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, which only a local session may go without."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="pubmill-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/pubmill-{tag}-{uuid.uuid4().hex}"
+
+
 def snapshot(records: DataFrame, path: str, *by: str) -> DataFrame:
     """Write records as JSON partitioned by day and purpose; the totals of each partition. Partitions that the records do not touch stay."""
     records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path)
     return records.groupBy(*by).agg(F.count("*").alias("records"))
 
 
-def replace_table(df: DataFrame, root: str) -> str:
-    """Write a table beside the old one and point ``current`` at it in one rename; readers see the old or the new, never a part."""
+def replace_table(df: DataFrame, root: str, keep: int = 2) -> str:
+    """Write a table beside the old one and point ``current`` at it in one rename; readers see the old or the new, never a part.
+
+    Superseded folders are deleted but for the ``keep`` - 1 last, which readers may still be reading.
+    """
     spark = df.sparkSession
     folder = f"{root}/{uuid.uuid4().hex}"
-    df.write.parquet(folder)
     path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
     staged, current = path(f"{root}/.{uuid.uuid4().hex}"), path(f"{root}/current")
     fs = current.getFileSystem(spark._jsc.hadoopConfiguration())
+    df.write.parquet(folder)
     stream = fs.create(staged, False)
     stream.write(bytearray(folder.encode()))
     stream.close()
@@ -33,6 +48,9 @@ def replace_table(df: DataFrame, root: str) -> str:
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
     spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(current.toUri(), spark._jsc.hadoopConfiguration()).rename(staged, current, options)
+    others = sorted(((s.getModificationTime(), s.getPath()) for s in fs.listStatus(path(root)) if s.isDirectory() and s.getPath().getName() != path(folder).getName()), key=lambda x: -x[0])
+    for _, gone in others[max(0, keep - 1) :]:
+        fs.delete(gone, True)
     return folder
 
 

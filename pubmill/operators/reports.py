@@ -47,17 +47,43 @@ def best_candidates(occurrences: DataFrame, records: DataFrame, on: list[str], m
 
     100, and 40 for an equal title or 20 for a contained one, 20 for the organ, 20 for
     the page, 60 for the file and 60 for the address.
+
+    Strong keys (file, address, equal title) are looked up first, by equi-joins. A pair that shares
+    none of them has 160 points at most, so weaker keys (organ, page) are tried only for
+    occurrences whose best so far could be equalled within the margin; and a pair that shares none of those either
+    has 120, so only what is still open then meets all records of its ``on``. No pair is written that cannot win.
     """
-    o = occurrences.select(*on, "occ", *(F.col(c).alias(f"o_{c}") for c in ("title", "organ", "page", "file", "url")))
+    keys = ("title", "organ", "page", "file", "url")
+    norm = lambda df, p: df.select(*on, *(F.col(c).alias(f"{p}{c}") for c in keys), F.nullif(T.normalise(F.col("title")), F.lit("")).alias(f"{p}norm"), "occ" if p else "rec")
+    o, r = norm(occurrences, "o_"), norm(records, "")
     same = lambda c: (F.coalesce(f"o_{c}", F.lit("")) != "") & (F.col(f"o_{c}") == F.col(c))
-    a, b = T.normalise(F.col("o_title")), T.normalise(F.col("title"))
-    within = (a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a))
-    points = F.when((a != "") & (a == b), 40).when(within, 20).otherwise(0)
+    a, b = F.col("o_norm"), F.col("norm")
+    points = F.when(a == b, 40).when(F.contains(a, b) | F.contains(b, a), 20).otherwise(0)
     for c, p in (("organ", 20), ("page", 20), ("file", 60), ("url", 60)):
         points = points + F.when(same(c), p).otherwise(0)
-    scored = o.join(records, on).select("occ", "rec", (points + 100).cast("long").alias("score"))
-    best = scored.groupBy("occ").agg(F.max("score").alias("best"))
-    return scored.join(best, "occ").where(F.col("score") >= F.col("best") - margin).select("occ", "rec", "score")
+
+    def by(left: DataFrame, *names: str) -> DataFrame:
+        """Scored pairs that share one of the keys."""
+        out = None
+        for c in names:
+            held = left.where(F.coalesce(f"o_{c}", F.lit("")) != "").withColumn("__key", F.col(f"o_{c}"))
+            pairs = held.join(r.withColumn("__key", F.col(c)), [*on, "__key"]).select("occ", "rec", (points + 100).cast("long").alias("score"))
+            out = pairs if out is None else out.unionByName(pairs)
+        return out.distinct()
+
+    def best(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy("occ").agg(F.max("score").alias("best"))
+
+    def open_to(found: DataFrame, points_left: int) -> DataFrame:
+        """The occurrences for which so many points may still be within the margin."""
+        settled = best(found).where(F.col("best") - margin > points_left).select("occ")
+        return o.join(settled, "occ", "left_anti")
+
+    strong = by(o, "file", "url", "norm")
+    weak = by(open_to(strong, 160), "organ", "page").unionByName(strong).distinct()
+    rest = open_to(weak, 120).join(r, on).select("occ", "rec", (points + 100).cast("long").alias("score"))
+    scored = weak.unionByName(rest).distinct()
+    return scored.join(best(scored), "occ").where(F.col("score") >= F.col("best") - margin).select("occ", "rec", "score")
 
 
 def excerpts(text: Column, terms: Sequence[str], margin: int = 40, share: float = 0.8) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pubmill.functions import text as T
 from pubmill.operators import highlights as H
 from pubmill.operators import records as R
+from pubmill.operators.signature import tree_signature
 from pubmill.plans.base import n, norm_sql, query, table, values
 
 _LINE = "split_part(coalesce(text, ''), chr(10), 1)"
@@ -313,11 +314,13 @@ def q_source_predicates(spark, d):
     return rows.select("page_id", R.plain_url(F.col("url")).alias("plain"), "source", R.of_source(F.col("url"), ["blog", "spam"], ["tionsh"]).alias("listed"))
 
 
-@query("""SELECT sha256(string_agg(h, '|' ORDER BY name)) AS signature FROM (SELECT p_brand AS name, sha256(string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey)) AS h
-  FROM part GROUP BY 1)""")
+@query("""WITH d AS (SELECT p_brand, sha256(p_partkey || '|' || p_name) AS d, count(*) AS n FROM part GROUP BY 1, 2),
+l AS (SELECT p_brand, d[1:1] AS spot, sha256(string_agg(d || ':' || n, ',' ORDER BY d || ':' || n)) AS d FROM d GROUP BY 1, 2), f AS (SELECT p_brand, sha256(string_agg(spot || d, '' ORDER BY spot)) AS s FROM l GROUP BY 1),
+e AS (SELECT sha256(p_brand || '=' || s) || ':1' AS d FROM f), r AS (SELECT d[1:1] AS spot, sha256(string_agg(d, ',' ORDER BY d)) AS d FROM e GROUP BY 1)
+SELECT sha256(string_agg(spot || d, '' ORDER BY spot)) AS signature FROM r""")
 def q_config_signature(spark, d):
-    files = table(spark, d, "part").groupBy("p_brand").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list("p_partkey")), lambda x: x.cast("string")), ",").cast("binary"), 256).alias("h"))
-    return files.agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p_brand", "h"))), lambda x: x["h"]), "|").cast("binary"), 256).alias("signature"))
+    files = tree_signature(table(spark, d, "part"), F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name"), "p_brand")
+    return tree_signature(files, F.concat_ws("=", "p_brand", "signature"))
 
 
 @query("""WITH t AS (SELECT user_id, event_type, event_id, value FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM t)

@@ -92,7 +92,8 @@ def catalog(pages: DataFrame) -> DataFrame:
     Published PDF files come once for each address; where the items do not add up to
     the total, or a page states totals that differ, the page gives one row with a problem.
     """
-    raw = F.regexp_extract("html", r'"items"\s*:\s*(\[[^\]]*\])', 1)
+    # the parser stops where the array ends, whatever brackets its items hold
+    raw = F.regexp_extract("html", r'(?s)"items"\s*:\s*(\[.*)', 1)
     totals = F.array_distinct(F.regexp_extract_all("html", F.lit(r'"items_total"\s*:\s*([0-9]+)'), F.lit(1)))
     read = pages.select("page", F.from_json(F.when(raw != "", raw), CATALOG).alias("items"), totals.alias("totals")).where("size(totals) > 0")
     wrong = F.when(F.col("items").isNull(), "no items").when(F.size("totals") > 1, "totals differ").when(F.size("items") != F.col("totals")[0].cast("int"), "items missing")

@@ -33,6 +33,16 @@ def _accents() -> tuple[str, str]:
     return "".join(a for a, _ in kept), "".join(b for _, b in kept)
 
 
+def grams(text: Column, least: Column, most: Column | None = None) -> Column:
+    """The stretches of ``most`` characters (``least`` by default) at each place that has ``least``, in order, for ASCII texts.
+
+    From an array of the characters: a substring would be counted off from the start each time.
+    """
+    width = least if most is None else most
+    every = lambda cs: F.transform(F.sequence(F.lit(1), F.length(text) - least + 1), lambda i: F.array_join(F.slice(cs, i, width), ""))
+    return F.when(F.length(text) >= least, let(F.split(text, ""), every)).otherwise(F.array().cast("array<string>"))
+
+
 def strip_accents(text: Column) -> Column:
     return F.translate(text, *_accents())
 

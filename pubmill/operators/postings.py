@@ -65,10 +65,11 @@ def salted(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, by: str)
 
 
 def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -> DataFrame:
-    """(doc_id, ord, term, category) of the terms (ord unique) that a publication's norm holds as a whole, for lists of any length.
+    """(doc_id, ord, term, category), once each, of the terms (ord unique) that a publication's norm holds as a whole, for lists of any length.
 
     A term is filed under its rarest token by counts over the texts, so that a text
-    looks only at terms of which it holds that token; whole containment is checked then.
+    looks only at terms of which it holds that token; at its places the words around are
+    compared with the term's, which costs a term's length and not a text's.
     ``small`` states whether the list fits every task; it is measured otherwise.
     """
     own = terms.select("ord", "term", "category")
@@ -77,16 +78,21 @@ def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -
     wanted = _small(parts.select("token").distinct(), small)
     postings = row_tokens(pubs, "doc_id").join(wanted, "token")
     seen = postings.groupBy("token").agg(F.count("*").alias("n"))
-    filed = rarest(parts, seen).join(own, "ord")
-    inside = T.has_term(F.col("norm"), F.col("term"))
+    words = F.split("term", " ")
+    filed = rarest(parts, seen).join(own, "ord").withColumns({"k": F.size(words), "before": F.array_position(words, F.col("token")).cast("int") - 1})
+    texts = T.once(pubs.select("doc_id", "norm"), tokens=F.split("norm", " ")).select("doc_id", "tokens")
+    start = F.col("at") - F.col("before") + 1
+    inside = (start > 0) & (F.array_join(F.slice("tokens", F.greatest(start, F.lit(1)), F.col("k")), " ") == F.col("term"))
     if small:
         # a row for each term at most
-        return row_tokens(pubs, "doc_id", "norm").join(F.broadcast(filed), "token").where(inside).select("doc_id", "ord", "term", "category")
+        tried = texts.select("doc_id", "tokens", F.posexplode("tokens").alias("at", "token")).join(F.broadcast(filed), "token")
+        return tried.where(inside).select("doc_id", "ord", "term", "category").distinct()
     total = seen.agg(F.sum("n").alias("total"))  # one row
     hot = seen.crossJoin(F.broadcast(total)).where(F.col("n") * HOT > F.col("total"))
-    found = salted(postings, filed, "token", hot, "doc_id").select("doc_id", "ord", "term", "category").distinct()
-    texts = pubs.select(F.col("doc_id").alias("__doc"), "norm")
-    return found.join(texts, found["doc_id"].eqNullSafe(texts["__doc"])).where(inside).select("doc_id", "ord", "term", "category")
+    places = texts.select("doc_id", F.posexplode("tokens").alias("at", "token"))
+    found = salted(places, filed, "token", hot, "doc_id").select("doc_id", "at", "ord", "term", "category", "k", "before")
+    texts = texts.withColumnRenamed("doc_id", "__doc")
+    return found.join(texts, found["doc_id"].eqNullSafe(texts["__doc"])).where(inside).select("doc_id", "ord", "term", "category").distinct()
 
 
 def facet_bitmaps(matches: DataFrame, facets: Sequence[str]) -> DataFrame:
@@ -129,11 +135,11 @@ def loose_matches(pubs: DataFrame, terms: DataFrame) -> DataFrame:
     parts = terms.select("ord", F.explode(F.array_distinct(F.split("term", " "))).alias("token")).where("token <> ''")
     need = parts.groupBy("ord").agg(F.count("*").alias("need"))
     tokens = parts.select("token").distinct()
-    grams = lambda c, q: F.transform(F.sequence(F.lit(1), F.length(c) - q + 1), lambda i: F.substring(F.col(c), i, q))
+    grams = lambda c, q: T.grams(F.col(c), q)
     own = tokens.select("token", F.explode(F.array_distinct(grams("token", F.least(F.length("token"), F.lit(GRAM))))).alias("gram"))
     held = row_tokens(pubs, "doc_id", F.xxhash64("norm").alias("row")).withColumnRenamed("token", "word").where("word <> ''")
     words = held.select("word").distinct()
-    every = F.flatten(F.array(*(F.when(F.length("word") >= q, grams("word", F.lit(q))).otherwise(F.array()) for q in range(1, GRAM + 1))))
+    every = F.flatten(F.array(*(grams("word", F.lit(q)) for q in range(1, GRAM + 1))))
     small = fits(tokens, "token")
     inside = words.select("word", F.explode(F.array_distinct(every)).alias("gram")).join(_small(own.select("gram").distinct(), small), "gram")
     counts = inside.groupBy("gram").agg(F.count("*").alias("n"))
@@ -174,7 +180,7 @@ def id_matches(pubs: DataFrame, ids: DataFrame) -> DataFrame:
     small = fits(ids, "id")
 
     def found(least: int, most: int) -> DataFrame:
-        pieces = F.transform(F.sequence(F.lit(1), F.length("digits") - least + 1), lambda i: F.substring(F.col("digits"), i, F.lit(most)))
+        pieces = T.grams(F.col("digits"), F.lit(least), F.lit(most))
         at = digits.where(F.length("digits") >= least).select("doc_id", F.explode(F.array_distinct(pieces)).alias("piece")).withColumn("seed", F.substring("piece", 1, least))
         own = ids.where(F.length("id").between(least, most)).withColumn("seed", F.substring("id", 1, least))
         return at.join(_small(own, small), "seed").where(F.startswith("piece", F.col("id"))).select("doc_id", "id")

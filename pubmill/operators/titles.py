@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import difflib
+import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,9 +14,10 @@ from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
 from pubmill.operators import postings as P
+from pubmill.sinks import written
 
-#: Pairs scored at a time.
-PAIRS = 2000
+#: Pairs scored at a time, and copies of a gram that are told apart by their frequency.
+PAIRS, COPIES = 2000, 32
 
 
 def shared_least(first: int, second: int, least: float, q: int) -> int:
@@ -28,7 +31,20 @@ def shared_least(first: int, second: int, least: float, q: int) -> int:
     return math.ceil((least / 2 * both if q == 1 else (1.5 * least - 1) * both - 1) - 1e-9)
 
 
-def _keys(df: DataFrame, least: float, q: int, rank: dict[str, int]) -> DataFrame:
+def _ranks(grams: DataFrame) -> dict[tuple[str, int], int]:
+    """How many titles hold a gram so many times at least, up to COPIES, of rows (id, gram) with repeats.
+
+    Normalised titles have letters, digits, _ and blanks, so there are 38 ** 2 grams at most.
+    """
+    held = grams.groupBy("id", "gram").count().groupBy("gram", F.least("count", F.lit(COPIES)).alias("copies")).count()
+    out: dict[tuple[str, int], int] = {}
+    for r in held.collect():  # a row for each gram and number of copies
+        for k in range(1, r["copies"] + 1):
+            out[r["gram"], k] = out.get((r["gram"], k), 0) + r["count"]
+    return out
+
+
+def _keys(df: DataFrame, least: float, q: int, rank: dict[tuple[str, int], int]) -> DataFrame:
     """(id, size, gram) of each title (id, title): so many of its rarest grams that any title similar enough has one among its own.
 
     Grams are numbered, so that the second "an" is another than the first.
@@ -44,7 +60,7 @@ def _keys(df: DataFrame, least: float, q: int, rank: dict[str, int]) -> DataFram
                 for i in range(n - q + 1):
                     g = title[i : i + q]
                     seen[g] = seen.get(g, 0) + 1
-                    grams.append((order.get(g, 0), g, seen[g]))
+                    grams.append((order.get((g, min(seen[g], COPIES)), 0), g, seen[g]))
                 need = shared_least(n, math.ceil(n * least / (2 - least) - 1e-9), least, q)
                 for _, g, k in sorted(grams)[: max(0, len(grams) - max(1, need) + 1)]:
                     out[0].append(name)
@@ -57,15 +73,17 @@ def _keys(df: DataFrame, least: float, q: int, rank: dict[str, int]) -> DataFram
 
 def _pieces(df: DataFrame, q: int) -> DataFrame:
     """(id, gram) of the different stretches of q characters."""
-    grams = F.transform(F.sequence(F.lit(1), F.length("title") - q + 1), lambda i: F.substring(F.col("title"), i, F.lit(q)))
-    return df.where(F.length("title") >= q).select("id", F.explode(F.array_distinct(grams)).alias("gram"))
+    return df.where(F.length("title") >= q).select("id", F.explode(F.array_distinct(T.grams(F.col("title"), F.lit(q)))).alias("gram"))
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, q: int) -> DataFrame:
     """(l, r) of titles (id, title) that may be similar: with a rare gram in common, and lengths that allow the ratio."""
-    held = T.once(left.select("id", "title"), grams=F.transform(F.sequence(F.lit(1), F.length("title") - q + 1), lambda i: F.substring(F.col("title"), i, F.lit(q))))
-    # normalised titles have letters, digits, _ and blanks: 38 ** 2 different grams at most
-    rank = {r["gram"]: r["count"] for r in held.where(F.length("title") >= q).select(F.explode("grams").alias("gram")).groupBy("gram").count().collect()}
+    # only titles of a length that some title of the other side allows
+    span = lambda df: df.agg(F.min(F.length("title")), F.max(F.length("title"))).first()
+    allowed = lambda df, lo, hi: df.where(F.length("title").between(math.floor((lo or 0) * least / (2 - least)), math.ceil((hi or 0) * (2 - least) / least)))
+    left = allowed(left, *span(right))
+    right = allowed(right, *span(left))
+    rank = _ranks(left.where(F.length("title") >= q).select("id", F.explode(T.grams(F.col("title"), F.lit(q))).alias("gram")))
     a, b = (_keys(df.where(F.length("title") >= q), least, q, rank) for df in (left, right))
     joined = a.select(F.col("id").alias("l"), F.col("size").alias("ls"), "gram").join(b.select(F.col("id").alias("r"), F.col("size").alias("rs"), "gram"), "gram")
     close = F.least("ls", "rs") * 2.0 >= F.lit(least - 1e-9) * (F.col("ls") + F.col("rs"))
@@ -74,9 +92,14 @@ def similar_pairs(left: DataFrame, right: DataFrame, least: float, q: int) -> Da
 
 def contained_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
     """(s, l) of titles (id, title) of which one holds the other as it is, found by the rarest stretch of the shorter."""
+    # a title longer than all on the other side is in none
+    most = long.agg(F.max(F.length("title"))).first()[0] or 0
+    short = short.where(F.length("title") <= most)
     out = None
     for q in (1, 2, P.GRAM):
         own = short.where(F.length("title") >= q if q == P.GRAM else F.length("title") == q)
+        if q < P.GRAM and not own.limit(1).count():
+            continue
         pieces, inside = _pieces(own, q), _pieces(long, q)
         n = inside.groupBy("gram").agg(F.count("*").alias("n"))  # 38 ** 3 at most
         filed = pieces.join(F.broadcast(n), "gram").groupBy("id").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
@@ -96,7 +119,7 @@ def fuzzy_titles(records: DataFrame, wanted: DataFrame, least: float = 0.82) ->
     common characters come before the exact ratio.
     """
     title = lambda df, c: T.once(df.select(F.col(c).cast("long").alias("id"), F.col("title").alias("raw")), title=T.normalise(F.col("raw"))).where("title <> '' and id is not null").select("id", "title")
-    records, asked = title(records, "id"), title(wanted, "key")
+    records, asked = (written(df, "titles") for df in (title(records, "id"), title(wanted, "key")))  # read several times
     if 1.5 * least - 1 > 0.1:
         # so long that two of them share a pair of neighbours, else compared by single characters
         enough = math.ceil(2 / (1.5 * least - 1)) + 1
@@ -111,24 +134,33 @@ def fuzzy_titles(records: DataFrame, wanted: DataFrame, least: float = 0.82) ->
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, best = difflib.SequenceMatcher(None, "", ""), {}
+        neighbours = lambda t: Counter(zip(t, t[1:], strict=False))
         for batch in batches:
             for at in range(0, len(batch), PAIRS):
                 part = batch.slice(at, PAIRS)
-                for key, title, id_, other in sorted(zip(*(part[c].to_pylist() for c in ("r", "asked", "l", "title")), strict=True)):
-                    held = best.get(key, (-least, 1 << 63))
-                    found = 0.99 if title in other else 0.95 if other in title else 0.0
-                    m.set_seq2(title) if m.b != title else None
-                    m.set_seq1(other)
-                    if m.real_quick_ratio() >= -held[0] and m.quick_ratio() >= -held[0]:
-                        found = max(found, m.ratio())
-                    if (-found, id_) < held and found >= least:
-                        best[key] = (-found, id_)
+                rows = sorted(zip(*(part[c].to_pylist() for c in ("r", "asked", "l", "title")), strict=True))
+                for (key, title), group in itertools.groupby(rows, lambda r: r[:2]):
+                    own = neighbours(title)
+                    # those with the most neighbours in common first: a good score early spares the rest
+                    tried = sorted((-sum((own & neighbours(other)).values()), id_, other) for _, _, id_, other in group)
+                    m.set_seq2(title)
+                    for shared, id_, other in tried:
+                        held = best.get(key, (-least, 1 << 63))
+                        found = 0.99 if title in other else 0.95 if other in title else 0.0
+                        if -shared >= shared_least(len(title), len(other), -held[0], 2):
+                            m.set_seq1(other)
+                            if m.real_quick_ratio() >= -held[0] and m.quick_ratio() >= -held[0]:
+                                found = max(found, m.ratio())
+                        if (-found, id_) < held and found >= least:
+                            best[key] = (-found, id_)
             if len(best) > 100_000:
                 yield _rows(best)
                 best = {}
         yield _rows(best)
 
-    found = both.select("r", "asked", "l", "title").mapInArrow(score, "key long, id long, score double")
+    # pairs are few bytes and much work, so they are dealt by number rather than by size
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = both.select("r", "asked", "l", "title").repartition(tasks, F.xxhash64("r", "l")).mapInArrow(score, "key long, id long, score double")
     least_of = F.min(F.struct((-F.col("score")).alias("less"), "id"))
     return found.groupBy("key").agg(least_of.alias("x")).select("key", "x.id", (-F.col("x.less")).alias("score"))
 

@@ -24,6 +24,13 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{root.rstrip('/')}/pubmill-{tag}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a table below the shared folder: computed once, whatever reads it and whichever executors are lost."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def snapshot(records: DataFrame, path: str, *by: str) -> DataFrame:
     """Write records as JSON partitioned by day and purpose; the totals of each partition. Partitions that the records do not touch stay."""
     records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path)

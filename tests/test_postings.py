@@ -163,3 +163,18 @@ def test_texts_without_tags_and_open_ones(spark):
     pages = ["a<b>c</b> d", "a < b", "a > b < c > d <e", "<p>x</p>\n\n <p> y </p>", "", None, "<", ">", "x<br/>y\t z\r\n", "<!-- a -->b<script>1<2</script>c", " \n a"]
     got = [r.t for r in spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, p string").orderBy("i").select(strip_html(F.col("p")).alias("t")).collect()]
     assert got == ["a c d", "a < b", "a > b d <e", "x\ny", "", None, "<", ">", "x\ny z", "b c", "a"]
+
+
+def test_grams_and_ids_of_long_texts(spark):
+    """Stretches of a long text cost in proportion to it."""
+    import time
+
+    text = "".join(str(i) for i in range(60_000))
+    df = spark.createDataFrame([(1, text, text), (2, "12", "12"), (3, "", "")], "doc_id long, text string, norm string")
+    began = time.time()
+    assert [r.n for r in df.orderBy("doc_id").select(F.size(T.grams(F.col("text"), F.lit(3))).alias("n")).collect()] == [len(text) - 2, 0, 0]
+    ids = spark.createDataFrame([("5999959998",), ("12345678910",), ("59998599",)], "id string")
+    assert sorted(map(tuple, M.match_ids(df, ids).collect())) == [(1, "12345678910"), (1, "59998599")]
+    assert time.time() - began < 30
+    row = spark.range(1).select(T.grams(F.lit("abcde"), F.lit(3), F.lit(4)).alias("g"), T.grams(F.lit("ab"), F.lit(3)).alias("none")).first()
+    assert (row.g, row.none) == (["abcd", "bcde", "cde"], [])

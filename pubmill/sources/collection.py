@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
@@ -125,27 +125,45 @@ def publications_within(value, depth: int = 0) -> Iterator[dict]:
             yield from publications_within(inner, depth + 1)
 
 
+def json_depth(text: Column) -> Column:
+    """How deep a JSON text's containers nest, from its brackets outside strings; one pass."""
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    outside = F.array_join(F.filter(F.split(plain, '"'), lambda p, i: i % 2 == 0), "")
+    marks = F.split(F.regexp_replace(outside, r"[^\[\]{}]+", ""), "")
+    step = lambda x: F.when(x.isin("[", "{"), 1).when(x.isin("]", "}"), -1).otherwise(0)
+    grown = lambda at, x: F.struct((at["d"] + step(x)).alias("d"), F.greatest(at["most"], at["d"] + step(x)).alias("most"))
+    return F.aggregate(marks, F.struct(F.lit(0).alias("d"), F.lit(0).alias("most")), grown, lambda at: at["most"])
+
+
 def payload_scan(payloads: DataFrame) -> DataFrame:
-    """(key, place, publication as JSON, error) of payloads (key, json): what looks like a publication anywhere in each, in order.
+    """(key, place, publication as JSON, error) of payloads (key, json): what looks like a publication anywhere in each.
 
-    A payload that is no JSON, or nested too deep, gives one row with an error; null gives none.
+    place counts them from the outside in and from first to last, the fields of an object by
+    name. Each level of nesting is one explode of VARIANT values, as many as the deepest payload has. A payload that is no JSON (or
+    names a field twice), or nested deeper than DEPTH, gives one row with an error; null gives none.
     """
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("key", pa.int64()), ("place", pa.int64()), ("publication", pa.string()), ("error", pa.string())])
-        for batch in batches:
-            rows = []
-            for key, text in zip(batch["key"].to_pylist(), batch["json"], strict=True):
-                if not text.is_valid:
-                    continue
-                try:
-                    found = [json.dumps(p, ensure_ascii=False, sort_keys=True) for p in publications_within(json.loads(text.as_py()))]
-                    rows += [(key, i, p, None) for i, p in enumerate(found)]
-                except (ValueError, RecursionError) as e:
-                    rows.append((key, None, None, type(e).__name__))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
-
-    return payloads.select(F.col("key").cast("long").alias("key"), "json").mapInArrow(scan, "key long, place long, publication string, error string")
+    spark = payloads.sparkSession
+    read = payloads.select(F.col("key").cast("long").alias("key"), F.col("json").alias("__json")).where("__json is not null")
+    read = T.once(read.withColumn("__id", F.monotonically_increasing_id()), __depth=json_depth(F.col("__json")))
+    deep = F.col("__depth") > DEPTH + 1
+    read = T.once(read, __v=F.try_parse_json(F.when(~deep, F.col("__json"))))
+    wrong = F.when(deep, "ValueError").when(F.col("__v").isNull(), "JSONDecodeError")
+    levels = min(DEPTH + 1, read.agg(F.coalesce(F.max(F.when(~deep, F.col("__depth"))), F.lit(0))).first()[0])
+    held = lambda names: reduce(lambda a, b: a | b, (F.try_variant_get("__v", f"$.{n}", "variant").isNotNull() for n in sorted(names)))
+    alike = F.coalesce(held(_TITLE) & held(_BODY | _ORIGIN), F.lit(False))
+    none, text = F.lit(None).cast("variant"), F.lit(None).cast("string")
+    one = lambda publication, v: F.struct(publication.alias("publication"), v.alias("v"))
+    rows = read.where(wrong.isNull()).select("key", "__id", F.array().cast("array<int>").alias("path"), text.alias("publication"), "__v")
+    for _ in range(levels):
+        # a publication is set aside, and its parts are looked at as well
+        parts = F.when(F.col("publication").isNotNull(), F.array(one(F.col("publication"), none))).when(alike, F.array(one(F.to_json("__v"), none), one(text, F.col("__v")))).otherwise(F.array(one(text, F.col("__v"))))
+        rows = rows.select(F.col("key").alias("__key"), "__id", "path", F.inline(parts)).withColumnRenamed("v", "__v")
+        rows = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("__v").outer()))
+        path = F.when(F.col("pos").isNotNull(), F.concat("path", F.array("pos"))).otherwise(F.col("path"))
+        rows = rows.select(F.col("__key").alias("key"), "__id", path.alias("path"), "publication", F.col("value").alias("__v")).where("publication is not null or __v is not null")
+    place = F.row_number().over(W.partitionBy("__id").orderBy("path")) - 1
+    found = rows.where("publication is not null").select("key", place.cast("long").alias("place"), "publication", text.alias("error"))
+    return found.unionByName(read.where(wrong.isNotNull()).select("key", F.lit(None).cast("long").alias("place"), text.alias("publication"), wrong.alias("error")))
 
 
 def inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -3,6 +3,7 @@
 import difflib
 import itertools
 import json
+import random
 import zipfile
 
 import pytest
@@ -237,3 +238,33 @@ def test_numbering_in_stretches(spark):
         got = sorted(((r.k, r.o, r.place) for r in R.numbered(spark.createDataFrame(rows, "k string, o long").repartition(5), "k", "o", "place", width).collect()), key=str)
         want = [(k, o, 1 + sum(a == k and (b if b is not None else -99) < (o if o is not None else -99) for a, b in rows)) for k, o in rows]
         assert got == sorted(want, key=str)
+
+
+def test_payloads_equal_a_plain_walk(spark):
+    """What VARIANT levels find is what a walk through the parsed JSON finds; strings with brackets and quotes do not count as nesting."""
+    rng = random.Random(9)
+
+    def made(depth):
+        kind = rng.randrange(6 if depth else 3)
+        if kind == 0:
+            return rng.choice([1, None, True, 'a "quoted" [ { \\ text', "é", 2.5])
+        if kind < 3 and depth == 0:
+            return "x"
+        if kind < 4:
+            return [made(depth - 1) for _ in range(rng.randrange(4))]
+        return {k: made(depth - 1) for k in rng.sample(["title", "name", "text", "url", "records", "a b", "organ", "z"], rng.randrange(1, 6))}
+
+    values = [made(rng.randrange(1, 7)) for _ in range(150)] + [json.loads("[" * 12 + '{"title": null, "url": 1}' + "]" * 12)]
+    rows = [(i, json.dumps(v)) for i, v in enumerate(values)] + [(1000, '{"a": 1, "a": 2}'), (1001, "x"), (1002, None), (1003, '["\\\\", "[[[[", "\\""]')]
+    got = collection.payload_scan(spark.createDataFrame(rows, "key long, json string").repartition(3))
+    assert "MapInArrow" not in got._jdf.queryExecution().toString()
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.key, []).append((r.place, r.publication, r.error))
+    assert {k: [e for _, _, e in v] for k, v in found.items() if v[0][2]} == {1000: ["JSONDecodeError"], 1001: ["JSONDecodeError"]}
+    for i, v in enumerate(values):
+        want = sorted(json.dumps(p, sort_keys=True) for p in collection.publications_within(v))
+        mine = found.get(i, [])
+        assert sorted(json.dumps(json.loads(p), sort_keys=True) for _, p, _ in mine) == want
+        assert sorted(k for k, _, _ in mine) == list(range(len(want)))
+    assert sum(map(len, found.values())) > 60

@@ -108,8 +108,10 @@ def scan(x: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def keys_of(first: np.ndarray, second: np.ndarray, drift: np.ndarray) -> np.ndarray:
     """Slack less a margin, from the entry's drift on."""
-    found = drift * (1 - MARGIN) + second - first
-    return np.where(np.isinf(second), np.inf, found - MARGIN * (np.abs(found) + first + np.where(np.isinf(second), 0, second) + 1))
+    alone = np.isinf(second)  # an only entry is never left
+    next_ = np.where(alone, first, second)
+    found = drift * (1 - MARGIN) + next_ - first
+    return np.where(alone, np.inf, found - MARGIN * (np.abs(found) + first + next_ + 1))
 
 
 def violated(entry: np.ndarray, key: np.ndarray, drift: np.ndarray) -> np.ndarray:

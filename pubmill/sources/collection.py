@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
+from pubmill.sinks import written
 
 # The editions of a day, and those that a weekday must have.
 EDITIONS, REGULAR = ("DO1", "DO2", "DO3", "DO1E", "DO2E", "DO3E"), ("DO1", "DO2", "DO3")
@@ -146,7 +147,7 @@ def payload_scan(payloads: DataFrame) -> DataFrame:
     read = payloads.select(F.col("key").cast("long").alias("key"), F.col("json").alias("__json")).where("__json is not null")
     read = T.once(read.withColumn("__id", F.monotonically_increasing_id()), __depth=json_depth(F.col("__json")))
     deep = F.col("__depth") > DEPTH + 1
-    read = T.once(read, __v=F.try_parse_json(F.when(~deep, F.col("__json"))))
+    read = written(read.select("key", "__id", "__depth", F.try_parse_json(F.when(~deep, F.col("__json"))).alias("__v")), "payloads")  # parsed once
     wrong = F.when(deep, "ValueError").when(F.col("__v").isNull(), "JSONDecodeError")
     levels = min(DEPTH + 1, read.agg(F.coalesce(F.max(F.when(~deep, F.col("__depth"))), F.lit(0))).first()[0])
     held = lambda names: reduce(lambda a, b: a | b, (F.try_variant_get("__v", f"$.{n}", "variant").isNotNull() for n in sorted(names)))

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
+from pubmill.sinks import written
 
 #: Bytes, and rows, of a list that goes to every task.
 BYTES, ROWS = 32 << 20, 500_000
@@ -54,6 +55,12 @@ def rarest(parts: DataFrame, seen: DataFrame) -> DataFrame:
     return parts.join(seen, "token", "left").groupBy("ord").agg(least).where("least.n > 0").select("ord", "least.token", "least.n")
 
 
+def frequent(counts: DataFrame, key: str) -> DataFrame:
+    """Of counts (key, n), the keys with more than one in HOT of all: HOT of them at most."""
+    total = counts.agg(F.sum("n").alias("total"))  # one row
+    return counts.crossJoin(F.broadcast(total)).where(F.col("n") * HOT > F.col("total")).select(key)
+
+
 def salted(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, by: str) -> DataFrame:
     """Join in which each key of ``hot`` (on), few and known, is dealt over SALTS tasks by the hash of ``by``; right is repeated for these."""
     marked = hot.select(on, F.lit(True).alias("__hot"))
@@ -72,12 +79,14 @@ def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -
     compared with the term's, which costs a term's length and not a text's.
     ``small`` states whether the list fits every task; it is measured otherwise.
     """
-    own = terms.select("ord", "term", "category")
+    own = written(terms.select("ord", "term", "category"), "terms")  # read several times
     parts = own.select("ord", F.explode(F.array_distinct(F.split("term", " "))).alias("token"))
     small = fits(own, "term", "category") if small is None else small
     wanted = _small(parts.select("token").distinct(), small)
     postings = row_tokens(pubs, "doc_id").join(wanted, "token")
     seen = postings.groupBy("token").agg(F.count("*").alias("n"))
+    if not small:
+        seen = written(seen, "seen")  # no longer than the list
     words = F.split("term", " ")
     filed = rarest(parts, seen).join(own, "ord").withColumns({"k": F.size(words), "before": F.array_position(words, F.col("token")).cast("int") - 1})
     texts = T.once(pubs.select("doc_id", "norm"), tokens=F.split("norm", " ")).select("doc_id", "tokens")
@@ -87,8 +96,7 @@ def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -
         # a row for each term at most
         tried = texts.select("doc_id", "tokens", F.posexplode("tokens").alias("at", "token")).join(F.broadcast(filed), "token")
         return tried.where(inside).select("doc_id", "ord", "term", "category").distinct()
-    total = seen.agg(F.sum("n").alias("total"))  # one row
-    hot = seen.crossJoin(F.broadcast(total)).where(F.col("n") * HOT > F.col("total"))
+    hot = frequent(seen, "token")
     places = texts.select("doc_id", F.posexplode("tokens").alias("at", "token"))
     found = salted(places, filed, "token", hot, "doc_id").select("doc_id", "at", "ord", "term", "category", "k", "before")
     texts = texts.withColumnRenamed("doc_id", "__doc")
@@ -138,21 +146,20 @@ def loose_matches(pubs: DataFrame, terms: DataFrame) -> DataFrame:
     grams = lambda c, q: T.grams(F.col(c), q)
     own = tokens.select("token", F.explode(F.array_distinct(grams("token", F.least(F.length("token"), F.lit(GRAM))))).alias("gram"))
     held = row_tokens(pubs, "doc_id", F.xxhash64("norm").alias("row")).withColumnRenamed("token", "word").where("word <> ''")
-    words = held.select("word").distinct()
-    every = F.flatten(F.array(*(grams("word", F.lit(q)) for q in range(1, GRAM + 1))))
+    # the corpus's dictionary with its counts; the texts are read for it, and once more for what its words hold
+    counted = written(held.groupBy("word").agg(F.count("*").alias("n")), "words")
+    words = counted.select("word")
+    sizes = sorted(r[0] for r in own.select(F.length("gram")).distinct().collect())  # GRAM of them at most
+    every = F.flatten(F.array(*(grams("word", F.lit(q)) for q in sizes or [GRAM])))
     small = fits(tokens, "token")
     inside = words.select("word", F.explode(F.array_distinct(every)).alias("gram")).join(_small(own.select("gram").distinct(), small), "gram")
     counts = inside.groupBy("gram").agg(F.count("*").alias("n"))
     key = own.join(counts, "gram", "left").groupBy("token").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"].alias("gram"))
     met = inside.join(key, "gram").where(F.contains("word", F.col("token"))).select("word", "token")
-    frequent = held.groupBy("word").agg(F.count("*").alias("n"))
-    total = frequent.agg(F.sum("n").alias("total"))
-    hot = frequent.crossJoin(F.broadcast(total)).where(F.col("n") * HOT > F.col("total")).select("word")
-    has = salted(held, met, "word", hot, "doc_id").select("doc_id", "row", "token").distinct()
+    has = written(salted(held, met, "word", frequent(counted, "word"), "doc_id").select("doc_id", "row", "token").distinct(), "held")
     seen = has.groupBy("token").agg(F.count("*").alias("n"))
     filed = rarest(parts, seen)
-    often = seen.crossJoin(F.broadcast(seen.agg(F.sum("n").alias("total")))).where(F.col("n") * HOT > F.col("total")).select("token")
-    tried = salted(has, filed.select("ord", "token"), "token", often, "doc_id").select("doc_id", "row", "ord")
+    tried = salted(has, filed.select("ord", "token"), "token", frequent(seen, "token"), "doc_id").select("doc_id", "row", "ord")
     asked = tried.join(parts, "ord")
     found = asked.join(has, _same_row(asked, has, "doc_id", "row") & (asked["token"] == has["token"])).select(asked["doc_id"], asked["row"], "ord")
     return found.groupBy("doc_id", "row", "ord").agg(F.count("*").alias("n")).join(need, "ord").where("n = need").select("doc_id", "ord").distinct()
@@ -195,7 +202,7 @@ def hybrid_matches(pubs: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, ord, term, how) as ``match_hybrid`` defines them, for terms (ord, term, kind, origin) of any number."""
     from pubmill.operators.matching import named_term, strong_tokens
 
-    terms = terms.select(F.col("ord").cast("int").alias("ord"), "term", "kind", F.coalesce("origin", F.lit("")).alias("origin"))
+    terms = written(terms.select(F.col("ord").cast("int").alias("ord"), "term", "kind", F.coalesce("origin", F.lit("")).alias("origin")), "terms")
     of = lambda where: terms.where(where)
     listed = lambda df, term: df.select("ord", term.alias("term"), F.lit("").alias("category")).where("term <> ''")
     found = lambda df, how: df.select("doc_id", "ord", F.lit(how).alias("how"))

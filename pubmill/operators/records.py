@@ -83,11 +83,12 @@ def numbered(df: DataFrame, key: str, ord_: str, name: str, width: int = 1 << 20
     of one ord have places in no stated order.
     """
     cut = df.withColumn("__part", F.coalesce(F.floor(F.col(ord_) / width), F.lit(-(1 << 62))))
-    counts = cut.groupBy(key, "__part").agg(F.count("*").alias("__n"))
+    # by the same key as the window, so stretches are shuffled once
+    ranked = cut.withColumn("__own", F.row_number().over(W.partitionBy(key, "__part").orderBy(F.col(ord_).asc_nulls_first())))
+    counts = ranked.groupBy(key, "__part").agg(F.max("__own").alias("__n"))
     earlier = W.partitionBy(key).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.select(F.col(key).alias("__key"), F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    own = F.row_number().over(W.partitionBy(key, "__part").orderBy(F.col(ord_).asc_nulls_first()))
-    joined = cut.withColumn("__own", own).join(counts, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__of")))
+    joined = ranked.join(counts, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__of")))
     return joined.select(*df.columns, (F.col("__before") + F.col("__own")).alias(name))
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from pubmill.functions import text as T
+
 # The XML tags read, matched without regard to case or namespace.
 TAGS = ("identifica", "data", "ementa", "titulo", "subtitulo", "texto")
 
@@ -171,8 +173,8 @@ def strip_html(markup: Column) -> Column:
     t = F.regexp_replace(t, r"(?is)<!--.*?-->", " ")
     t = F.regexp_replace(t, r"(?i)</p>|<br ?/?>", "\n")
     # a tag needs its ">": behind the last one none begins, and searching there would take each "<" to the end
-    behind = F.instr(F.reverse(t), ">") - 1
-    closed = F.when(behind < 0, "").otherwise(F.left(t, F.length(t) - behind))
-    t = F.concat(F.regexp_replace(closed, "<[^>]*>", " "), F.right(t, F.length(t) - F.length(closed)))
+    end = lambda x: F.length(x) - F.instr(F.reverse(x), ">") + 1
+    parts = T.let(t, lambda x: T.let(F.when(F.contains(x, F.lit(">")), end(x)).otherwise(0), lambda n: F.struct(F.left(x, n).alias("closed"), F.right(x, F.length(x) - n).alias("open"))))
+    t = T.let(parts, lambda p: F.concat(F.regexp_replace(p["closed"], "<[^>]*>", " "), p["open"]))
     t = F.regexp_replace(F.regexp_replace(t, r"[ \t\r]+", " "), r" ?\n[ \n]*", "\n")
     return F.btrim(t, F.lit(" \n"))

@@ -109,3 +109,16 @@ def test_archive_over_two_gigabytes(spark, tmp_path):
     rows = read_zips(spark, f"file://{tmp_path}")
     assert rows.rdd.getNumPartitions() == 33
     assert {(r.place, r.titulo) for r in rows.where("error is null").collect()} == {(i + 1, f"t{i}") for i in range(200)}
+
+
+def test_strip_html_equals_plain_rules(spark):
+    import re
+
+    def plain(t):
+        for pattern, by in ((r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " "), (r"(?is)<!--.*?-->", " "), (r"(?i)</p>|<br ?/?>", "\n"), ("<[^>]*>", " "), (r"[ \t\r]+", " "), (r" ?\n[ \n]*", "\n")):
+            t = re.sub(pattern, by, t)
+        return t.strip(" \n")
+
+    given = ["", "<", ">", "a<b", "a>b<c", "<p>x</p>y<", "x<b>y</b>z < 5 > 3 <", "<p>" * 5 + "q", "é<i>ü</i> ñ<", "<script>a<b</script>c<!-- > -->d"]
+    rows = spark.createDataFrame([*enumerate(given), (99, None)], "i int, t string").select("i", strip_html(F.col("t")).alias("o")).collect()
+    assert {r.i: r.o for r in rows} == {**{i: plain(t) for i, t in enumerate(given)}, 99: None}

@@ -122,3 +122,12 @@ def test_strip_html_equals_plain_rules(spark):
     given = ["", "<", ">", "a<b", "a>b<c", "<p>x</p>y<", "x<b>y</b>z < 5 > 3 <", "<p>" * 5 + "q", "é<i>ü</i> ñ<", "<script>a<b</script>c<!-- > -->d"]
     rows = spark.createDataFrame([*enumerate(given), (99, None)], "i int, t string").select("i", strip_html(F.col("t")).alias("o")).collect()
     assert {r.i: r.o for r in rows} == {**{i: plain(t) for i, t in enumerate(given)}, 99: None}
+
+
+def test_unfinished_references_in_pages_stay(spark):
+    from pubmill.sources.pages import parse_pages
+
+    html = '<meta name="a" content="p&amp;q&ampr"><h1>x&amp;y &amp</h1><p class="signed">&lt;a&#x27;b&gt &copy; &notit; \ue000</p><p>R&D &#38 & end&'
+    row = parse_pages(spark.createDataFrame([(1, html), (2, None)], "key long, html string")).orderBy("key").collect()[0]
+    assert row["title"] == "x&y &amp" and row["meta"] == {"a": "p&q&ampr"}
+    assert row["signatures"] == ["<a'b&gt © &notit; \ue000"] and row["blocks"][1]["text"] == "R&D &#38 & end&"

@@ -8,6 +8,7 @@ every term on every text. ``pubs`` are publications with doc_id and norm (normal
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,6 +23,8 @@ BYTES, ROWS = 32 << 20, 500_000
 HOT, SALTS = 512, 32
 #: Characters by which a token inside a word is looked up, if it has as many.
 GRAM = 3
+#: Tokens of a term up to which each length is looked up by itself.
+ALONE = 8
 
 
 def fits(df: DataFrame, *columns: str) -> bool:
@@ -61,46 +64,102 @@ def frequent(counts: DataFrame, key: str) -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).where(F.col("n") * HOT > F.col("total")).select(key)
 
 
-def salted(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, by: str) -> DataFrame:
-    """Join in which each key of ``hot`` (on), few and known, is dealt over SALTS tasks by the hash of ``by``; right is repeated for these."""
+def salted(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, by: str, keep: bool = False) -> DataFrame:
+    """Join in which each key of ``hot`` (on), few and known, is dealt over SALTS tasks by the hash of ``by``; right is repeated for these.
+
+    With ``keep`` the task's number stays, as __salt.
+    """
     marked = hot.select(on, F.lit(True).alias("__hot"))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
     dealt = left.join(F.broadcast(marked), on, "left").withColumn("__salt", salt).drop("__hot")
     every = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
     copies = right.join(F.broadcast(marked), on, "left").withColumn("__salt", F.explode(every)).drop("__hot")
-    return dealt.join(copies, [on, "__salt"]).drop("__salt")
+    joined = dealt.join(copies, [on, "__salt"])
+    return joined if keep else joined.drop("__salt")
+
+
+def list_bits(keys: DataFrame, n: int) -> DataFrame:
+    """Words of bits (in rows of 1,024) of which each value of the one column of ``keys`` sets two; for n keys, 2 ** 28 bits at most.
+
+    It is a table of one row that a plan takes as a value: what it lets pass is compared all the same, so its size decides on speed alone.
+    """
+    bits = 1 << max(16, min(28, (16 * n - 1).bit_length()))
+    zeros = keys.sparkSession.range(bits >> 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    at = keys.select(F.explode(F.array(*_places(F.xxhash64(keys.columns[0]), bits))).alias("at"))
+    one = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    words = at.select(F.shiftright("at", 6).alias("word"), one.alias("bits")).unionByName(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    ordered = lambda key, x: F.transform(F.array_sort(F.collect_list(F.struct(key, x))), lambda e: e[x])
+    rows = words.withColumn("row", F.shiftright("word", 10)).groupBy("row").agg(ordered("word", "bits").alias("words"))
+    return written(rows.agg(ordered("row", "words").alias("rows")).withColumn("bits", F.lit(bits)), "bits")
+
+
+def _places(h: Column, bits: int) -> tuple[Column, Column]:
+    return h.bitwiseAND(F.lit(bits - 1).cast("long")), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1).cast("long"))
+
+
+def may_hold(table: DataFrame, key: Column) -> Column:
+    """Whether both bits of a key are set in a table of ``list_bits``."""
+    bits = table.select("bits").first()[0]
+    rows = table.select("rows").scalar()
+    word = lambda at: F.get(F.get(rows, F.shiftright(at, 16).cast("int")), F.shiftright(at, 6).bitwiseAND(F.lit(1023).cast("long")).cast("int"))
+    first, second = (F.getbit(word(at), at.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1 for at in _places(F.xxhash64(key), bits))
+    return first & second
+
+
+def length_classes(lengths: Sequence[int]) -> list[tuple[int, int]]:
+    """Classes (shortest, longest) of terms' numbers of tokens: each by itself up to ALONE, then each class ends at twice its shortest."""
+    classes: list[tuple[int, int]] = []
+    for n in sorted(lengths):
+        if n > ALONE and classes and classes[-1][0] > ALONE and n < 2 * classes[-1][0]:
+            classes[-1] = (classes[-1][0], n)
+        else:
+            classes.append((n, n))
+    return classes
+
+
+def stretches(tokens: Column, least: int, most: int) -> Column:
+    """At each place that has ``least`` tokens, up to ``most`` of them from there, joined by one space."""
+    if most == 1:
+        return tokens
+    starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (least - 1), F.lit(0)))
+    of = lambda x, i: F.concat_ws(" ", x, *(F.get(tokens, i + j) for j in range(1, most))) if most <= ALONE else F.array_join(F.slice(tokens, i + 1, F.lit(most)), " ")
+    return F.transform(starts, of)
 
 
 def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -> DataFrame:
     """(doc_id, ord, term, category), once each, of the terms (ord unique) that a publication's norm holds as a whole, for lists of any length.
 
-    A term is filed under its rarest token by counts over the texts, so that a text
-    looks only at terms of which it holds that token; at its places the words around are
-    compared with the term's, which costs a term's length and not a text's.
+    A text's stretches of as many tokens as terms have are looked up as they are, so that what is
+    found is what matches, however common the words are. Lengths of more than ALONE tokens go in classes: by the tokens of the
+    shortest, with those that follow to be compared. Before a long list's join is shuffled, stretches that are not in the list's bits go.
     ``small`` states whether the list fits every task; it is measured otherwise.
     """
-    own = written(terms.select("ord", "term", "category"), "terms")  # read several times
-    parts = own.select("ord", F.explode(F.array_distinct(F.split("term", " "))).alias("token"))
+    own = written(terms.select("ord", "term", "category", F.size(F.split("term", " ")).alias("k")), "terms")  # read several times
     small = fits(own, "term", "category") if small is None else small
-    wanted = _small(parts.select("token").distinct(), small)
-    postings = row_tokens(pubs, "doc_id").join(wanted, "token")
-    seen = postings.groupBy("token").agg(F.count("*").alias("n"))
-    if not small:
-        seen = written(seen, "seen")  # no longer than the list
-    words = F.split("term", " ")
-    filed = rarest(parts, seen).join(own, "ord").withColumns({"k": F.size(words), "before": F.array_position(words, F.col("token")).cast("int") - 1})
+    classes = length_classes([r[0] for r in own.select("k").distinct().collect()])  # lengths of terms
+    if not classes:
+        return own.crossJoin(pubs.select("doc_id").limit(0)).select("doc_id", "ord", "term", "category")
+    seed = F.lit(None).cast("string")
+    for least, most in reversed(classes):
+        seed = F.when(F.col("k").between(least, most), F.col("term") if least == most else F.array_join(F.slice(F.split("term", " "), 1, least), " ")).otherwise(seed)
+    filed = own.withColumn("seed", seed).drop("k")
     texts = T.once(pubs.select("doc_id", "norm"), tokens=F.split("norm", " ")).select("doc_id", "tokens")
-    start = F.col("at") - F.col("before") + 1
-    inside = (start > 0) & (F.array_join(F.slice("tokens", F.greatest(start, F.lit(1)), F.col("k")), " ") == F.col("term"))
+    # outer, since the optimiser would compute the stretches once more to leave out texts without any
+    cut = lambda *cs: texts.select("doc_id", F.explode_outer(F.array_distinct(F.flatten(F.array(*(stretches(F.col("tokens"), *c) for c in cs))))).alias("piece")).where("piece is not null")
+    alone = [c for c in classes if c[0] == c[1]]
+    parts = [cut(*alone).select("doc_id", F.col("piece").alias("seed"), F.lit(None).cast("string").alias("piece"))] if alone else []
+    parts += [cut(c).select("doc_id", F.substring_index("piece", " ", c[0]).alias("seed"), "piece") for c in classes if c[0] < c[1]]
+    places = reduce(DataFrame.unionByName, parts)
+    whole = F.col("piece").isNull() | F.startswith(F.concat("piece", F.lit(" ")), F.concat("term", F.lit(" ")))
     if small:
-        # a row for each term at most
-        tried = texts.select("doc_id", "tokens", F.posexplode("tokens").alias("at", "token")).join(F.broadcast(filed), "token")
-        return tried.where(inside).select("doc_id", "ord", "term", "category").distinct()
-    hot = frequent(seen, "token")
-    places = texts.select("doc_id", F.posexplode("tokens").alias("at", "token"))
-    found = salted(places, filed, "token", hot, "doc_id").select("doc_id", "at", "ord", "term", "category", "k", "before")
-    texts = texts.withColumnRenamed("doc_id", "__doc")
-    return found.join(texts, found["doc_id"].eqNullSafe(texts["__doc"])).where(inside).select("doc_id", "ord", "term", "category").distinct()
+        found = places.join(F.broadcast(filed.select("seed", "term", "ord")), "seed").where(whole).select("doc_id", "ord").distinct()
+        return found.join(F.broadcast(own.drop("k")), "ord").select("doc_id", "ord", "term", "category")
+    seeds = filed.select("seed").distinct()
+    places = written(places.where(may_hold(list_bits(seeds, seeds.count()), F.col("seed"))), "places")  # the texts are read once
+    hot = frequent(places.groupBy("seed").agg(F.count("*").alias("n")), "seed")
+    # what lies together for the join stays so until copies are dropped
+    met = salted(places, filed, "seed", hot, "doc_id", keep=True).where(whole)
+    return met.select("doc_id", "ord", "term", "category", "seed", "__salt").distinct().select("doc_id", "ord", "term", "category")
 
 
 def facet_bitmaps(matches: DataFrame, facets: Sequence[str]) -> DataFrame:

@@ -178,3 +178,26 @@ def test_grams_and_ids_of_long_texts(spark):
     assert time.time() - began < 30
     row = spark.range(1).select(T.grams(F.lit("abcde"), F.lit(3), F.lit(4)).alias("g"), T.grams(F.lit("ab"), F.lit(3)).alias("none")).first()
     assert (row.g, row.none) == (["abcd", "bcde", "cde"], [])
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_terms_of_many_lengths(spark, small):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("ab") for _ in range(60)) for _ in range(40)]
+    cut = lambda n: (lambda w, i: " ".join(w[i : i + n]))(rng.choice(texts).split(" "), rng.randrange(60 - n))
+    terms = sorted({cut(n) for n in (1, 2, 3, 7, 8, 9, 10, 14, 17, 18, 19, 40) for _ in range(4)} | {"a" + " b" * 30})
+    listed = spark.createDataFrame([(i, t, "x") for i, t in enumerate(terms)], "ord int, term string, category string")
+    got = {(r.doc_id, r.term) for r in P.term_matches(pubs_of(spark, texts), listed, small).collect()}
+    assert got == {(d, t) for d, x in enumerate(texts) for t in terms if f" {t} " in f" {x} "}
+
+
+def test_little_of_the_texts_meets_a_long_list(spark, monkeypatch):
+    """What is kept for the join is what matches and few others, though each of the terms' words is in nearly every text."""
+    kept, write = [], P.written
+    monkeypatch.setattr(P, "written", lambda df, tag: kept.append((tag, write(df, tag))) or kept[-1][1])
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(300)) for _ in range(200)]
+    pairs = [f"w{i} w{j}" for i in range(20) for j in range(10)]
+    listed = spark.createDataFrame([(i, t, "x") for i, t in enumerate(pairs)], "ord int, term string, category string")
+    found = P.term_matches(pubs_of(spark, texts), listed, False).count()
+    assert found <= dict(kept)["places"].count() < found * 1.2

@@ -171,14 +171,19 @@ def q_covered_days(spark, d):
 
 
 def _as_archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """An archive for each batch of XML texts (doc_id, xml), entries named by id, and an entry that is no XML file."""
+    """Archives of up to A.BATCH characters of XML texts (doc_id, xml), entries named by id, and an entry that is no XML file."""
     for batch in batches:
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("readme.txt", "none")
-            for k, xml in zip(batch["doc_id"].to_pylist(), batch["xml"].to_pylist(), strict=True):
-                z.writestr(f"g{k % 7}-{k}.XML", xml)
-        yield pa.RecordBatch.from_arrays([pa.array(["a.zip"]), pa.array([held.getvalue()])], ["path", "content"])
+        ids, texts = batch["doc_id"], batch["xml"]
+        at = 0
+        while at < len(batch):
+            held, size = io.BytesIO(), 0
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr("readme.txt", "none")
+                while at < len(batch) and size < A.BATCH:
+                    k, xml = ids[at].as_py(), texts[at].as_py()
+                    z.writestr(f"g{k % 7}-{k}.XML", xml)
+                    at, size = at + 1, size + len(xml)
+            yield pa.RecordBatch.from_arrays([pa.array(["a.zip"]), pa.array([held.getvalue()])], ["path", "content"])
 
 
 def _publications(spark, d):

@@ -25,6 +25,8 @@ TAGS = ("identifica", "data", "ementa", "titulo", "subtitulo", "texto")
 
 #: Bytes of an archive that a task reads at most, by the archive's size and the number of its entries.
 SPLIT = 64 << 20
+#: Characters of entries that a Python worker holds at a time, but for one entry that is longer.
+BATCH = 4 << 20
 _ENTRY = "zip string, xml_name string, place int, " + ", ".join(f"{t} string" for t in TAGS) + ", error string"
 
 
@@ -97,17 +99,22 @@ class _Reader(DataSourceReader):
         if not partition.parts:
             return
         system, _ = _system(self.path)
-        rows: list[tuple] = []
-        size = 0
         with system.open_input_file(partition.path) as file:
-            for row in _entries(partition.path, file, self.strict, partition.part, partition.parts):
-                rows.append(row)
-                size += sum(len(x) for x in row if isinstance(x, str))
-                if len(rows) >= 1000 or size > 4 << 20:
-                    yield _batch(rows)
-                    rows, size = [], 0
-        if rows:
+            yield from _batches(_entries(partition.path, file, self.strict, partition.part, partition.parts))
+
+
+def _batches(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Entries as they are read, in batches of 1,000 rows and about ``BATCH`` characters at most."""
+    rows: list[tuple] = []
+    size = 0
+    for row in found:
+        rows.append(row)
+        size += sum(len(x) for x in row if isinstance(x, str))
+        if len(rows) >= 1000 or size > BATCH:
             yield _batch(rows)
+            rows, size = [], 0
+    if rows:
+        yield _batch(rows)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -150,9 +157,7 @@ def zip_entries(archives: DataFrame, strict: bool = False) -> DataFrame:
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                rows = list(_entries(name, pa.BufferReader(content.as_buffer() if content.is_valid else b""), strict))
-                if rows:
-                    yield _batch(rows)
+                yield from _batches(_entries(name, pa.BufferReader(content.as_buffer() if content.is_valid else b""), strict))
 
     return archives.select("path", "content").mapInArrow(entries, _ENTRY)
 

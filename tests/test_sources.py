@@ -131,3 +131,18 @@ def test_unfinished_references_in_pages_stay(spark):
     row = parse_pages(spark.createDataFrame([(1, html), (2, None)], "key long, html string")).orderBy("key").collect()[0]
     assert row["title"] == "x&y &amp" and row["meta"] == {"a": "p&q&ampr"}
     assert row["signatures"] == ["<a'b&gt © &notit; \ue000"] and row["blocks"][1]["text"] == "R&D &#38 & end&"
+
+
+def test_entries_and_archives_come_in_bounded_pieces():
+    import pyarrow as pa
+
+    from pubmill.plans.source_queries import _as_archives
+    from pubmill.sources import archive as A
+
+    texts = ["<a><texto>" + "x" * (A.BATCH // 3) + "</texto></a>"] * 10 + ["<a/>"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(11)), pa.array(texts)], ["doc_id", "xml"])
+    archives = list(_as_archives(iter([batch])))
+    assert len(archives) == 4
+    found = [list(A._batches(A._entries("a.zip", pa.BufferReader(b["content"][0].as_buffer()), True))) for b in archives]
+    assert sorted(n for bs in found for b in bs for n in b["xml_name"].to_pylist()) == sorted(f"g{k % 7}-{k}.XML" for k in range(11))
+    assert all(b.nbytes < 2 * A.BATCH for bs in found for b in bs)

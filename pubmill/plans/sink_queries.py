@@ -80,7 +80,7 @@ def q_inventory(spark, d):
     o = table(spark, d, "orders")
     key = (F.col("o_custkey") % 40).alias("part")
     o.groupBy(key).agg(F.collect_list(F.struct("o_orderkey")).alias("publications")).write.partitionBy("part").json(f"{path}/json")
-    o.select((F.col("o_custkey") % 3).alias("part"), "o_orderkey").repartition(1).write.partitionBy("part").csv(f"{path}/csv")
+    o.select((F.col("o_custkey") % 3).alias("part"), "o_orderkey").repartition("part").write.partitionBy("part").csv(f"{path}/csv")
     spark.range(1).select(F.lit("no list").alias("value")).write.text(f"{path}/text")
     files = S.inventory(spark, path, "part-*")
     return files.groupBy("kind").agg(n().alias("files"), F.coalesce(F.sum("records"), F.lit(0)).cast("bigint").alias("records"))

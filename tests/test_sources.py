@@ -146,3 +146,13 @@ def test_entries_and_archives_come_in_bounded_pieces():
     found = [list(A._batches(A._entries("a.zip", pa.BufferReader(b["content"][0].as_buffer()), True))) for b in archives]
     assert sorted(n for bs in found for b in bs for n in b["xml_name"].to_pylist()) == sorted(f"g{k % 7}-{k}.XML" for k in range(11))
     assert all(b.nbytes < 2 * A.BATCH for bs in found for b in bs)
+
+
+def test_inventory_files_are_not_written_by_one_task(spark, monkeypatch):
+    from pubmill.plans import sink_queries
+
+    calls, kind = [], type(spark.range(1))
+    dealt = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda self, *by: calls.append(by) or dealt(self, *by))
+    got = {tuple(r) for r in sink_queries.q_inventory(spark, "/root/testdata/sf0.001").collect()}
+    assert {k for k, *_ in got} == {"JSON", "OTHER"} and calls and (1,) not in calls

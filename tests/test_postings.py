@@ -201,3 +201,15 @@ def test_little_of_the_texts_meets_a_long_list(spark, monkeypatch):
     listed = spark.createDataFrame([(i, t, "x") for i, t in enumerate(pairs)], "ord int, term string, category string")
     found = P.term_matches(pubs_of(spark, texts), listed, False).count()
     assert found <= dict(kept)["places"].count() < found * 1.2
+
+
+def test_bitmaps_of_a_long_list_agree_with_its_short_form(spark, monkeypatch):
+    """The shuffled form, whose kept places are as many as matches of terms."""
+    from pubmill.plans import registry
+
+    want = sorted(map(tuple, registry.q_facet_bitmaps(spark, "/root/testdata/sf0.001").collect()))
+    kept, write = {}, P.written
+    monkeypatch.setattr(P, "written", lambda df, tag: kept.setdefault(tag, write(df, tag)))
+    monkeypatch.setattr(P, "ROWS", 0)
+    assert sorted(map(tuple, registry.q_facet_bitmaps(spark, "/root/testdata/sf0.001").collect())) == want
+    assert kept["places"].count() < 1.2 * registry.q_match_long(spark, "/root/testdata/sf0.001").count()

@@ -7,9 +7,13 @@ every term on every text. ``pubs`` are publications with doc_id and norm (normal
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
+from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +29,10 @@ HOT, SALTS = 512, 32
 GRAM = 3
 #: Tokens of a term up to which each length is looked up by itself.
 ALONE = 8
+#: Places that a task gathers before it gives them on, and texts' words whose tokens it remembers.
+PLACES, WORDS = 500_000, 200_000
+#: By which a hash's second bit is found; products of it and 32 bits fit a long.
+MIX = 0x5BD1E995
 
 
 def fits(df: DataFrame, *columns: str) -> bool:
@@ -64,46 +72,44 @@ def frequent(counts: DataFrame, key: str) -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).where(F.col("n") * HOT > F.col("total")).select(key)
 
 
-def salted(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, by: str, keep: bool = False) -> DataFrame:
+def salted(left: DataFrame, right: DataFrame, on: str, hot: DataFrame, by: str, keep: bool = False, hashed: bool = False) -> DataFrame:
     """Join in which each key of ``hot`` (on), few and known, is dealt over SALTS tasks by the hash of ``by``; right is repeated for these.
 
-    With ``keep`` the task's number stays, as __salt.
+    With ``keep`` the task's number stays, as __salt. With ``hashed`` a part of right is held as a hash table, and left is not sorted.
     """
     marked = hot.select(on, F.lit(True).alias("__hot"))
     salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
     dealt = left.join(F.broadcast(marked), on, "left").withColumn("__salt", salt).drop("__hot")
     every = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
     copies = right.join(F.broadcast(marked), on, "left").withColumn("__salt", F.explode(every)).drop("__hot")
-    joined = dealt.join(copies, [on, "__salt"])
+    joined = dealt.join(copies.hint("shuffle_hash") if hashed else copies, [on, "__salt"])
     return joined if keep else joined.drop("__salt")
 
 
-def list_bits(keys: DataFrame, n: int) -> DataFrame:
-    """Words of bits (in rows of 1,024) of which each value of the one column of ``keys`` sets two; for n keys, 2 ** 28 bits at most.
+def list_bits(keys: DataFrame, n: int) -> np.ndarray:
+    """Bytes of bits of which each value of the one column of ``keys`` sets two; for n keys, 2 ** 28 bits at most.
 
-    It is a table of one row that a plan takes as a value: what it lets pass is compared all the same, so its size decides on speed alone.
+    What it lets pass is compared all the same, so its size decides on speed alone. It passes the driver.
     """
     bits = 1 << max(16, min(28, (16 * n - 1).bit_length()))
-    zeros = keys.sparkSession.range(bits >> 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
-    at = keys.select(F.explode(F.array(*_places(F.xxhash64(keys.columns[0]), bits))).alias("at"))
+    h = F.crc32(F.col(keys.columns[0]).cast("binary"))
+    second = F.shiftrightunsigned((h * F.lit(MIX)).bitwiseAND(F.lit(0xFFFFFFFF)), 4)
+    at = keys.select(F.explode(F.array(*(x.bitwiseAND(F.lit(bits - 1).cast("long")) for x in (h, second)))).alias("at"))
     one = F.expr("shiftleft(1L, cast(at & 63 as int))")
-    words = at.select(F.shiftright("at", 6).alias("word"), one.alias("bits")).unionByName(zeros).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    ordered = lambda key, x: F.transform(F.array_sort(F.collect_list(F.struct(key, x))), lambda e: e[x])
-    rows = words.withColumn("row", F.shiftright("word", 10)).groupBy("row").agg(ordered("word", "bits").alias("words"))
-    return written(rows.agg(ordered("row", "words").alias("rows")).withColumn("bits", F.lit(bits)), "bits")
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()  # bits >> 6 words at most
+    out = np.zeros(bits >> 6, np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.astype("<i8").view(np.uint8)
 
 
-def _places(h: Column, bits: int) -> tuple[Column, Column]:
-    return h.bitwiseAND(F.lit(bits - 1).cast("long")), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1).cast("long"))
-
-
-def may_hold(table: DataFrame, key: Column) -> Column:
-    """Whether both bits of a key are set in a table of ``list_bits``."""
-    bits = table.select("bits").first()[0]
-    rows = table.select("rows").scalar()
-    word = lambda at: F.get(F.get(rows, F.shiftright(at, 16).cast("int")), F.shiftright(at, 6).bitwiseAND(F.lit(1023).cast("long")).cast("int"))
-    first, second = (F.getbit(word(at), at.bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1 for at in _places(F.xxhash64(key), bits))
-    return first & second
+def may_hold(table: np.ndarray, keys: Sequence[str]) -> np.ndarray:
+    """The numbers of the keys of which both bits are set in a table of ``list_bits``."""
+    h = np.fromiter((crc32(k.encode()) for k in keys), np.int64, len(keys))
+    held = np.ones(len(keys), bool)
+    for at in (h, ((h * MIX) & 0xFFFFFFFF) >> 4):
+        at = at & (len(table) * 8 - 1)
+        held &= (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    return np.flatnonzero(held)
 
 
 def length_classes(lengths: Sequence[int]) -> list[tuple[int, int]]:
@@ -117,13 +123,95 @@ def length_classes(lengths: Sequence[int]) -> list[tuple[int, int]]:
     return classes
 
 
-def stretches(tokens: Column, least: int, most: int) -> Column:
-    """At each place that has ``least`` tokens, up to ``most`` of them from there, joined by one space."""
-    if most == 1:
+def stretches(tokens: Sequence[str], n: int, most: int | None = None) -> Iterable[str]:
+    """At each place that has n tokens, up to ``most`` of them (n by default) from there, joined by one space."""
+    if n == 1 and most is None:
         return tokens
-    starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (least - 1), F.lit(0)))
-    of = lambda x, i: F.concat_ws(" ", x, *(F.get(tokens, i + j) for j in range(1, most))) if most <= ALONE else F.array_join(F.slice(tokens, i + 1, F.lit(most)), " ")
-    return F.transform(starts, of)
+    if most is None:
+        return map(" ".join, zip(*(tokens[i:] for i in range(n)), strict=False))
+    return (" ".join(tokens[i : i + most]) for i in range(len(tokens) - n + 1))
+
+
+def _field(df: DataFrame, column: str, name: str | None = None) -> str:
+    return f"`{name or column}` {df.schema[column].dataType.simpleString()}"
+
+
+def shared_ids(df: DataFrame, column: str = "doc_id") -> bool:
+    """Whether rows share an id."""
+    return df.groupBy(column).count().where("count > 1").limit(1).count() > 0
+
+
+def _held(pubs: DataFrame, filed: DataFrame, classes: Sequence[tuple[int, int]]) -> DataFrame:
+    """(doc_id, ord) of terms (ord, term, seed), few enough for every task, that a text holds; once a text."""
+    rows = filed.select("seed", "term", "ord").toArrow()  # BYTES at most
+    shared, kind = pubs.sparkSession.sparkContext.broadcast(rows), rows.schema.field("ord").type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed: dict[str, list[tuple]] = {}
+        for seed, term, number in zip(*(shared.value[c].to_pylist() for c in ("seed", "term", "ord")), strict=True):
+            listed.setdefault(seed, []).append((term, number))
+        seeds = frozenset(listed)
+        for batch in batches:
+            docs, numbers = [], []
+            for doc, norm in zip(*(batch[c].to_pylist() for c in ("doc_id", "norm")), strict=True):
+                tokens, found = norm.split(" "), []
+                for least, most in classes:
+                    if least == most:
+                        found += (o for p in seeds.intersection(stretches(tokens, least)) for _, o in listed[p])
+                    else:
+                        at = {i: p for i, p in enumerate(stretches(tokens, least)) if p in seeds}
+                        near = {(p, " ".join(tokens[i : i + most]) + " ") for i, p in at.items()}
+                        found += {o for p, piece in near for t, o in listed[p] if piece.startswith(f"{t} ")}
+                docs += [doc] * len(found)
+                numbers += found
+                if len(docs) > PLACES:
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, batch["doc_id"].type), pa.array(numbers, kind)], ["doc_id", "ord"])
+                    docs, numbers = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(docs, batch["doc_id"].type), pa.array(numbers, kind)], ["doc_id", "ord"])
+
+    return pubs.select("doc_id", "norm").where("norm is not null").mapInArrow(run, f"{_field(pubs, 'doc_id')}, {_field(filed, 'ord')}")
+
+
+def _places(pubs: DataFrame, table: np.ndarray, classes: Sequence[tuple[int, int]]) -> DataFrame:
+    """(seed, piece, doc_id, first) of the stretches whose seed a table of bits lets pass, once a text; equal ones of a task lie together.
+
+    A stretch that is no longer than its seed has no piece. One row of a text is its first.
+    """
+    shared = pubs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, kind = shared.value, None
+
+        def rows(held: dict[tuple, list], first: bool) -> pa.RecordBatch:
+            keys = sorted(held, key=lambda k: (k[0], k[1] or ""))
+            at = pa.array(np.repeat(np.arange(len(keys)), [len(held[k]) for k in keys]))
+            seed, piece = (pa.array([k[i] for k in keys], pa.string()).take(at) for i in (0, 1))
+            docs = pa.array(list(chain.from_iterable(held[k] for k in keys)), kind)
+            return pa.RecordBatch.from_arrays([seed, piece, docs, pa.array(np.full(len(at), first))], ["seed", "piece", "doc_id", "first"])
+
+        firsts, others, n = defaultdict(list), defaultdict(list), 0
+        for batch in batches:
+            kind = batch["doc_id"].type
+            for doc, norm in zip(*(batch[c].to_pylist() for c in ("doc_id", "norm")), strict=True):
+                tokens, found = norm.split(" "), []
+                alone = list({p for least, most in classes if least == most for p in stretches(tokens, least)})
+                found += ((alone[i], None) for i in may_hold(bits, alone))
+                for least, most in classes:
+                    if least < most:
+                        seeds = list(stretches(tokens, least))
+                        found += {(seeds[i], " ".join(tokens[i : i + most])) for i in may_hold(bits, seeds)}
+                for key in found[:1]:
+                    firsts[key].append(doc)
+                for key in found[1:]:
+                    others[key].append(doc)
+                n += len(found)
+                if n > PLACES:
+                    yield from (rows(firsts, True), rows(others, False))
+                    firsts, others, n = defaultdict(list), defaultdict(list), 0
+        if n:
+            yield from (rows(firsts, True), rows(others, False))
+
+    return pubs.select("doc_id", "norm").where("norm is not null").mapInArrow(run, f"seed string, piece string, {_field(pubs, 'doc_id')}, first boolean")
 
 
 def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -> DataFrame:
@@ -132,6 +220,8 @@ def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -
     A text's stretches of as many tokens as terms have are looked up as they are, so that what is
     found is what matches, however common the words are. Lengths of more than ALONE tokens go in classes: by the tokens of the
     shortest, with those that follow to be compared. Before a long list's join is shuffled, stretches that are not in the list's bits go.
+    Its join reads them as they come, against a hashed part of the list, so that they are not sorted; copies are
+    looked for only where ids are shared or long terms may be met twice in a text.
     ``small`` states whether the list fits every task; it is measured otherwise.
     """
     own = written(terms.select("ord", "term", "category", F.size(F.split("term", " ")).alias("k")), "terms")  # read several times
@@ -143,23 +233,18 @@ def term_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None) -
     for least, most in reversed(classes):
         seed = F.when(F.col("k").between(least, most), F.col("term") if least == most else F.array_join(F.slice(F.split("term", " "), 1, least), " ")).otherwise(seed)
     filed = own.withColumn("seed", seed).drop("k")
-    texts = T.once(pubs.select("doc_id", "norm"), tokens=F.split("norm", " ")).select("doc_id", "tokens")
-    # outer, since the optimiser would compute the stretches once more to leave out texts without any
-    cut = lambda *cs: texts.select("doc_id", F.explode_outer(F.array_distinct(F.flatten(F.array(*(stretches(F.col("tokens"), *c) for c in cs))))).alias("piece")).where("piece is not null")
-    alone = [c for c in classes if c[0] == c[1]]
-    parts = [cut(*alone).select("doc_id", F.col("piece").alias("seed"), F.lit(None).cast("string").alias("piece"))] if alone else []
-    parts += [cut(c).select("doc_id", F.substring_index("piece", " ", c[0]).alias("seed"), "piece") for c in classes if c[0] < c[1]]
-    places = reduce(DataFrame.unionByName, parts)
-    whole = F.col("piece").isNull() | F.startswith(F.concat("piece", F.lit(" ")), F.concat("term", F.lit(" ")))
     if small:
-        found = places.join(F.broadcast(filed.select("seed", "term", "ord")), "seed").where(whole).select("doc_id", "ord").distinct()
+        found = _held(pubs, filed, classes).distinct()
         return found.join(F.broadcast(own.drop("k")), "ord").select("doc_id", "ord", "term", "category")
     seeds = filed.select("seed").distinct()
-    places = written(places.where(may_hold(list_bits(seeds, seeds.count()), F.col("seed"))), "places")  # the texts are read once
+    places = written(_places(pubs, list_bits(seeds, seeds.count()), classes), "places")  # the texts are read once
     hot = frequent(places.groupBy("seed").agg(F.count("*").alias("n")), "seed")
+    whole = F.col("piece").isNull() | F.startswith(F.concat("piece", F.lit(" ")), F.concat("term", F.lit(" ")))
     # what lies together for the join stays so until copies are dropped
-    met = salted(places, filed, "seed", hot, "doc_id", keep=True).where(whole)
-    return met.select("doc_id", "ord", "term", "category", "seed", "__salt").distinct().select("doc_id", "ord", "term", "category")
+    met = salted(places.drop("first"), filed, "seed", hot, "doc_id", keep=True, hashed=True).where(whole)
+    if any(least < most for least, most in classes) or shared_ids(places.where("first")):
+        met = met.select("doc_id", "ord", "term", "category", "seed", "__salt").distinct()
+    return met.select("doc_id", "ord", "term", "category")
 
 
 def facet_bitmaps(matches: DataFrame, facets: Sequence[str]) -> DataFrame:

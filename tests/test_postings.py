@@ -213,3 +213,15 @@ def test_bitmaps_of_a_long_list_agree_with_its_short_form(spark, monkeypatch):
     monkeypatch.setattr(P, "ROWS", 0)
     assert sorted(map(tuple, registry.q_facet_bitmaps(spark, "/root/testdata/sf0.001").collect())) == want
     assert kept["places"].count() < 1.2 * registry.q_match_long(spark, "/root/testdata/sf0.001").count()
+
+
+def test_long_lists_neither_sort_nor_gather_what_they_meet(spark):
+    """Where no two texts share an id, places are read against a hashed part of the list, and copies are not looked for."""
+    texts = some_texts(3)
+    listed = spark.createDataFrame([(i, t, "x") for i, t in enumerate(("the of", "the", "w1 w2", "no such"))], "ord int, term string, category string")
+    plan = P.term_matches(pubs_of(spark, texts), listed, False)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "HashAggregate(keys=[doc_id" not in plan
+    # with a shared id each term is given once all the same
+    pubs = pubs_of(spark, texts)
+    twice = P.term_matches(pubs.unionByName(pubs), listed, False)
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, M.match(pubs, listed).collect()))

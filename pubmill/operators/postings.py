@@ -277,13 +277,64 @@ def near_matches(pubs: DataFrame, terms: DataFrame, within: int = 12) -> DataFra
     return met.where("met = need").select("doc_id", "ord").distinct()
 
 
-def loose_matches(pubs: DataFrame, terms: DataFrame) -> DataFrame:
+def _loosely_held(pubs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, ord) of terms (ord, term), few enough for every task, of which a text holds every token, also inside words; once a text.
+
+    What a word holds is found by its stretches of as many characters as tokens have, and remembered.
+    """
+    rows = terms.select("ord", "term").toArrow()  # BYTES at most
+    shared, kind = pubs.sparkSession.sparkContext.broadcast(rows), rows.schema.field("ord").type
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filed, wanted = defaultdict(list), defaultdict(set)
+        for number, term in zip(*(shared.value[c].to_pylist() for c in ("ord", "term")), strict=True):
+            need = frozenset(term.split(" ")) - {""}
+            for t in need:
+                wanted[len(t)].add(t)
+            if need:
+                filed[max(need, key=lambda t: (len(t), t))].append((number, need))  # long ones are rare
+        inside: dict[str, list[str]] = {}
+
+        def tokens_of(word: str) -> list[str]:
+            out = [t for n, ts in wanted.items() for t in ts.intersection(word[i : i + n] for i in range(len(word) - n + 1))]
+            if len(inside) >= WORDS:
+                inside.clear()
+            if len(word) <= 100:
+                inside[word] = out
+            return out
+
+        for batch in batches:
+            docs, numbers = [], []
+            for doc, norm in zip(*(batch[c].to_pylist() for c in ("doc_id", "norm")), strict=True):
+                held: set[str] = set()
+                for word in set(norm.split(" ")):
+                    own = inside.get(word)
+                    held.update(tokens_of(word) if own is None else own)
+                found = [number for t in held & filed.keys() for number, need in filed[t] if need <= held]
+                docs += [doc] * len(found)
+                numbers += found
+                if len(docs) > PLACES:
+                    yield pa.RecordBatch.from_arrays([pa.array(docs, batch["doc_id"].type), pa.array(numbers, kind)], ["doc_id", "ord"])
+                    docs, numbers = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(docs, batch["doc_id"].type), pa.array(numbers, kind)], ["doc_id", "ord"])
+
+    return pubs.select("doc_id", "norm").where("norm is not null").mapInArrow(run, f"{_field(pubs, 'doc_id')}, {_field(terms, 'ord')}")
+
+
+def loose_matches(pubs: DataFrame, terms: DataFrame, small: bool | None = None, once: bool = True) -> DataFrame:
     """(doc_id, ord) where a text holds every token of a term (ord, term), also inside words.
 
-    The words of all texts, each once, are looked up by the rarest gram of each token; a
+    A list that fits every task is looked up text by text, and nothing of the texts is shuffled; without ``once``, rows that share an id
+    give each their own. For a longer one,
+    the words of all texts, each once, are looked up by the rarest gram of each token; a
     term's rarest token then names the texts to try, and in these the different tokens
     met are counted against the term's need.
+    ``small`` states whether the list fits; it is measured otherwise.
     """
+    terms = terms.where("term is not null")
+    if fits(terms, "term") if small is None else small:
+        found = _loosely_held(pubs, terms)
+        return found.distinct() if once else found
     parts = terms.select("ord", F.explode(F.array_distinct(F.split("term", " "))).alias("token")).where("token <> ''")
     need = parts.groupBy("ord").agg(F.count("*").alias("need"))
     tokens = parts.select("token").distinct()
@@ -360,7 +411,7 @@ def hybrid_matches(pubs: DataFrame, terms: DataFrame) -> DataFrame:
     # 0: as a hybrid, 1: only as a whole
     kinds = terms.select("ord", "origin")
     rated = whole.join(kinds, "ord").select("doc_id", "ord", F.when(F.col("origin") == "product", 0).otherwise(1).alias("how"))
-    for df in (near_matches(pubs, strong), named, loose_matches(pubs, other)):
+    for df in (near_matches(pubs, strong), named, loose_matches(pubs, other, once=False)):
         rated = rated.unionByName(found(df, 0))
     hybrid = rated.groupBy("doc_id", "ord").agg(F.min("how").alias("how"))
     both = hybrid.select("doc_id", "ord", F.when(F.col("how") == 0, "hybrid").otherwise("text").alias("how")).unionByName(found(number, "number").distinct())

@@ -225,3 +225,17 @@ def test_long_lists_neither_sort_nor_gather_what_they_meet(spark):
     pubs = pubs_of(spark, texts)
     twice = P.term_matches(pubs.unionByName(pubs), listed, False)
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, M.match(pubs, listed).collect()))
+
+
+def test_loose_terms_of_a_short_list_shuffle_nothing(spark, monkeypatch):
+    """And find what the shuffled form finds, with words remembered or not."""
+    rng = random.Random(11)
+    texts = [" ".join("".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))) for _ in range(rng.choice([0, 3, 30]))) for _ in range(150)] + [None, "x" * 5000 + "abcab"]
+    terms = ["ab c", "abc abc", "cab bca a", "zz a", "", " ", "aabb", "abcab x"]
+    pubs, listed = pubs_of(spark, texts), spark.createDataFrame(list(enumerate(terms)), "ord int, term string")
+    found = P.loose_matches(pubs, listed, once=False)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString().split("InArrow")[0]
+    want = sorted((d, i) for d, x in enumerate(texts) for i, t in enumerate(terms) if t.strip() and all(p in (x or "") for p in t.split()))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, P.loose_matches(pubs, listed, False).collect())) == want
+    monkeypatch.setattr(P, "WORDS", 2)
+    assert sorted(map(tuple, P.loose_matches(pubs.unionByName(pubs), listed).collect())) == want

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -199,12 +200,14 @@ def resolve(wanted: DataFrame, cache: DataFrame, candidates: DataFrame) -> DataF
 def guarded(left: DataFrame, right: DataFrame, keys: Sequence[list[str]], value: str) -> DataFrame:
     """``left`` with ``value`` of right by the first of the key lists that names exactly one of its rows; how is that list, or null.
 
-    A key of right that several rows share names none. Null parts match nothing.
+    A key of right that several rows share names none. Null parts match nothing; rows with them are dealt over
+    the tasks by a hash of the row, since all of them would meet in one. ``left`` is read past a hashed part of the keys, a row each, and not sorted.
     """
-    out = left
+    out, row = left, F.xxhash64(*left.columns)
     for i, on in enumerate(keys):
-        alone = right.groupBy(*on).agg(F.count("*").alias("rows"), F.min(value).alias(f"__v{i}")).where("rows = 1").drop("rows")
-        out = out.join(alone, on, "left")
+        alone = right.groupBy(*on).agg(F.count("*").alias("rows"), F.min(value).alias(f"__v{i}")).where("rows = 1").select(*on, f"__v{i}", F.lit(0).cast("long").alias("__deal"))
+        null = reduce(Column.__or__, (F.col(c).isNull() for c in on))
+        out = out.withColumn("__deal", F.when(null, row).otherwise(F.lit(0).cast("long"))).join(alone.hint("shuffle_hash"), [*on, "__deal"], "left").drop("__deal")
     v = [F.col(f"__v{i}") for i in range(len(keys))]
     how = F.coalesce(*(F.when(x.isNotNull(), F.lit("+".join(on))) for x, on in zip(v, keys, strict=True)))
     return out.select(*left.columns, F.coalesce(*v).alias(value), how.alias("how"))

@@ -268,3 +268,28 @@ def test_payloads_equal_a_plain_walk(spark):
         assert sorted(json.dumps(json.loads(p), sort_keys=True) for _, p, _ in mine) == want
         assert sorted(k for k, _, _ in mine) == list(range(len(want)))
     assert sum(map(len, found.values())) > 60
+
+
+def test_rows_without_a_key_do_not_meet_in_one_task(spark):
+    """Half of the rows have no key: they are dealt over the tasks of the join."""
+    from pubmill.operators import records as R
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("key"))
+        right = spark.range(0, 3000, 2).select(F.col("id").alias("key"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("page"))
+        out = R.guarded(left, right, [["key"]], "page")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert len(sizes) > 4 and max(sizes) < 4000 / 4
+        assert {(r.id, r.page) for r in out.collect()} == {(i, f"p{i}" if i % 2 == 0 and i < 3000 else None) for i in range(4000)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_associations_sort_neither_side(spark):
+    left = spark.range(40).select("id", F.col("id").alias("key"))
+    right = spark.range(30).select(F.col("id").alias("key"), F.col("id").cast("string").alias("page"))
+    plan = R.guarded(left, right, [["key"]], "page")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("SortAggregate", "")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pubmill.functions import text as T
@@ -241,7 +242,7 @@ SELECT b.place, b.level, count(t.doc_id) AS n_docs, round(coalesce(100.0::DOUBLE
 def q_report_complement(spark, d):
     tree = _faceted(spark, d).select("doc_id", "hits", C.decide(C.CONTEXT_RULES).alias("x"))
     counts = tree.groupBy("x.level").agg(n().alias("k"), F.sum(F.size("hits")).alias("terms"))
-    total = counts.agg(F.sum("k").alias("total"))  # one row
-    rows = spark.createDataFrame(list(enumerate(_LEVELS)), "place int, level string").join(counts, "level", "left").crossJoin(F.broadcast(total))
-    share = F.round(F.coalesce(F.lit(100.0) * F.coalesce("k", F.lit(0)) / F.col("total"), F.lit(0.0)), 2)
+    counts = counts.withColumn("total", F.sum("k").over(W.partitionBy()))  # a row for each level
+    rows = spark.createDataFrame(list(enumerate(_LEVELS)), "place int, level string").join(counts, "level", "left")
+    share = F.round(F.coalesce(F.lit(100.0) * F.col("k") / F.col("total"), F.lit(0.0)), 2)
     return rows.select("place", "level", F.coalesce("k", F.lit(0)).cast("bigint").alias("n_docs"), share.alias("share"), F.coalesce("terms", F.lit(0)).cast("bigint").alias("n_terms"))

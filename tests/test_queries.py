@@ -44,3 +44,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert {k for k in entry.queries() if k.startswith("q_")} == set(SQL)
+
+
+def test_report_complement_reads_the_texts_once(spark):
+    plan = entry.queries()["q_report_complement"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1

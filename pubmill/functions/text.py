@@ -75,7 +75,7 @@ def term_type(term: Column) -> Column:
 
 
 def digits(text: Column) -> Column:
-    return F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9]", "")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9]+", "")
 
 
 def first_line(text: Column, most: int | None = 80) -> Column:

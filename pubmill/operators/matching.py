@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,18 +91,21 @@ def named_term(term: Column) -> Column:
     return F.regexp_replace(term, r"^[a-z]?[0-9]+ ", "")
 
 
-def hybrid_hit(norm: Column, digits: Column, term: Column, kind: Column, origin: Column) -> Column:
+def hybrid_hit(norm: Column, digits: Column, term: Column, kind: Column, origin: Column, padded: Column | None = None, may_be_near: Column | None = None) -> Column:
     """How a number or hybrid term matches: number, hybrid, text, or null.
 
     Numbers are searched in the text's digits. A product holds as a whole or by its
     strong tokens near each other; a monograph as a whole without its leading code;
     another hybrid by every token as a substring, else as a whole term.
+    ``padded`` is the norm between spaces, ``may_be_near`` a cheap test that a text with all strong tokens passes.
     """
+    holds = lambda t: T.has_term(norm, t) if padded is None else F.contains(padded, F.concat(F.lit(" "), t, F.lit(" ")))
     tokens = F.split(norm, " ")
-    whole = T.has_term(norm, term)
-    product = whole | all_near(tokens, strong_tokens(term))
+    whole = holds(term)
+    near = all_near(tokens, strong_tokens(term))
+    product = whole | (near if may_be_near is None else may_be_near & near)
     named = named_term(term)
-    monograph = (named != "") & T.has_term(norm, named)
+    monograph = (named != "") & holds(named)
     loose = F.forall(F.split(term, " "), lambda t: F.contains(norm, t))
     found = F.when(origin == "product", product).when(origin == "monograph", monograph).otherwise(loose)
     return F.when(kind == "number", F.when((T.digits(term) != "") & F.contains(digits, T.digits(term)), "number")).otherwise(F.when(found, "hybrid").when(whole, "text"))
@@ -116,14 +121,31 @@ def match_hybrid(pubs: DataFrame, terms: DataFrame, size: int | None = None) ->
         return P.hybrid_matches(pubs, terms)
     if not rows:
         return pubs.select("doc_id", F.lit(0).alias("ord"), F.lit("").alias("term"), F.lit("").alias("how")).limit(0)
-    pubs = T.once(pubs.select("doc_id", "text", "norm"), digits=T.digits(F.col("text")))
+    pubs = T.once(pubs.select("doc_id", "text", "norm"), digits=T.digits(F.col("text"))).withColumn("__padded", F.concat(F.lit(" "), "norm", F.lit(" ")))
+    found = pubs.select("doc_id", F.explode(F.array(*map(_hybrid, rows))).alias("h"))
+    return found.select("doc_id", "h.*").where("how is not null")
 
-    def one(r):
-        how = hybrid_hit(F.col("norm"), F.col("digits"), F.lit(r["term"]), F.lit(r["kind"]), F.lit(r["origin"]))
-        return F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["term"]).alias("term"), how.alias("how"))
 
-    found = pubs.select("doc_id", F.explode(F.array(*map(one, rows))).alias("h"))
-    return found.select("doc_id", "h.*").where("how is not null")
+def _hybrid(r) -> Column:
+    """Of a term's row: ord, term and how, null without a match, over norm, digits and __padded."""
+    strong = [t for t in r["term"].split(" ") if len(t) >= 4]
+    may = reduce(Column.__and__, (F.contains("__padded", F.lit(f" {t} ")) for t in strong if not (t.isascii() and t.isdigit())), F.lit(True))
+    how = hybrid_hit(F.col("norm"), F.col("digits"), F.lit(r["term"]), F.lit(r["kind"]), F.lit(r["origin"]), F.col("__padded"), may)
+    return F.struct(F.lit(r["ord"]).alias("ord"), F.lit(r["term"]).alias("term"), how.alias("how"))
+
+
+def match_all(pubs: DataFrame, hybrids: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, term, kind) of ``match_hybrid`` and, of kind direct, of ``match``; short lists in one pass over the texts."""
+    rows = hybrids.where("term <> ''").orderBy("ord").limit(BROADCAST_TERMS + 1).collect()  # bounded
+    if not rows or len(rows) > BROADCAST_TERMS:
+        hybrid = match_hybrid(pubs, hybrids).select("doc_id", "term", F.col("how").alias("kind"))
+        return hybrid.unionByName(match(pubs, terms).select("doc_id", "term", F.lit("direct").alias("kind")))
+    pubs = with_hits(T.once(pubs.select("doc_id", "text", "norm"), digits=T.digits(F.col("text"))), terms)
+    pubs = pubs.withColumn("__padded", F.concat(F.lit(" "), "norm", F.lit(" ")))
+    one = lambda term, kind: F.struct(term.alias("term"), kind.alias("kind"))
+    hybrid = F.array(*(one(h["term"], h["how"]) for h in map(_hybrid, rows)))
+    direct = F.transform("hits", lambda h: one(h["term"], F.lit("direct")))
+    return pubs.select("doc_id", F.explode(F.concat(hybrid, direct)).alias("h")).select("doc_id", "h.*").where("kind is not null")
 
 
 def near(norm: Column, first: str, second: str, within: int = 12) -> Column:

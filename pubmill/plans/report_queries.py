@@ -24,9 +24,7 @@ c AS (SELECT *, CASE WHEN kind = 'direct' THEN 'HIGH' WHEN kind = 'number' THEN
 
 def _all_matches(spark, d):
     pubs = M.publications(table(spark, d, "documents"))
-    hybrid = M.match_hybrid(pubs, spark.createDataFrame(Q.HYBRIDS, "ord int, term string, kind string, origin string"))
-    direct = M.match(pubs, M.watchlist(spark, Q.TERMS))
-    return hybrid.select("doc_id", "term", F.col("how").alias("kind")).unionByName(direct.select("doc_id", "term", F.lit("direct").alias("kind")))
+    return M.match_all(pubs, spark.createDataFrame(Q.HYBRIDS, "ord int, term string, kind string, origin string"), M.watchlist(spark, Q.TERMS))
 
 
 @query(f"WITH {_ALL} SELECT doc_id, term, kind, c AS confidence FROM c")

@@ -49,3 +49,8 @@ def test_every_query_has_sql():
 def test_report_complement_reads_the_texts_once(spark):
     plan = entry.queries()["q_report_complement"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+def test_audit_lists_read_the_texts_once(spark):
+    plan = entry.queries()["q_audit_lists"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1

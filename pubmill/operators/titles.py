@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 import itertools
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +18,8 @@ from pubmill.sinks import written
 
 #: Pairs scored at a time, and copies of a gram that are told apart by their frequency.
 PAIRS, COPIES = 2000, 32
+#: Characters of a list of titles whose stretches of HEAD characters every task holds.
+FEW, HEAD = 250_000, 8
 
 
 def shared_least(first: int, second: int, least: float, q: int) -> int:
@@ -109,6 +111,37 @@ def contained_pairs(short: DataFrame, long: DataFrame) -> DataFrame:
     return out.join(s, "s").join(l, "l").where(F.contains("__l", F.col("__s"))).select("s", "l")
 
 
+def contained_in_few(records: DataFrame, asked: DataFrame) -> DataFrame:
+    """(l, r) of records and asked titles (id, title), of FEW characters in all, of which one holds the other; asked ones of three words at least where they are the shorter.
+
+    A record within another title is found by its first characters. The words of an asked title but its first and last are whole
+    words of what holds it, so its longest of them names the titles to try. A record's grams are not written out.
+    """
+    shared = records.sparkSession.sparkContext.broadcast(asked.select("id", "title").toArrow())  # FEW characters
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, titles = (shared.value[c].to_pylist() for c in ("id", "title"))
+        inner = [frozenset(t.split(" ")[1:-1]) for t in titles]
+        filed, begin, joined = defaultdict(list), defaultdict(set), "\n".join(titles)
+        for j, t in enumerate(titles):
+            if inner[j]:
+                filed[max(inner[j], key=lambda w: (len(w), w))].append(j)
+            for i in range(len(t) - HEAD + 1):
+                begin[t[i : i + HEAD]].add(j)
+        for batch in batches:
+            out: tuple[list, list] = ([], [])
+            for name, title in zip(batch["id"].to_pylist(), batch["title"].to_pylist(), strict=True):
+                near = begin.get(title[:HEAD], ()) if len(title) >= HEAD else range(len(titles)) if title in joined else ()
+                found = {j for j in near if title in titles[j]}
+                words = set(title.split(" "))
+                found.update(j for w in words & filed.keys() for j in filed[w] if inner[j] <= words and titles[j] in title)
+                out[0].extend([name] * len(found))
+                out[1].extend(keys[j] for j in found)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["l", "r"])
+
+    return records.select("id", "title").mapInArrow(run, "l long, r long")
+
+
 def fuzzy_titles(records: DataFrame, wanted: DataFrame, least: float = 0.82) -> DataFrame:
     """(key, id, score) of the record (id, title) most like each wanted (key, title), by the ratio of matching characters.
 
@@ -127,7 +160,14 @@ def fuzzy_titles(records: DataFrame, wanted: DataFrame, least: float = 0.82) ->
         pairs = similar_pairs(records, asked, least, 2).unionByName(similar_pairs(short(records), short(asked), least, 1))
     else:
         pairs = similar_pairs(records, asked, least, 1)
-    pairs = pairs.unionByName(contained_pairs(asked, records).select("l", F.col("s").alias("r"))).unionByName(contained_pairs(records, asked).select(F.col("s").alias("l"), F.col("l").alias("r")))
+    inside = asked
+    if asked.agg(F.coalesce(F.sum(F.length("title")), F.lit(0))).first()[0] <= FEW:
+        pairs = pairs.unionByName(contained_in_few(records, asked))
+        inside = asked.where(F.size(F.split("title", " ")) < 3)
+    else:
+        pairs = pairs.unionByName(contained_pairs(records, asked).select(F.col("s").alias("l"), F.col("l").alias("r")))
+    if inside is asked or inside.limit(1).count():
+        pairs = pairs.unionByName(contained_pairs(inside, records).select("l", F.col("s").alias("r")))
     small = P.fits(asked, "title")
     other = F.broadcast(asked) if small else asked
     both = pairs.distinct().join(records.select(F.col("id").alias("l"), "title"), "l").join(other.select(F.col("id").alias("r"), F.col("title").alias("asked")), "r")

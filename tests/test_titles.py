@@ -88,3 +88,20 @@ def test_nulls_and_empty_tables(spark):
     assert R.fuzzy_titles(none, asked).count() == 0
     records = spark.createDataFrame([(4, "abc"), (3, "ABC!"), (None, "abc"), (5, None)], "id long, title string")
     assert [tuple(r) for r in R.fuzzy_titles(records, asked).collect()] == [(1, 3, 1.0)]
+
+
+def test_contained_titles_of_a_short_list_write_no_grams(spark, monkeypatch):
+    """What one title holds of the other is found without grams of the records, and is what plain Python finds."""
+    import random
+
+    from pubmill.operators import titles
+
+    rng = random.Random(5)
+    some = lambda n: " ".join(rng.choice(("ab", "cd", "abcdefgh", "x", "longer")) for _ in range(n))
+    records = [(i, some(rng.choice((1, 2, 3, 5, 12)))) for i in range(300)]
+    asked = [(i, some(rng.choice((3, 4, 6)))) for i in range(40)]
+    left, right = (spark.createDataFrame(rows, "id long, title string") for rows in (records, asked))
+    want = {(i, j) for i, a in records for j, b in asked if a in b or b in a}
+    assert set(map(tuple, titles.contained_in_few(left, right).collect())) == want and len(want) > 100
+    monkeypatch.setattr(titles, "_pieces", None)
+    assert titles.fuzzy_titles(left, right.withColumnRenamed("id", "key")).count() > 0

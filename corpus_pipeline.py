@@ -16,6 +16,7 @@ from pubmill.llm.op5_prefix_tree_join import ngram_components
 from pubmill.llm.op7_personal_data import redact
 from pubmill.llm.op8_forced_boundaries import bpe_encode
 from pubmill.llm.op9_hash_thresholds import mix
+from pubmill.llm.sketch import may_hold
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,12 +27,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8): that of least id.
 
-    Documents without words are no copies of each other and stay.
+    Documents without words are no copies of each other and stay. Only documents that go, or whose key repeats, are
+    joined, with the few that a table of bits takes for them; the others pass as they are read.
     """
-    keep = ngram_components(docs, k=5, num=80).where("keeper").select("row").distinct()
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text")).join(keep.withColumnRenamed("row", "__row"), "__row", "left_semi")
+    since = mark()
+    rows = ngram_components(docs, k=5, num=80).groupBy("row").agg(F.bool_or("keeper").alias("stays"), F.count("*").alias("rows"))
+    some = materialize(rows.where("not stays or rows > 1").select(F.col("row").alias("__row"), "stays"), "some")
+    release(spark, since, some)
+    keyed = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    held = may_hold(some.select("__row"))(F.col("__row"))
+    rest = keyed.where(held).join(some.where("not stays"), "__row", "left_anti")
     # rows repeated in full share a key; one of them stays
-    return keyed.dropDuplicates(["__row", "doc_id"]).select(*docs.columns)
+    return keyed.where(~held).unionByName(rest.dropDuplicates(["__row", "doc_id"])).select(*docs.columns)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

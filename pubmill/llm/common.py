@@ -22,6 +22,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROWS, BYTES = 1000, 4 << 20
 #: A key that holds more than one in so many rows is joined by broadcast, so there are at most so many of them.
 HEAVY = 256
+#: Deletes a query's shuffle files as it ends; else they stay until the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,11 +46,16 @@ _written: list[str] = []
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Cut lineage with a written table: every later read sees the same rows."""
-    path = new_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    """Cut lineage with a written table: every later read sees the same rows. Of the work on it no shuffle files stay."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, tag)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     _written.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def mark() -> int:

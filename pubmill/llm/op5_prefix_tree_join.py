@@ -16,9 +16,13 @@ A document is the set of its distinct k-word shingles, held in one global order
    set goes to the class of every possible larger partner. Parts empty in both sets
    prove nothing; a set that has as many empty parts as P - D is cut in another way
    as well.
-3. Candidate clusters: a key links its nodes to the least of them, first within a
-   batch, then over the batches, so a hot key costs a row per batch. Nodes that
-   these links connect form a cluster; nodes of different clusters never link.
+3. Candidate clusters: a key of up to ``FEW`` nodes gives their pairs. A pair stays if
+   bitmaps of both sets, of two to four bits a shingle, leave it possible that they
+   link: a bit that only one has set is a shingle that the other lacks. So texts that
+   share a passage by chance, whose number grows faster than the input, form no
+   clusters. A key of more nodes links them to the least of them, first within a
+   batch, then over the batches, so a hot key costs some rows a batch. Nodes that
+   pairs and links connect form a cluster; nodes of different clusters never link.
 4. A cluster's nodes are dealt by size class and id hash into blocks of about
    ``BLOCK`` nodes, or ``SHINGLES`` shingles if that is less. A node probes its own
    block, the later blocks of its class, and those of every higher class that a
@@ -50,14 +54,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, heavy_join, mark, materialize, mix, release, shingle_set, slices, turn_to, word_hashes
+from .common import arrow_map, gram_hashes, heavy_join, mark, materialize, mix, release, shingle_set, slices, turn_to, word_hashes
 from .links import connected
-from .sketch import cells, magnitudes
+from .sketch import cells, magnitudes, may_hold
 
 #: Nodes of a block, shingles on an edge of its trie, and cuts tried for a set with many empty parts.
 BLOCK, EDGE, SEEDS = 4096, 32, 6
 #: Shingles of a block, and part keys that a task sorts at a time: what its memory follows.
 SHINGLES, KEYS = 1 << 20, 1 << 19
+#: Nodes of a key that are compared pair by pair.
+FEW = 8
 #: Bytes of text whose part keys meet in one bin.
 BIN = 256 << 20
 #: Cells of the sketch that orders shingles by rarity, as bits: its size does not change what is found.
@@ -128,6 +134,25 @@ def set_id(h: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(h + np.uint64(len(h)))).astype(np.int64)) if len(h) else 0
 
 
+def bitmap(h: np.ndarray) -> bytes:
+    """A set as two to four bits a shingle, 256 at least: each sets the bit of its hash."""
+    size = 1 << max(8, (2 * len(h) - 1).bit_length())
+    held = np.zeros(size, bool)
+    held[(h & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").tobytes()
+
+
+def may_link(n: int, a: bytes, m: int, b: bytes, num: int, den: int) -> bool:
+    """False only if sets of n and m shingles with these bitmaps can't link."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] | x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] | y[len(y) // 2 :]
+    shared = min(n - int(np.bitwise_count(x & ~y).sum()), m - int(np.bitwise_count(y & ~x).sum()))
+    return den * shared >= num * (n + m - shared)
+
+
 class PrefixTree:
     """A trie of ordered sets, its edges cut to EDGE shingles, kept level by level as arrays.
 
@@ -256,29 +281,36 @@ def _rows(schema: pa.Schema, length: int, **held) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(held[f.name], f.type) if f.name in held else pa.nulls(length, f.type) for f in schema], schema=schema)
 
 
-def _pack(key: np.ndarray, at: np.ndarray, sid: np.ndarray) -> bytes:
-    """Sorted keys (their upper 48 bits) and the ids they belong to, each id once.
+def _pack(key: np.ndarray, at: np.ndarray, sid: np.ndarray, many: np.ndarray) -> bytes:
+    """Sorted keys (their upper 48 bits) and the ids they belong to, each id once; ``many`` marks keys that stand for more ids.
 
     Keys that agree in 48 bits of a bin by chance add a pair to verify, no more.
     """
     own, place = np.unique(at, return_inverse=True)
     high = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]
-    return np.array([len(key), len(own)], "<u4").tobytes() + high.tobytes() + place.astype("<u2").tobytes() + sid[own].astype("<i8").tobytes()
+    return np.array([len(key), len(own)], "<u4").tobytes() + high.tobytes() + (place + (many << 15)).astype("<u2").tobytes() + sid[own].astype("<i8").tobytes()
 
 
-def _unpack(data: bytes, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-    """The keys whose upper byte is from low to below high, and their ids."""
+def _unpack(data: bytes, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys whose upper byte is from low to below high, their ids and marks."""
     n, m = np.frombuffer(data, "<u4", 2)
     packed = np.frombuffer(data, np.uint8, 6 * n, 8).reshape(n, 6)
     a, b = np.searchsorted(packed[:, 5], [low, high])
     key = np.zeros((b - a, 8), np.uint8)
     key[:, 2:] = packed[a:b]
     place = np.frombuffer(data, "<u2", n, 8 + 6 * n)[a:b]
-    return key.view("<u8").ravel(), np.frombuffer(data, "<i8", m, 8 + 8 * n)[place]
+    return key.view("<u8").ravel(), np.frombuffer(data, "<i8", m, 8 + 8 * n)[place & 0x7FFF], place >> 15 > 0
+
+
+def _pair_rows(schema: pa.Schema, n: int, a: np.ndarray, b: np.ndarray, bins: int = 1) -> Iterator[pa.RecordBatch]:
+    """Each pair once; n says of which kind they are: -1 of a key's few ids, -2 of its least id and another."""
+    pairs = np.unique(np.stack([a, b], 1), axis=0)
+    if len(pairs):
+        yield _rows(schema, len(pairs), bin=np.arange(len(pairs)) % bins, n=np.full(len(pairs), n, np.int64), a=pairs[:, 0], b=pairs[:, 1])
 
 
 def _starred(keys: list[np.ndarray], ids: list[int], bins: int) -> Iterator[pa.RecordBatch]:
-    """Star pairs among the given sets, and packed (key, least id) by bin."""
+    """Packed (key, id) by bin; of keys with more than FEW of the given sets only the least id, and star pairs."""
     key = np.concatenate(keys) if keys else np.empty(0, np.uint64)
     if not len(key):
         return
@@ -286,17 +318,18 @@ def _starred(keys: list[np.ndarray], ids: list[int], bins: int) -> Iterator[pa.R
     doc = np.repeat(np.arange(len(ids), dtype=np.int32), list(map(len, keys)))
     order = np.lexsort((sid[doc], key))
     key, doc = key[order], doc[order]
+    fresh = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]
+    key, doc = key[fresh], doc[fresh]
     head = np.r_[True, key[1:] != key[:-1]]
-    least = sid[doc[head]][np.cumsum(head) - 1]
-    inner = least != sid[doc]
-    pairs = np.unique(np.stack([least[inner], sid[doc[inner]]], 1), axis=0)
-    if len(pairs):
-        yield _rows(_PACKED, len(pairs), bin=np.arange(len(pairs)) % bins, n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
-    key, doc = key[head], doc[head]
+    group = np.cumsum(head) - 1
+    many = (np.bincount(group) > FEW)[group]
+    inner = many & ~head
+    yield from _pair_rows(_PACKED, -2, sid[doc[head]][group[inner]], sid[doc[inner]], bins)
+    key, doc, many = key[~inner], doc[~inner], many[~inner]
     to = (key % np.uint64(bins)).astype(np.int32)
     order = np.argsort(to, kind="stable")
     own, starts = np.unique(to[order], return_index=True)
-    yield _rows(_PACKED, len(own), bin=own, payload=[_pack(key[p], doc[p], sid) for p in np.split(order, starts[1:])])
+    yield _rows(_PACKED, len(own), bin=own, payload=[_pack(key[p], doc[p], sid, many[p]) for p in np.split(order, starts[1:])])
 
 
 def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins: int, rarity) -> Iterator[pa.RecordBatch]:
@@ -318,7 +351,7 @@ def _stars(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int, bins:
             own.append(ids[-1])
             keys.append(parts_of(h, rarity.value[cells(h, 0, RARITY_BITS)], num, den))
             count += len(keys[-1])
-            if count >= KEYS or len(own) == 1 << 16:
+            if count >= KEYS or len(own) == 1 << 15:
                 yield from _starred(keys, own, bins)
                 keys, own, count = [], [], 0
         yield _rows(_PACKED, len(batch), bin=np.arange(len(batch)) % bins, row=batch["row"], doc_id=batch["doc_id"], n=sizes, a=ids)
@@ -329,7 +362,7 @@ _MET = pa.schema(list(_PACKED)[2:])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents and pairs as they are; of the packed keys, pairs of each key's least id with its others."""
+    """Documents and pairs as they are; of the packed keys, all pairs of few ids, and else pairs of a key's least id with its others."""
     turn_to()
     bins: dict[int, list] = {}
     for batch in batches:
@@ -343,15 +376,21 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in list(bins):
         packed = bins.pop(b)
         for low in range(0, 256, 32):  # an eighth of the bin's keys at a time
-            key, sid = (np.concatenate(x) for x in zip(*(_unpack(data, low, low + 32) for data in packed), strict=True))
+            key, sid, many = (np.concatenate(x) for x in zip(*(_unpack(data, low, low + 32) for data in packed), strict=True))
+            if not len(key):
+                continue
             order = np.lexsort((sid, key))
-            key, sid = key[order], sid[order]
-            head = np.r_[True, key[1:] != key[:-1]][: len(key)]
-            least = sid[head][np.cumsum(head) - 1]
-            inner = least != sid
-            pairs = np.unique(np.stack([least[inner], sid[inner]], 1), axis=0)
-            if len(pairs):
-                yield _rows(_MET, len(pairs), n=np.zeros(len(pairs), np.int64) - 1, a=pairs[:, 0], b=pairs[:, 1])
+            key, sid, many = key[order], sid[order], many[order]
+            head = np.r_[True, key[1:] != key[:-1]]
+            group = np.cumsum(head) - 1
+            fresh = head | np.r_[True, sid[1:] != sid[:-1]]
+            large = np.bincount(group[fresh]) > FEW
+            large[group[many]] = True
+            least, inner = sid[head][group], fresh & ~head & large[group]
+            yield from _pair_rows(_MET, -2, least[inner], sid[inner])
+            group, sid = (x[fresh & ~large[group]] for x in (group, sid))
+            near = [np.flatnonzero(group[d:] == group[:-d]) for d in range(1, FEW)]
+            yield from _pair_rows(_MET, -1, *(np.concatenate([sid[i + d * last] for d, i in enumerate(near, 1)]) for last in (0, 1)))
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -387,6 +426,28 @@ def _search(batches: Iterator[pa.RecordBatch], k: int, num: int, den: int) -> It
         yield batch_of(built()[1])
 
 
+def _likely(pairs: DataFrame, nodes: DataFrame, source: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Those of the pairs (a, b) of ``nodes`` whose sizes and bitmaps let them link; texts are read, and only bitmaps travel."""
+    ends = lambda df, c, *more: df.select(F.col("sid").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in more))
+    pairs = pairs.join(ends(nodes, "a", "n"), "a").join(ends(nodes, "b", "n"), "b")
+    pairs = materialize(pairs.where(F.greatest("n_a", "n_b") * num <= F.least("n_a", "n_b") * den), "few")
+    held = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "sid").join(nodes.select("sid", "row"), "sid"), "held")
+
+    def drawn(batch: pa.RecordBatch):
+        sets = [shingle_set(text.as_py() or "", k) for text in batch["text"]]
+        return [set_id(h) for h in sets], [bitmap(h) for h in sets]
+
+    maps = arrow_map(source.select("row", "text").where(may_hold(held.select("row"))(F.col("row"))), drawn, "sid long, bits binary")
+    maps = materialize(maps.join(held.select("sid"), "sid").dropDuplicates(["sid"]), "bitmaps")
+
+    @F.arrow_udf("boolean")
+    def possible(n: pa.Array, a: pa.Array, m: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([may_link(*x, num, den) for x in zip(n.to_pylist(), a.to_pylist(), m.to_pylist(), b.to_pylist(), strict=True)], pa.bool_())
+
+    both = pairs.join(ends(maps, "a", "bits"), "a").join(ends(maps, "b", "bits"), "b")
+    return both.where(possible("n_a", "bits_a", "n_b", "bits_b")).select("a", "b")
+
+
 def _dealt(nodes: DataFrame, num: int, den: int) -> DataFrame:
     """(block, probe, sid) from (sid, cluster, n): each node in its own block and as a probe of the others it may link with.
 
@@ -434,11 +495,13 @@ def ngram_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     signed = met.where("n >= 0").select("row", "doc_id", F.col("n").alias("n_shingles"), F.col("a").alias("sid"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     nodes = signed.where("sid is not null").groupBy("sid").agg(first.alias("first"), F.min("row").alias("row"), F.min("n_shingles").alias("n"))
-    star_pairs = materialize(met.where("n = -1").select("a", "b").distinct(), "pairs")
+    found = {n: met.where(F.col("n") == n).select("a", "b").distinct() for n in (-1, -2)}
+    pairs = materialize(_likely(found[-1], nodes, source, k, num, den).union(found[-2]), "pairs")
 
-    clusters = connected(star_pairs).select(F.col("node").alias("sid"), F.col("comp").alias("cluster"))
+    clusters = connected(pairs).select(F.col("node").alias("sid"), F.col("comp").alias("cluster"))
     near = materialize(clusters.join(nodes.select("sid", "row", "n"), "sid"), "near")
-    texts = near.select("sid", "row").hint("merge").join(source.select("row", "text"), "row").select("sid", "text").dropDuplicates(["sid"])
+    likely = source.select("row", "text").where(may_hold(near.select("row"))(F.col("row")))  # other texts do not travel
+    texts = near.select("sid", "row").hint("merge").join(likely, "row").select("sid", "text").dropDuplicates(["sid"])
     dealt = _dealt(near.select("sid", "cluster", "n"), num, den).join(texts, "sid")
     dealt = dealt.select("block", "probe", "sid", "text").repartition("block").sortWithinPartitions("block", "probe")
     links = materialize(dealt.mapInArrow(partial(_search, k=k, num=num, den=den), "a long, b long"), "links")

@@ -1,4 +1,4 @@
-"""Count-min sketches, made per partition and merged by cell blocks."""
+"""Count-min sketches, made per partition and merged by cell blocks, and tables of bits of hashed keys."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix, slices, turn_to
@@ -140,3 +140,31 @@ def seen_twice(planes: list[bytes], h: np.ndarray) -> np.ndarray:
         at = cells(h, row, (len(bits) * 8).bit_length() - 1)
         out &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
     return out
+
+
+def may_hold(keys: DataFrame, most: int = 28) -> Callable[[Column], Column]:
+    """A test of a column of 64-bit hashes: true for every one that the only column of ``keys`` holds, and for a few others.
+
+    Each key sets two bits of a table of 16 bits a key, 2 ** ``most`` at most (32 MB), which passes the driver and is
+    broadcast. Past that more others pass, so what passes is joined with the keys.
+    """
+    n = keys.count()
+    bits = 1 << max(16, min(most, (16 * n - 1).bit_length() if n else 0))
+    key, mask = F.col(keys.columns[0]), F.lit(bits - 1).cast("long")
+    at = keys.select(F.explode(F.array(*(x.bitwiseAND(mask) for x in (key, F.shiftrightunsigned(key, 32))))).alias("at"))
+    one = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()  # bits / 64 rows at most
+    table = np.zeros(bits >> 6, np.int64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = keys.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    @F.arrow_udf("boolean")
+    def held(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        turn_to()
+        for batch in batches:
+            h, out = batch.to_numpy(zero_copy_only=False).view(np.uint64), True
+            for x in (h & np.uint64(bits - 1), h >> np.uint64(32) & np.uint64(bits - 1)):
+                out &= (shared.value[x >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield pa.array(out)
+
+    return held

@@ -106,3 +106,79 @@ def test_tree_equals_plain_comparison():
     probe = np.unique(base)
     want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(s, probe)) >= 85 * len(np.union1d(s, probe))]
     assert PrefixTree(sets).links(probe, 85, 100).tolist() == want and len(want) > 3
+
+
+def test_bitmaps_keep_every_link():
+    import numpy as np
+
+    from pubmill.llm.op5_prefix_tree_join import bitmap, may_link
+
+    rng, kept = np.random.default_rng(3), 0
+    for num in (40, 80, 85):
+        for size in (1, 5, 127, 129, 700):
+            for share in (0, 0.05, 0.1, 0.3, 1):
+                a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+                b = np.unique(np.r_[np.where(rng.random(len(a)) < share, rng.integers(0, 2**63, len(a)).astype(np.uint64), a), rng.integers(0, 2**63, rng.integers(0, 1 + size // 6)).astype(np.uint64)])
+                links = 100 * len(np.intersect1d(a, b)) >= num * len(np.union1d(a, b))
+                found = may_link(len(a), bitmap(a), len(b), bitmap(b), num, 100)
+                assert found or not links
+                kept += found and share == 1 and size > 5
+    assert kept == 0
+
+
+def test_texts_that_share_a_passage_by_chance_form_no_cluster(spark, monkeypatch):
+    import random
+
+    import pubmill.llm.op5_prefix_tree_join as op5
+
+    rng, dealt, whole = random.Random(5), [], op5._dealt
+    monkeypatch.setattr(op5, "_dealt", lambda nodes, *a: dealt.append(nodes.count()) or whole(nodes, *a))
+    pieces = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(61)]
+    rows = [(i, f"{pieces[i]} {pieces[i + 1]}") for i in range(60)] + [(100, f"{pieces[7]} {pieces[8]} more")]
+    got = {r.doc_id: r.component_id for r in ngram_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()}
+    assert got == {d: 7 if d == 100 else d for d, _ in rows}
+    assert dealt == [2]
+
+
+def test_keys_of_few_and_of_many():
+    import numpy as np
+
+    from pubmill.llm.op5_prefix_tree_join import _meet, _starred
+
+    # key 1: ids 1 to 3; key 2: 20 ids in one batch; key 3: 5 ids in each of two batches, one of them in both
+    key = lambda k: np.uint64(k << 40)
+    batches = []
+    for ids, held in (([3, 1, *range(100, 120), *range(200, 205)], [1, 1, *[2] * 20, *[3] * 5]), ([2, 204, 205, 206, 207, 208], [1, *[3] * 5])):
+        batches += _starred([np.array([key(k), key(k)]) for k in held], ids, 1)
+    pairs = {n: set() for n in (-1, -2)}
+    for batch in _meet(iter(batches)):
+        for n, a, b in zip(*(batch[c].to_pylist() for c in ("n", "a", "b")), strict=True):
+            pairs[n].add((a, b))
+    assert pairs[-1] == {(1, 2), (1, 3), (2, 3)}
+    assert pairs[-2] == {(100, i) for i in range(101, 120)} | {(200, i) for i in range(201, 209)}
+
+
+def test_no_shuffle_files_stay(spark):
+    from pubmill.llm.common import CLEANUP, materialize
+
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle")}
+
+    before = held()
+    materialize(spark.range(1000).repartition(5).groupBy("id").count(), "test")
+    assert not held() - before and spark.conf.get(CLEANUP) == "false"
+    spark.range(1000).repartition(5).groupBy("id").count().collect()
+    assert held() - before
+
+
+def test_a_table_of_bits_holds_its_keys(spark):
+    from pyspark.sql import functions as F
+
+    from pubmill.llm.sketch import may_hold
+
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("row"), "id")
+    test = may_hold(rows.where("id % 20 = 0").select("row"))
+    passed = {r.id for r in rows.where(test(F.col("row"))).collect()}
+    assert set(range(0, 20_000, 20)) <= passed and len(passed) < 3000
+    assert rows.where(may_hold(rows.limit(0).select("row"))(F.col("row"))).count() == 0

@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, gram_hashes, heavy_join, mark, materialize, mix, release, shingle_set, slices, turn_to, word_hashes
 from .links import connected
-from .sketch import cells, magnitudes, may_hold
+from .sketch import cells, magnitudes, may_hold, table_of_bits
 
 #: Nodes of a block, shingles on an edge of its trie, and cuts tried for a set with many empty parts.
 BLOCK, EDGE, SEEDS = 4096, 32, 6
@@ -433,11 +433,14 @@ def _likely(pairs: DataFrame, nodes: DataFrame, source: DataFrame, k: int, num:
     pairs = materialize(pairs.where(F.greatest("n_a", "n_b") * num <= F.least("n_a", "n_b") * den), "few")
     held = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "sid").join(nodes.select("sid", "row"), "sid"), "held")
 
+    test = table_of_bits(held.select("row"))
+
     def drawn(batch: pa.RecordBatch):
-        sets = [shingle_set(text.as_py() or "", k) for text in batch["text"]]
+        some = batch["text"].filter(pa.array(test(batch["row"].to_numpy())))
+        sets = [shingle_set(text.as_py() or "", k) for text in some]
         return [set_id(h) for h in sets], [bitmap(h) for h in sets]
 
-    maps = arrow_map(source.select("row", "text").where(may_hold(held.select("row"))(F.col("row"))), drawn, "sid long, bits binary")
+    maps = arrow_map(source.select("row", "text"), drawn, "sid long, bits binary")
     maps = materialize(maps.join(held.select("sid"), "sid").dropDuplicates(["sid"]), "bitmaps")
 
     @F.arrow_udf("boolean")

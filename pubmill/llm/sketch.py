@@ -142,8 +142,8 @@ def seen_twice(planes: list[bytes], h: np.ndarray) -> np.ndarray:
     return out
 
 
-def may_hold(keys: DataFrame, most: int = 28) -> Callable[[Column], Column]:
-    """A test of a column of 64-bit hashes: true for every one that the only column of ``keys`` holds, and for a few others.
+def table_of_bits(keys: DataFrame, most: int = 28) -> Callable[[np.ndarray], np.ndarray]:
+    """A test of 64-bit hashes, for tasks: true for every one that the only column of ``keys`` holds, and for a few others.
 
     Each key sets two bits of a table of 16 bits a key, 2 ** ``most`` at most (32 MB), which passes the driver and is
     broadcast. Past that more others pass, so what passes is joined with the keys.
@@ -158,13 +158,23 @@ def may_hold(keys: DataFrame, most: int = 28) -> Callable[[Column], Column]:
     table[words["word"].to_numpy()] = words["bits"].to_numpy()
     shared = keys.sparkSession.sparkContext.broadcast(table.view(np.uint64))
 
+    def test(h: np.ndarray) -> np.ndarray:
+        h, out = h.view(np.uint64), True
+        for x in (h & np.uint64(bits - 1), h >> np.uint64(32) & np.uint64(bits - 1)):
+            out &= (shared.value[x >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
+
+    return test
+
+
+def may_hold(keys: DataFrame) -> Callable[[Column], Column]:
+    """The test of ``table_of_bits`` for a column without nulls. A step in Python that follows tests by itself: it would be a second worker."""
+    test = table_of_bits(keys)
+
     @F.arrow_udf("boolean")
     def held(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         turn_to()
         for batch in batches:
-            h, out = batch.to_numpy(zero_copy_only=False).view(np.uint64), True
-            for x in (h & np.uint64(bits - 1), h >> np.uint64(32) & np.uint64(bits - 1)):
-                out &= (shared.value[x >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1)).astype(bool)
-            yield pa.array(out)
+            yield pa.array(test(batch.to_numpy(zero_copy_only=False)))
 
     return held
